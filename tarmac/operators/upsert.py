@@ -62,9 +62,10 @@ def update_guarded(target: DataFrame, updates: DataFrame, on: str | Sequence[str
     new_cols = [U + d for d in assignments]
     guard = (F.col(U + "hit").isNotNull() & all_present(*new_cols)
              & any_missing(*assignments.keys()))
-    out = j
+    # Evaluate the guard once, on the old values, before any column changes.
+    out = j.withColumn(U + "guard", guard)
     for dst in assignments:
-        out = out.withColumn(dst, F.when(guard, F.col(U + dst)).otherwise(F.col(dst)))
+        out = out.withColumn(dst, F.when(F.col(U + "guard"), F.col(U + dst)).otherwise(F.col(dst)))
     return out.select(*target.columns)
 
 

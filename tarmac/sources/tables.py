@@ -60,20 +60,32 @@ def truncate_all(spark: SparkSession, db: str | None = None) -> list[str]:
 
 
 class VersionedTable:
+    """A Parquet table with versioned replace and append (see module doc).
+
+    One writer per table: the committed version is read from the pointer log
+    once and then tracked in this object; ``refresh()`` re-reads it.
+    """
+
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._version: int | None = None
+        self._columns: list[str] | None = None
 
     def _vpath(self, v: int) -> str:
         return f"{self.root}/v={v:08d}"
 
-    def version(self) -> int:
-        """Highest committed version (0 if none).  Reads the tiny pointer log."""
+    def refresh(self) -> int:
         try:
             row = self.spark.read.parquet(f"{self.root}/_pointer").agg(F.max("version")).first()
+            self._version = int(row[0] or 0)
         except Exception:  # no pointer log yet
-            return 0
-        return int(row[0] or 0)
+            self._version = 0
+        return self._version
+
+    def version(self) -> int:
+        """Highest committed version (0 if none)."""
+        return self.refresh() if self._version is None else self._version
 
     def exists(self) -> bool:
         return self.version() > 0
@@ -82,11 +94,14 @@ class VersionedTable:
         v = self.version()
         if v == 0:
             raise FileNotFoundError(f"table {self.root} has no committed version")
-        return self.spark.read.parquet(self._vpath(v))
+        df = self.spark.read.parquet(self._vpath(v))
+        self._columns = df.columns
+        return df
 
     def _commit(self, v: int) -> None:
         (self.spark.range(1).select(F.lit(v).cast("bigint").alias("version"))
              .coalesce(1).write.mode("append").parquet(f"{self.root}/_pointer"))
+        self._version = v
 
     def create(self, df: DataFrame) -> None:
         """Write version 1 (or a new version if the table exists)."""
@@ -97,6 +112,7 @@ class VersionedTable:
         v = self.version() + 1
         write_parquet(df, self._vpath(v))
         self._commit(v)
+        self._columns = df.columns
         return v
 
     def append(self, df: DataFrame) -> None:
@@ -105,5 +121,8 @@ class VersionedTable:
         if v == 0:
             self.replace(df)
             return
-        cols = self.read().columns
-        write_parquet(df.select(*cols), self._vpath(v), mode="append")
+        current = self.read()
+        # Align by name and to the table's types so every file of a version
+        # has one schema.
+        aligned = df.select(*[F.col(f.name).cast(f.dataType) for f in current.schema.fields])
+        write_parquet(aligned, self._vpath(v), mode="append")

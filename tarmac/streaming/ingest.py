@@ -26,23 +26,34 @@ BatchFn = Callable[[DataFrame, int], None]
 
 
 class Ledger:
-    """Batch ids already applied to a set of tables."""
+    """Batch ids already applied to a set of tables.
+
+    Rows ``(batch_id, scope)`` are appended to ``root/_ledger``; the set is
+    read once per ledger object (one small scan) and tracked afterwards.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.path = root.rstrip("/") + "/_ledger"
+        self._seen: set[tuple[int, str]] | None = None
+
+    def _load(self) -> set[tuple[int, str]]:
+        if self._seen is None:
+            try:
+                rows = self.spark.read.parquet(self.path).select("batch_id", "scope").distinct().collect()
+                self._seen = {(int(r[0]), r[1]) for r in rows}
+            except Exception:  # no ledger yet
+                self._seen = set()
+        return self._seen
 
     def applied(self, batch_id: int, scope: str = "") -> bool:
-        try:
-            df = self.spark.read.parquet(self.path)
-        except Exception:  # no ledger yet
-            return False
-        return not df.where((F.col("batch_id") == batch_id) & (F.col("scope") == scope)).isEmpty()
+        return (int(batch_id), scope) in self._load()
 
     def record(self, batch_id: int, scope: str = "") -> None:
         (self.spark.range(1).select(F.lit(batch_id).cast("bigint").alias("batch_id"),
                                     F.lit(scope).alias("scope"))
              .write.mode("append").parquet(self.path))
+        self._load().add((int(batch_id), scope))
 
 
 def once(ledger: Ledger, fn: BatchFn, scope: str = "") -> BatchFn:
