@@ -41,7 +41,8 @@ def _race_map(wh: Warehouse, season: int | None) -> DataFrame:
 
 
 def _resolve_driver(df: DataFrame, wh: Warehouse, ref: Column, topic: str):
-    dim = wh.read("driver").select(F.col("driverRef").alias("_dref"), "driverId")
+    # Full-row dedup keeps variants of one driver (Q16): look up distinct (ref, id).
+    dim = wh.read("driver").select(F.col("driverRef").alias("_dref"), "driverId").distinct()
     ok, rej = lookup.resolve(df.withColumn("_dref", ref), dim, "_dref", ["driverId"], reason="unknown driver")
     return ok.drop("_dref"), _reject(rej, "unknown driver", topic)
 
@@ -192,9 +193,10 @@ def process_results(wh: Warehouse, msgs: DataFrame, season: int = DEFAULT_SEASON
     d, rej1 = _resolve_driver(d, wh, F.col("v.driverId"), t)
     d, rej2 = _resolve_race(d, wh, F.col("v.season"), F.col("v.round"), t, season)
     d = d.withColumnRenamed("race_id", "raceId")
-    cons = wh.read("constructor").select(F.col("constructorRef").alias("_cref"), "constructorId")
+    cons = wh.read("constructor").select(F.col("constructorRef").alias("_cref"), "constructorId").distinct()
     d, _ = lookup.resolve(d.withColumn("_cref", F.col("v.constructorId")), cons, "_cref", ["constructorId"], how="left")
-    sts = wh.read("status").select(F.col("status_name").alias("_sname"), F.col("statusid").alias("statusId"))
+    sts = (wh.read("status").select(F.col("status_name").alias("_sname"), F.col("statusid").alias("statusId"))
+              .groupBy("_sname").agg(F.min("statusId").alias("statusId")))
     d, _ = lookup.resolve(d.withColumn("_sname", F.col("v.status")), sts, "_sname", ["statusId"], how="left")  # J3
     pit = wh.read("pitstops").withColumnRenamed("race_id", "raceId")
     d = lookup.first_of_many(d, pit, ["driverId", "raceId"], "stop", "stop")               # J6, Q7
@@ -262,7 +264,7 @@ def _process_standings(wh: Warehouse, msgs: DataFrame, season: int, kind: str,
     order = [*ORD, "_i"]
     rows = keep_first(rows, ["position_n" if k == "position" else k for k in dedup_keys], order)   # Q4
     if con:
-        dim = wh.read("constructor").select(F.col("constructorRef").alias("_ref"), "constructorId")
+        dim = wh.read("constructor").select(F.col("constructorRef").alias("_ref"), "constructorId").distinct()
         ok, rej1 = lookup.resolve(rows.withColumn("_ref", F.col("s.Constructor.constructorId")), dim, "_ref",
                                   ["constructorId"])
         rej1 = _reject(rej1, "unknown constructor", t)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import ranking
+from ..operators.dedup import keep_first
 from .warehouse import Warehouse
 
 DEC = "decimal(18,2)"
@@ -24,8 +25,9 @@ def driver_performance(wh: Warehouse) -> DataFrame:
                .agg(F.round(F.sum(F.col("points").cast(DEC)).cast("double"), 2).alias("points"),
                     F.sum("wins").cast("bigint").alias("wins"), F.count(F.lit(1)).alias("starts"),
                     F.min(F.when(F.col("positionOrder") > 0, F.col("positionOrder"))).alias("best_finish")))
-    drivers = wh.read("driver").select("driverId", "driverRef", "forename", "surname")
-    return per.join(drivers, "driverId", "left")
+    # One name row per id (the dimension may hold full-row variants, Q16).
+    drivers = keep_first(wh.read("driver"), ["driverId"], ["driverRef", "url"])
+    return per.join(drivers.select("driverId", "driverRef", "forename", "surname"), "driverId", "left")
 
 
 def constructor_standings(wh: Warehouse) -> DataFrame:
@@ -36,7 +38,8 @@ def constructor_standings(wh: Warehouse) -> DataFrame:
                .agg(F.sum(F.col("points").cast(DEC)).alias("pts")))
     ranked = ranking.rank_within(per.where(F.col("constructorId").isNotNull()), ["season"],
                                  [F.col("pts").desc()], ties=["pts"], unique=["constructorId"], name="rank")
-    cons = wh.read("constructor").select("constructorId", "name")
+    cons = keep_first(wh.read("constructor"), ["constructorId"], ["constructorRef", "url_constructors"])
+    cons = cons.select("constructorId", "name")
     return (ranked.join(cons, "constructorId", "left")
                   .select("season", "rank", "constructorId", "name",
                           F.round(F.col("pts").cast("double"), 2).alias("points")))
