@@ -29,6 +29,19 @@ def with_reason(df: DataFrame, reason: str) -> DataFrame:
     return df.withColumn(REASON, F.lit(reason))
 
 
+HIT = "_resolved"
+
+
+def resolve_tagged(df: DataFrame, dim: DataFrame, on: str | Sequence[str], take: Sequence[str],
+                   broadcast: bool = False) -> DataFrame:
+    """J1 / J2 in one join: every row of ``df`` with the ``take`` columns and a
+    ``_resolved`` flag, so resolved rows and rejects are two filters of one
+    plan (one scan of ``df`` when both are written together)."""
+    keys = _keys(on)
+    side = _maybe_broadcast(dim.select(*keys, *take).withColumn(HIT, F.lit(True)), broadcast)
+    return df.join(side, keys, "left").withColumn(HIT, F.coalesce(F.col(HIT), F.lit(False)))
+
+
 def resolve(df: DataFrame, dim: DataFrame, on: str | Sequence[str], take: Sequence[str],
             how: str = "inner", reason: str = "unresolved",
             broadcast: bool = False) -> tuple[DataFrame, DataFrame]:

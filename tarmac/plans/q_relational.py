@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.clean import to_bigint
 from ..operators import dedup, filters, keys, lookup, ranking
 from .registry import SQL_TS_FMT, in_year, query, tbl, ts_lit, ts_text
 
@@ -72,7 +73,7 @@ def _classified_lines(spark, d):
     id_text = (F.when(F.col("l_linenumber") == 1, F.concat(F.col("l_orderkey").cast("string"), F.lit("x")))
                 .otherwise(F.col("l_orderkey").cast("string")))
     li = li.select("l_orderkey", "l_linenumber", id_text.alias("id_text"))
-    return filters.classify(li, [("bad_id", F.col("id_text").try_cast("bigint").isNull()),
+    return filters.classify(li, [("bad_id", to_bigint("id_text").isNull()),
                                  ("out_of_range", F.col("l_linenumber") > 5)])
 
 
@@ -104,10 +105,10 @@ def lookup_inner(spark, d, segment: str = "BUILDING"):
     o = tbl(spark, d, "orders").select("o_orderkey",
                                        F.format_string("Customer#%09d", F.col("o_custkey")).alias("c_name"))
     dim = tbl(spark, d, "customer").where(F.col("c_mktsegment") == segment)
-    ok, rejects = lookup.resolve(o, dim, "c_name", ["c_custkey"])
-    return (ok.select("o_orderkey", "c_custkey", F.lit("ok").alias("status"))
-              .unionByName(rejects.select("o_orderkey", F.lit(None).cast("bigint").alias("c_custkey"),
-                                          F.col("reason").alias("status"))))
+    # Resolved rows and rejects come from one join (one scan of orders).
+    tagged = lookup.resolve_tagged(o, dim, "c_name", ["c_custkey"])
+    status = F.when(F.col(lookup.HIT), F.lit("ok")).otherwise(F.lit("unresolved"))
+    return tagged.select("o_orderkey", "c_custkey", status.alias("status"))
 
 
 @query("lookup_composite", f"""

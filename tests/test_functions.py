@@ -81,3 +81,12 @@ def test_exact_sum_is_order_independent(spark):
     vals = [(0.1,), (0.2,), (0.3,)] * 100
     got = spark.createDataFrame(vals, "v double").repartition(7).agg(C.exact_sum("v")).first()[0]
     assert got == 60.0
+
+
+def test_to_bigint_equals_try_cast(spark):
+    vals = ["1", " 12 ", "+5", "-7", "1.0", "1e3", "0x1F", "", " ", "9223372036854775807",
+            "9223372036854775808", "12x", "\t3\n", "\x013\x7f", "1_000", "\u0663", "--1", "+", "00012", "-0",
+            "\u20003", None]
+    df = spark.createDataFrame([(v,) for v in vals], "s string")
+    out = df.select(F.col("s").try_cast("bigint").alias("a"), C.to_bigint("s").alias("b")).collect()
+    assert all(r.a == r.b for r in out), [(v, r.a, r.b) for v, r in zip(vals, out) if r.a != r.b]
