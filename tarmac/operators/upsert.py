@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.clean import all_present, any_missing
-from .dedup import keep_first, order_spec
+from .dedup import keep_first
 from .lookup import insert_candidates
 
 U = "_u_"
@@ -115,6 +115,3 @@ def apply_insert(target: DataFrame, batch: DataFrame, on: str | Sequence[str],
     new = insert_new(target, batch, on, order)
     return target.unionByName(new.select(*target.columns))
 
-
-__all__ = ["insert_new", "update_guarded", "update_from", "update_from_top1",
-           "apply_insert", "order_spec"]

@@ -115,6 +115,11 @@ class VersionedTable:
         self._columns = df.columns
         return v
 
+    def compact(self) -> int:
+        """Rewrite the current contents as one new version (appends leave many
+        small files behind in a long-running stream)."""
+        return self.replace(self.read())
+
     def append(self, df: DataFrame) -> None:
         """K2: append rows (by name) to the current version."""
         v = self.version()

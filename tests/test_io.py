@@ -3,7 +3,6 @@
 import json
 import os
 
-from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tarmac.sources import pages, sinks, tables, topics
