@@ -44,15 +44,18 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder, creating a local one only if unset."""
     base = spark.conf.get("spark.checkpoint.dir", None)
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext; the server's conf applies
+        sc = None
     if not base:
-        current = sc.getCheckpointDir()
+        current = sc.getCheckpointDir() if sc is not None else None
         if current:
             base = current
         else:
             base = tempfile.mkdtemp(prefix="tarmac-ckpt-")
             spark.conf.set("spark.checkpoint.dir", base)
-    if not sc.getCheckpointDir():
+    if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(base)
     return base
 
