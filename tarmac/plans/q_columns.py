@@ -242,3 +242,39 @@ def nested_presence(spark, d):
               .groupBy("event_type")
               .agg(F.count_if("present").alias("n_present"), F.count_if(~F.col("present")).alias("n_absent")))
 
+
+
+@query("csv_stage", """
+SELECT event_id, strftime(date_trunc('millisecond', ts), '%Y-%m-%d %H:%M:%S.%f') AS ts,
+       event_type, CASE WHEN event_type = 'error' THEN NULL ELSE value END AS value,
+       json_extract_string(props, '$.k') AS k
+FROM events
+""")
+def csv_stage(spark, d):
+    """S1 + F1 + F2 + F4 + K1: events go out as a CSV extract (``\\N`` for NULL,
+    quoted JSON text), come back all-text with a declared schema, are cleaned
+    and staged to Parquet with millisecond timestamps, as the batch load does."""
+    from pyspark.sql.types import StringType, StructField, StructType
+
+    from ..session import work_path
+    from ..sources.csv import read_wide_csv, write_csv
+    from ..sources.tables import write_stage
+    from .registry import TS_FMT, ts_text
+
+    root = work_path(spark, "csv_stage")
+    ev = tbl(spark, d, "events")
+    text = ev.select(F.col("event_id").cast("string").alias("event_id"),
+                     F.date_format("ts", TS_FMT).alias("ts"), "event_type",
+                     F.when(F.col("event_type") != "error", F.col("value")).cast("string").alias("value"),
+                     "props")
+    write_csv(text, f"{root}/extract")
+    schema = StructType([StructField(c, StringType()) for c in text.columns])
+    raw = read_wide_csv(spark, f"{root}/extract", schema)
+    clean = raw.select(C.to_bigint("event_id").alias("event_id"),
+                       C.to_timestamp_fmt(C.null_sentinel("ts"), TS_FMT).alias("ts"),
+                       C.null_sentinel("event_type").alias("event_type"),
+                       C.to_number(C.null_sentinel("value")).alias("value"),
+                       F.get_json_object(C.null_sentinel("props"), "$.k").alias("k"))
+    write_stage(clean, f"{root}/stage")
+    staged = spark.read.parquet(f"{root}/stage")
+    return staged.select("event_id", ts_text("ts").alias("ts"), "event_type", "value", "k")
