@@ -12,6 +12,12 @@ are computed the distributed way instead:
 3. count rows per (group, partition) - at most one row per group per
    partition - and prefix-sum those counts per group;
 4. position = rows in earlier partitions of the group + offset in this one.
+
+The checkpoint is required, not an optimisation: the range partitioner
+samples its bounds with a seed derived from the RDD id, so two evaluations
+of the same sorted plan (the count branch and the row branch, or a
+recomputed task) can disagree on which partition a row lands in.  Reading
+both branches from one checkpoint makes them agree.
 """
 
 from __future__ import annotations
