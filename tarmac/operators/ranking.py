@@ -42,7 +42,9 @@ def take_while(df: DataFrame, order: Sequence[str], stop: Column,
     ``order`` must be plain column names with no NULLs.  Instead of a running
     sum over a per-group window (which sorts a hot group in one task), the
     first stop key per group is found by aggregation and joined back; rows of
-    groups without a stop are all kept.
+    groups without a stop are all kept.  Without ``group`` the first stop is a
+    scalar subquery over ``df``; checkpoint an expensive ``df`` first so it
+    is computed once.
     """
     order = list(order)
     key = F.struct(*[F.col(c) for c in order])

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.clean import to_bigint
 from ..operators import dedup, filters, keys, lookup, ranking
+from ..session import ensure_checkpoint_dir
 from .registry import SQL_TS_FMT, in_year, query, tbl, ts_lit, ts_text
 
 LINE_REST = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
@@ -289,8 +290,11 @@ SELECT strftime(day, '%Y-%m-%d') AS day, n FROM d, s WHERE s.stop_day IS NULL OR
 def take_while_all(spark, d):
     """W4 overall: daily counts up to the first day below 97.5% of the mean day
     (the threshold scales with the data)."""
+    # One row per day.  Checkpointed once so the three scalar subqueries below
+    # read it instead of each re-aggregating the whole events table.
+    ensure_checkpoint_dir(spark)
     daily = (tbl(spark, d, "events").groupBy(F.to_date("ts").alias("day"))
-                 .agg(F.count(F.lit(1)).alias("n")))
+                 .agg(F.count(F.lit(1)).alias("n"))).checkpoint(eager=True)
     total = daily.agg(F.sum("n")).scalar()
     ndays = daily.agg(F.count(F.lit(1))).scalar()
     low = F.col("n") * 40 * ndays < total * 39
