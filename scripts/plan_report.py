@@ -30,7 +30,7 @@ def summarise(plan: str) -> dict:
     reads = []
     for m in re.finditer(r"FileScan parquet \[([^\]]*)\].*?Location: InMemoryFileIndex\(\d+ paths\)\[file:([^\],]*)", plan):
         path = m.group(2).rstrip("/")
-        hit = re.search(r"/tarmac/([a-z_]+)-[0-9a-f]{32}", path)
+        hit = re.search(r"/tarmac/([a-z_]+)-[0-9a-f]+", path)
         table = f"scratch:{hit.group(1)}" if hit else os.path.basename(path).replace(".parquet", "")
         reads.append(f"{table}({len(m.group(1).split(','))})")
     return dict(shuffles=shuffles, single=single, bcast=bcast, pushed=pushed, partial_agg=partial_agg,
