@@ -75,9 +75,24 @@ def exists_flag(df: DataFrame, keys_df: DataFrame, on: Sequence[str], value_col:
                   .drop(flag))
 
 
-def insert_candidates(batch: DataFrame, target: DataFrame, on: str | Sequence[str]) -> DataFrame:
-    """Batch rows whose key is not yet in ``target`` (NULL-safe anti join)."""
+def insert_candidates(batch: DataFrame, target: DataFrame, on: str | Sequence[str],
+                      small_batch: bool = False) -> DataFrame:
+    """Batch rows whose key is not yet in ``target`` (NULL-safe anti join).
+
+    ``small_batch=True`` is the micro-batch form: the batch's distinct keys
+    semi-join the target's key column first, and the batch is anti-joined
+    with the (at most batch-sized) set of keys found.  A left anti join can
+    only broadcast its right side (the large target); the semi join lets
+    Spark broadcast the *batch* keys when their estimated size is under
+    ``spark.sql.autoBroadcastJoinThreshold`` - the target is then scanned
+    (key column only) but never shuffled - and it falls back to a shuffled
+    join when the batch is large.  No extra job is run to decide.
+    """
     keys = _keys(on)
+    if small_batch:
+        batch_keys = batch.select(*keys).distinct()
+        existing = target.select(*keys).join(batch_keys, keys, "left_semi")
+        return batch.join(existing, keys, "left_anti")
     return batch.join(target.select(*keys), keys, "left_anti")
 
 

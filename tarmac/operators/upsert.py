@@ -26,15 +26,17 @@ def _keys(on) -> list[str]:
 
 
 def insert_new(target: DataFrame, batch: DataFrame, on: str | Sequence[str],
-               order: Sequence | None = None) -> DataFrame:
+               order: Sequence | None = None, small_batch: bool = False) -> DataFrame:
     """U4: batch rows to append - first per key within the batch (T4, in
     ``order``), minus keys already in ``target`` (T5).  Rows with a NULL key
-    are never inserted.  Appending the result is idempotent."""
+    are never inserted.  Appending the result is idempotent.
+    ``small_batch`` selects the micro-batch plan of ``insert_candidates``
+    (batch keys broadcast against a large target when Spark sizes them small)."""
     keys = _keys(on)
     b = batch.where(all_present(*keys))
     if order is not None:
         b = keep_first(b, keys, order)
-    return insert_candidates(b, target, keys)
+    return insert_candidates(b, target, keys, small_batch=small_batch)
 
 
 def _latest_update(updates: DataFrame, keys: list[str], order: Sequence | None) -> DataFrame:

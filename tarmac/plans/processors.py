@@ -63,7 +63,7 @@ def process_status(wh: Warehouse, msgs: DataFrame) -> DataFrame:
     d = d.where(F.col("sid").try_cast("bigint").isNotNull())
     d = d.withColumn("status_name", C.field_or_default(F.col("v.status")))
     current = wh.read("status")
-    new = upsert.insert_new(current, d, "status_name", ORD)                             # W1 + J5
+    new = upsert.insert_new(current, d, "status_name", ORD, small_batch=True)                             # W1 + J5
     new = keys.assign_ids(new.select("status_name", *ORD), ORD, "statusid",
                           start=keys.max_id(current, "statusid"))
     wh.append("status", new.select("statusid", "status_name"))
@@ -73,7 +73,7 @@ def process_status(wh: Warehouse, msgs: DataFrame) -> DataFrame:
 def process_driver(wh: Warehouse, msgs: DataFrame) -> DataFrame:
     d = _decode(msgs, S.DRIVER_VALUE).withColumn("driverRef", F.coalesce(F.col("v.driverId"), F.col("key")))
     current = wh.read("driver")
-    new = upsert.insert_new(current, d, "driverRef", ORD)
+    new = upsert.insert_new(current, d, "driverRef", ORD, small_batch=True)
     new = new.select("driverRef", *ORD,
                      C.safe_int("v.permanentNumber").cast("double").alias("number_drivers"),   # F12
                      F.col("v.code").alias("code"),
@@ -91,7 +91,7 @@ def process_constructor(wh: Warehouse, msgs: DataFrame) -> DataFrame:
     d = _decode(msgs, S.CONSTRUCTOR_VALUE).withColumn("constructorRef",
                                                        F.coalesce(F.col("v.constructorId"), F.col("key")))
     current = wh.read("constructor")
-    new = upsert.insert_new(current, d, "constructorRef", ORD)
+    new = upsert.insert_new(current, d, "constructorRef", ORD, small_batch=True)
     new = new.select("constructorRef", *ORD, C.field_or_default(F.col("v.name")).alias("name"),
                      F.col("v.nationality").alias("nationality_constructors"),
                      F.col("v.url").alias("url_constructors"))
@@ -109,13 +109,13 @@ def process_race(wh: Warehouse, msgs: DataFrame, legacy_int_coords: bool = True)
     bad = d.where(F.col("year").isNull() | F.col("round").isNull())
     d = d.where(F.col("year").isNotNull() & F.col("round").isNotNull())
     races = wh.read("race")
-    new = upsert.insert_new(races, d, ["year", "round"], ORD)                            # W1 + J5
+    new = upsert.insert_new(races, d, ["year", "round"], ORD, small_batch=True)                            # W1 + J5
     new = new.withColumn("circuitRef", F.col("v.Circuit.circuitId")).persist()
     try:
         circuits = wh.read("circuit")
         first = keep_first(new, ["circuitRef"], ORD)                                      # one id per new ref
         coord = C.trunc_int if legacy_int_coords else C.to_number                        # Q9
-        created = (upsert.insert_new(circuits, first, "circuitRef")
+        created = (upsert.insert_new(circuits, first, "circuitRef", small_batch=True)
                    .select("circuitRef", *ORD, F.col("v.Circuit.circuitName").alias("name_y"),
                            F.col("v.Circuit.Location.locality").alias("location"),
                            F.col("v.Circuit.Location.country").alias("country"),
@@ -162,7 +162,7 @@ def process_laptimes(wh: Warehouse, msgs: DataFrame, season: int = DEFAULT_SEASO
     d, rej1 = _resolve_driver(d, wh, F.col("v.driverId"), t)
     d, rej2 = _resolve_race(d, wh, F.coalesce(F.col("v.season"), F.lit(str(season))), F.col("v.round"), t, season)
     d = d.withColumn("lap", F.col("v.lap").try_cast("bigint"))
-    new = upsert.insert_new(wh.read("laptimes"), d, ["driverId", "race_id", "lap"], ORD)   # W1 + J5 (Q5)
+    new = upsert.insert_new(wh.read("laptimes"), d, ["driverId", "race_id", "lap"], ORD, small_batch=True)   # W1 + J5 (Q5)
     wh.append("laptimes", new.select(
         "race_id", "driverId", "lap", F.col("v.position").try_cast("bigint").alias("position_laptimes"),
         F.col("v.time").alias("time_laptimes"),
@@ -176,7 +176,7 @@ def process_pitstops(wh: Warehouse, msgs: DataFrame, season: int = DEFAULT_SEASO
     d, rej1 = _resolve_driver(d, wh, F.col("v.driverId"), t)
     d, rej2 = _resolve_race(d, wh, F.col("v.season"), F.col("v.round"), t, season)
     d = d.withColumn("stop", F.col("v.stop").try_cast("bigint"))
-    new = upsert.insert_new(wh.read("pitstops"), d, ["stop", "race_id", "driverId"], ORD)  # Q5: batch and table
+    new = upsert.insert_new(wh.read("pitstops"), d, ["stop", "race_id", "driverId"], ORD, small_batch=True)  # Q5: batch and table
     ms = C.duration_ms(F.col("v.duration"))                                                # F8
     wh.append("pitstops", new.select(
         "stop", "race_id", "driverId", F.col("v.lap").try_cast("bigint").alias("lap_pitstops"),
@@ -205,7 +205,7 @@ def process_results(wh: Warehouse, msgs: DataFrame, season: int = DEFAULT_SEASON
     d = lookup.exists_flag(d, laps, ["driverId", "raceId", "laps_n"], "laps_n", "lap")    # J4
     fact = wh.read("formulaone")
     if dedup_on:                                                                           # Q2
-        d = upsert.insert_new(fact, d, list(dedup_on), ORD)
+        d = upsert.insert_new(fact, d, list(dedup_on), ORD, small_batch=True)
     pos = F.col("v.position")
     rows = d.select(
         *ORD, "raceId", "driverId", "constructorId", "statusId",

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.keys import assign_ids, max_id
+from ..operators.lookup import insert_candidates
 from ..operators.upsert import insert_new
 from ..sources.tables import VersionedTable
 
@@ -84,7 +85,7 @@ def run_available_now(stream: DataFrame, fn: BatchFn, checkpoint: str,
 def keep_first_into(target: VersionedTable, keys: Sequence[str], order: Sequence) -> BatchFn:
     """T4 + T5: append each batch's first row per key unless the key exists."""
     def fn(batch: DataFrame, batch_id: int) -> None:
-        new = insert_new(target.read(), batch, keys, order)
+        new = insert_new(target.read(), batch, keys, order, small_batch=True)
         target.append(new)
     return fn
 
@@ -94,7 +95,7 @@ def ids_into(dim: VersionedTable, key: str, id_col: str, order: Sequence[str],
     """T5 + T6: keys new to ``dim`` get ids continuing from its max."""
     def fn(batch: DataFrame, batch_id: int) -> None:
         current = dim.read()
-        cand = prepare(batch).join(current.select(key), key, "left_anti")
+        cand = insert_candidates(prepare(batch), current, key, small_batch=True)
         new = assign_ids(cand, order, id_col=id_col, start=max_id(current, id_col))
         dim.append(new.select(*current.columns))
     return fn
