@@ -16,22 +16,23 @@ def read_wide_csv(spark: SparkSession, path: str, schema: StructType,
     Text columns are read as text and the pandas default NA tokens become NULL
     while ``\\N`` stays text (it is cleaned per entity, as the reference
     does).  A missing path raises.  ``arrival_col`` carries file order for
-    keep-first dedup (quirk Q18).
+    keep-first dedup (quirk Q18): (file path, position).  Spark bin-packs the
+    splits of many files by size, so a bare ``monotonically_increasing_id``
+    follows file order only within a file; the path makes it total.
     """
     text_schema = StructType([f.__class__(f.name, StringType(), True) for f in schema.fields])
     df = (spark.read.schema(text_schema).option("header", True)
-               .option("mode", "PERMISSIVE").option("nullValue", None)
-               .option("emptyValue", "").csv(path))
+               .option("mode", "PERMISSIVE").csv(path))
     cols = []
     for f in schema.fields:
         c = csv_nulls(F.col(f.name))
         if not isinstance(f.dataType, StringType):
             c = c.try_cast(f.dataType)
         cols.append(c.alias(f.name))
-    out = df.select(*cols)
     if arrival_col:
-        out = out.withColumn(arrival_col, F.monotonically_increasing_id())
-    return out
+        cols.append(F.struct(F.col("_metadata.file_path").alias("file"),
+                             F.monotonically_increasing_id().alias("pos")).alias(arrival_col))
+    return df.select(*cols)
 
 
 def write_csv(df: DataFrame, path: str, null_text: str = "\\N") -> None:

@@ -31,6 +31,7 @@ def test_csv_sentinel_and_na_tokens(spark, scratch):
     schema = StructType([StructField("a", StringType()), StructField("b", StringType())])
     write_csv(spark.createDataFrame([("1", None), ("NA", "x")], schema).coalesce(1), f"{scratch}/c")
     got = read_wide_csv(spark, f"{scratch}/c", schema).orderBy("_arrival").collect()
+    assert got[0]._arrival.file.endswith(".csv")
     assert [(r.a, r.b) for r in got] == [("1", "\\N"), (None, "x")]       # \N stays text, NA is null
 
 
