@@ -345,3 +345,21 @@ def process_batch(wh: Warehouse, batch: DataFrame, season: int = DEFAULT_SEASON)
             wh.append("rejects", out)
     finally:
         cached.unpersist()
+
+
+def ingest_topics(wh: Warehouse, stream: DataFrame, checkpoint: str,
+                  season: int = DEFAULT_SEASON, available_now: bool = True,
+                  interval: str = "5 minutes"):
+    """Run ``process_batch`` over a topic stream.
+
+    ``available_now`` drains what is there and stops (one scheduled run);
+    otherwise the query triggers every ``interval``.  Batch ids are recorded in
+    the warehouse ledger, so a batch replayed after a failure is skipped."""
+    from ..streaming.ingest import Ledger, once, run_available_now
+
+    fn = once(Ledger(wh.spark, wh.root), lambda b, _: process_batch(wh, b, season), scope="topics")
+    if available_now:
+        run_available_now(stream, fn, checkpoint, name=None)
+        return None
+    return (stream.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
+                  .trigger(processingTime=interval).start())
