@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql.types import StringType, StructField, StructType
 
-# Column names of the wide CSV extract, in file order of their groups.
+# The column names of the wide CSV extract, grouped by entity.
 CSV_COLUMNS = [
     "statusId", "status",
     "constructorStandingsId", "points_constructorstandings", "position_constructorstandings",

@@ -90,3 +90,8 @@ def test_to_bigint_equals_try_cast(spark):
     df = spark.createDataFrame([(v,) for v in vals], "s string")
     out = df.select(F.col("s").try_cast("bigint").alias("a"), C.to_bigint("s").alias("b")).collect()
     assert all(r.a == r.b for r in out), [(v, r.a, r.b) for v, r in zip(vals, out) if r.a != r.b]
+
+
+def test_nan_to_null(spark):
+    df = spark.createDataFrame([(float("nan"),), (1.5,), (None,)], "x double")
+    assert [r[0] for r in df.select(C.nan_to_null("x")).collect()] == [None, 1.5, None]

@@ -114,3 +114,14 @@ def test_page_numbers(spark):
     got = {r.page: r.n for r in ranking.page_numbers(df, ["e"], 30).groupBy("page").count()
            .withColumnRenamed("count", "n").collect()}
     assert got == {0: 30, 1: 30, 2: 30, 3: 5}
+
+
+def test_one_page_and_observed_counts(spark):
+    from tarmac.operators import filters
+
+    df = spark.range(100).withColumnRenamed("id", "e")
+    assert [r.e for r in ranking.one_page(df, ["e"], 30, 30).collect()] == list(range(30, 60))
+    tagged = filters.classify(df, [("odd", F.col("e") % 2 == 1)])
+    out, obs = filters.observed(tagged)
+    out.write.format("noop").mode("overwrite").save()
+    assert obs.get == {"n_read": 100, "n_kept": 50}
