@@ -4,7 +4,8 @@ Dimension sides are *not* force-broadcast: Spark's planner broadcasts them
 when their (static or, with AQE, runtime) size is under
 ``spark.sql.autoBroadcastJoinThreshold`` and falls back to a shuffled join
 otherwise, so a dimension that grows with the data cannot blow up executors.
-Pass ``broadcast=True`` only for a side whose size is bounded by construction.
+Pass ``broadcast=True`` only for a side whose size is bounded by construction,
+and ``broadcast=False`` for a side derived from a fact.
 """
 
 from __future__ import annotations
@@ -17,8 +18,14 @@ from pyspark.sql import functions as F
 REASON = "reason"
 
 
-def _maybe_broadcast(df: DataFrame, broadcast: bool) -> DataFrame:
-    return F.broadcast(df) if broadcast else df
+def _maybe_broadcast(df: DataFrame, broadcast: bool | None) -> DataFrame:
+    """``True``: a side of bounded size, broadcast.  ``False``: a side that
+    grows with the fact (e.g. a keep-first of the fact itself), never
+    broadcast - sort-merge join, which also reuses a partitioning on the join
+    keys that the side already has.  ``None``: Spark decides by size."""
+    if broadcast is None:
+        return df
+    return F.broadcast(df) if broadcast else df.hint("merge")
 
 
 def _keys(on) -> list[str]:
@@ -33,7 +40,7 @@ HIT = "_resolved"
 
 
 def resolve_tagged(df: DataFrame, dim: DataFrame, on: str | Sequence[str], take: Sequence[str],
-                   broadcast: bool = False) -> DataFrame:
+                   broadcast: bool | None = None) -> DataFrame:
     """J1 / J2 in one join: every row of ``df`` with the ``take`` columns and a
     ``_resolved`` flag, so resolved rows and rejects are two filters of one
     plan (one scan of ``df`` when both are written together)."""
@@ -44,7 +51,7 @@ def resolve_tagged(df: DataFrame, dim: DataFrame, on: str | Sequence[str], take:
 
 def resolve(df: DataFrame, dim: DataFrame, on: str | Sequence[str], take: Sequence[str],
             how: str = "inner", reason: str = "unresolved",
-            broadcast: bool = False) -> tuple[DataFrame, DataFrame]:
+            broadcast: bool | None = None) -> tuple[DataFrame, DataFrame]:
     """Map natural key(s) ``on`` to the ``take`` columns of ``dim``.
 
     ``how='inner'`` (J1 / J2): returns ``(resolved, rejects)``, rejects being
