@@ -93,3 +93,16 @@ def test_stream_equals_batch_for_any_split(spark, scratch):
     assert got == sorted((k, k, f"v{k}") for k in range(5))
     run_available_now(spark.readStream.schema(df.schema).parquet(src), fn, f"{scratch}/ckpt")  # resume: no-op
     assert target.read().count() == 5
+
+
+def test_dedup_within_watermark_stream(spark, scratch):
+    from tarmac.streaming.ingest import dedup_within_watermark
+
+    rows = [(1, "a", "2024-01-01 00:00:00"), (1, "a", "2024-01-01 00:00:05"), (2, "b", "2024-01-01 00:00:01")]
+    df = spark.createDataFrame(rows, "k long, v string, t string").selectExpr("k", "v", "CAST(t AS TIMESTAMP) AS ts")
+    df.write.parquet(f"{scratch}/src")
+    stream = dedup_within_watermark(spark.readStream.schema(df.schema).parquet(f"{scratch}/src"), ["k"], "ts")
+    got = []
+    run_available_now(stream, lambda b, i: got.extend(tuple(r) for r in b.select("k", "v").collect()),
+                      f"{scratch}/ckpt")
+    assert sorted(got) == [(1, "a"), (2, "b")]
