@@ -125,3 +125,30 @@ def test_one_page_and_observed_counts(spark):
     out, obs = filters.observed(tagged)
     out.write.format("noop").mode("overwrite").save()
     assert obs.get == {"n_read": 100, "n_kept": 50}
+
+
+def _skewed(n=3000):
+    # Key 0 holds a third of the rows; the rest spread over 200 keys.
+    rows = []
+    for i in range(n):
+        k = 0 if i % 3 == 0 else 1 + (i * 7919) % 200
+        rows.append((k, (i * 104729) % n, "stop" if (i * 31) % 97 == 0 else "go"))
+    return rows
+
+
+def test_keep_first_hot_key(spark):
+    rows = _skewed()
+    df = spark.createDataFrame(rows, "k long, t long, e string").repartition(8)
+    got = sorted(tuple(r) for r in dedup.keep_first(df, ["k"], ["t"]).collect())
+    pdf = pd.DataFrame(rows, columns=["k", "t", "e"]).sort_values(["k", "t"]).drop_duplicates("k")
+    assert got == sorted(map(tuple, pdf.itertuples(index=False)))
+
+
+def test_take_while_hot_key(spark):
+    rows = _skewed()
+    df = spark.createDataFrame(rows, "k long, t long, e string").repartition(8)
+    got = sorted(tuple(r) for r in ranking.take_while(df, ["t"], F.col("e") == "stop", group=["k"]).collect())
+    pdf = pd.DataFrame(rows, columns=["k", "t", "e"]).sort_values(["k", "t"])
+    pdf["seen"] = pdf.groupby("k")["e"].transform(lambda s: (s == "stop").cumsum())
+    want = sorted(map(tuple, pdf[pdf.seen == 0][["k", "t", "e"]].itertuples(index=False)))
+    assert got == want
