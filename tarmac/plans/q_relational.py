@@ -196,7 +196,11 @@ SELECT p.p_partkey, p.p_name, CAST(dim.name_id AS BIGINT) AS name_id, dim.create
 FROM part p JOIN dim ON p.p_name = dim.p_name
 """)
 def lookup_or_create(spark, d):
-    """J8 + O2 + W2: unknown refs get new ids after the dimension's max, in name order."""
+    """J8 + O2 + W2: unknown refs get new ids after the dimension's max, in name order.
+
+    The known set is the names before ``'m'`` (32 of 64 names).  Splitting by
+    ``p_partkey < 500`` would already cover every name in this data, so no
+    ref would be new and the create path would go untested."""
     part = tbl(spark, d, "part")
     dim = (part.where(F.col("p_name") < "m").groupBy("p_name")
                .agg(F.min("p_partkey").alias("name_id")))

@@ -95,3 +95,14 @@ def test_to_bigint_equals_try_cast(spark):
 def test_nan_to_null(spark):
     df = spark.createDataFrame([(float("nan"),), (1.5,), (None,)], "x double")
     assert [r[0] for r in df.select(C.nan_to_null("x")).collect()] == [None, 1.5, None]
+
+
+def test_strict_int_raises_on_bad_text_under_ansi(spark):
+    import pytest
+    from pyspark.errors import PySparkException
+
+    assert spark.conf.get("spark.sql.ansi.enabled") == "true"
+    df = spark.createDataFrame([('{"k": "x"}',)], "props string")
+    with pytest.raises((PySparkException, Exception)) as err:
+        df.select(C.strict_int(F.get_json_object("props", "$.k"))).collect()
+    assert "CAST_INVALID_INPUT" in str(err.value) or "cast" in str(err.value).lower()
