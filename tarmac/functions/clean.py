@@ -157,6 +157,17 @@ def field_or_default(x, default=UNKNOWN) -> Column:
     return F.coalesce(_c(x), d)
 
 
+def json_field_or_default(text, path: str, default=UNKNOWN) -> Column:
+    """Exact ``dict.get(k, default)`` on JSON text (quirk Q19): the default
+    applies to a *missing* field only; an explicit JSON null stays NULL.
+    Parsed as VARIANT, where a JSON null is a value, not an absence."""
+    v = F.variant_get(F.parse_json(_c(text)), path, "variant")
+    d = default if isinstance(default, Column) else F.lit(default)
+    return (F.when(v.isNull(), d)
+             .when(F.is_variant_null(v), F.lit(None).cast("string"))
+             .otherwise(F.variant_get(v, "$", "string")))
+
+
 def truthy_fallback(x, fallback, falsy: Iterable = ("",)) -> Column:
     """Python's ``a or b`` for text: NULL or a falsy value falls back."""
     c = _c(x)

@@ -106,3 +106,11 @@ def test_strict_int_raises_on_bad_text_under_ansi(spark):
     with pytest.raises((PySparkException, Exception)) as err:
         df.select(C.strict_int(F.get_json_object("props", "$.k"))).collect()
     assert "CAST_INVALID_INPUT" in str(err.value) or "cast" in str(err.value).lower()
+
+
+def test_json_field_or_default_missing_vs_null(spark):
+    df = spark.createDataFrame([('{"status": "Finished"}',), ('{"status": null}',), ('{}',)], "v string")
+    got = [r[0] for r in df.select(C.json_field_or_default("v", "$.status")).collect()]
+    assert got == ["Finished", None, "Unknown"]
+    assert [r[0] for r in df.select(C.field_or_default(F.get_json_object("v", "$.status"))).collect()] == \
+        ["Finished", "Unknown", "Unknown"]                                   # the default (coalesce) form
