@@ -39,11 +39,24 @@ def to_messages(df: DataFrame, topic: str, key_cols: Sequence[str],
     """
     value_cols = list(value_cols or df.columns)
     msgs = df.select(compose_key(*key_cols).alias("key"),
-                     F.to_json(F.struct(*[F.col(c) for c in value_cols])).alias("value"))
-    msgs = (msgs.withColumn("topic", F.lit(topic))
-                .withColumn("partition", F.pmod(F.hash("key"), F.lit(partitions)).cast("int")))
-    msgs = positions(msgs, ["key", "value"], name="offset", group=["partition"])
-    return msgs.withColumn("offset", F.col("offset") - 1).withColumn("timestamp", F.current_timestamp())
+                     F.to_json(F.struct(*[F.col(c) for c in value_cols])).alias("value"),
+                     F.lit(topic).alias("topic"))
+    return with_offsets(msgs, partitions)
+
+
+def with_offsets(msgs: DataFrame, partitions: int = 3) -> DataFrame:
+    """``(key, value, topic)`` -> Kafka's record columns: the partition is a
+    hash of the key (one key, one partition), offsets number each topic
+    partition's messages in (key, value) order from 0."""
+    msgs = msgs.withColumn("partition", F.pmod(F.hash("key"), F.lit(partitions)).cast("int"))
+    msgs = positions(msgs, ["key", "value"], name="offset", group=["topic", "partition"])
+    return (msgs.withColumn("offset", F.col("offset") - 1).withColumn("timestamp", F.current_timestamp())
+                .select(*[f.name for f in TOPIC_SCHEMA.fields]))
+
+
+def publish(msgs: DataFrame, root: str, partitions: int = 3) -> None:
+    """K3: append producer output ``(key, value, topic)`` to the topic folder."""
+    write_messages(with_offsets(msgs, partitions), root)
 
 
 def write_messages(msgs: DataFrame, root: str) -> None:

@@ -58,3 +58,16 @@ def test_producers(spark, scratch):
     assert [r.key for r in PR.races(spark, root).collect()] == ["2023_5"]                    # P6
     cs = PR.standings(spark, root, "constandings").collect()
     assert [r.key for r in cs] == ["rb_2024_1"]
+
+
+def test_published_messages_reach_the_stream(spark, scratch):
+    from tarmac.sources.topics import publish, read_messages
+
+    root = f"{scratch}/pages"
+    land(root, "status", [("offset", 0)], {"StatusTable": {"Status": [{"statusId": "1", "status": "Finished"},
+                                                                      {"statusId": "2", "status": "+1 Lap"}]}})
+    publish(PR.generic(spark, root, "status"), f"{scratch}/topics", partitions=2)
+    got = read_messages(spark, f"{scratch}/topics", "status_topic").collect()
+    assert sorted(r.key for r in got) == ["1", "2"]
+    offsets = sorted((r.partition, r.offset) for r in got)
+    assert all(o >= 0 for _, o in offsets) and len(set(offsets)) == 2
