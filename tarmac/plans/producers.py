@@ -15,6 +15,7 @@ round, results stop at the first round without data for all later rounds
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,11 +74,20 @@ def _messages(df: DataFrame, key: Column, value: Column, topic: str) -> DataFram
     return df.select(key.alias("key"), F.to_json(value).alias("value"), F.lit(topic).alias("topic"))
 
 
+def _until_empty(df: DataFrame, path: str, group: list[str] | None = None,
+                 order: tuple[str, ...] = ("offset",)) -> DataFrame:
+    """W4 over pages: drop every page from the first page without records on."""
+    empty = F.size(F.coalesce(F.col(path), F.array())) == 0
+    return take_while(df, list(order), empty, group=group)
+
+
 def generic(spark: SparkSession, root: str, kind: str) -> DataFrame:
-    """status / driver / constructor: every record of every page, keyed by its id."""
+    """status / driver / constructor: records of the pages before the first
+    empty page, keyed by their id field (``unknown`` when it is missing, F16)."""
     path, key_field = GENERIC[kind]
-    recs = pages.flatten(read_kind(spark, root, kind, "offset INT"), path)
-    return _messages(recs, F.col(f"rec.{key_field}"), F.col("rec"), f"{kind}_topic")
+    df = _until_empty(read_kind(spark, root, kind, "offset INT"), path)
+    recs = pages.flatten(df, path)
+    return _messages(recs, F.coalesce(F.col(f"rec.{key_field}"), F.lit("unknown")), F.col("rec"), f"{kind}_topic")
 
 
 def laptimes(spark: SparkSession, root: str) -> DataFrame:
@@ -94,11 +104,20 @@ def laptimes(spark: SparkSession, root: str) -> DataFrame:
     return _messages(t, compose_key(F.col("tm.driverId"), "round", "number"), value, "laptimes_topic")
 
 
-def races(spark: SparkSession, root: str, history_until: int = 2023, current: DataFrame | None = None) -> DataFrame:
-    """History (season <= ``history_until``, P6) and the current season (O1), keyed season_round."""
-    recs = pages.flatten(read_kind(spark, root, "race", "offset INT"), "MRData.RaceTable.Races")
-    hist = recs.where(F.col("rec.season").try_cast("int") <= history_until)
-    allr = hist.unionByName(current) if current is not None else hist
+def races(spark: SparkSession, root: str, history_until: int = 2023,
+          current_kind: str | None = "race_current") -> DataFrame:
+    """History pages (stop at the first empty page; seasons <= ``history_until``,
+    P6) and the current season's document (all its races), unioned (O1);
+    keyed season_round."""
+    path = "MRData.RaceTable.Races"
+    hist = pages.flatten(_until_empty(read_kind(spark, root, "race", "offset INT"), path), path)
+    allr = hist.where(F.col("rec.season").try_cast("int") <= history_until)
+    if current_kind:
+        try:
+            cur = pages.flatten(read_kind(spark, root, current_kind, "offset INT"), path)
+            allr = allr.unionByName(cur)
+        except AnalysisException:   # no current-season document landed
+            pass
     slim = F.col("rec").dropFields("Laps", "PitStops", "Results")
     return _messages(allr, compose_key(F.col("rec.season"), F.col("rec.round")), slim, "race_topic")
 
