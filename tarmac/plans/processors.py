@@ -29,9 +29,16 @@ def _decode(msgs: DataFrame, ddl: str) -> DataFrame:
     return msgs.withColumn("v", F.from_json(F.col("value").cast("string"), ddl))
 
 
+# Reasons that may resolve later (the referenced row arrives in a later batch);
+# such rejects are offered again with every batch.
+RETRYABLE = ["unknown driver", "unknown race", "unknown constructor"]
+
+
 def _reject(df: DataFrame, reason: str, topic: str) -> DataFrame:
+    """A reject row keeps the message and its arrival position."""
     return df.select(F.lit(topic).alias("topic"), F.col("key").cast("string").alias("key"),
-                     F.col("value").cast("string").alias("value"), F.lit(reason).alias("reason"))
+                     F.col("value").cast("string").alias("value"), F.lit(reason).alias("reason"),
+                     F.col("partition").cast("int").alias("partition"), F.col("offset").cast("bigint").alias("offset"))
 
 
 def _race_map(wh: Warehouse, season: int | None) -> DataFrame:
@@ -325,8 +332,21 @@ PROCESSORS = [
 ]
 
 
-def process_batch(wh: Warehouse, batch: DataFrame, season: int = DEFAULT_SEASON) -> None:
-    """One micro-batch of all topics (T7), in dependency order."""
+def process_batch(wh: Warehouse, batch: DataFrame, season: int = DEFAULT_SEASON,
+                  retry_rejects: bool = True) -> None:
+    """One micro-batch of all topics (T7), in dependency order.
+
+    With ``retry_rejects``, rejects that may resolve later (``RETRYABLE``) are
+    offered again in their original arrival order, and the rejects table is
+    replaced by the rejects that remain (SURVEY §7.6: rejected rows are
+    re-offered in the next batch)."""
+    keep_old = None
+    if retry_rejects and wh["rejects"].exists():
+        old = wh.read("rejects")
+        again = old.where(F.col("reason").isin(RETRYABLE)).select(
+            "key", "value", "topic", "partition", "offset", F.lit(None).cast("timestamp").alias("timestamp"))
+        keep_old = old.where(~F.col("reason").isin(RETRYABLE))
+        batch = batch.select("key", "value", "topic", "partition", "offset", "timestamp").unionByName(again)
     cached = batch.persist()
     try:
         rejects = []
@@ -338,11 +358,14 @@ def process_batch(wh: Warehouse, batch: DataFrame, season: int = DEFAULT_SEASON)
                                                process_constandings, process_driverstandings) else {}
             rejects.append(fn(wh, msgs, **kw))
         update_fastest_laps(wh, season)
-        if rejects:
-            out = rejects[0]
-            for r in rejects[1:]:
-                out = out.unionByName(r)
-            wh.append("rejects", out)
+        out = keep_old
+        for r in rejects:
+            out = r if out is None else out.unionByName(r)
+        if out is not None:
+            if keep_old is not None:
+                wh.overwrite("rejects", out)      # reads the previous version, writes the next
+            else:
+                wh.append("rejects", out)
     finally:
         cached.unpersist()
 

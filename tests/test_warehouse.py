@@ -100,3 +100,18 @@ def test_reports(loaded):
     assert st[0] == (2024, 1, "Red Bull")
     stats = {r.race_id: r for r in R.race_statistics(wh).collect()}
     assert stats[0].best_lap_ms == 68100
+
+
+def test_rejects_are_offered_again(loaded, spark):
+    wh, _, _, step = loaded
+    ghost = spark.createDataFrame(
+        [FX.msg("driver_topic", "ghost", {"driverId": "ghost", "givenName": "G"}, 0, 900) + (None,)], TOPIC_SCHEMA)
+    step(ghost, 1)                                   # the missing driver arrives in a later batch
+    gid = [r.driverId for r in wh.read("driver").collect() if r.driverRef == "ghost"][0]
+    laps = {(r.race_id, r.driverId, r.lap) for r in wh.read("laptimes").collect()}
+    assert (0, gid, 5) in laps                       # the rejected lap time got in on retry
+    fact = wh.read("formulaone").where(F.col("driverId") == gid).count()
+    assert fact == 1                                 # so did the rejected result
+    rej = rows(wh.read("rejects"), "topic", "reason")
+    assert ("results_topic", "unknown driver") not in rej
+    assert ("status_topic", "invalid status id") in rej  # not retryable: kept
