@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions import clean as C
-from .registry import query, tbl
+from ..session import work_path
+from ..sources.csv import read_wide_csv, write_csv
+from ..sources.tables import write_stage
+from .registry import TS_FMT, query, tbl, ts_text
 
 def prio(i: int):
     """The i-th ``-``-separated part of the order priority text (1-based)."""
@@ -254,13 +258,6 @@ def csv_stage(spark, d):
     """S1 + F1 + F2 + F4 + K1: events go out as a CSV extract (``\\N`` for NULL,
     quoted JSON text), come back all-text with a declared schema, are cleaned
     and staged to Parquet with millisecond timestamps, as the batch load does."""
-    from pyspark.sql.types import StringType, StructField, StructType
-
-    from ..session import work_path
-    from ..sources.csv import read_wide_csv, write_csv
-    from ..sources.tables import write_stage
-    from .registry import TS_FMT, ts_text
-
     root = work_path(spark, "csv_stage")
     ev = tbl(spark, d, "events")
     text = ev.select(F.col("event_id").cast("string").alias("event_id"),
