@@ -372,15 +372,24 @@ def process_batch(wh: Warehouse, batch: DataFrame, season: int = DEFAULT_SEASON,
 
 def ingest_topics(wh: Warehouse, stream: DataFrame, checkpoint: str,
                   season: int = DEFAULT_SEASON, available_now: bool = True,
-                  interval: str = "5 minutes"):
+                  interval: str = "5 minutes", compact_every: int | None = None):
     """Run ``process_batch`` over a topic stream.
 
     ``available_now`` drains what is there and stops (one scheduled run);
     otherwise the query triggers every ``interval``.  Batch ids are recorded in
-    the warehouse ledger, so a batch replayed after a failure is skipped."""
+    the warehouse ledger, so a batch replayed after a failure is skipped.
+    ``compact_every`` rewrites every table as one version each N batches, so a
+    long-running stream does not leave a growing number of small files."""
     from ..streaming.ingest import Ledger, once, run_available_now
 
-    fn = once(Ledger(wh.spark, wh.root), lambda b, _: process_batch(wh, b, season), scope="topics")
+    def step(batch: DataFrame, batch_id: int) -> None:
+        process_batch(wh, batch, season)
+        if compact_every and batch_id > 0 and batch_id % compact_every == 0:
+            for table in wh.tables.values():
+                if table.exists():
+                    table.compact()
+
+    fn = once(Ledger(wh.spark, wh.root), step, scope="topics")
     if available_now:
         run_available_now(stream, fn, checkpoint, name=None)
         return None
