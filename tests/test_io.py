@@ -19,6 +19,8 @@ def test_versioned_table_replace_append_align(spark, scratch):
     assert t.replace(t.read().where("k = 2")) == 2
     fresh = tables.VersionedTable(spark, f"{scratch}/t")                   # another reader
     assert fresh.version() == 2 and fresh.read().count() == 1
+    t.append(spark.createDataFrame([(3, 3.0)], "k long, v double"))
+    assert t.compact() == 3 and sorted(r.k for r in t.read().collect()) == [2, 3]
 
 
 def test_stage_file_is_millisecond(spark, scratch):
