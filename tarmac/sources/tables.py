@@ -21,8 +21,13 @@ from pyspark.sql import functions as F
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One Parquet table of the driver's data set."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One Parquet table of the driver's data set, with its declared
+    schema (no per-read schema inference); unknown tables are inferred."""
+    from ..schemas import DRIVER_TABLES
+
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    ddl = DRIVER_TABLES.get(name)
+    return spark.read.schema(ddl).parquet(path) if ddl else spark.read.parquet(path)
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
