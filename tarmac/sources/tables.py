@@ -75,7 +75,7 @@ class VersionedTable:
         self.spark = spark
         self.root = root.rstrip("/")
         self._version: int | None = None
-        self._columns: list[str] | None = None
+        self._schema = None          # known after the first write or read: no re-inference
 
     def _vpath(self, v: int) -> str:
         return f"{self.root}/v={v:08d}"
@@ -99,8 +99,10 @@ class VersionedTable:
         v = self.version()
         if v == 0:
             raise FileNotFoundError(f"table {self.root} has no committed version")
+        if self._schema is not None:
+            return self.spark.read.schema(self._schema).parquet(self._vpath(v))
         df = self.spark.read.parquet(self._vpath(v))
-        self._columns = df.columns
+        self._schema = df.schema
         return df
 
     def _commit(self, v: int) -> None:
@@ -117,7 +119,7 @@ class VersionedTable:
         v = self.version() + 1
         write_parquet(df, self._vpath(v))
         self._commit(v)
-        self._columns = df.columns
+        self._schema = None          # re-read once: Parquet makes every column nullable
         return v
 
     def compact(self) -> int:
