@@ -273,5 +273,5 @@ def csv_stage(spark, d):
                        C.to_number(C.null_sentinel("value")).alias("value"),
                        F.get_json_object(C.null_sentinel("props"), "$.k").alias("k"))
     write_stage(clean, f"{root}/stage")
-    staged = spark.read.parquet(f"{root}/stage")
+    staged = spark.read.schema(clean.schema).parquet(f"{root}/stage")
     return staged.select("event_id", ts_text("ts").alias("ts"), "event_type", "value", "k")

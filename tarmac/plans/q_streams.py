@@ -94,4 +94,5 @@ def fan_out(spark, d):
     ev = tbl(spark, d, "events")
     routed = ev.select(F.concat(F.lit("events_"), F.col("event_type")).alias("target"), "event_id", "value")
     sinks.fan_out_by(routed, "target", root)
-    return spark.read.parquet(root).select(F.col("target").cast("string"), "event_id", "value")
+    back = spark.read.schema("event_id BIGINT, value DOUBLE, target STRING").parquet(root)
+    return back.select("target", "event_id", "value")

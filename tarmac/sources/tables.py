@@ -82,7 +82,8 @@ class VersionedTable:
 
     def refresh(self) -> int:
         try:
-            row = self.spark.read.parquet(f"{self.root}/_pointer").agg(F.max("version")).first()
+            row = (self.spark.read.schema("version BIGINT").parquet(f"{self.root}/_pointer")
+                       .agg(F.max("version")).first())
             self._version = int(row[0] or 0)
         except Exception:  # no pointer log yet
             self._version = 0

@@ -41,7 +41,8 @@ class Ledger:
     def _load(self) -> set[tuple[int, str]]:
         if self._seen is None:
             try:
-                rows = self.spark.read.parquet(self.path).select("batch_id", "scope").distinct().collect()
+                rows = (self.spark.read.schema("batch_id BIGINT, scope STRING").parquet(self.path)
+                            .distinct().collect())
                 self._seen = {(int(r[0]), r[1]) for r in rows}
             except Exception:  # no ledger yet
                 self._seen = set()
