@@ -294,8 +294,15 @@ def _process_standings(wh: Warehouse, msgs: DataFrame, season: int, kind: str,
         # Repoint fact rows of that race and entity where the id differs; last wins.
         upd = new.select(F.col("race_id").alias("raceId"), ent, F.col(id_col).alias("new_id"), *order)
         fact_col = "conStandingsId" if con else "driverStandingsId"
-        fact, _ = upsert.update_from(wh.read("formulaone"), upd, ["raceId", ent], fact_col, "new_id", order=order)
-        wh.overwrite("formulaone", fact.drop("_changed"))
+        fact = wh.read("formulaone")
+        if wh.partitioned("formulaone"):
+            # Only the races this batch touches are read, updated and rewritten.
+            touched = fact.join(upd.select("raceId").distinct(), "raceId", "left_semi")
+            changed, _ = upsert.update_from(touched, upd, ["raceId", ent], fact_col, "new_id", order=order)
+            wh["formulaone"].overwrite_partitions(changed.drop("_changed"))
+        else:
+            changed, _ = upsert.update_from(fact, upd, ["raceId", ent], fact_col, "new_id", order=order)
+            wh.overwrite("formulaone", changed.drop("_changed"))
     finally:
         new.unpersist()
     return rej1.unionByName(rej2)

@@ -25,7 +25,7 @@ from ..operators.dedup import keep_first
 from ..operators.filters import tolerant_select
 from ..schemas import CSV_TEXT_SCHEMA
 from ..sources.csv import read_wide_csv
-from ..sources.tables import VersionedTable, write_stage
+from ..sources.tables import PartitionedTable, VersionedTable, write_stage
 
 ARR = "_arrival"
 
@@ -35,12 +35,22 @@ TABLES = ["formulaone", "race", "circuit", "driver", "constructor", "status", "d
 
 
 class Warehouse:
-    """The 13 tables (plus rejects) as versioned Parquet tables under ``root``."""
+    """The 13 tables (plus rejects) under ``root``.
 
-    def __init__(self, spark: SparkSession, root: str):
+    Every table is a ``VersionedTable`` (updates write a new version), except
+    the fact when ``fact_partition`` is given: then ``formulaone`` is a
+    ``PartitionedTable`` and updates rewrite only the partitions they touch
+    (the layout for a fact too large to rewrite per batch)."""
+
+    def __init__(self, spark: SparkSession, root: str, fact_partition: str | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
         self.tables = {t: VersionedTable(spark, f"{self.root}/{t}") for t in TABLES}
+        if fact_partition:
+            self.tables["formulaone"] = PartitionedTable(spark, f"{self.root}/formulaone", [fact_partition])
+
+    def partitioned(self, name: str) -> bool:
+        return isinstance(self.tables[name], PartitionedTable)
 
     def __getitem__(self, name: str) -> VersionedTable:
         return self.tables[name]

@@ -139,3 +139,71 @@ class VersionedTable:
         # has one schema.
         aligned = df.select(*[F.col(f.name).cast(f.dataType) for f in current.schema.fields])
         write_parquet(aligned, self._vpath(v), mode="append")
+
+
+class PartitionedTable:
+    """A Parquet table partitioned by ``by``, for facts too large to rewrite.
+
+    Appends add files to their partitions.  ``overwrite_partitions`` replaces
+    only the partitions present in the new data (``partitionOverwriteMode =
+    dynamic``); the new data is checkpointed first, which cuts its lineage to
+    the files being replaced and keeps it under executor loss.  Same interface
+    as ``VersionedTable`` otherwise; one writer per table.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, by: list[str]):
+        self.spark = spark
+        self.root = root.rstrip("/")
+        self.by = list(by)
+        self._schema = None
+
+    def exists(self) -> bool:
+        try:
+            self.read()
+            return True
+        except Exception:  # nothing written yet
+            return False
+
+    def version(self) -> int:
+        return 1 if self.exists() else 0
+
+    def read(self) -> DataFrame:
+        if self._schema is not None:
+            return self.spark.read.schema(self._schema).parquet(self.root)
+        df = self.spark.read.parquet(self.root)
+        self._schema = df.schema
+        return df
+
+    def _materialize(self, df: DataFrame) -> DataFrame:
+        from ..session import ensure_checkpoint_dir
+
+        ensure_checkpoint_dir(self.spark)
+        return df.checkpoint(eager=True)
+
+    def replace(self, df: DataFrame, materialize: bool = False) -> int:
+        """Overwrite the whole table (``materialize`` when ``df`` reads it)."""
+        src = self._materialize(df) if materialize else df
+        src.write.mode("overwrite").partitionBy(*self.by).parquet(self.root)
+        self._schema = None
+        return 1
+
+    def create(self, df: DataFrame) -> None:
+        self.replace(df)
+
+    def append(self, df: DataFrame) -> None:
+        if not self.exists():
+            self.replace(df)
+            return
+        current = self.read()
+        aligned = df.select(*[F.col(f.name).cast(f.dataType) for f in current.schema.fields])
+        aligned.write.mode("append").partitionBy(*self.by).parquet(self.root)
+
+    def overwrite_partitions(self, df: DataFrame) -> None:
+        """Replace exactly the partitions that ``df`` has rows for."""
+        current = self.read()
+        aligned = df.select(*[F.col(f.name).cast(f.dataType) for f in current.schema.fields])
+        (self._materialize(aligned).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy(*self.by).parquet(self.root))
+
+    def compact(self) -> int:
+        return self.replace(self.read(), materialize=True)

@@ -5,6 +5,8 @@ import os
 
 from pyspark.sql.types import StringType, StructField, StructType
 
+from pyspark.sql import functions as F
+
 from tarmac.sources import pages, sinks, tables, topics
 from tarmac.sources.csv import read_wide_csv, write_csv
 from tarmac.streaming.ingest import Ledger, keep_first_into, once, run_available_now
@@ -108,3 +110,14 @@ def test_dedup_within_watermark_stream(spark, scratch):
     run_available_now(stream, lambda b, i: got.extend(tuple(r) for r in b.select("k", "v").collect()),
                       f"{scratch}/ckpt")
     assert sorted(got) == [(1, "a"), (2, "b")]
+
+
+def test_partitioned_table_overwrites_only_touched_partitions(spark, scratch):
+    t = tables.PartitionedTable(spark, f"{scratch}/p", ["part"])
+    t.create(spark.createDataFrame([(1, 1, "a"), (2, 1, "b"), (3, 2, "c")], "k long, part int, v string"))
+    t.append(spark.createDataFrame([(4, 3, "d")], "k long, part int, v string"))
+    cur = t.read()
+    changed = cur.where("part = 1").withColumn("v", F.upper("v"))          # reads the table it replaces
+    t.overwrite_partitions(changed)
+    assert sorted((r.k, r.part, r.v) for r in t.read().collect()) == [(1, 1, "A"), (2, 1, "B"), (3, 2, "c"),
+                                                                      (4, 3, "d")]

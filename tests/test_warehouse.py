@@ -18,13 +18,13 @@ def rows(df, *cols):
     return sorted(tuple(r) for r in df.select(*cols).collect())
 
 
-@pytest.fixture(scope="module")
-def loaded(spark):
+@pytest.fixture(scope="module", params=[None, "raceId"], ids=["versioned_fact", "partitioned_fact"])
+def loaded(spark, request):
     from tarmac.session import work_path
 
     root = work_path(spark, "wh")
     write_csv(spark.createDataFrame(FX.csv_rows(), CSV_TEXT_SCHEMA).coalesce(1), f"{root}/csv")
-    wh = Warehouse(spark, f"{root}/wh")
+    wh = Warehouse(spark, f"{root}/wh", fact_partition=request.param)
     load_csv(spark, f"{root}/csv", wh)
     batch = {name: wh.read(name).collect() for name in ["race", "formulaone", "laptimes", "driver", "status"]}
     msgs = spark.createDataFrame([m + (None,) for m in FX.stream_messages()], TOPIC_SCHEMA)
