@@ -29,33 +29,33 @@ BatchFn = Callable[[DataFrame, int], None]
 class Ledger:
     """Batch ids already applied to a set of tables.
 
-    Rows ``(batch_id, scope)`` are appended to ``root/_ledger``; the set is
-    read once per ledger object (one small scan) and tracked afterwards.
+    Rows ``(batch_id, scope)`` are appended to ``root/_ledger``.  A lookup is
+    an existence test for one id (a filtered scan; only a boolean reaches the
+    driver), so the ledger can grow for the life of a stream.
     """
 
+    SCHEMA = "batch_id BIGINT, scope STRING"
+
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.path = root.rstrip("/") + "/_ledger"
-        self._seen: set[tuple[int, str]] | None = None
+        self._known: dict[tuple[int, str], bool] = {}
 
-    def _load(self) -> set[tuple[int, str]]:
-        if self._seen is None:
+    def applied(self, batch_id: int, scope: str = "") -> bool:
+        key = (int(batch_id), scope)
+        if key not in self._known:
             try:
-                rows = (self.spark.read.schema("batch_id BIGINT, scope STRING").parquet(self.path)
-                            .distinct().collect())
-                self._seen = {(int(r[0]), r[1]) for r in rows}
+                df = self.spark.read.schema(self.SCHEMA).parquet(self.path)
+                self._known[key] = not df.where((F.col("batch_id") == key[0]) & (F.col("scope") == scope)).isEmpty()
             except Exception:  # no ledger yet
-                self._seen = set()
-        return self._seen
-
-    def applied(self, batch_id: int, scope: str = "") -> bool:
-        return (int(batch_id), scope) in self._load()
+                self._known[key] = False
+        return self._known[key]
 
     def record(self, batch_id: int, scope: str = "") -> None:
         (self.spark.range(1).select(F.lit(batch_id).cast("bigint").alias("batch_id"),
                                     F.lit(scope).alias("scope"))
              .write.mode("append").parquet(self.path))
-        self._load().add((int(batch_id), scope))
+        self._known[(int(batch_id), scope)] = True
 
 
 def once(ledger: Ledger, fn: BatchFn, scope: str = "") -> BatchFn:
