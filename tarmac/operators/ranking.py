@@ -95,5 +95,8 @@ def rank_within(df: DataFrame, group: Sequence[str], order: Sequence, ties: Sequ
     share the smallest number, which is exactly ``rank()``.
     """
     ranked = positions(df, list(order) + list(unique), name="_pos", group=group)
-    firsts = ranked.groupBy(*group, *ties).agg(F.min("_pos").alias(name))
-    return ranked.join(firsts, [*group, *ties]).drop("_pos")
+    cols = [*group, *ties]
+    firsts = (ranked.groupBy(*cols).agg(F.min("_pos").alias(name))
+                    .select(*[F.col(c).alias(f"_t_{c}") for c in cols], name))
+    cond = [F.col(c).eqNullSafe(F.col(f"_t_{c}")) for c in cols]       # NULL groups / ties rank too
+    return ranked.join(firsts, cond).drop("_pos", *[f"_t_{c}" for c in cols])

@@ -152,3 +152,10 @@ def test_take_while_hot_key(spark):
     pdf["seen"] = pdf.groupby("k")["e"].transform(lambda s: (s == "stop").cumsum())
     want = sorted(map(tuple, pdf[pdf.seen == 0][["k", "t", "e"]].itertuples(index=False)))
     assert got == want
+
+
+def test_rank_within_null_group_and_tie(spark):
+    df = spark.createDataFrame([(None, 1, 5.0), (None, 2, 5.0), (None, 3, None), (1, 4, 2.0)],
+                               "s long, e long, v double")
+    got = {r.e: r.rnk for r in ranking.rank_within(df, ["s"], [F.col("v").desc_nulls_last()], ["v"], ["e"]).collect()}
+    assert got == {1: 1, 2: 1, 3: 3, 4: 1}
