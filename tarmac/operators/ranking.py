@@ -50,7 +50,9 @@ def take_while(df: DataFrame, order: Sequence[str], stop: Column,
     key = F.struct(*[F.col(c) for c in order])
     if group:
         stops = _first_stop(df, group, order, stop)
-        joined = df.join(stops, list(group), "left")
+        stops = stops.select(*[F.col(g).alias(f"_s_{g}") for g in group], "_stop_at")
+        cond = [F.col(g).eqNullSafe(F.col(f"_s_{g}")) for g in group]       # a NULL group is a group
+        joined = df.join(stops, cond, "left").drop(*[f"_s_{g}" for g in group])
         at = F.col("_stop_at")
     else:
         at = df.where(stop).agg(F.min(key)).scalar()

@@ -159,3 +159,9 @@ def test_rank_within_null_group_and_tie(spark):
                                "s long, e long, v double")
     got = {r.e: r.rnk for r in ranking.rank_within(df, ["s"], [F.col("v").desc_nulls_last()], ["v"], ["e"]).collect()}
     assert got == {1: 1, 2: 1, 3: 3, 4: 1}
+
+
+def test_take_while_null_group_is_a_group(spark):
+    df = spark.createDataFrame([(None, 1, "a"), (None, 2, "error"), (None, 3, "a")], "g long, t long, e string")
+    got = [r.t for r in ranking.take_while(df, ["t"], F.col("e") == "error", group=["g"]).collect()]
+    assert got == [1]
