@@ -297,7 +297,7 @@ def _process_standings(wh: Warehouse, msgs: DataFrame, season: int, kind: str,
         fact = wh.read("formulaone")
         if wh.partitioned("formulaone"):
             # Only the races this batch touches are read, updated and rewritten.
-            touched = fact.join(upd.select("raceId").distinct(), "raceId", "left_semi")
+            touched = wh["formulaone"].read_touched(upd)
             changed, _ = upsert.update_from(touched, upd, ["raceId", ent], fact_col, "new_id", order=order)
             wh["formulaone"].overwrite_partitions(changed.drop("_changed"))
         else:

@@ -198,6 +198,22 @@ class PartitionedTable:
         aligned = df.select(*[F.col(f.name).cast(f.dataType) for f in current.schema.fields])
         aligned.write.mode("append").partitionBy(*self.by).parquet(self.root)
 
+    # At most this many partition values are pushed as a static filter.
+    MAX_PRUNE_VALUES = 10_000
+
+    def read_touched(self, keys: DataFrame) -> DataFrame:
+        """The rows of the partitions named by ``keys`` (a frame with the
+        partition column).  Up to ``MAX_PRUNE_VALUES`` distinct values are
+        fetched (a size-checked read of at most that many values, never the
+        data) and pushed as an ``IN`` partition filter, so only those
+        partitions are listed and read; beyond that, a semi join."""
+        col = self.by[0]
+        wanted = keys.select(col).distinct()
+        vals = [r[0] for r in wanted.limit(self.MAX_PRUNE_VALUES + 1).collect()]
+        if len(vals) <= self.MAX_PRUNE_VALUES:
+            return self.read().where(F.col(col).isin(vals))
+        return self.read().join(wanted, col, "left_semi")
+
     def overwrite_partitions(self, df: DataFrame) -> None:
         """Replace exactly the partitions that ``df`` has rows for."""
         current = self.read()

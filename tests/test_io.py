@@ -2,6 +2,7 @@
 
 import json
 import os
+import re
 
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -121,3 +122,7 @@ def test_partitioned_table_overwrites_only_touched_partitions(spark, scratch):
     t.overwrite_partitions(changed)
     assert sorted((r.k, r.part, r.v) for r in t.read().collect()) == [(1, 1, "A"), (2, 1, "B"), (3, 2, "c"),
                                                                       (4, 3, "d")]
+    touched = t.read_touched(spark.createDataFrame([(3,)], "part int"))
+    assert [r.k for r in touched.collect()] == [4]
+    plan = touched._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*part#\d+ (= 3|IN \(3\))", plan)   # static pruning
