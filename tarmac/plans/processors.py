@@ -356,11 +356,13 @@ def process_batch(wh: Warehouse, batch: DataFrame, season: int = DEFAULT_SEASON,
         batch = batch.select("key", "value", "topic", "partition", "offset", "timestamp").unionByName(again)
     cached = batch.persist()
     try:
+        # One job finds the topics present (at most the nine topic names).
+        present = {r[0] for r in cached.select("topic").distinct().collect()}
         rejects = []
         for topic, fn in PROCESSORS:
-            msgs = cached.where(F.col("topic") == topic)
-            if msgs.isEmpty():                                                             # P13
+            if topic not in present:
                 continue
+            msgs = cached.where(F.col("topic") == topic)
             kw = {"season": season} if fn in (process_laptimes, process_pitstops, process_results,
                                                process_constandings, process_driverstandings) else {}
             rejects.append(fn(wh, msgs, **kw))
