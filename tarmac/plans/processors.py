@@ -340,7 +340,7 @@ PROCESSORS = [
 
 
 def process_batch(wh: Warehouse, batch: DataFrame, season: int = DEFAULT_SEASON,
-                  retry_rejects: bool = True) -> None:
+                  retry_rejects: bool = True, batch_id: int | None = None) -> None:
     """One micro-batch of all topics (T7), in dependency order.
 
     With ``retry_rejects``, rejects that may resolve later (``RETRYABLE``) are
@@ -367,6 +367,8 @@ def process_batch(wh: Warehouse, batch: DataFrame, season: int = DEFAULT_SEASON,
                                                process_constandings, process_driverstandings) else {}
             rejects.append(fn(wh, msgs, **kw))
         update_fastest_laps(wh, season)
+        if batch_id is not None:
+            _record_metrics(wh, cached, rejects, batch_id)
         out = keep_old
         for r in rejects:
             out = r if out is None else out.unionByName(r)
@@ -379,6 +381,21 @@ def process_batch(wh: Warehouse, batch: DataFrame, season: int = DEFAULT_SEASON,
         cached.unpersist()
 
 
+def _record_metrics(wh: Warehouse, batch: DataFrame, rejects: list[DataFrame], batch_id: int) -> None:
+    """A5 for the stream: messages read and rejected per topic in this batch
+    (re-offered rejects count again), one row per (batch, topic)."""
+    read = batch.groupBy("topic").agg(F.count(F.lit(1)).alias("n_read"))
+    if rejects:
+        rej = rejects[0]
+        for r in rejects[1:]:
+            rej = rej.unionByName(r)
+        read = read.join(rej.groupBy("topic").agg(F.count(F.lit(1)).alias("n_rejected")), "topic", "left")
+    else:
+        read = read.withColumn("n_rejected", F.lit(None).cast("bigint"))
+    wh.append("batch_metrics", read.select(F.lit(batch_id).cast("bigint").alias("batch_id"), "topic", "n_read",
+                                           F.coalesce("n_rejected", F.lit(0)).cast("bigint").alias("n_rejected")))
+
+
 def ingest_topics(wh: Warehouse, stream: DataFrame, checkpoint: str,
                   season: int = DEFAULT_SEASON, available_now: bool = True,
                   interval: str = "5 minutes", compact_every: int | None = None):
@@ -392,7 +409,7 @@ def ingest_topics(wh: Warehouse, stream: DataFrame, checkpoint: str,
     from ..streaming.ingest import Ledger, once, run_available_now
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        process_batch(wh, batch, season)
+        process_batch(wh, batch, season, batch_id=batch_id)
         if compact_every and batch_id > 0 and batch_id % compact_every == 0:
             for table in wh.tables.values():
                 if table.exists():

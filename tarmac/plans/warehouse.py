@@ -31,7 +31,8 @@ ARR = "_arrival"
 
 # Table names (lower case; the source system's names fold to these).
 TABLES = ["formulaone", "race", "circuit", "driver", "constructor", "status", "driverstandings",
-          "constandings", "laptimes", "pitstops", "qualifying", "sprint", "freepractice", "rejects"]
+          "constandings", "laptimes", "pitstops", "qualifying", "sprint", "freepractice", "rejects",
+          "batch_metrics"]
 
 
 class Warehouse:

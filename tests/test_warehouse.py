@@ -83,6 +83,8 @@ def test_stream_facts_updates_and_rejects(loaded):
     assert race[0].fastestLap == 4.0 and race[0].fastestLapTime == "1:08.100" and race[0].fastestLapSpeed is None
     rej = rows(wh.read("rejects"), "topic", "reason")
     assert ("results_topic", "unknown driver") in rej and ("status_topic", "invalid status id") in rej
+    m = {r.topic: (r.n_read, r.n_rejected) for r in wh.read("batch_metrics").where("batch_id = 0").collect()}
+    assert m["results_topic"] == (4, 1) and m["status_topic"] == (3, 1) and m["driver_topic"] == (2, 0)
 
 
 def test_replay_is_a_no_op(loaded):
