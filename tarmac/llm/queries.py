@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, quality
+from ..session import work_path
+from . import mixing, quality, simhash, token_files
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,3 +31,17 @@ ORACLE["op2_mix_sources"] = mixing.SQL
 @query
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
+
+
+@query
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = work_path(spark, "token-files")
+    base = base if "://" in base else f"file://{base}"
+    manifest = token_files.write_files(table(spark, sf_dir, "documents"), base,
+                                       public_tokenizers.path("byte_bpe_50k.json"), vocab=50_257)
+    return token_files.read_digest(manifest, base)
