@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import work_path
-from . import mixing, quality, simhash, token_files
+from . import mixing, quality, simhash, token_files, word_bpe
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,3 +45,9 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = token_files.write_files(table(spark, sf_dir, "documents"), base,
                                        public_tokenizers.path("byte_bpe_50k.json"), vocab=50_257)
     return token_files.read_digest(manifest, base)
+
+
+@query
+def op8_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return word_bpe.digest(word_bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN), ranks)
