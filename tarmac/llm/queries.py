@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import work_path
-from . import mixing, quality, simhash, token_files, word_bpe
+from . import mixing, quality, simhash, token_files, topk, word_bpe
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,3 +51,13 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return word_bpe.digest(word_bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN), ranks)
+
+
+@query
+def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.quantized(table(spark, sf_dir, "embeddings")).checkpoint()
+    asked = vectors.where("vec_id % 100 = 0").dropDuplicates(["vec_id"])
+    return topk.search(asked, vectors, k=10)
+
+
+ORACLE["op3_exact_topk"] = topk.SQL
