@@ -36,45 +36,53 @@ def _tail(a: Column, start: int, drop: int) -> Column:
     return F.slice(a, F.lit(start), F.greatest(F.size(a) - F.lit(drop), F.lit(0)))
 
 
-def repeated_words(words: Column, trigrams: Column) -> Column:
-    """Words covered by a 3-word window that occurs twice or more.
+def placed_repeats(trigrams: Column) -> Column:
+    """(hash, position) of the 3-word windows in order of hash; null if none repeats.
 
-    Equal windows are found by sorting (hash, position), so the work is
-    n log n in the length of the text, whatever repeats in it.
+    Equal windows are found by sorting, so the work is n log n in the length
+    of the text, whatever repeats in it.
     """
     placed = F.sort_array(F.transform(trigrams, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    return F.when(F.size(F.array_distinct(trigrams)) < F.size(trigrams), placed)
+
+
+def repeated_words(placed: Column) -> Column:
+    """Words covered by a window whose neighbour in order of hash is equal."""
     pairs = F.arrays_zip(_tail(placed, 1, 1).alias("a"), _tail(placed, 2, 1).alias("b"))
     twins = F.filter(pairs, lambda z: z["a"]["h"] == z["b"]["h"])
     covered = F.flatten(F.transform(twins, lambda z: F.array(
         z["a"]["i"], z["a"]["i"] + 1, z["a"]["i"] + 2, z["b"]["i"], z["b"]["i"] + 1, z["b"]["i"] + 2)))
-    return F.when(F.size(F.array_distinct(trigrams)) < F.size(trigrams), F.size(F.array_distinct(covered))).otherwise(0)
+    return F.when(placed.isNull(), F.lit(0)).otherwise(F.size(F.array_distinct(covered)))
 
 
-def base_counts(docs: DataFrame) -> DataFrame:
-    """doc_id, the words and the base columns of every document."""
-    rows = docs.select("doc_id", text_of(docs).alias("text"))
+def with_grams(rows: DataFrame) -> DataFrame:
+    """Words of ``text`` and the hashes of words, pairs and triples of neighbours, each made from the one before."""
     rows = rows.withColumn("words", F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))
-    lines = F.filter(F.split("text", "\n", -1), lambda x: F.length(F.regexp_replace(x, GAP, "")) > 0)
+    rows = rows.withColumn("ones", F.transform("words", lambda w: F.xxhash64(w)))
+    return rows.withColumn("twos", F.zip_with(_tail(F.col("ones"), 1, 1), _tail(F.col("ones"), 2, 1),
+                                              lambda a, b: F.xxhash64(a, b)))
+
+
+def base_counts(docs: DataFrame) -> DataFrame:
+    """doc_id, the base columns and the n-gram hashes of every document."""
+    rows = with_grams(docs.select("doc_id", text_of(docs).alias("text")))
+    lines = F.filter(F.split("text", "\n", -1), lambda x: x.rlike(WORD))
     rows = rows.select(
-        "doc_id", "words", F.size("words").cast("bigint").alias("n_words"),
+        "doc_id", "ones", "twos", F.size("words").cast("bigint").alias("n_words"),
         F.length(F.array_join("words", "")).cast("bigint").alias("word_chars"),
         F.regexp_count("text", F.lit(SYMBOLS)).cast("bigint").alias("n_symbols"),
         lines.alias("lines"),
-        F.transform(F.arrays_zip(_tail(F.col("words"), 1, 2).alias("a"), _tail(F.col("words"), 2, 2).alias("b"),
-                                 _tail(F.col("words"), 3, 2).alias("c")),
-                    lambda z: F.xxhash64(z["a"], z["b"], z["c"])).alias("trigrams"))
+        F.zip_with(_tail(F.col("twos"), 1, 1), _tail(F.col("ones"), 3, 2), lambda a, b: F.xxhash64(a, b)).alias("trigrams"))
+    rows = rows.withColumn("placed", placed_repeats(F.col("trigrams")))
     return rows.select(
-        "doc_id", "words", "n_words", "word_chars", "n_symbols",
+        "doc_id", "ones", "twos", "n_words", "word_chars", "n_symbols",
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint").alias("n_dup_lines"),
-        repeated_words(F.col("words"), F.col("trigrams")).cast("bigint").alias("n_repeat_words"))
+        repeated_words(F.col("placed")).cast("bigint").alias("n_repeat_words"))
 
 
-def ngram_buckets(words: Column, buckets: int) -> Column:
-    """The bucket of every word and of every pair of neighbours."""
-    one = F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(buckets)).cast("int"))
-    two = F.transform(F.arrays_zip(_tail(words, 1, 1).alias("a"), _tail(words, 2, 1).alias("b")),
-                      lambda z: F.pmod(F.xxhash64(z["a"], z["b"]), F.lit(buckets)).cast("int"))
-    return F.concat(one, two)
+def bucket(h: Column, buckets: int) -> Column:
+    """The bucket of a hash; ``buckets`` is a power of two."""
+    return h.bitwiseAND(F.lit(buckets - 1).cast("bigint")).cast("int")
 
 
 def bucket_weights(docs: DataFrame, trusted: DataFrame, buckets: int, smooth: float) -> list[int]:
@@ -82,10 +90,9 @@ def bucket_weights(docs: DataFrame, trusted: DataFrame, buckets: int, smooth: fl
     marks = trusted.select(F.col("doc_id").alias("trusted_id")).where("trusted_id IS NOT NULL").distinct()
     rows = docs.select("doc_id", text_of(docs).alias("text"))
     rows = rows.join(marks.hint("shuffle_hash"), F.col("doc_id") == F.col("trusted_id"), "left")
-    words = rows.select(F.col("trusted_id").isNotNull().cast("int").alias("is_trusted"),
-                        F.regexp_extract_all("text", F.lit(WORD), F.lit(0)).alias("words"))
-    grams = words.select("is_trusted", F.explode(ngram_buckets(F.col("words"), buckets)).alias("bucket"))
-    counts = grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.sum("is_trusted").alias("target"))
+    rows = with_grams(rows.select(F.col("trusted_id").isNotNull().cast("int").alias("is_trusted"), "text"))
+    grams = rows.select("is_trusted", F.explode(F.concat("ones", "twos")).alias("h"))
+    counts = grams.groupBy(bucket(F.col("h"), buckets).alias("bucket")).agg(F.count(F.lit(1)).alias("raw"), F.sum("is_trusted").alias("target"))
     found = {r["bucket"]: (r["raw"], r["target"]) for r in counts.collect()}  # at most `buckets` rows
     raw_all = sum(r for r, _ in found.values()) + smooth * buckets
     target_all = sum(t for _, t in found.values()) + smooth * buckets
@@ -96,15 +103,17 @@ def bucket_weights(docs: DataFrame, trusted: DataFrame, buckets: int, smooth: fl
     return out
 
 
-def quality(docs: DataFrame, labels: DataFrame, buckets: int = 10_000, smooth: float = 1.0,
-            threshold: float = -0.03, min_words: int = 50, max_repeat_percent: int = 50) -> DataFrame:
+def quality(docs: DataFrame, labels: DataFrame, buckets: int = 1 << 14, smooth: float = 1.0,
+            threshold: float = -0.04, min_words: int = 50, max_repeat_percent: int = 50) -> DataFrame:
     """Base columns, ``score`` (mean log ratio per n-gram) and ``kept`` of every document."""
     trusted = labels.where(F.col("quality") == 1)
     weights = bucket_weights(docs, trusted, buckets, smooth)
     table = F.split(F.lit(",".join(map(str, weights))), ",").cast("array<bigint>")  # folded to a constant
-    rows = base_counts(docs).withColumn("grams", ngram_buckets(F.col("words"), buckets))
-    total = F.aggregate("grams", F.lit(0).cast("bigint"), lambda acc, b: acc + F.get(table, b))
-    score = F.when(F.size("grams") > 0, total / F.size("grams") / float(SCALE))
+    rows = base_counts(docs)
+    add = lambda acc, h: acc + F.get(table, bucket(h, buckets))
+    total = F.aggregate("twos", F.aggregate("ones", F.lit(0).cast("bigint"), add), add)
+    n = F.size("ones") + F.size("twos")
+    score = F.when(n > 0, total / n / float(SCALE))
     failed = ((F.col("n_words") < min_words)
               | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words")))
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
