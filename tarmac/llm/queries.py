@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import work_path
-from . import mixing, quality, simhash, token_files, topk, word_bpe
+from . import mixing, quality, simhash, suffix_array, suffix_automaton, token_files, topk, word_bpe
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,3 +61,13 @@ def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op3_exact_topk"] = topk.SQL
+
+
+@query
+def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_array.digest(table(spark, sf_dir, "documents"), length=50)
+
+
+@query
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_automaton.digest(table(spark, sf_dir, "documents"), length=50)
