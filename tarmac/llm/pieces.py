@@ -32,7 +32,8 @@ class PieceCache:
         head, rest = cut(text)
         if len(self.known) > self.limit:
             self.known = {}
-        new = list(set(rest) - self.known.keys())
+        known = self.known
+        new = [p for p in set(rest) if p not in known]
         if new:
             self.known.update(zip(new, self.encode([" " + p for p in new]), strict=True))
         first = self.encode([head])[0] if head else b""
