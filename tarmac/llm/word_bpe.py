@@ -74,8 +74,30 @@ def block_words(texts: list[str], buckets: int) -> dict[int, list[bytes]]:
     return out
 
 
+def _pack_docs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (doc_id, text, block) -> one compressed row (block, docs) for each block of a batch."""
+    for batch in batches:
+        block = batch.column(2).to_numpy(zero_copy_only=False)
+        order = np.argsort(block, kind="stable")
+        head = np.flatnonzero(np.r_[True, np.diff(block[order]) != 0]) if len(order) else order
+        blobs = []
+        for rows in np.split(order, head[1:]):
+            part = pa.Table.from_batches([batch.select([0, 1]).take(pa.array(rows))])
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, part.schema) as w:
+                w.write_table(part)
+            blobs.append(zstandard.compress(sink.getvalue(), 3))
+        yield pa.RecordBatch.from_arrays([pa.array(block[order[head]], pa.int64()), pa.array(blobs[:len(head)], pa.binary())],
+                                         ["block", "docs"])
+
+
+def _docs(rows: pa.Table) -> pa.Table:
+    """The (doc_id, text) rows of a block."""
+    return pa.concat_tables([pa.ipc.open_stream(zstandard.decompress(b.as_py())).read_all() for b in rows.column("docs")])
+
+
 def _words(rows: pa.Table, buckets: int) -> pa.Table:
-    lists = block_words(rows.column("text").to_pylist(), buckets)
+    lists = block_words(_docs(rows).column("text").to_pylist(), buckets)
     return pa.table({
         "bucket": pa.array(list(lists), pa.int32()),
         "block": pa.array([rows.column("block")[0].as_py()] * len(lists), pa.int64()),
@@ -98,7 +120,8 @@ def _encode_bucket(rows: pa.Table, path: str, pattern: str) -> pa.Table:
                      "ids": pa.array(replies, pa.binary())})
 
 
-def _assemble(docs: pa.Table, replies: pa.Table, buckets: int) -> pa.Table:
+def _assemble(rows: pa.Table, replies: pa.Table, buckets: int) -> pa.Table:
+    docs = _docs(rows)
     texts = docs.column("text").to_pylist()
     lists = block_words(texts, buckets)
     known: dict[bytes, bytes] = {}
@@ -122,11 +145,12 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, docs_per_block: int =
     buckets = partitions(docs.sparkSession)
     rows = docs.select(docs["doc_id"].cast("bigint"), text_of(docs).alias("text"))
     rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)))
-    words = rows.groupBy("block").applyInArrow(
+    packed = rows.mapInArrow(_pack_docs, "block long, docs binary")
+    words = packed.groupBy("block").applyInArrow(
         lambda t: _words(t, buckets), "bucket int, block long, n long, words binary")
     replies = words.groupBy("bucket").applyInArrow(
         lambda t: _encode_bucket(t, ranks_path, pattern), "block long, bucket int, n long, ids binary")
-    return rows.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(
+    return packed.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(
         lambda d, r: _assemble(d, r, buckets), "doc_id long, ids array<int>")
 
 
