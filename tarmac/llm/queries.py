@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import work_path
-from . import mixing, quality, simhash, suffix_array, suffix_automaton, token_files, topk, word_bpe
+from . import (
+    language,
+    mixing,
+    quality,
+    simhash,
+    suffix_array,
+    suffix_automaton,
+    token_files,
+    topk,
+    toxicity,
+    word_bpe,
+)
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,3 +82,15 @@ def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_automaton.digest(table(spark, sf_dir, "documents"), length=50)
+
+
+@query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language.identify(docs, language.train(docs))
