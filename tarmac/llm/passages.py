@@ -6,31 +6,37 @@ starts in a document with a smaller id.
 
 1. Anchors (see :mod:`winnow`) of all documents are dealt by hash; those seen
    in one document only leave here.  This loses nothing: a repeated window
-   has its anchor in common with the earlier document.
-2. Around each remaining anchor a document cuts the *context* that holds all
-   windows it is the anchor of.  Contexts are dealt by anchor, so every
-   occurrence of a window meets in one task.
+   has its anchors in common with the earlier document.  An anchor that two
+   documents of one batch have is settled where it is read; of its rows only
+   one goes on to the anchor's task, so a line that a third of the documents
+   have does not pile up there.
+2. A document cuts out the *contexts* of its windows that may still repeat,
+   one for each run of windows with the same anchor.  Contexts are dealt by
+   anchor, so every occurrence of a window meets in one task; equal contexts
+   of one batch travel as one row with the list of their places.
 3. There the operator's own method (``match``) says which windows of each
    context start in a smaller document.
 4. The spans go back to their documents.
 
 A document whose whole text stands in a smaller document is a *copy*: all of
 its windows repeat, so it sends no contexts.  Both passes over the texts read
-them from one exchange.
+them, compressed, from one exchange.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NO_ID, text_of
-from .winnow import doc_anchors
+from .common import NO_ID, partitions, text_of
+from .winnow import candidate_runs, doc_anchors, mix
 
 
 @dataclass(frozen=True)
@@ -43,13 +49,8 @@ class Scheme:
     context: Callable[[bytes], Callable[[int, int], bytes]]  # text -> (from unit, to unit) -> bytes
 
 
-def _texts(column: pa.Array) -> list[bytes]:
-    return column.cast(pa.binary()).to_pylist()
-
-
-def _slices(batch: pa.RecordBatch, column: int, limit: int = 1 << 22) -> Iterator[tuple[int, list[bytes]]]:
-    """A batch's texts a few MB at a time: (first row, texts)."""
-    texts = _texts(batch.column(column))
+def _slices(texts: list[bytes], limit: int = 1 << 22) -> Iterator[tuple[int, list[bytes]]]:
+    """Texts a few MB at a time: (first row, texts)."""
     at, n = 0, 0
     for i, t in enumerate(texts):
         n += len(t)
@@ -60,125 +61,202 @@ def _slices(batch: pa.RecordBatch, column: int, limit: int = 1 << 22) -> Iterato
         yield at, texts[at:]
 
 
-def _anchor_rows(batches: Iterator[pa.RecordBatch], scheme: Scheme) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ids = batch.column(0).to_numpy(zero_copy_only=False)
-        for first, texts in _slices(batch, 1):
-            units, offsets = scheme.units(texts)
-            doc, at, h = doc_anchors(units, offsets, scheme.length, scheme.gram)
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(ids[first + doc]),
-                                              pa.array(at.astype(np.int32))], ["h", "ord", "pos"])
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(ord, th, text) -> (ord, th, z): the text compressed for the shuffle."""
+    z = zstandard.ZstdCompressor(3)
+    for b in batches:
+        out = [z.compress(t) for t in b.column(2).cast(pa.binary()).to_pylist()]
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.binary())], ["ord", "th", "z"])
+
+
+def unpacked(column: pa.Array) -> list[bytes]:
+    z = zstandard.ZstdDecompressor()
+    return [z.decompress(t.as_py()) for t in column]
+
+
+def _blob(*arrays: np.ndarray) -> bytes:
+    """Arrays of known types as one compressed value."""
+    sizes = np.array([a.nbytes for a in arrays], np.int64)
+    return zstandard.compress(sizes.tobytes() + b"".join(a.tobytes() for a in arrays), 3)
+
+
+def _unblob(blob: bytes, *kinds) -> list[np.ndarray]:
+    raw = zstandard.decompress(blob)
+    sizes = np.frombuffer(raw, np.int64, len(kinds))
+    ends = np.cumsum(sizes) + sizes.nbytes
+    return [np.frombuffer(raw, k, n // np.dtype(k).itemsize, e - n) for k, n, e in zip(kinds, sizes.tolist(), ends.tolist(), strict=True)]
+
 
+def _dealt(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(bucket, rows of it)."""
+    order = np.argsort(bucket, kind="stable")
+    head = np.flatnonzero(np.r_[True, np.diff(bucket[order]) != 0]) if len(order) else order
+    for rows in np.split(order, head[1:]) if len(order) else ():
+        yield int(bucket[rows[0]]), rows
 
-def _shared_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (h, ord, pos) sorted by (h, ord) -> (ord, pos) of the hashes that two documents have.
 
-    Only the rows of a hash's first document wait, so a hash may have any number of rows.
+def _anchor_rows(batches: Iterator[pa.RecordBatch], scheme: Scheme, buckets: int) -> Iterator[pa.RecordBatch]:
+    """(ord, text) -> rows (bucket, settled, pairs): packed (hash, ord) pairs.
+
+    Where the batch itself shows that a hash is shared, its pairs are settled, and one of them goes on
+    with the open ones to the hash's bucket, for the documents of other batches.
     """
-    h = o = p = np.zeros(0, np.int64)
-    known = False  # rows of the first hash in hand: is it shared already?
     for batch in batches:
-        bh, bo, bp = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(3))
-        known = known and bool(len(bh)) and (last_h == bh[0])
-        h, o, p = np.r_[h, bh], np.r_[o, bo], np.r_[p, bp]
-        if not len(h):
+        ids = batch.column(0).to_numpy(zero_copy_only=False)
+        docs, hashes = [], []
+        for first, texts in _slices(batch.column(1).cast(pa.binary()).to_pylist()):
+            units, offsets = scheme.units(texts)
+            d, h = doc_anchors(units, offsets, scheme.length, scheme.gram)
+            docs.append(ids[first + d])
+            hashes.append(h)
+        if not docs or not sum(map(len, docs)):
             continue
+        o, h = np.concatenate(docs), np.concatenate(hashes)
+        order = np.lexsort((o, h))
+        o, h = o[order], h[order]
         head = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
         tail = np.r_[head[1:], len(h)]
-        shared = o[head] != o[tail - 1]
-        shared[0] |= known
-        last_h, known = h[-1], bool(shared[-1])
-        keep = np.repeat(shared, tail - head)
-        yield pa.RecordBatch.from_arrays([pa.array(o[keep]), pa.array(p[keep].astype(np.int32))], ["ord", "pos"])
-        cut = len(h) if known else head[-1]  # the last hash may go on
-        h, o, p = h[cut:], o[cut:], p[cut:]
-
-
-def _context_rows(batches: Iterator[pa.RecordBatch], scheme: Scheme) -> Iterator[pa.RecordBatch]:
-    """Rows (ord, th, text, pos[]) -> (h, ord, th, first, off, context)."""
-    back = scheme.length - scheme.gram
+        known = np.repeat(o[head] != o[tail - 1], tail - head)
+        sent = ~known
+        sent[head] = True
+        out = [(False, b, o[sent][r], h[sent][r]) for b, r in _dealt(h[sent] % buckets)]
+        out += [(True, b, o[known][r], h[known][r]) for b, r in _dealt(mix(o[known].view(np.uint64)).astype(np.int64) % buckets)]
+        packs = []
+        for _, _, oo, hh in out:
+            by = np.argsort(oo, kind="stable")
+            six = hh[by].view(np.uint8).reshape(-1, 8)[:, :6]  # hashes have 48 bits
+            packs.append(_blob(np.diff(oo[by], prepend=0), np.ascontiguousarray(six)))
+        yield pa.RecordBatch.from_arrays([pa.array([x[1] for x in out], pa.int32()), pa.array([x[0] for x in out]),
+                                          pa.array(packs, pa.binary())], ["bucket", "settled", "pairs"])
+
+
+def _shared_rows(t: pa.Table) -> pa.Table:
+    """The pairs of a bucket -> (ord, h) of the hashes that two documents have."""
+    out_o, out_h, open_o, open_h = [], [], [], []
+    for settled, blob in zip(t.column("settled").to_pylist(), t.column("pairs").to_pylist(), strict=True):
+        step, six = _unblob(blob, np.int64, np.uint8)
+        h = np.zeros((len(step), 8), np.uint8)
+        h[:, :6] = six.reshape(-1, 6)
+        (out_o if settled else open_o).append(np.cumsum(step))
+        (out_h if settled else open_h).append(h.reshape(-1).view(np.int64))
+    if open_o:
+        o, h = np.concatenate(open_o), np.concatenate(open_h)
+        order = np.lexsort((o, h))
+        o, h = o[order], h[order]
+        head = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
+        tail = np.r_[head[1:], len(h)]
+        keep = np.repeat(o[head] != o[tail - 1], tail - head)
+        out_o.append(o[keep])
+        out_h.append(h[keep])
+    return pa.table({"ord": np.concatenate(out_o), "h": np.concatenate(out_h)})
+
+
+def _context_rows(batches: Iterator[pa.RecordBatch], scheme: Scheme, buckets: int) -> Iterator[pa.RecordBatch]:
+    """Rows (ord, th, z, hs[]) -> (bucket, contexts): each context of a batch once, with its places."""
     for batch in batches:
-        ids, th = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
-        wanted = batch.column(3)
-        for first, texts in _slices(batch, 2):
+        ids, th = (batch.column(i).to_pylist() for i in range(2))
+        shared = batch.column(3)
+        found: dict[tuple[int, bytes], list[tuple[int, int, int]]] = {}
+        for first, texts in _slices(unpacked(batch.column(2))):
             units, offsets = scheme.units(texts)
-            doc, at, h = doc_anchors(units, offsets, scheme.length, scheme.gram)
-            sizes = np.diff(offsets)
-            out: list[tuple] = []
-            bounds = np.searchsorted(doc, np.arange(len(texts) + 1))
-            for i, text in enumerate(texts):
-                lo, hi = bounds[i], bounds[i + 1]
-                if lo == hi:
-                    continue
-                places, hashes = at[lo:hi], h[lo:hi]
-                mine = np.isin(places, wanted[first + i].values.to_numpy(zero_copy_only=False))
-                cut = scheme.context(text)
-                start = np.maximum(places[mine] - back, 0)
-                stop = np.minimum(places[mine] + scheme.length, sizes[i])
-                row = first + i
-                out += [(x, ids[row], th[row], a, c - a, cut(a, b)) for x, a, b, c in zip(
-                    hashes[mine].view(np.int64).tolist(), start.tolist(), stop.tolist(), places[mine].tolist(), strict=True)]
-            if out:
-                x, i, t, a, off, ctx = zip(*out, strict=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x, pa.int64()), pa.array(i, pa.int64()), pa.array(t, pa.int64()), pa.array(a, pa.int32()),
-                     pa.array(off, pa.int32()), pa.array(ctx, pa.binary())], ["h", "ord", "th", "first", "off", "ctx"])
-
-
-def groups(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Table]:
-    """Whole groups of equal first column, gathered until their contexts hold ``size`` bytes."""
-    held: list[pa.RecordBatch] = []
-    n = 0
-    for batch in batches:
-        held.append(batch)
-        n += batch.nbytes
-        if n < size:
+            mine = [shared[first + i].values.to_numpy(zero_copy_only=False) for i in range(len(texts))]
+            for runs_ in candidate_runs(units, offsets, scheme.length, scheme.gram, mine):
+                at, cut = -1, None
+                for d, a, b, h in zip(*(r.tolist() for r in runs_), strict=True):
+                    if d != at:
+                        at, cut = d, scheme.context(texts[d])
+                    found.setdefault((h, cut(a, b + scheme.length)), []).append((ids[first + d], th[first + d], a))
+        if not found:
             continue
-        t = pa.Table.from_batches(held).combine_chunks()
-        h = t.column(0).to_numpy()
-        cut = int(np.flatnonzero(np.r_[True, h[1:] != h[:-1]])[-1])
-        if cut:
-            yield t.slice(0, cut)
-            held, n = t.slice(cut).combine_chunks().to_batches(), 0
-        else:
-            n = 0
-    if held:
-        t = pa.Table.from_batches(held).combine_chunks()
-        if len(t):
-            yield t
-
-
-def repeated_spans(docs: DataFrame, scheme: Scheme,
-                   match: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> DataFrame:
-    """Rows (ord, text, starts, ends, is_copy) of every document: the unit spans of its repeated windows.
-
-    ``ord`` is the doc_id, a null one as the largest id.  ``match`` maps rows (h, ord, th, first, off,
-    ctx), whole groups of h in order of (h, ord), to spans (ord, th, s, e); ``th`` tells apart
-    documents that repeat an id.
+        h = np.fromiter((k[0] for k in found), np.int64, len(found))
+        contexts, members = [k[1] for k in found], list(found.values())
+        out = []
+        for bucket, rows in _dealt(h % buckets):
+            rows = rows[np.argsort(h[rows], kind="stable")]
+            place = np.array([x for r in rows.tolist() for x in members[r]], np.int64)
+            out.append((bucket, _blob(
+                h[rows], np.array([len(contexts[r]) for r in rows.tolist()], np.uint32),
+                np.array([len(members[r]) for r in rows.tolist()], np.uint32), place[:, 0], place[:, 1], place[:, 2].astype(np.uint32),
+                np.frombuffer(b"".join(contexts[r] for r in rows.tolist()), np.uint8))))
+        yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.binary())],
+                                         ["bucket", "contexts"])
+
+
+@dataclass(frozen=True)
+class Contexts:
+    """Contexts in order of hash; place i belongs to context ``of[i]``."""
+
+    h: np.ndarray
+    text: list[bytes]
+    of: np.ndarray
+    ord: np.ndarray
+    th: np.ndarray
+    first: np.ndarray
+
+    def groups(self, size: int) -> Iterator[Contexts]:
+        """Whole groups of equal hash, gathered until they hold ``size`` bytes."""
+        ends = np.cumsum([len(t) for t in self.text])
+        head = np.flatnonzero(np.r_[True, self.h[1:] != self.h[:-1]])
+        bounds = np.searchsorted(self.of, np.r_[head, len(self.h)])
+        chunk = (ends[head] - 1) // size  # groups by the bytes before them
+        cuts = np.r_[np.flatnonzero(np.r_[True, chunk[1:] != chunk[:-1]]), len(head)]
+        at = np.r_[head, len(self.h)]
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            c, p = slice(at[a], at[b]), slice(bounds[a], bounds[b])
+            yield Contexts(self.h[c], self.text[c], self.of[p] - at[a], self.ord[p], self.th[p], self.first[p])
+
+
+def unpack_contexts(t: pa.Table) -> Contexts:
+    parts = []
+    for blob in t.column("contexts").to_pylist():
+        h, sizes, counts, o, th, first, text = _unblob(blob, np.int64, np.uint32, np.uint32, np.int64, np.int64, np.uint32, np.uint8)
+        raw, ends = text.tobytes(), np.cumsum(sizes, dtype=np.int64)
+        parts.append((h, [raw[a:b] for a, b in pairwise([0, *ends.tolist()])], counts, o, th, first))
+    h = np.concatenate([x[0] for x in parts])
+    text = [c for x in parts for c in x[1]]
+    of = np.repeat(np.arange(len(h)), np.concatenate([x[2] for x in parts]))
+    o, th, first = (np.concatenate([x[i] for x in parts]).astype(np.int64) for i in (3, 4, 5))
+    order = np.argsort(h, kind="stable")
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    by = np.argsort(rank[of], kind="stable")
+    return Contexts(h[order], [text[i] for i in order.tolist()], rank[of][by], o[by], th[by], first[by])
+
+
+def repeated_spans(docs: DataFrame, scheme: Scheme, match: Callable[[pa.Table], pa.Table]) -> DataFrame:
+    """Rows (ord, th, z, starts, ends, is_copy) of every document: the unit spans of its repeated windows.
+
+    ``ord`` is the doc_id, a null one as the largest id; ``th`` tells apart documents that repeat an
+    id; ``z`` is the compressed text (:func:`unpacked`).  ``match`` maps the packed contexts of a
+    bucket (:func:`unpack_contexts`) to spans (ord, th, s, e).
     """
+    buckets = 2 * partitions(docs.sparkSession)
     rows = docs.select(F.coalesce(docs["doc_id"].cast("bigint"), F.lit(NO_ID)).alias("ord"), text_of(docs).alias("text"))
-    anchor = rows.mapInArrow(lambda it: _anchor_rows(it, scheme), "h long, ord long, pos int")
-    shared = anchor.repartition("h").sortWithinPartitions("h", "ord").mapInArrow(_shared_rows, "ord long, pos int")
-    wanted = shared.groupBy("ord").agg(F.collect_set("pos").alias("pos"))
+    # Neither column is ever null; said here, so that both readers have one plan and share its exchange.
+    texts = (rows.select("ord", F.xxhash64("text").alias("th"), "text")
+             .mapInArrow(_packed, "ord long, th long, z binary").where("ord IS NOT NULL"))
+    anchor = rows.mapInArrow(lambda it: _anchor_rows(it, scheme, buckets), "bucket int, settled boolean, pairs binary")
+    shared = anchor.groupBy("bucket").applyInArrow(_shared_rows, "ord long, h long").where("ord IS NOT NULL")
+    # Dealt before it is gathered: a list for every task's share of a document would only be larger.
+    wanted = shared.repartition("ord").groupBy("ord").agg(F.collect_list("h").alias("hs"))
 
     prints = rows.select("ord", F.xxhash64("text").alias("th"), F.md5("text").alias("digest"))
     firsts = prints.groupBy("digest").agg(F.min("ord").alias("least")).withColumnRenamed("digest", "of_digest")
     copies = (prints.join(firsts, (F.col("digest") == F.col("of_digest")) & (F.col("ord") > F.col("least")))
               .groupBy("ord").agg(F.collect_set("th").alias("copied")))
 
-    asked = wanted.join(copies, "ord", "left").select(F.col("ord").alias("w_ord"), "pos", "copied")
-    near = rows.join(asked.hint("shuffle_hash"), F.col("ord") == F.col("w_ord")).withColumn("th", F.xxhash64("text"))
+    asked = wanted.join(copies, "ord", "left").select(F.col("ord").alias("w_ord"), "hs", "copied")
+    near = texts.join(asked.hint("shuffle_hash"), F.col("ord") == F.col("w_ord"))
     near = near.where(~F.coalesce(F.array_contains("copied", F.col("th")), F.lit(False)))
-    context = near.select("ord", "th", "text", "pos").mapInArrow(
-        lambda it: _context_rows(it, scheme), "h long, ord long, th long, first int, off int, ctx binary")
-    spans = context.repartition("h").sortWithinPartitions("h", "ord").mapInArrow(
-        match, "ord long, th long, s int, e int")
-    back = spans.groupBy("ord").agg(F.collect_list(F.struct("th", "s", "e")).alias("spans"))
+    context = near.select("ord", "th", "z", "hs").mapInArrow(
+        lambda it: _context_rows(it, scheme, buckets), "bucket int, contexts binary")
+    spans = context.groupBy("bucket").applyInArrow(match, "ord long, th long, s int, e int")
+    back = spans.repartition("ord").groupBy("ord").agg(F.collect_list(F.struct("th", "s", "e")).alias("spans"))
 
     marks = back.join(copies, "ord", "full").select(F.col("ord").alias("m_ord"), "spans", "copied")
-    out = rows.join(marks.hint("shuffle_hash"), F.col("ord") == F.col("m_ord"), "left").withColumn("th", F.xxhash64("text"))
+    out = texts.join(marks.hint("shuffle_hash"), F.col("ord") == F.col("m_ord"), "left")
     own = F.filter("spans", lambda x: x["th"] == F.col("th"))
-    return out.select("ord", "text", F.transform(own, lambda x: x["s"]).alias("starts"),
+    return out.select("ord", "th", "z", F.transform(own, lambda x: x["s"]).alias("starts"),
                       F.transform(own, lambda x: x["e"]).alias("ends"),
                       F.coalesce(F.array_contains("copied", F.col("th")), F.lit(False)).alias("is_copy"))
 

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import NO_ID
-from .passages import Scheme, covered, groups, repeated_spans, runs
+from .passages import Contexts, Scheme, covered, repeated_spans, runs, unpack_contexts, unpacked
 
 #: Bytes of contexts that are ranked together.
 CHUNK = 4 << 20
@@ -80,23 +80,6 @@ def ranks(data: np.ndarray, room: np.ndarray, length: int) -> np.ndarray:
         h += step
 
 
-def distinct_contexts(t: pa.Table) -> tuple[np.ndarray, list[int], np.ndarray]:
-    """(distinct context of each row, first row of each distinct, which of them have another in their group)."""
-    h = t.column("h").to_numpy()
-    seen: dict[tuple[int, bytes], int] = {}
-    firsts: list[int] = []
-    of = np.empty(len(h), np.int64)
-    for i, key in enumerate(zip(h.tolist(), t.column("ctx").to_pylist(), strict=True)):
-        j = seen.get(key)
-        if j is None:
-            j = seen[key] = len(firsts)
-            firsts.append(i)
-        of[i] = j
-    group = h[firsts]
-    near = np.r_[False, group[1:] == group[:-1]]
-    return of, firsts, near | np.r_[near[1:], False]
-
-
 def _windows(contexts: list[bytes], owner: np.ndarray, length: int) -> Iterator[np.ndarray]:
     """For each context, which window starts stand in a context of a smaller owner."""
     sizes = np.fromiter(map(len, contexts), np.int64, len(contexts))
@@ -113,46 +96,45 @@ def _windows(contexts: list[bytes], owner: np.ndarray, length: int) -> Iterator[
         yield hit[a:b]
 
 
-def match_contexts(t: pa.Table, length: int, windows: Callable[[list, np.ndarray, int], Iterator[np.ndarray]],
-                   size: Callable[[bytes], int]) -> pa.RecordBatch:
-    """Spans (ord, th, s, e) of the rows of whole groups.
+def match_contexts(c: Contexts, length: int, windows: Callable[[list, np.ndarray, int], Iterator[np.ndarray]],
+                   size: Callable[[bytes], int]) -> pa.Table:
+    """Spans (ord, th, s, e) of the places of whole groups.
 
-    A row whose context a smaller document has is covered whole; of the others the ``windows``
+    A place whose context a smaller document has is covered whole; of the others the ``windows``
     that stand in another context of a smaller document.
     """
-    of, firsts, contested = distinct_contexts(t)
-    ords, th, first = (t.column(c).to_numpy() for c in ("ord", "th", "first"))
-    owner = ords[firsts]
-    text = t.column("ctx")
-    own: dict[int, tuple[list[int], list[int]]] = {}
-    asked = np.flatnonzero(contested)
+    seen: dict[tuple[int, bytes], int] = {}
+    one = np.fromiter((seen.setdefault(k, len(seen)) for k in zip(c.h.tolist(), c.text, strict=True)), np.int64, len(c.h))
+    of, contexts = one[c.of], [k[1] for k in seen]
+    group = np.fromiter((k[0] for k in seen), np.int64, len(seen))
+    _, member, count = np.unique(group, return_inverse=True, return_counts=True)
+    owner = np.full(len(contexts), np.iinfo(np.int64).max)
+    np.minimum.at(owner, of, c.ord)
+    own: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    asked = np.flatnonzero(count[member] > 1)  # a context alone in its group repeats itself only
     if len(asked):
-        contexts = [text[firsts[i]].as_py() for i in asked]
-        for i, hit in zip(asked.tolist(), windows(contexts, owner[asked], length), strict=True):
+        for i, hit in zip(asked.tolist(), windows([contexts[i] for i in asked], owner[asked], length), strict=True):
             if hit.any():
                 a, b = runs(hit)
-                own[i] = (a.tolist(), (b + length - 1).tolist())
-    out: list[tuple[int, int, int, int]] = []
-    sizes = [size(text[i].as_py()) for i in firsts]
-    whole = ords > owner[of]
-    for i, j, o, d, f, w in zip(range(len(of)), of.tolist(), ords.tolist(), th.tolist(), first.tolist(), whole.tolist(), strict=True):
-        if w:
-            out.append((o, d, f, f + sizes[j]))
-        elif j in own:
-            out += [(o, d, f + a, f + b) for a, b in zip(*own[j], strict=True)]
-    o, d, s, e = zip(*out, strict=True) if out else ((), (), (), ())
-    return pa.RecordBatch.from_arrays([pa.array(o, pa.int64()), pa.array(d, pa.int64()), pa.array(s, pa.int32()),
-                                       pa.array(e, pa.int32())], ["ord", "th", "s", "e"])
+                own[i] = (a, b + length - 1)
+    whole = c.ord > owner[of]
+    sizes = np.fromiter(map(size, contexts), np.int64, len(contexts))
+    out = [(c.ord[whole], c.th[whole], c.first[whole], c.first[whole] + sizes[of[whole]])]
+    for i in np.flatnonzero(~whole & np.isin(of, list(own))).tolist():
+        a, b = own[int(of[i])]
+        out.append((np.full(len(a), c.ord[i]), np.full(len(a), c.th[i]), c.first[i] + a, c.first[i] + b))
+    o, d, s, e = (np.concatenate(x) for x in zip(*out, strict=True))
+    return pa.table({"ord": pa.array(o, pa.int64()), "th": pa.array(d, pa.int64()), "s": pa.array(s.astype(np.int32)),
+                     "e": pa.array(e.astype(np.int32))})
 
 
-def _match(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    for t in groups(batches, CHUNK):
-        yield match_contexts(t, length, _windows, len)
+def _match(t: pa.Table, length: int) -> pa.Table:
+    return pa.concat_tables([match_contexts(c, length, _windows, len) for c in unpack_contexts(t).groups(CHUNK)])
 
 
 def repeated_bytes(docs: DataFrame, length: int = 50) -> DataFrame:
-    """(ord, text, starts, ends, is_copy): byte spans covered by ``length`` bytes that start in a smaller document."""
-    return repeated_spans(docs, byte_scheme(length), lambda it: _match(it, length))
+    """(ord, th, z, starts, ends, is_copy): byte spans covered by ``length`` bytes that start in a smaller document."""
+    return repeated_spans(docs, byte_scheme(length), lambda t: _match(t, length))
 
 
 def mask(n: int, starts: np.ndarray, ends: np.ndarray, is_copy: bool, length: int) -> np.ndarray:
@@ -160,10 +142,10 @@ def mask(n: int, starts: np.ndarray, ends: np.ndarray, is_copy: bool, length: in
 
 
 def span_rows(batch: pa.RecordBatch) -> Iterator[tuple[bytes, np.ndarray, np.ndarray, bool]]:
-    """(text, starts, ends, is_copy) of rows (ord, text, starts, ends, is_copy)."""
+    """(text, starts, ends, is_copy) of rows (ord, th, z, starts, ends, is_copy)."""
     none = np.zeros(0, np.int64)
-    for text, s, e, copy in zip(batch.column(1).cast(pa.binary()), batch.column(2), batch.column(3), batch.column(4), strict=True):
-        yield (text.as_py(), *((x.values.to_numpy() if x.is_valid else none) for x in (s, e)), copy.as_py())
+    for text, s, e, copy in zip(unpacked(batch.column(2)), batch.column(3), batch.column(4), batch.column(5), strict=True):
+        yield (text, *((x.values.to_numpy() if x.is_valid else none) for x in (s, e)), copy.as_py())
 
 
 def ids(batch: pa.RecordBatch) -> pa.Array:

@@ -28,12 +28,11 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from .passages import Scheme, groups, repeated_spans
+from .passages import Scheme, repeated_spans, unpack_contexts
 from .suffix_array import ids, mask, match_contexts, span_rows
 
-#: Bytes of passages (and their keys) in a shard.
+#: Bytes of passages in a shard.
 CHUNK = 1 << 20
 
 
@@ -125,14 +124,14 @@ def _windows(contexts: list[bytes], owner: np.ndarray, length: int) -> Iterator[
     yield from hits
 
 
-def _match(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    for t in groups(batches, CHUNK):
-        yield match_contexts(t, length, _windows, lambda c: c.count(b" ") + 1)
+def _match(t: pa.Table, length: int) -> pa.Table:
+    return pa.concat_tables([match_contexts(c, length, _windows, lambda x: x.count(b" ") + 1)
+                             for c in unpack_contexts(t).groups(CHUNK)])
 
 
 def repeated_words(docs: DataFrame, length: int = 50) -> DataFrame:
-    """(ord, text, starts, ends, is_copy): word spans covered by ``length`` words that start in a smaller document."""
-    return repeated_spans(docs, word_scheme(length), lambda it: _match(it, length))
+    """(ord, th, z, starts, ends, is_copy): word spans covered by ``length`` words that start in a smaller document."""
+    return repeated_spans(docs, word_scheme(length), lambda t: _match(t, length))
 
 
 def _kept(text: bytes, starts: np.ndarray, ends: np.ndarray, copy: bool, length: int) -> tuple[list[bytes], int]:
@@ -161,18 +160,18 @@ def digest(docs: DataFrame, length: int = 50) -> DataFrame:
 
 
 def _clean(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """Only the documents that lose words: (ord, th, kept, n_kept); th as in the caller."""
+    """Only the documents that lose words: (ord, th, kept)."""
     for batch in batches:
         rows = [(i, *_kept(*row, length)) for i, row in enumerate(span_rows(batch))]
         cut = [(i, kept) for i, kept, n in rows if len(kept) < n]
-        at = [i for i, _ in cut]
+        at = pa.array([i for i, _ in cut], pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0).take(pa.array(at, pa.int64())), batch.column(5).take(pa.array(at, pa.int64())),
+            [batch.column(0).take(at), batch.column(1).take(at),
              pa.array([b" ".join(k).decode("utf-8", "replace") for _, k in cut], pa.string())], ["ord", "th", "kept"])
 
 
 def cut_texts(docs: DataFrame, length: int = 50) -> DataFrame:
     """(ord, th, kept) of the documents that lose words: id, xxhash64 of the text, and the words left, space-joined."""
-    found = repeated_words(docs, length).withColumn("th", F.xxhash64("text"))
+    found = repeated_words(docs, length)
     return found.where("is_copy OR size(starts) > 0").mapInArrow(
         lambda it: _clean(it, length), "ord long, th long, kept string")

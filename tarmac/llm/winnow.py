@@ -61,25 +61,25 @@ def sliding_min(a: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(a[:-rest], a[rest:]) if rest else a
 
 
-def anchors(units: np.ndarray, ends: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
-    """(positions, gram hashes) of the anchors of all windows that end in their own document.
+def window_anchors(units: np.ndarray, ends: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(window starts, anchor of each, gram hashes of all positions) of the windows that end in their own document.
 
     ``units`` are the unit hashes of several documents; ``ends`` the end of each.
     """
-    width = length - gram + 1
     if len(units) < length:
-        return np.zeros(0, np.int64), np.zeros(0, _U)
+        none = np.zeros(0, np.int64)
+        return none, none, np.zeros(0, _U)
     g = gram_hash(units, gram)
     key = (g & ~_LOW) | np.arange(len(g), dtype=_U)
-    least = sliding_min(key, width)
+    least = sliding_min(key, length - gram + 1)
     n = len(least)
     starts = np.r_[0, ends[:-1]]
     own = np.zeros(n + 1, np.int32)
     last = np.maximum(ends - length + 1, starts)  # past the last window of each document
     np.add.at(own, np.minimum(starts, n), 1)
     np.add.at(own, np.minimum(last, n), -1)
-    at = np.unique((least[np.cumsum(own[:n]) > 0] & _LOW).astype(np.int64))
-    return at, g[at]
+    at = np.flatnonzero(np.cumsum(own[:n]) > 0)
+    return at, (least[at] & _LOW).astype(np.int64), g
 
 
 def parts(sizes: np.ndarray, length: int) -> Iterator[list[tuple[int, int, int]]]:
@@ -101,18 +101,61 @@ def parts(sizes: np.ndarray, length: int) -> Iterator[list[tuple[int, int, int]]
         yield group
 
 
-def doc_anchors(units: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(document, position in it, gram hash) of every anchor of a batch of documents."""
-    docs, places, hashes = [], [], []
+def _grouped(units: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> Iterator[tuple]:
+    """For each group of parts: (document and first unit of each part, their ends, window starts, anchors, hashes)."""
     for group in parts(np.diff(offsets), length):
         rows = [units[offsets[d] + a:offsets[d] + b] for d, a, b in group]
         ends = np.cumsum([len(r) for r in rows])
-        at, h = anchors(np.concatenate(rows).astype(_U), ends, length, gram)
-        of = np.searchsorted(ends, at, side="right")
         doc, first = np.array([g[0] for g in group]), np.array([g[1] for g in group])
-        docs.append(doc[of])
-        places.append(at - np.r_[0, ends[:-1]][of] + first[of])
-        hashes.append(h)
+        yield doc, first, ends, *window_anchors(np.concatenate(rows).astype(_U), ends, length, gram)
+
+
+def doc_anchors(units: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
+    """(document, hash) of the anchors of a batch of documents, each hash once per document."""
+    docs, hashes = [], []
+    for doc, _, ends, _, anchor, g in _grouped(units, offsets, length, gram):
+        at = np.unique(anchor)
+        docs.append(doc[np.searchsorted(ends, at, side="right")])
+        hashes.append(short(g[at]))
     if not docs:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, _U)
-    return np.concatenate(docs), np.concatenate(places), np.concatenate(hashes)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    d, h = np.concatenate(docs), np.concatenate(hashes)
+    order = np.lexsort((h, d))
+    d, h = d[order], h[order]
+    new = np.r_[True, (d[1:] != d[:-1]) | (h[1:] != h[:-1])]
+    return d[new], h[new]
+
+
+def short(g: np.ndarray) -> np.ndarray:
+    """48 bits of a hash: anchors only say where to look, so a chance collision costs a look and nothing else."""
+    return (g >> _U(16)).astype(np.int64)
+
+
+def candidate_runs(units: np.ndarray, offsets: np.ndarray, length: int, gram: int,
+                   shared: list[np.ndarray]) -> Iterator[tuple[np.ndarray, ...]]:
+    """Windows of each document that may repeat, as runs (document, first, last window start, anchor hash).
+
+    ``shared`` holds the anchor hashes of each document that another document has too; the windows of
+    one anchor form a run.  (Other anchors in a window prove nothing: whether they are anchors
+    depends on what stands around the window.)
+    """
+    for doc, first, ends, at, anchor, g in _grouped(units, offsets, length, gram):
+        if not len(at):
+            continue
+        place = np.unique(anchor)
+        part = np.searchsorted(ends, place, side="right")
+        h = short(g[place])
+        known = np.zeros(len(place), bool)
+        bound = np.searchsorted(part, np.arange(len(doc) + 1))
+        for i, d in enumerate(doc.tolist()):
+            lo, hi = bound[i], bound[i + 1]
+            known[lo:hi] = np.isin(h[lo:hi], shared[d])
+        live = known[np.searchsorted(place, anchor)]
+        at, anchor = at[live], anchor[live]
+        if not len(at):
+            continue
+        head = np.flatnonzero(np.r_[True, (np.diff(at) != 1) | (np.diff(anchor) != 0)])
+        tail = np.r_[head[1:], len(at)] - 1
+        of = np.searchsorted(ends, at[head], side="right")
+        shift = first[of] - np.r_[0, ends[:-1]][of]
+        yield doc[of], at[head] + shift, at[tail] + shift, h[np.searchsorted(place, anchor[head])]

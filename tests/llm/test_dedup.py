@@ -158,22 +158,42 @@ def winnow_free_ranks(data, length):
     return [keys.count(k) if k is not None else 0 for k in keys], keys
 
 
-def test_equal_windows_have_equal_anchors():
+def test_shared_windows_are_candidates():
     rng = np.random.default_rng(3)
     passage = rng.integers(1, 5, 80)
-    texts = [np.r_[rng.integers(1, 5, n), passage, rng.integers(1, 5, n)].astype(np.uint64) for n in (0, 13, 700)]
-    for t, n in zip(texts, (0, 13, 700), strict=True):
-        _, at, h = winnow.doc_anchors(t, np.array([0, len(t)]), 50, 24)
-        inside = (at >= n + 26) & (at < n + 80 - 50)
-        found = set(zip((at[inside] - n).tolist(), h[inside].tolist(), strict=True))
-        assert n == 0 or found == first
-        first = found
+    texts = [np.r_[rng.integers(1, 5, n), passage, rng.integers(1, 5, n)].astype(np.uint64) for n in (20, 13, 700)]
+    offsets = np.r_[0, np.cumsum([len(t) for t in texts])]
+    doc, h = winnow.doc_anchors(np.concatenate(texts), offsets, 50, 24)
+    shared = [np.array([x for x in h[doc == d] if len(set(doc[h == x].tolist())) > 1]) for d in range(3)]
+    assert 0 < sum(map(len, shared)) < len(h) / 2
+    found = set()
+    for runs in winnow.candidate_runs(np.concatenate(texts), offsets, 50, 24, shared):
+        for d, a, b, x in zip(*(r.tolist() for r in runs), strict=True):
+            found |= {(d, i, x) for i in range(a, b + 1)}
+    for d, n in enumerate((20, 13, 700)):
+        assert {i for f, i, _ in found if f == d} >= set(range(n, n + 31))
+    place = lambda d, n: {(i - n, x) for f, i, x in found if f == d and n <= i < n + 31}
+    assert place(0, 20) == place(1, 13) == place(2, 700)
 
 
 def test_long_documents_in_parts_have_the_same_windows(monkeypatch):
     units = np.random.default_rng(5).integers(0, 1 << 40, 5_000).astype(np.uint64)
     offsets = np.array([0, 4_000, 5_000])
-    whole = winnow.doc_anchors(units, offsets, 50, 24)
+
+    def windows():
+        doc, h = winnow.doc_anchors(units, offsets, 50, 24)
+        shared = [h[doc == d] for d in range(2)]
+        return set(zip(doc.tolist(), h.tolist(), strict=True)), {
+            (d, i, x) for runs in winnow.candidate_runs(units, offsets, 50, 24, shared)
+            for d, a, b, x in zip(*(r.tolist() for r in runs), strict=True) for i in range(a, b + 1)}
+
+    whole = windows()
+    assert len(whole[1]) == 3_951 + 951
     monkeypatch.setattr(winnow, "PART", 128)
-    parts = winnow.doc_anchors(units, offsets, 50, 24)
-    assert set(zip(*[x.tolist() for x in whole], strict=True)) == set(zip(*[x.tolist() for x in parts], strict=True))
+    assert windows() == whole
+
+
+def test_a_word_that_repeats_for_ever(spark):
+    docs = spark.createDataFrame([(i, "ha " * (3_000 + i)) for i in range(4)], "doc_id long, text string")
+    got = {r.doc_id: (r.n_words, r.n_removed) for r in suffix_automaton.digest(docs).collect()}
+    assert got == {0: (3_000, 0), 1: (3_001, 3_001), 2: (3_002, 3_002), 3: (3_003, 3_003)}
