@@ -24,7 +24,7 @@ def cut(text: str) -> tuple[str, list[str]]:
 class PieceCache:
     """Ids (as bytes) of pieces; forgets everything when it holds ``limit`` pieces, so memory is bounded."""
 
-    def __init__(self, encode: Callable[[Iterable[str]], list[bytes]], limit: int = 300_000) -> None:
+    def __init__(self, encode: Callable[[Iterable[str]], list[bytes]], limit: int = 1_000_000) -> None:
         self.encode, self.limit = encode, limit
         self.known: dict[str, bytes] = {}
 

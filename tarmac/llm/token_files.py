@@ -157,18 +157,22 @@ def library_encoder(path: str, width: int):
     t = Tokenizer.from_file(path)
     t.encode_special_tokens = True  # their strings in a text are ordinary text
     kind = f"<u{width}"
-    one = lambda s: np.array(t.encode(s, add_special_tokens=False).ids, kind)
+    one = lambda s: np.array(t.encode_batch_fast([s], add_special_tokens=False)[0].ids, kind)
     line_end = one("\n")
 
     def encode(pieces: list[str]) -> list[bytes]:
-        # A line end between pieces is a pre-token of its own, if no piece has white space but its first space.
-        plain = [p for p in pieces if p[:1] == " " and p.split() == [p[1:]]]
+        # A line end between visible characters, or before a space and one, is a pre-token of its own.
+        # So pieces without other white space go through in one call, a line each.
+        plain = [p for p in pieces if p[:1] == " " and p.split() == p[1:].split("\n")]
         if len(plain) < 2 or len(line_end) != 1:
             return [one(p).tobytes() for p in pieces]
         ids = one("\n".join(plain))
-        ends = np.r_[np.flatnonzero(ids == line_end[0]), len(ids)]
-        starts = np.r_[0, ends[:-1] + 1]
-        known = {p: ids[a:b].tobytes() for p, a, b in zip(plain, starts.tolist(), ends.tolist(), strict=True)}
+        after = np.cumsum([p.count("\n") + 1 for p in plain])[:-1] - 1  # the line end that follows each piece
+        raw, ends = ids.tobytes(), (np.flatnonzero(ids == line_end[0])[after] * width).tolist()
+        cuts = zip([0, *[e + width for e in ends]], [*ends, len(raw)], strict=True)
+        known = dict(zip(plain, [raw[a:b] for a, b in cuts], strict=True))
+        if len(known) == len(pieces):
+            return list(known.values())
         return [known[p] if p in known else one(p).tobytes() for p in pieces]
 
     return encode
