@@ -139,7 +139,7 @@ def _assemble(rows: pa.Table, replies: pa.Table, buckets: int) -> pa.Table:
     return pa.table({"doc_id": docs.column("doc_id"), "ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))})
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str, docs_per_block: int = 4096) -> DataFrame:
+def encode(docs: DataFrame, ranks_path: str, pattern: str, docs_per_block: int = 1500) -> DataFrame:
     """(doc_id, ids array<int>) of every row of ``docs``."""
     blocks = max(1, math.ceil(docs.count() / docs_per_block))
     buckets = partitions(docs.sparkSession)
