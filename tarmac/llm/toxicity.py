@@ -30,7 +30,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import text_of
@@ -63,8 +63,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int,
     marks = (labels.select(labels["doc_id"].cast("bigint").alias("id"), labels[label].alias("label"))
              .where("id IS NOT NULL AND label IS NOT NULL").where(~held_out(F.col("id"), folds, fold))
              .groupBy("id").agg(F.max("label").alias("label")))
-    first = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id")
-    chosen = marks.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= per_class).select("id", "label")
+    of_class = lambda own: marks.where(own).orderBy(F.xxhash64("id"), "id").limit(per_class)
+    chosen = of_class(F.col("label") == 1).unionByName(of_class(F.col("label") != 1)).select("id", "label")
     rows = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), text_of(docs).alias("text"))
     # At most per_class ids of each class are broadcast.
     return rows.join(F.broadcast(chosen), F.col("doc_id") == F.col("id")).select("doc_id", "label", "text")
