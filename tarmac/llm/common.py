@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 #: A word is a maximal run of anything but space and U+0009..U+000D.
 WORD = r"[^\x20\x09-\x0D]+"
-GAP = r"[\x20\x09-\x0D]+"
 
 #: Order id of a row without a doc_id: after all others.
 NO_ID = 2**63 - 1

@@ -25,7 +25,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import GAP, WORD, text_of
+from .common import WORD, text_of
 
 SYMBOLS = r"[#*$%&|<>]"
 SCALE = 1_000_000
