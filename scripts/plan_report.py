@@ -1,10 +1,9 @@
-"""Summarise each registered query's executed physical plan into PLANS.md.
+"""Summarise the executed physical plans of each registered query into PLANS.md.
 
     python scripts/plan_report.py [sf_dir] > PLANS.md
 
-Per query: shuffle exchanges, broadcast exchanges, whether filters reached a
-Parquet scan, partial aggregates / partial WindowGroupLimit before a shuffle,
-sort-merge vs broadcast joins, and the columns each scan reads.
+Counts go over *all* executions of a query - writes, checkpoints and
+micro-batches included - taken from the session's event log.
 """
 
 from __future__ import annotations
@@ -13,52 +12,57 @@ import os
 import re
 import sys
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path[:0] = [ROOT, os.path.join(ROOT, "scripts")]
+
+from plan_log import PlanLog, log_conf  # noqa: E402
 
 from tarmac.session import build_session  # noqa: E402
 
 
-def summarise(plan: str) -> dict:
-    shuffles = len(re.findall(r"Exchange (hashpartitioning|rangepartitioning|SinglePartition|RoundRobin)", plan))
-    single = len(re.findall(r"Exchange SinglePartition", plan))
-    bcast = len(re.findall(r"BroadcastExchange", plan))
-    pushed = bool(re.search(r"PushedFilters: \[[^\]]+\]", plan))
-    partial_agg = "partial_" in plan
-    partial_limit = bool(re.search(r"WindowGroupLimit .*Partial", plan))
-    smj = plan.count("SortMergeJoin")
-    bhj = plan.count("BroadcastHashJoin")
-    reads = []
-    for m in re.finditer(r"FileScan parquet \[([^\]]*)\].*?Location: InMemoryFileIndex\(\d+ paths\)\[file:([^\],]*)", plan):
-        path = m.group(2).rstrip("/")
-        hit = re.search(r"/tarmac/([a-z_]+)-[0-9a-f]+", path)
+def summarise(plans: list[str]) -> dict:
+    plan = "\n".join(plans)
+    reads = set()
+    for m in re.finditer(r"FileScan (\w+) \[([^\]]*)\].*?Location: \w+\(\d+ paths\)\[file:([^\],]*)", plan):
+        path = m.group(3).rstrip("/")
+        hit = re.search(r"/tarmac/([a-z0-9_]+)-[0-9a-f]+", path)
         table = f"scratch:{hit.group(1)}" if hit else os.path.basename(path).replace(".parquet", "")
-        reads.append(f"{table}({len(m.group(1).split(','))})")
-    return dict(shuffles=shuffles, single=single, bcast=bcast, pushed=pushed, partial_agg=partial_agg,
-                partial_limit=partial_limit, smj=smj, bhj=bhj, reads=" ".join(sorted(set(reads))))
+        reads.add(f"{table}({len([c for c in m.group(2).split(',') if c])})")
+    return {
+        "executions": len(plans),
+        "shuffles": len(re.findall(r"Exchange (?:hashpartitioning|rangepartitioning|SinglePartition|RoundRobin)", plan)),
+        "1-part": len(re.findall(r"Exchange SinglePartition", plan)),
+        "bcast": len(re.findall(r"BroadcastExchange", plan)),
+        "SMJ": plan.count("SortMergeJoin"), "BHJ": plan.count("BroadcastHashJoin"),
+        "sort agg": plan.count("SortAggregate"),
+        "pushed filter": "yes" if re.search(r"(?:PushedFilters|PartitionFilters): \[[^\]\s]", plan) else "",
+        "partial agg": "yes" if "partial_" in plan else "",
+        "partial group limit": "yes" if re.search(r"WindowGroupLimit .*Partial", plan) else "",
+        "reads": " ".join(sorted(reads))}
 
 
 def main() -> None:
-    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    import __spark_entry__ as E
+    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+    from tarmac.plans import QUERIES
 
-    spark = build_session("local[8]", 8)
+    spark = build_session("local[8]", 8, extra=log_conf())
+    log = PlanLog(spark)
+    rows = {}
+    for name, fn in QUERIES.items():
+        log.new_plans()
+        fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
+        rows[name] = summarise(log.new_plans())
     print("# PLANS\n")
-    print(f"Executed physical plans (AQE final plans) of every registered query at `{sf_dir}`, generated by")
-    print("`scripts/plan_report.py`. *shuffles* counts shuffle exchanges (of which *1-part* go to a single")
-    print("partition: global aggregates and the per-partition offset table, all bounded); *bcast* counts")
-    print("broadcasts, which Spark chose by size (none is forced except the offset table).")
-    print("*reads* lists each scanned table with the number of columns it reads. For stream and")
-    print("versioned-table queries only the final read is shown; their micro-batch plans are built")
-    print("from the same operators.\n")
-    print("| query | shuffles | 1-part | bcast | SMJ | BHJ | pushed filter | partial agg | partial group-limit | reads |")
-    print("|---|---:|---:|---:|---:|---:|:-:|:-:|:-:|---|")
-    for name, fn in E.queries().items():
-        df = fn(spark, sf_dir)
-        df.write.format("noop").mode("overwrite").save()
-        s = summarise(df._jdf.queryExecution().executedPlan().toString())
-        yes = lambda b: "yes" if b else ""
-        print(f"| {name} | {s['shuffles']} | {s['single']} | {s['bcast']} | {s['smj']} | {s['bhj']} | "
-              f"{yes(s['pushed'])} | {yes(s['partial_agg'])} | {yes(s['partial_limit'])} | {s['reads']} |")
+    print(f"Executed plans (as adaptive execution ended them) of every query of `tarmac/plans` at `{sf_dir}`,")
+    print("from the event log, by `scripts/plan_report.py`. Counts go over all executions of a query: table")
+    print("writes, checkpoints and micro-batches included. *1-part* are exchanges to a single partition (global")
+    print("aggregates and per-partition offset tables, all bounded); *reads* lists scanned tables with the number")
+    print("of columns read, `scratch:` being what the query wrote itself.\n")
+    columns = list(next(iter(rows.values())))
+    print("| query | " + " | ".join(columns) + " |")
+    print("|---|" + "---|" * len(columns))
+    for name, r in rows.items():
+        print(f"| {name} | " + " | ".join(str(r[c]) for c in columns) + " |")
     spark.stop()
 
 

@@ -7,9 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ARRIVAL = "_arrival"
-
-
 def _asc(c) -> Column:
     if isinstance(c, Column):
         return c
@@ -22,15 +19,6 @@ def order_spec(order: Sequence) -> list[Column]:
     return [_asc(c) for c in order]
 
 
-def with_arrival_order(df: DataFrame, name: str = ARRIVAL) -> DataFrame:
-    """Tag rows with a file-order id right after a scan.
-
-    ``monotonically_increasing_id`` follows partition order and row order within
-    a split, which for a file scan is file order: pandas' "first row" semantics.
-    """
-    return df.withColumn(name, F.monotonically_increasing_id())
-
-
 def distinct_rows(df: DataFrame) -> DataFrame:
     """Full-row dedup (NULL equals NULL).  Partial aggregation runs before the
     shuffle, so a hot row value is collapsed map-side."""

@@ -26,11 +26,17 @@ def global_top1(df: DataFrame, order: Sequence, n: int = 1) -> DataFrame:
     return df.orderBy(*order_spec(order)).limit(n)
 
 
+def order_key(order: Sequence[str]) -> Column:
+    """The order as one comparable value; a single column stays plain, which keeps
+    its minimum in hash aggregation (a struct needs a sort)."""
+    return F.col(order[0]) if len(order) == 1 else F.struct(*[F.col(c) for c in order])
+
+
 def _first_stop(df: DataFrame, group: Sequence[str], order: Sequence[str],
                 stop: Column) -> DataFrame:
     """Smallest order key of a stop row per group, as a struct (aggregate with a
     map-side partial, so a hot group is pre-reduced before the shuffle)."""
-    key = F.struct(*[F.col(c) for c in order])
+    key = order_key(order)
     return (df.where(stop).groupBy(*group)
               .agg(F.min(key).alias("_stop_at")))
 
@@ -47,7 +53,7 @@ def take_while(df: DataFrame, order: Sequence[str], stop: Column,
     is computed once.
     """
     order = list(order)
-    key = F.struct(*[F.col(c) for c in order])
+    key = order_key(order)
     if group:
         stops = _first_stop(df, group, order, stop)
         stops = stops.select(*[F.col(g).alias(f"_s_{g}") for g in group], "_stop_at")

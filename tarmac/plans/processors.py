@@ -19,10 +19,11 @@ from .. import schemas as S
 from ..functions import clean as C
 from ..operators import keys, lookup, ranking, upsert
 from ..operators.dedup import keep_first
+from ..session import ensure_checkpoint_dir
 from .warehouse import Warehouse
 
 ORD = ["partition", "offset"]
-DEFAULT_SEASON = 2024
+MAX_ATTEMPTS = 10
 
 
 def _decode(msgs: DataFrame, ddl: str) -> DataFrame:
@@ -30,7 +31,8 @@ def _decode(msgs: DataFrame, ddl: str) -> DataFrame:
 
 
 # Reasons that may resolve later (the referenced row arrives in a later batch);
-# such rejects are offered again with every batch.
+# such rejects are offered again, ``max_attempts`` times at most, then given up.
+# All other reasons are final.
 RETRYABLE = ["unknown driver", "unknown race", "unknown constructor"]
 
 
@@ -41,24 +43,48 @@ def _reject(df: DataFrame, reason: str, topic: str) -> DataFrame:
                      F.col("partition").cast("int").alias("partition"), F.col("offset").cast("bigint").alias("offset"))
 
 
-def _race_map(wh: Warehouse, season: int | None) -> DataFrame:
-    r = wh.read("race").select(F.col("year").cast("bigint").alias("season_n"),
-                               F.col("round").cast("bigint").alias("round_n"), "race_id")
-    return r.where(F.col("season_n") == season) if season is not None else r
+def _rejects(*parts: DataFrame) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _split(df: DataFrame, bad: Column, reason: str, topic: str) -> tuple[DataFrame, DataFrame]:
+    """Rows that pass, and the rejects of those where ``bad`` holds (NULL counts as holding)."""
+    bad = F.coalesce(bad, F.lit(True))
+    return df.where(~bad), _reject(df.where(bad), reason, topic)
+
+
+def _duplicates(d: DataFrame, new: DataFrame, topic: str) -> DataFrame:
+    """The messages of ``d`` that ``new`` (rows to insert) left out."""
+    kept = new.select(*ORD)
+    return _reject(d.join(kept, ORD, "left_anti"), "duplicate key", topic)
+
+
+def _resolved(df: DataFrame, dim: DataFrame, on: list[str], take: list[str], reason: str, topic: str):
+    """J1 / J2 in one join: the resolved rows, and the rejects of the others."""
+    tagged = lookup.resolve_tagged(df, dim, on, take)
+    return (tagged.where(F.col(lookup.HIT)).drop(lookup.HIT),
+            _reject(tagged.where(~F.col(lookup.HIT)), reason, topic))
 
 
 def _resolve_driver(df: DataFrame, wh: Warehouse, ref: Column, topic: str):
     # Full-row dedup keeps variants of one driver (Q16): look up distinct (ref, id).
     dim = wh.read("driver").select(F.col("driverRef").alias("_dref"), "driverId").distinct()
-    ok, rej = lookup.resolve(df.withColumn("_dref", ref), dim, "_dref", ["driverId"], reason="unknown driver")
-    return ok.drop("_dref"), _reject(rej, "unknown driver", topic)
+    ok, rej = _resolved(df.withColumn("_dref", ref), dim, ["_dref"], ["driverId"], "unknown driver", topic)
+    return ok.drop("_dref"), rej
 
 
-def _resolve_race(df: DataFrame, wh: Warehouse, season: Column, rnd: Column, topic: str,
-                  season_filter: int | None):
+def _resolve_race(df: DataFrame, wh: Warehouse, season: Column, rnd: Column, topic: str, only: int):
+    """Race ids of season ``only``; another season is a final reject, an unknown round one that may resolve."""
     df = df.withColumn("season_n", season.try_cast("bigint")).withColumn("round_n", rnd.try_cast("bigint"))
-    ok, rej = lookup.resolve(df, _race_map(wh, season_filter), ["season_n", "round_n"], ["race_id"])
-    return ok, _reject(rej, "unknown race", topic)
+    df, bad = _split(df, F.col("season_n").isNull() | F.col("round_n").isNull(), "invalid season or round", topic)
+    df, other = _split(df, F.col("season_n") != only, "other season", topic)
+    races = wh.read("race").where(F.col("year") == only).select(
+        F.col("year").cast("bigint").alias("season_n"), F.col("round").cast("bigint").alias("round_n"), "race_id")
+    ok, rej = _resolved(df, races, ["season_n", "round_n"], ["race_id"], "unknown race", topic)
+    return ok, _rejects(bad, other, rej)
 
 
 # ----------------------------------------------------------------- dimensions
@@ -73,8 +99,9 @@ def process_status(wh: Warehouse, msgs: DataFrame) -> DataFrame:
     new = upsert.insert_new(current, d, "status_name", ORD, small_batch=True)                             # W1 + J5
     new = keys.assign_ids(new.select("status_name", *ORD), ORD, "statusid",
                           start=keys.max_id(current, "statusid"))
+    dup = _duplicates(d, new, t)
     wh.append("status", new.select("statusid", "status_name"))
-    return _reject(bad, "invalid status id", t)
+    return _rejects(_reject(bad, "invalid status id", t), dup)
 
 
 def process_driver(wh: Warehouse, msgs: DataFrame) -> DataFrame:
@@ -91,7 +118,7 @@ def process_driver(wh: Warehouse, msgs: DataFrame) -> DataFrame:
                      F.col("v.nationality").alias("nationality"), F.col("v.url").alias("url"))
     new = keys.assign_ids(new, ORD, "driverId", start=keys.max_id(current, "driverId"))
     wh.append("driver", new)
-    return _reject(msgs.limit(0), "", "driver_topic")
+    return _duplicates(d, new, "driver_topic")
 
 
 def process_constructor(wh: Warehouse, msgs: DataFrame) -> DataFrame:
@@ -104,12 +131,16 @@ def process_constructor(wh: Warehouse, msgs: DataFrame) -> DataFrame:
                      F.col("v.url").alias("url_constructors"))
     new = keys.assign_ids(new, ORD, "constructorId", start=keys.max_id(current, "constructorId"))
     wh.append("constructor", new)
-    return _reject(msgs.limit(0), "", "constructor_topic")
+    return _duplicates(d, new, "constructor_topic")
 
 
-def process_race(wh: Warehouse, msgs: DataFrame, legacy_int_coords: bool = True) -> DataFrame:
+def process_race(wh: Warehouse, msgs: DataFrame, legacy_int_coords: bool = False) -> DataFrame:
     """Races with their circuit (lookup-or-create), practice, qualifying and
-    sprint rows: one batch fanned out to five tables (K5)."""
+    sprint rows: one batch fanned out to five tables (K5).
+
+    The race row is written last.  A batch that is replayed after a crash in
+    between finds the race missing, gives it the same id (same batch, same
+    maximum), and each child table takes only the ids it does not have."""
     t = "race_topic"
     d = _decode(msgs, S.RACE_VALUE)
     d = d.withColumn("year", F.col("v.season").try_cast("bigint")).withColumn("round", F.col("v.round").try_cast("bigint"))
@@ -134,12 +165,6 @@ def process_race(wh: Warehouse, msgs: DataFrame, legacy_int_coords: bool = True)
         rows = keys.assign_ids(new.join(cmap, "circuitRef", "left"), ORD, "race_id",
                                start=keys.max_id(races, "race_id")).persist()
         wh.append("circuit", created)
-        wh.append("race", rows.select(
-            "race_id", "circuitId", "year", "round", F.lit(None).cast("bigint").alias("laps"),
-            F.lit(None).cast("double").alias("fastestLap"), F.lit(None).cast("string").alias("fastestLapTime"),
-            F.lit(None).cast("double").alias("fastestLapSpeed"), F.col("v.raceName").alias("name_x"),
-            F.to_date(C.to_timestamp_fmt(F.col("v.date"), "yyyy-MM-dd")).alias("date"),
-            C.strip_z(F.col("v.time")).alias("time_races"), F.col("v.url").alias("url_x")))      # F13
 
         def sess(name):
             return F.col(f"v.{name}.time").isNotNull()                                   # P10
@@ -150,11 +175,19 @@ def process_race(wh: Warehouse, msgs: DataFrame, legacy_int_coords: bool = True)
                     F.when(have, C.strip_z(F.col(f"v.{name}.time"))).alias(f"{prefix}_time")]
 
         fp = rows.where(sess("FirstPractice") | sess("SecondPractice") | sess("ThirdPractice"))  # Q12
-        wh.append("freepractice", fp.select("race_id", *sess_cols("FirstPractice", "fp1"),
-                                            *sess_cols("SecondPractice", "fp2"),
-                                            *sess_cols("ThirdPractice", "fp3")))
-        wh.append("qualifying", rows.where(sess("Qualifying")).select("race_id", *sess_cols("Qualifying", "quali")))
-        wh.append("sprint", rows.select("race_id", *sess_cols("Sprint", "sprint")))            # Q13: always
+        children = {
+            "freepractice": fp.select("race_id", *sess_cols("FirstPractice", "fp1"), *sess_cols("SecondPractice", "fp2"),
+                                      *sess_cols("ThirdPractice", "fp3")),
+            "qualifying": rows.where(sess("Qualifying")).select("race_id", *sess_cols("Qualifying", "quali")),
+            "sprint": rows.select("race_id", *sess_cols("Sprint", "sprint"))}                  # Q13: always
+        for table, child in children.items():
+            wh.append(table, upsert.insert_new(wh.read(table), child, "race_id", small_batch=True))
+        wh.append("race", rows.select(
+            "race_id", "circuitId", "year", "round", F.lit(None).cast("bigint").alias("laps"),
+            F.lit(None).cast("double").alias("fastestLap"), F.lit(None).cast("string").alias("fastestLapTime"),
+            F.lit(None).cast("double").alias("fastestLapSpeed"), F.col("v.raceName").alias("name_x"),
+            F.to_date(C.to_timestamp_fmt(F.col("v.date"), "yyyy-MM-dd")).alias("date"),
+            C.strip_z(F.col("v.time")).alias("time_races"), F.col("v.url").alias("url_x")))      # F13
         rows.unpersist()
     finally:
         new.unpersist()
@@ -162,37 +195,39 @@ def process_race(wh: Warehouse, msgs: DataFrame, legacy_int_coords: bool = True)
 
 
 # ---------------------------------------------------------------------- facts
-def process_laptimes(wh: Warehouse, msgs: DataFrame, season: int = DEFAULT_SEASON,
+def process_laptimes(wh: Warehouse, msgs: DataFrame, season: int,
                      legacy_float: bool = False) -> DataFrame:
     t = "laptimes_topic"
     d = _decode(msgs, S.LAPTIME_VALUE)
     d, rej1 = _resolve_driver(d, wh, F.col("v.driverId"), t)
     d, rej2 = _resolve_race(d, wh, F.coalesce(F.col("v.season"), F.lit(str(season))), F.col("v.round"), t, season)
-    d = d.withColumn("lap", F.col("v.lap").try_cast("bigint"))
+    d, rej3 = _split(d.withColumn("lap", F.col("v.lap").try_cast("bigint")), F.col("lap").isNull(), "invalid lap", t)
     new = upsert.insert_new(wh.read("laptimes"), d, ["driverId", "race_id", "lap"], ORD, small_batch=True)   # W1 + J5 (Q5)
+    dup = _duplicates(d, new, t)
     wh.append("laptimes", new.select(
         "race_id", "driverId", "lap", F.col("v.position").try_cast("bigint").alias("position_laptimes"),
         F.col("v.time").alias("time_laptimes"),
         C.duration_ms(F.col("v.time"), legacy_float=legacy_float).alias("milliseconds_laptimes")))  # F7
-    return rej1.unionByName(rej2)
+    return _rejects(rej1, rej2, rej3, dup)
 
 
-def process_pitstops(wh: Warehouse, msgs: DataFrame, season: int = DEFAULT_SEASON) -> DataFrame:
+def process_pitstops(wh: Warehouse, msgs: DataFrame, season: int) -> DataFrame:
     t = "pitstops_topic"
     d = _decode(msgs, S.PITSTOP_VALUE)
     d, rej1 = _resolve_driver(d, wh, F.col("v.driverId"), t)
     d, rej2 = _resolve_race(d, wh, F.col("v.season"), F.col("v.round"), t, season)
-    d = d.withColumn("stop", F.col("v.stop").try_cast("bigint"))
+    d, rej3 = _split(d.withColumn("stop", F.col("v.stop").try_cast("bigint")), F.col("stop").isNull(), "invalid stop", t)
     new = upsert.insert_new(wh.read("pitstops"), d, ["stop", "race_id", "driverId"], ORD, small_batch=True)  # Q5: batch and table
     ms = C.duration_ms(F.col("v.duration"))                                                # F8
+    dup = _duplicates(d, new, t)
     wh.append("pitstops", new.select(
         "stop", "race_id", "driverId", F.col("v.lap").try_cast("bigint").alias("lap_pitstops"),
         F.col("v.time").alias("time_pitstops"), F.floor(ms / 1000).cast("double").alias("duration"),
         ms.cast("double").alias("milliseconds_pitstops")))
-    return rej1.unionByName(rej2)
+    return _rejects(rej1, rej2, rej3, dup)
 
 
-def process_results(wh: Warehouse, msgs: DataFrame, season: int = DEFAULT_SEASON,
+def process_results(wh: Warehouse, msgs: DataFrame, season: int,
                     dedup_on: list[str] | None = ("raceId", "driverId")) -> DataFrame:
     """Fact rows (FormulaOne) and the guarded race update from rank-1 rows."""
     t = "results_topic"
@@ -205,16 +240,20 @@ def process_results(wh: Warehouse, msgs: DataFrame, season: int = DEFAULT_SEASON
     sts = (wh.read("status").select(F.col("status_name").alias("_sname"), F.col("statusid").alias("statusId"))
               .groupBy("_sname").agg(F.min("statusId").alias("statusId")))
     d, _ = lookup.resolve(d.withColumn("_sname", F.col("v.status")), sts, "_sname", ["statusId"], how="left")  # J3
-    pit = wh.read("pitstops").withColumnRenamed("race_id", "raceId")
+    # Only the batch's keys are looked up: the large tables are filtered before they are grouped.
+    batch_keys = d.select("driverId", "raceId").distinct()
+    pit = wh.read("pitstops").withColumnRenamed("race_id", "raceId").join(batch_keys, ["driverId", "raceId"], "left_semi")
     d = lookup.first_of_many(d, pit, ["driverId", "raceId"], "stop", "stop")               # J6, Q7
     d = d.withColumn("laps_n", F.col("v.laps").try_cast("bigint"))
     laps = wh.read("laptimes").select("driverId", F.col("race_id").alias("raceId"), F.col("lap").alias("laps_n"))
+    laps = laps.join(batch_keys, ["driverId", "raceId"], "left_semi")
     d = lookup.exists_flag(d, laps, ["driverId", "raceId", "laps_n"], "laps_n", "lap")    # J4
+    d = d.persist()
     fact = wh.read("formulaone")
-    if dedup_on:                                                                           # Q2
-        d = upsert.insert_new(fact, d, list(dedup_on), ORD, small_batch=True)
+    new = upsert.insert_new(fact, d, list(dedup_on), ORD, small_batch=True) if dedup_on else d    # Q2
+    dup = _duplicates(d, new, t)
     pos = F.col("v.position")
-    rows = d.select(
+    rows = new.select(
         *ORD, "raceId", "driverId", "constructorId", "statusId",
         F.lit(None).cast("bigint").alias("driverStandingsId"), F.lit(None).cast("bigint").alias("conStandingsId"),
         F.col("v.grid").try_cast("double").alias("grid"), F.col("stop").cast("double").alias("stop"),
@@ -231,7 +270,8 @@ def process_results(wh: Warehouse, msgs: DataFrame, season: int = DEFAULT_SEASON
     rows = keys.assign_ids(rows, ORD, "resultId", start=keys.max_id(fact, "resultId"))
     wh.append("formulaone", rows)
 
-    # A4 -> U1: laps of the first message per race; lap, time, speed of the rank-1 row.
+    # A4 -> U1: laps of the first message per race; lap, time, speed of the rank-1 row.  From all
+    # resolved messages, not the inserted ones, so a replay after the insert still updates.
     is_top = C.text_equals(F.col("v.FastestLap.rank"), "1")                               # F20
     o = F.struct(*[F.col(c) for c in ORD])
     upd = d.groupBy(F.col("raceId").alias("race_id")).agg(
@@ -240,11 +280,12 @@ def process_results(wh: Warehouse, msgs: DataFrame, season: int = DEFAULT_SEASON
         F.min_by(F.when(is_top, F.col("v.FastestLap.Time.time")), F.when(is_top, o)).alias("u_time"),
         F.min_by(F.when(is_top, F.col("v.FastestLap.AverageSpeed.speed").try_cast("double")),
                  F.when(is_top, o)).alias("u_speed"))
-    new_race = upsert.update_guarded(wh.read("race"), upd, "race_id",
-                                     {"laps": "u_laps", "fastestLap": "u_lap", "fastestLapTime": "u_time",
-                                      "fastestLapSpeed": "u_speed"})
-    wh.overwrite("race", new_race)
-    return rej1.unionByName(rej2)
+    sets = {"laps": "u_laps", "fastestLap": "u_lap", "fastestLapTime": "u_time", "fastestLapSpeed": "u_speed"}
+    full = upd.where(C.all_present(*sets.values()))
+    open_races = wh.read("race").where(C.any_missing(*sets)).join(full, "race_id", "left_semi")
+    if not open_races.isEmpty():
+        wh.overwrite("race", upsert.update_guarded(wh.read("race"), upd, "race_id", sets))
+    return _rejects(rej1, rej2, dup)
 
 
 def _standings_rows(msgs: DataFrame, ddl: str, list_name: str) -> DataFrame:
@@ -267,14 +308,14 @@ def _process_standings(wh: Warehouse, msgs: DataFrame, season: int, kind: str,
     t = "constandings_topic" if con else "driverstandings_topic"
     rows = _standings_rows(msgs, S.CON_STANDINGS_VALUE if con else S.DRIVER_STANDINGS_VALUE,
                            "ConstructorStandings" if con else "DriverStandings")
-    rows = rows.withColumn("position_n", F.col("s.position").try_cast("bigint"))
+    rows, rej3 = _split(rows.withColumn("position_n", F.col("s.position").try_cast("bigint")),
+                        F.col("position_n").isNull(), "invalid position", t)
     order = [*ORD, "_i"]
     rows = keep_first(rows, ["position_n" if k == "position" else k for k in dedup_keys], order)   # Q4
     if con:
         dim = wh.read("constructor").select(F.col("constructorRef").alias("_ref"), "constructorId").distinct()
-        ok, rej1 = lookup.resolve(rows.withColumn("_ref", F.col("s.Constructor.constructorId")), dim, "_ref",
-                                  ["constructorId"])
-        rej1 = _reject(rej1, "unknown constructor", t)
+        ok, rej1 = _resolved(rows.withColumn("_ref", F.col("s.Constructor.constructorId")), dim, ["_ref"],
+                             ["constructorId"], "unknown constructor", t)
         ent = "constructorId"
     else:
         ok, rej1 = _resolve_driver(rows, wh, F.col("s.Driver.driverId"), t)
@@ -283,19 +324,30 @@ def _process_standings(wh: Warehouse, msgs: DataFrame, season: int, kind: str,
     table = "constandings" if con else "driverstandings"
     id_col = "constandingsId" if con else "driverStandingsId"
     sfx = "constructorstandings" if con else "driverstandings"
+    # Q3: every standing is a snapshot with a new id.  Ids are noted by message position before they
+    # are used, so a replayed batch finds its own and adds nothing.
+    noted = wh.read("standing_ids").where(F.col("kind") == kind)
+    ids = noted.select(*order, F.col("id").alias(id_col))
+    known = ok.join(ids, order)
     current = wh.read(table)
-    new = keys.assign_ids(ok, order, id_col, start=keys.max_id(current, id_col)).persist()   # Q3: snapshot
+    last = current.select(F.col(id_col).alias("id")).unionByName(noted.select("id"))
+    fresh = keys.assign_ids(ok.join(ids, order, "left_anti"), order, id_col, start=keys.max_id(last, "id"))
+    new = known.unionByName(fresh.select(*known.columns)).persist()
     try:
+        unnoted = new.join(ids.select(*order), order, "left_anti")
+        wh.append("standing_ids", unnoted.select(F.lit(kind).alias("kind"), *order, F.col(id_col).alias("id")))
         cols = [id_col, F.col("s.points").try_cast("double").alias(f"points_{sfx}"),
                 F.col("position_n").alias(f"position_{sfx}"), F.col("s.positionText").alias(f"positionText_{sfx}")]
         if con:
             cols.append(F.col("s.wins").try_cast("bigint").alias(f"wins_{sfx}"))
-        wh.append(table, new.select(*cols))
+        wh.append(table, upsert.insert_new(current, new.select(*cols), id_col, small_batch=True))
         # Repoint fact rows of that race and entity where the id differs; last wins.
         upd = new.select(F.col("race_id").alias("raceId"), ent, F.col(id_col).alias("new_id"), *order)
         fact_col = "conStandingsId" if con else "driverStandingsId"
         fact = wh.read("formulaone")
-        if wh.partitioned("formulaone"):
+        if new.isEmpty():
+            pass
+        elif wh.partitioned("formulaone"):
             # Only the races this batch touches are read, updated and rewritten.
             touched = wh["formulaone"].read_touched(upd)
             changed, _ = upsert.update_from(touched, upd, ["raceId", ent], fact_col, "new_id", order=order)
@@ -305,26 +357,28 @@ def _process_standings(wh: Warehouse, msgs: DataFrame, season: int, kind: str,
             wh.overwrite("formulaone", changed.drop("_changed"))
     finally:
         new.unpersist()
-    return rej1.unionByName(rej2)
+    return _rejects(rej1, rej2, rej3)
 
 
-def process_constandings(wh: Warehouse, msgs: DataFrame, season: int = DEFAULT_SEASON,
+def process_constandings(wh: Warehouse, msgs: DataFrame, season: int,
                          dedup_keys: list[str] = ("season", "round", "position")) -> DataFrame:
     return _process_standings(wh, msgs, season, "con", list(dedup_keys))
 
 
-def process_driverstandings(wh: Warehouse, msgs: DataFrame, season: int = DEFAULT_SEASON,
+def process_driverstandings(wh: Warehouse, msgs: DataFrame, season: int,
                             dedup_keys: list[str] = ("season", "round", "position")) -> DataFrame:
     return _process_standings(wh, msgs, season, "driver", list(dedup_keys))
 
 
-def update_fastest_laps(wh: Warehouse, season: int = DEFAULT_SEASON) -> None:
+def update_fastest_laps(wh: Warehouse, season: int) -> None:
     """Each race of the season gets its fastest lap (NULL times last,
     ties to the lower lap); the speed is cleared (Q23)."""
     races = wh.read("race")
     season_races = races.where(F.col("year") == season).select("race_id")
     laps = wh.read("laptimes").join(season_races, "race_id", "left_semi")
     top = ranking.top1(laps, ["race_id"], ["milliseconds_laptimes", "lap", "driverId"])
+    if top.isEmpty():
+        return
     wh.overwrite("race", upsert.update_from_top1(
         races, top, "race_id", {"fastestLap": "lap", "fastestLapTime": "time_laptimes",
                                 "fastestLapSpeed": F.lit(None)}))
@@ -337,85 +391,99 @@ PROCESSORS = [
     ("results_topic", process_results), ("constandings_topic", process_constandings),
     ("driverstandings_topic", process_driverstandings),
 ]
+SEASONAL = (process_laptimes, process_pitstops, process_results, process_constandings, process_driverstandings)
 
 
-def process_batch(wh: Warehouse, batch: DataFrame, season: int = DEFAULT_SEASON,
-                  retry_rejects: bool = True, batch_id: int | None = None) -> None:
+def process_batch(wh: Warehouse, batch: DataFrame, season: int, retry_rejects: bool = True,
+                  batch_id: int | None = None, stream: str = "", max_attempts: int = MAX_ATTEMPTS) -> None:
     """One micro-batch of all topics (T7), in dependency order.
 
-    With ``retry_rejects``, rejects that may resolve later (``RETRYABLE``) are
-    offered again in their original arrival order, and the rejects table is
-    replaced by the rejects that remain (SURVEY §7.6: rejected rows are
-    re-offered in the next batch)."""
-    keep_old = None
-    if retry_rejects and wh["rejects"].exists():
-        old = wh.read("rejects")
-        again = old.where(F.col("reason").isin(RETRYABLE)).select(
-            "key", "value", "topic", "partition", "offset", F.lit(None).cast("timestamp").alias("timestamp"))
-        keep_old = old.where(~F.col("reason").isin(RETRYABLE))
-        batch = batch.select("key", "value", "topic", "partition", "offset", "timestamp").unionByName(again)
-    cached = batch.persist()
+    Every step adds only what its table does not have, so the batch can be
+    applied again after a crash at any point.  With ``retry_rejects``, rejects
+    that may resolve later (``RETRYABLE``) are offered again in their original
+    arrival order; after ``max_attempts`` offers a reject is final (``gave
+    up``).  Messages of another season are final rejects at once."""
+    old = wh.read("rejects") if wh["rejects"].exists() else None
+    fields = ["key", "value", "topic", "partition", "offset"]
+    batch = batch.select(*fields)
+    if old is not None and retry_rejects:
+        batch = batch.unionByName(old.where(F.col("reason").isin(RETRYABLE)).select(*fields)).distinct()
+    ensure_checkpoint_dir(wh.spark)
+    cached = batch.where(F.col("topic").isin([t for t, _ in PROCESSORS])).persist()
     try:
-        # One job finds the topics present (at most the nine topic names).
+        # One job finds the topics present (of the nine known ones).
         present = {r[0] for r in cached.select("topic").distinct().collect()}
         rejects = []
         for topic, fn in PROCESSORS:
             if topic not in present:
                 continue
-            msgs = cached.where(F.col("topic") == topic)
-            kw = {"season": season} if fn in (process_laptimes, process_pitstops, process_results,
-                                               process_constandings, process_driverstandings) else {}
-            rejects.append(fn(wh, msgs, **kw))
-        update_fastest_laps(wh, season)
+            kw = {"season": season} if fn in SEASONAL else {}
+            # Kept at once: a later step may replace files that a lazy reject would still read.
+            rejects.append(fn(wh, cached.where(F.col("topic") == topic), **kw).checkpoint())
+        if "laptimes_topic" in present:
+            update_fastest_laps(wh, season)
+        if not rejects:
+            return
+        now = _rejects(*rejects)
         if batch_id is not None:
-            _record_metrics(wh, cached, rejects, batch_id)
-        out = keep_old
-        for r in rejects:
-            out = r if out is None else out.unionByName(r)
-        if out is not None:
-            if keep_old is not None:
-                wh.overwrite("rejects", out)      # reads the previous version, writes the next
-            else:
-                wh.append("rejects", out)
+            _record_metrics(wh, cached, now, batch_id, stream)
+        _record_rejects(wh, old, now, retry_rejects, max_attempts)
     finally:
         cached.unpersist()
 
 
-def _record_metrics(wh: Warehouse, batch: DataFrame, rejects: list[DataFrame], batch_id: int) -> None:
+def _record_rejects(wh: Warehouse, old: DataFrame | None, now: DataFrame, retried: bool, max_attempts: int) -> None:
+    """The rejects table after a batch: final ones stay, re-offered ones count up or leave."""
+    same = ["topic", "partition", "offset", "key", "value"]
+    now = now.dropDuplicates([*same, "reason"])
+    if old is None:
+        wh.append("rejects", now.withColumn("attempts", F.lit(1)))
+        return
+    before = old.groupBy(*same).agg(F.max("attempts").alias("_before"))
+    match = [now[c].eqNullSafe(before[c]) for c in same]
+    now = now.join(before, match, "left").select(
+        *[now[c] for c in now.columns], (F.coalesce("_before", F.lit(0)) + 1).alias("attempts"))
+    spent = F.col("reason").isin(RETRYABLE) & (F.col("attempts") >= max_attempts)
+    now = now.withColumn("reason", F.when(spent, F.concat(F.lit("gave up: "), "reason")).otherwise(F.col("reason")))
+    kept = old.where(~F.col("reason").isin(RETRYABLE)) if retried else old
+    out = kept.unionByName(now).dropDuplicates([*same, "reason"])
+    wh.overwrite("rejects", out)          # reads the previous version, writes the next
+
+
+def _record_metrics(wh: Warehouse, batch: DataFrame, rejects: DataFrame, batch_id: int, stream: str) -> None:
     """A5 for the stream: messages read and rejected per topic in this batch
-    (re-offered rejects count again), one row per (batch, topic)."""
+    (re-offered rejects count again), one row per (stream, batch, topic)."""
     read = batch.groupBy("topic").agg(F.count(F.lit(1)).alias("n_read"))
-    if rejects:
-        rej = rejects[0]
-        for r in rejects[1:]:
-            rej = rej.unionByName(r)
-        read = read.join(rej.groupBy("topic").agg(F.count(F.lit(1)).alias("n_rejected")), "topic", "left")
-    else:
-        read = read.withColumn("n_rejected", F.lit(None).cast("bigint"))
-    wh.append("batch_metrics", read.select(F.lit(batch_id).cast("bigint").alias("batch_id"), "topic", "n_read",
-                                           F.coalesce("n_rejected", F.lit(0)).cast("bigint").alias("n_rejected")))
+    read = read.join(rejects.groupBy("topic").agg(F.count(F.lit(1)).alias("n_rejected")), "topic", "left")
+    rows = read.select(F.lit(batch_id).cast("bigint").alias("batch_id"), "topic", "n_read",
+                       F.coalesce("n_rejected", F.lit(0)).cast("bigint").alias("n_rejected"), F.lit(stream).alias("stream"))
+    if wh["batch_metrics"].exists():
+        rows = rows.join(wh.read("batch_metrics").select("stream", "batch_id", "topic"), ["stream", "batch_id", "topic"], "left_anti")
+    wh.append("batch_metrics", rows)
 
 
-def ingest_topics(wh: Warehouse, stream: DataFrame, checkpoint: str,
-                  season: int = DEFAULT_SEASON, available_now: bool = True,
-                  interval: str = "5 minutes", compact_every: int | None = None):
+def ingest_topics(wh: Warehouse, stream: DataFrame, checkpoint: str, season: int, available_now: bool = True,
+                  interval: str = "5 minutes", compact_every: int | None = None, keep_versions: int = 2):
     """Run ``process_batch`` over a topic stream.
 
     ``available_now`` drains what is there and stops (one scheduled run);
     otherwise the query triggers every ``interval``.  Batch ids are recorded in
-    the warehouse ledger, so a batch replayed after a failure is skipped.
+    the warehouse ledger under the stream's own id, so a batch replayed after a
+    failure is skipped, and a second stream into the same warehouse is not.
     ``compact_every`` rewrites every table as one version each N batches, so a
-    long-running stream does not leave a growing number of small files."""
-    from ..streaming.ingest import Ledger, once, run_available_now
+    long-running stream does not leave a growing number of small files; all
+    but ``keep_versions`` old versions are deleted after each batch."""
+    from ..streaming.ingest import Ledger, once, run_available_now, stream_id
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        process_batch(wh, batch, season, batch_id=batch_id)
-        if compact_every and batch_id > 0 and batch_id % compact_every == 0:
-            for table in wh.tables.values():
-                if table.exists():
-                    table.compact()
-
-    fn = once(Ledger(wh.spark, wh.root), step, scope="topics")
+        process_batch(wh, batch, season, batch_id=batch_id, stream=stream_id(wh.spark, checkpoint))
+        for table in wh.tables.values():
+            if compact_every and batch_id > 0 and batch_id % compact_every == 0 and table.exists():
+                table.compact()
+            if not wh.partitioned_table(table):
+                table.vacuum(keep_versions)
+
+    fn = once(Ledger(wh.spark, wh.root), step, scope="topics", checkpoint=checkpoint)
     if available_now:
         run_available_now(stream, fn, checkpoint, name=None)
         return None

@@ -147,7 +147,9 @@ SELECT DISTINCT concat_ws('_', l_orderkey, l_linenumber) AS msg_key FROM lineite
 def compose_key(spark, d):
     """``orderkey_linenumber`` message keys."""
     li = tbl(spark, d, "lineitem")
-    return li.select(C.compose_key("l_orderkey", "l_linenumber").alias("msg_key")).distinct()
+    # The separator keeps keys apart, so the numbers are made distinct and the text is composed after the shuffle.
+    keys = li.select("l_orderkey", "l_linenumber").distinct()
+    return keys.select(C.compose_key("l_orderkey", "l_linenumber").alias("msg_key"))
 
 
 @query("default_field", """

@@ -225,17 +225,30 @@ def max_plus_one(spark, d):
 
 @query("conditional_agg", f"""
 SELECT l_orderkey, COUNT(*) AS n_lines,
-       arg_min(l_quantity, l_extendedprice) AS top_quantity,
-       strftime(arg_min(l_shipdate, l_extendedprice), '{SQL_TS_FMT}') AS top_shipdate
+       arg_min(l_quantity, row(l_extendedprice, l_linenumber, l_partkey, l_suppkey, l_quantity)) AS top_quantity,
+       strftime(arg_min(l_shipdate, row(l_extendedprice, l_linenumber, l_partkey, l_suppkey, l_quantity)), '{SQL_TS_FMT}') AS top_shipdate
 FROM lineitem GROUP BY l_orderkey
 """)
 def conditional_agg(spark, d):
-    """A4: per group, values of the rank-1 row (cheapest line) next to counts."""
+    """A4: per group, values of one rank-1 row (cheapest line, ties broken) next to counts."""
+    li = tbl(spark, d, "lineitem")
+    order = F.struct("l_extendedprice", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+    top = ranking.pick_by(F.struct("l_quantity", "l_shipdate"), order).alias("top")      # both values of one row
+    return (li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines"), top)
+              .select("l_orderkey", "n_lines", F.col("top.l_quantity").alias("top_quantity"),
+                      ts_text("top.l_shipdate").alias("top_shipdate")))
+
+
+@query("rank_filter_agg", f"""
+SELECT l_orderkey, COUNT(*) AS n_lines, MAX(l_quantity) FILTER (WHERE l_linenumber = 1) AS first_quantity
+FROM lineitem GROUP BY l_orderkey
+""")
+def rank_filter_agg(spark, d):
+    """A4, FILTER form: a value of the rows with rank 1, and counts of all."""
     li = tbl(spark, d, "lineitem")
     return li.groupBy("l_orderkey").agg(
         F.count(F.lit(1)).alias("n_lines"),
-        ranking.pick_by("l_quantity", "l_extendedprice").alias("top_quantity"),
-        ts_text(ranking.pick_by("l_shipdate", "l_extendedprice")).alias("top_shipdate"))
+        F.max(F.when(F.col("l_linenumber") == 1, F.col("l_quantity"))).alias("first_quantity"))
 
 
 @query("top1_per_group", f"""
@@ -316,9 +329,9 @@ SELECT o_orderkey, o_custkey, o_totalprice, CAST(year(o_orderdate) AS BIGINT) AS
 WHERE o_orderdate >= TIMESTAMP '1998-01-01' AND o_orderdate < TIMESTAMP '1999-01-01'
 """)
 def history_current(spark, d, current: int = 1998):
-    """P6 + O1: history (<= previous season) and current season, union by name."""
-    o = tbl(spark, d, "orders").withColumn("season", F.year("o_orderdate").cast("bigint"))
-    hist = (o.where(F.col("o_orderdate") < ts_lit(f"{current}-01-01"))
-             .select("o_orderkey", "o_custkey", "o_totalprice", "season"))
-    cur = o.where(in_year("o_orderdate", current)).select("season", "o_totalprice", "o_custkey", "o_orderkey")
-    return hist.unionByName(cur)
+    """P6 + O1: history (<= previous season) and current season.  Both come from one table here, so
+    their union is one scan under an OR; two sources are put together by ``unionByName`` (producers)."""
+    o = tbl(spark, d, "orders")
+    history = F.col("o_orderdate") < ts_lit(f"{current}-01-01")
+    return o.where(history | in_year("o_orderdate", current)).select(
+        "o_orderkey", "o_custkey", "o_totalprice", F.year("o_orderdate").cast("bigint").alias("season"))

@@ -33,7 +33,8 @@ def stream_drain(spark, d, files: int = 4):
     target = VersionedTable(spark, f"{root}/target")
     target.create(ev.limit(0))
     stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/source")
-    fn = once(Ledger(spark, target.root), keep_first_into(target, ["user_id", "event_type"], ["ts", "event_id"]))
+    fn = once(Ledger(spark, target.root), keep_first_into(target, ["user_id", "event_type"], ["ts", "event_id"]),
+              checkpoint=f"{root}/checkpoint")
     run_available_now(stream, fn, f"{root}/checkpoint")
     return target.read().select("event_id", "user_id", "event_type", ts_text("ts").alias("ts"), "value")
 
@@ -60,7 +61,7 @@ def stream_ids(spark, d):
     dim = VersionedTable(spark, f"{root}/users")
     dim.create(spark.createDataFrame([], schema))
     prepare = lambda b: b.groupBy("user_id").agg(F.min("ts").alias("first_ts"))
-    fn = once(Ledger(spark, dim.root), ids_into(dim, "user_id", "uid", ["first_ts", "user_id"], prepare))
+    fn = once(Ledger(spark, dim.root), ids_into(dim, "user_id", "uid", ["first_ts", "user_id"], prepare), checkpoint=ckpt)
     for part in (F.col("ts") < ts_lit(BATCH1_END), F.col("ts") >= ts_lit(BATCH1_END)):
         ev.where(part).write.mode("append").parquet(src)
         run_available_now(spark.readStream.schema(ev.schema).parquet(src), fn, ckpt)

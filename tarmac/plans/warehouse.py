@@ -24,7 +24,7 @@ from ..functions import clean as C
 from ..operators.dedup import keep_first
 from ..operators.filters import tolerant_select
 from ..schemas import CSV_TEXT_SCHEMA
-from ..sources.csv import read_wide_csv
+from ..sources.csv import csv_rejects, read_wide_csv, with_arrival_number
 from ..sources.tables import PartitionedTable, VersionedTable, write_stage
 
 ARR = "_arrival"
@@ -32,18 +32,22 @@ ARR = "_arrival"
 # Table names (lower case; the source system's names fold to these).
 TABLES = ["formulaone", "race", "circuit", "driver", "constructor", "status", "driverstandings",
           "constandings", "laptimes", "pitstops", "qualifying", "sprint", "freepractice", "rejects",
-          "batch_metrics"]
+          "batch_metrics", "standing_ids"]
+
+
+# Which standing got which id, by the position of its message and its place in it.
+STANDING_IDS = "kind STRING, partition INT, offset BIGINT, _i INT, id BIGINT"
 
 
 class Warehouse:
     """The 13 tables (plus rejects) under ``root``.
 
     Every table is a ``VersionedTable`` (updates write a new version), except
-    the fact when ``fact_partition`` is given: then ``formulaone`` is a
-    ``PartitionedTable`` and updates rewrite only the partitions they touch
-    (the layout for a fact too large to rewrite per batch)."""
+    the fact: ``formulaone`` is a ``PartitionedTable`` by ``fact_partition`` and
+    updates rewrite only the partitions they touch.  ``fact_partition=None``
+    keeps it versioned too, for facts small enough to rewrite per batch."""
 
-    def __init__(self, spark: SparkSession, root: str, fact_partition: str | None = None):
+    def __init__(self, spark: SparkSession, root: str, fact_partition: str | None = "raceId"):
         self.spark = spark
         self.root = root.rstrip("/")
         self.tables = {t: VersionedTable(spark, f"{self.root}/{t}") for t in TABLES}
@@ -51,12 +55,18 @@ class Warehouse:
             self.tables["formulaone"] = PartitionedTable(spark, f"{self.root}/formulaone", [fact_partition])
 
     def partitioned(self, name: str) -> bool:
-        return isinstance(self.tables[name], PartitionedTable)
+        return self.partitioned_table(self.tables[name])
+
+    @staticmethod
+    def partitioned_table(table) -> bool:
+        return isinstance(table, PartitionedTable)
 
     def __getitem__(self, name: str) -> VersionedTable:
         return self.tables[name]
 
     def read(self, name: str) -> DataFrame:
+        if name == "standing_ids" and not self.tables[name].exists():
+            return self.spark.createDataFrame([], STANDING_IDS)
         return self.tables[name].read()
 
     def overwrite(self, name: str, df: DataFrame) -> None:
@@ -70,7 +80,8 @@ class Warehouse:
 def stage_csv(spark: SparkSession, csv_path: str, stage_path: str) -> DataFrame:
     """S1 + K1: parse the CSV once into a Parquet stage with file order kept."""
     write_stage(read_wide_csv(spark, csv_path, CSV_TEXT_SCHEMA, arrival_col=ARR), stage_path)
-    return spark.read.parquet(stage_path)
+    write_stage(csv_rejects(spark, csv_path), f"{stage_path}_rejects")
+    return with_arrival_number(spark.read.parquet(stage_path), ARR)
 
 
 def _distinct(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -53,6 +53,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if current:
             base = current
         else:
+            master = spark.conf.get("spark.master", "")
+            if not master.startswith("local") or master.startswith("local-cluster"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             base = tempfile.mkdtemp(prefix="tarmac-ckpt-")
             spark.conf.set("spark.checkpoint.dir", base)
     if sc is not None and not sc.getCheckpointDir():

@@ -1,40 +1,90 @@
-"""Wide CSV scan with a declared schema and pandas-style null tokens."""
+"""Wide CSV scan by header name, with declared types and pandas-style null tokens."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.clean import csv_nulls
+from ..operators.keys import positions
+
+
+CORRUPT = "_corrupt"
+#: Low bits of an arrival number: the row's place in its split.
+ROW_BITS = 33
+
+
+def scan_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Every column of a headered CSV as text, named by the header, plus ``_corrupt``.
+
+    RFC 4180 quoting: a quote in a quoted field is doubled, and fields may hold
+    line ends.  ``multi_line=False`` gives up line ends in fields and lets large
+    files be split.  A file whose header differs from the first one's raises,
+    rather than being read by position.  A missing path raises.
+    """
+    r = (spark.read.option("header", True).option("quote", '"').option("escape", '"')
+              .option("multiLine", multi_line).option("mode", "PERMISSIVE"))
+    found = r.csv(path).schema
+    schema = StructType([StructField(f.name, StringType()) for f in found.fields] + [StructField(CORRUPT, StringType())])
+    return r.schema(schema).option("columnNameOfCorruptRecord", CORRUPT).option("enforceSchema", False).csv(path)
+
+
+def _any_value(df: DataFrame) -> Column:
+    """Always true; Spark refuses to read the corrupt column alone, so the first one is looked at too."""
+    return F.coalesce(F.col(df.columns[0]), F.lit("")) >= ""
 
 
 def read_wide_csv(spark: SparkSession, path: str, schema: StructType,
-                  arrival_col: str | None = "_arrival") -> DataFrame:
-    """Read a headered CSV with every column as declared in ``schema``.
+                  arrival_col: str | None = "_arrival", multi_line: bool = True) -> DataFrame:
+    """The columns of ``schema`` that the file has, by name (P2), typed as declared.
 
     Text columns are read as text and the pandas default NA tokens become NULL
     while ``\\N`` stays text (it is cleaned per entity, as the reference
-    does).  A missing path raises.  ``arrival_col`` carries file order for
-    keep-first dedup (quirk Q18): (file path, position).  Spark bin-packs the
-    splits of many files by size, so a bare ``monotonically_increasing_id``
-    follows file order only within a file; the path makes it total.
+    does).  Rows that do not fit the header are left to :func:`csv_rejects`.
+    ``arrival_col`` carries file order for keep-first dedup (quirk Q18) as the
+    struct (file, split start, row); :func:`with_arrival_number` turns it into
+    one BIGINT.
     """
-    text_schema = StructType([f.__class__(f.name, StringType(), True) for f in schema.fields])
-    df = (spark.read.schema(text_schema).option("header", True)
-               .option("mode", "PERMISSIVE").csv(path))
+    df = scan_csv(spark, path, multi_line)
     cols = []
     for f in schema.fields:
+        if f.name not in df.columns:
+            continue
         c = csv_nulls(F.col(f.name))
         if not isinstance(f.dataType, StringType):
             c = c.try_cast(f.dataType)
         cols.append(c.alias(f.name))
     if arrival_col:
+        row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << ROW_BITS) - 1))
         cols.append(F.struct(F.col("_metadata.file_path").alias("file"),
-                             F.monotonically_increasing_id().alias("pos")).alias(arrival_col))
-    return df.select(*cols)
+                             F.col("_metadata.file_block_start").alias("start"), row.alias("row")).alias(arrival_col))
+    return df.where(F.col(CORRUPT).isNull() & _any_value(df)).select(*cols)
+
+
+def csv_rejects(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """(file, record): the rows that do not fit the header."""
+    df = scan_csv(spark, path, multi_line)
+    return df.select("*", F.col("_metadata.file_path").alias("_file")).where(F.col(CORRUPT).isNotNull() & _any_value(df)) \
+             .select(F.col("_file").alias("file"), F.col(CORRUPT).alias("record"))
+
+
+def with_arrival_number(staged: DataFrame, arrival_col: str = "_arrival") -> DataFrame:
+    """The arrival struct of a staged extract as one BIGINT, in order of file, split and row.
+
+    Splits are ranked among themselves (one row per split, of the size of a
+    file block), so no row is moved, and a plain BIGINT keeps minimum
+    aggregates of the loads in hash aggregation.
+    """
+    at = F.col(arrival_col)
+    splits = staged.select(at["file"].alias("_file"), at["start"].alias("_start")).distinct()
+    ranked = positions(splits, ["_file", "_start"], name="_split")
+    number = F.shiftleft(F.col("_split"), ROW_BITS) + at["row"]
+    joined = staged.join(ranked, (at["file"] == F.col("_file")) & (at["start"] == F.col("_start")))
+    return joined.withColumn(arrival_col, number).drop("_file", "_start", "_split")
 
 
 def write_csv(df: DataFrame, path: str, null_text: str = "\\N") -> None:
-    """Write a headered CSV with ``\\N`` for NULL, as the source extract has."""
-    df.write.mode("overwrite").option("header", True).option("nullValue", null_text).csv(path)
+    """Write a headered RFC 4180 CSV with ``\\N`` for NULL, as the source extract has."""
+    (df.write.mode("overwrite").option("header", True).option("nullValue", null_text)
+       .option("quote", '"').option("escape", '"').csv(path))

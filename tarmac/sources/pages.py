@@ -18,10 +18,22 @@ from pyspark.sql.types import StructType
 from ..operators.keys import positions
 from ..operators.ranking import take_while
 
+CORRUPT = "_corrupt"
+
 
 def read_landed_pages(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
-    """Every landed page with its ``round`` / ``offset`` path columns."""
-    return spark.read.schema(schema).option("multiLine", True).json(root)
+    """Every landed page with its ``round`` / ``offset`` path columns, and a malformed page's text
+    in ``_corrupt`` (its other columns are NULL, so it must not pass for an empty page)."""
+    full = schema if isinstance(schema, str) else schema.simpleString()[len("struct<"):-1]
+    return (spark.read.schema(f"{full}, {CORRUPT} STRING").option("columnNameOfCorruptRecord", CORRUPT)
+                 .option("multiLine", True).json(root))
+
+
+def corrupt_pages(pages: DataFrame) -> DataFrame:
+    """T9 for pages: the malformed ones, with their path columns and text."""
+    # Spark refuses to read the corrupt column alone, so the document is looked at too.
+    any_value = F.coalesce(F.to_json(F.struct(pages.columns[0])), F.lit("")) >= ""
+    return pages.where(F.col(CORRUPT).isNotNull() & any_value)
 
 
 def records_at(path: str) -> Column:
@@ -35,12 +47,22 @@ def flatten(df: DataFrame, path: str, keep: Sequence[str] = (), alias: str = "re
     return df.select(*keep, F.explode(records_at(path)).alias(alias))
 
 
-def drop_after_empty_page(df: DataFrame, path: str, page_order: Sequence[str],
-                          group: Sequence[str] | None = None) -> DataFrame:
-    """W4 on pages: keep pages before the first page without records, per
-    ``group`` (laps / pit stops per round) or over all pages (results)."""
-    empty = F.size(records_at(path)) == 0
-    return take_while(df, page_order, empty, group=group)
+def until_empty(df: DataFrame, has_records: Column, order: Sequence[str], group: Sequence[str] | None = None,
+                total: Column | None = None) -> DataFrame:
+    """W4 on pages: the pages before the first one without records, or from ``total`` on, per ``group``.
+
+    A malformed page stops nothing; it yields no records and is listed by :func:`corrupt_pages`."""
+    stop = F.col(CORRUPT).isNull() & ~has_records
+    if total is not None:
+        stop = stop | F.coalesce(F.col(order[-1]) >= total, F.lit(False))
+    return take_while(df, list(order), stop, group=group)
+
+
+def until_empty_group(df: DataFrame, has_records: Column, group: str) -> DataFrame:
+    """W4 on groups of pages (Q20): all pages of the groups before the first group without any record."""
+    live = df.groupBy(group).agg(F.max(has_records | F.col(CORRUPT).isNotNull()).alias("_live"))
+    first = live.where(~F.col("_live")).agg(F.min(group)).scalar()
+    return df.where(first.isNull() | (F.col(group) < first))
 
 
 def record_or_document(value: Column, doc_records: Column, record: Column) -> Column:

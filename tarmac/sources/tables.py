@@ -16,8 +16,23 @@ leaves the previous version current.  Every folder lives under the shared
 
 from __future__ import annotations
 
+import json
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
+
+
+def if_present(read):
+    """``read()``, or None if its path does not exist.  Any other error is raised: a
+    failing read must never pass for an empty table."""
+    try:
+        return read()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,9 +73,10 @@ def list_tables(spark: SparkSession, db: str | None = None) -> list[str]:
 def truncate_all(spark: SparkSession, db: str | None = None) -> list[str]:
     """K4: ``TRUNCATE TABLE`` every catalogue table of ``db``.  Prefer
     overwriting per table on load (quirk Q15)."""
-    names = [t.name for t in spark.catalog.listTables(db) if not t.isTemporary]
+    quoted = lambda n: "`" + n.replace("`", "``") + "`"
+    names = [t.name for t in spark.catalog.listTables(db) if not t.isTemporary and t.tableType != "VIEW"]
     for n in names:
-        spark.sql(f"TRUNCATE TABLE {db + '.' if db else ''}{n}")
+        spark.sql(f"TRUNCATE TABLE {quoted(db) + '.' if db else ''}{quoted(n)}")
     return names
 
 
@@ -81,12 +97,8 @@ class VersionedTable:
         return f"{self.root}/v={v:08d}"
 
     def refresh(self) -> int:
-        try:
-            row = (self.spark.read.schema("version BIGINT").parquet(f"{self.root}/_pointer")
-                       .agg(F.max("version")).first())
-            self._version = int(row[0] or 0)
-        except Exception:  # no pointer log yet
-            self._version = 0
+        log = if_present(lambda: self.spark.read.schema("version BIGINT").parquet(f"{self.root}/_pointer"))
+        self._version = 0 if log is None else int(log.agg(F.max("version")).first()[0] or 0)
         return self._version
 
     def version(self) -> int:
@@ -128,6 +140,17 @@ class VersionedTable:
         small files behind in a long-running stream)."""
         return self.replace(self.read())
 
+    def vacuum(self, keep: int = 2) -> list[int]:
+        """Delete all but the ``keep`` latest committed versions (folder names only are listed on the driver)."""
+        jvm = self.spark._jvm
+        root = jvm.org.apache.hadoop.fs.Path(self.root)
+        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        names = [f.getPath().getName() for f in fs.listStatus(root)] if fs.exists(root) else []
+        old = [v for v in (int(n[2:]) for n in names if n.startswith("v=")) if v <= self.version() - keep]
+        for v in old:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(self._vpath(v)), True)
+        return sorted(old)
+
     def append(self, df: DataFrame) -> None:
         """K2: append rows (by name) to the current version."""
         v = self.version()
@@ -158,21 +181,25 @@ class PartitionedTable:
         self._schema = None
 
     def exists(self) -> bool:
-        try:
-            self.read()
-            return True
-        except Exception:  # nothing written yet
-            return False
+        return if_present(self.read) is not None
 
     def version(self) -> int:
         return 1 if self.exists() else 0
 
+    def _note_schema(self, df: DataFrame) -> None:
+        """Keep the schema beside the data (``_schema``, which scans skip): a partitioned table without
+        rows has no file to infer it from."""
+        fields = sorted(df.schema.fields, key=lambda f: f.name in self.by)     # partition columns last
+        self._schema = StructType([StructField(f.name, f.dataType) for f in fields])
+        (self.spark.createDataFrame([(self._schema.json(),)], "value STRING")
+             .coalesce(1).write.mode("overwrite").text(f"{self.root}/_schema"))
+
     def read(self) -> DataFrame:
-        if self._schema is not None:
-            return self.spark.read.schema(self._schema).parquet(self.root)
-        df = self.spark.read.parquet(self.root)
-        self._schema = df.schema
-        return df
+        if self._schema is None:
+            noted = if_present(lambda: self.spark.read.text(f"{self.root}/_schema"))
+            self._schema = (StructType.fromJson(json.loads(noted.first()[0])) if noted is not None
+                            else self.spark.read.parquet(self.root).schema)
+        return self.spark.read.schema(self._schema).parquet(self.root)
 
     def _materialize(self, df: DataFrame) -> DataFrame:
         from ..session import ensure_checkpoint_dir
@@ -183,42 +210,40 @@ class PartitionedTable:
     def replace(self, df: DataFrame, materialize: bool = False) -> int:
         """Overwrite the whole table (``materialize`` when ``df`` reads it)."""
         src = self._materialize(df) if materialize else df
-        src.write.mode("overwrite").partitionBy(*self.by).parquet(self.root)
-        self._schema = None
+        # One writer task per partition value: not tasks x partitions small files.
+        src.repartition(*self.by).write.mode("overwrite").partitionBy(*self.by).parquet(self.root)
+        self._note_schema(src)
         return 1
 
     def create(self, df: DataFrame) -> None:
         self.replace(df)
 
     def append(self, df: DataFrame) -> None:
-        if not self.exists():
-            self.replace(df)
-            return
-        current = self.read()
-        aligned = df.select(*[F.col(f.name).cast(f.dataType) for f in current.schema.fields])
-        aligned.write.mode("append").partitionBy(*self.by).parquet(self.root)
-
-    # At most this many partition values are pushed as a static filter.
-    MAX_PRUNE_VALUES = 10_000
+        """K2: add files to the partitions; creates the table if there is none, never replaces one."""
+        current = if_present(self.read)
+        if current is None:
+            self._note_schema(df)
+        else:
+            df = df.select(*[F.col(f.name).cast(f.dataType) for f in current.schema.fields])
+        df.repartition(*self.by).write.mode("append").partitionBy(*self.by).parquet(self.root)
 
     def read_touched(self, keys: DataFrame) -> DataFrame:
-        """The rows of the partitions named by ``keys`` (a frame with the
-        partition column).  Up to ``MAX_PRUNE_VALUES`` distinct values are
-        fetched (a size-checked read of at most that many values, never the
-        data) and pushed as an ``IN`` partition filter, so only those
-        partitions are listed and read; beyond that, a semi join."""
+        """The rows of the partitions named by ``keys`` (a frame with the partition column).
+
+        One plan at any size: a semi join on the partition column.  The range of
+        the touched values (two scalars) is pushed to the scan as a static
+        partition filter, and as a selective predicate on ``keys`` it lets
+        Spark prune the partitions in between dynamically."""
         col = self.by[0]
-        wanted = keys.select(col).distinct()
-        vals = [r[0] for r in wanted.limit(self.MAX_PRUNE_VALUES + 1).collect()]
-        if len(vals) <= self.MAX_PRUNE_VALUES:
-            return self.read().where(F.col(col).isin(vals))
-        return self.read().join(wanted, col, "left_semi")
+        lo, hi = keys.agg(F.min(col), F.max(col)).first()
+        within = F.col(col).between(F.lit(lo), F.lit(hi))
+        return self.read().where(within).join(keys.where(within).select(col).distinct(), col, "left_semi")
 
     def overwrite_partitions(self, df: DataFrame) -> None:
         """Replace exactly the partitions that ``df`` has rows for."""
         current = self.read()
         aligned = df.select(*[F.col(f.name).cast(f.dataType) for f in current.schema.fields])
-        (self._materialize(aligned).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        (self._materialize(aligned).repartition(*self.by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy(*self.by).parquet(self.root))
 
     def compact(self) -> int:

@@ -17,6 +17,7 @@ from pyspark.sql.types import (LongType, IntegerType, StringType, StructField,
 
 from ..functions.clean import compose_key
 from ..operators.keys import positions
+from .tables import if_present
 
 TOPIC_SCHEMA = StructType([
     StructField("key", StringType()),
@@ -44,19 +45,30 @@ def to_messages(df: DataFrame, topic: str, key_cols: Sequence[str],
     return with_offsets(msgs, partitions)
 
 
-def with_offsets(msgs: DataFrame, partitions: int = 3) -> DataFrame:
-    """``(key, value, topic)`` -> Kafka's record columns: the partition is a
-    hash of the key (one key, one partition), offsets number each topic
-    partition's messages in (key, value) order from 0."""
+def with_offsets(msgs: DataFrame, partitions: int = 3, after: DataFrame | None = None) -> DataFrame:
+    """``(key, value, topic)`` -> Kafka's record columns: the partition is a hash of the key (one
+    key, one partition); offsets number each topic partition's messages in production order (a
+    ``seq`` column, then key and value) and go on from ``after`` (topic, partition, last)."""
+    order = [c for c in ("seq",) if c in msgs.columns] + ["key", "value"]
     msgs = msgs.withColumn("partition", F.pmod(F.hash("key"), F.lit(partitions)).cast("int"))
-    msgs = positions(msgs, ["key", "value"], name="offset", group=["topic", "partition"])
+    msgs = positions(msgs, order, name="offset", group=["topic", "partition"])
+    if after is not None:
+        last = after.select(F.col("topic").alias("_t"), F.col("partition").alias("_p"), F.col("last").alias("_last"))
+        msgs = msgs.join(last, (F.col("topic") == F.col("_t")) & (F.col("partition") == F.col("_p")), "left")
+        msgs = msgs.withColumn("offset", F.col("offset") + F.coalesce("_last", F.lit(-1)) + 1)
     return (msgs.withColumn("offset", F.col("offset") - 1).withColumn("timestamp", F.current_timestamp())
                 .select(*[f.name for f in TOPIC_SCHEMA.fields]))
 
 
 def publish(msgs: DataFrame, root: str, partitions: int = 3) -> None:
-    """K3: append producer output ``(key, value, topic)`` to the topic folder."""
-    write_messages(with_offsets(msgs, partitions), root)
+    """K3: append producer output ``(key, value, topic[, seq])`` to the topic folder.
+
+    Offsets continue from the largest ones stored, so (topic, partition, offset)
+    stays unique over any number of runs.  One publisher at a time."""
+    spark = msgs.sparkSession
+    stored = if_present(lambda: spark.read.schema(TOPIC_SCHEMA).parquet(root))
+    after = None if stored is None else stored.groupBy("topic", "partition").agg(F.max("offset").alias("last"))
+    write_messages(with_offsets(msgs, partitions, after), root)
 
 
 def write_messages(msgs: DataFrame, root: str) -> None:

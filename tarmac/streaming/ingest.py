@@ -13,6 +13,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from ..operators.keys import assign_ids, max_id
 from ..operators.lookup import insert_candidates
 from ..operators.upsert import insert_new
-from ..sources.tables import VersionedTable
+from ..sources.tables import VersionedTable, if_present
 
 BatchFn = Callable[[DataFrame, int], None]
 
@@ -31,7 +32,9 @@ class Ledger:
 
     Rows ``(batch_id, scope)`` are appended to ``root/_ledger``.  A lookup is
     an existence test for one id (a filtered scan; only a boolean reaches the
-    driver), so the ledger can grow for the life of a stream.
+    driver), so the ledger can grow for the life of a stream.  Batch ids start
+    anew with every checkpoint, so the scope must name the stream
+    (see :func:`stream_id`).
     """
 
     SCHEMA = "batch_id BIGINT, scope STRING"
@@ -39,34 +42,42 @@ class Ledger:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.path = root.rstrip("/") + "/_ledger"
-        self._known: dict[tuple[int, str], bool] = {}
+        self._known: set[tuple[int, str]] = set()
 
     def applied(self, batch_id: int, scope: str = "") -> bool:
         key = (int(batch_id), scope)
         if key not in self._known:
-            try:
-                df = self.spark.read.schema(self.SCHEMA).parquet(self.path)
-                self._known[key] = not df.where((F.col("batch_id") == key[0]) & (F.col("scope") == scope)).isEmpty()
-            except Exception:  # no ledger yet
-                self._known[key] = False
-        return self._known[key]
+            df = if_present(lambda: self.spark.read.schema(self.SCHEMA).parquet(self.path))
+            if df is None or df.where((F.col("batch_id") == key[0]) & (F.col("scope") == scope)).isEmpty():
+                return False
+            self._known.add(key)
+        return True
 
     def record(self, batch_id: int, scope: str = "") -> None:
         (self.spark.range(1).select(F.lit(batch_id).cast("bigint").alias("batch_id"),
                                     F.lit(scope).alias("scope"))
-             .write.mode("append").parquet(self.path))
-        self._known[(int(batch_id), scope)] = True
+             .coalesce(1).write.mode("append").parquet(self.path))
+        self._known.add((int(batch_id), scope))
 
 
-def once(ledger: Ledger, fn: BatchFn, scope: str = "") -> BatchFn:
-    """Wrap a batch function so a replayed batch id is skipped.  The ledger row
-    is written after the batch's tables, so a crash in between replays the
-    batch, which the natural-key anti joins absorb."""
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark wrote into a started query's checkpoint; a new checkpoint has a new one."""
+    row = spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()
+    return json.loads(row[0])["id"]
+
+
+def once(ledger: Ledger, fn: BatchFn, scope: str = "", checkpoint: str | None = None) -> BatchFn:
+    """Wrap a batch function so a replayed batch id of the same stream is skipped.
+
+    ``checkpoint`` tells streams apart that write to the same tables.  The
+    ledger row is written after the batch's tables, so a crash in between
+    replays the batch; ``fn`` itself must absorb that."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        if ledger.applied(batch_id, scope):
+        own = f"{scope}@{stream_id(ledger.spark, checkpoint)}" if checkpoint else scope
+        if ledger.applied(batch_id, own):
             return
         fn(batch, batch_id)
-        ledger.record(batch_id, scope)
+        ledger.record(batch_id, own)
     return run
 
 

@@ -4,16 +4,17 @@ import sys
 import pytest
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-sys.path.insert(0, ROOT)
+sys.path[:0] = [ROOT, os.path.join(ROOT, "scripts")]
 
 SF_SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
 def spark():
+    from plan_log import log_conf
     from tarmac.session import build_session
 
-    s = build_session("local[*]", shuffle_partitions=8, app_name="tarmac-tests")
+    s = build_session("local[*]", shuffle_partitions=8, app_name="tarmac-tests", extra=log_conf())
     yield s
     s.stop()
 

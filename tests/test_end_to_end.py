@@ -27,10 +27,10 @@ def test_pages_to_tables(spark, scratch):
         {"driverId": "max", "position": "1", "time": "1:10.040"}]}]))
     topics = f"{scratch}/topics"
     publish(PR.generic(spark, pages, "status"), topics)
-    publish(PR.races(spark, pages), topics)
+    publish(PR.races(spark, pages, history_until=2023), topics)
     publish(PR.laptimes(spark, pages), topics)
 
-    P.ingest_topics(wh, read_message_stream(spark, topics), f"{scratch}/ckpt")
+    P.ingest_topics(wh, read_message_stream(spark, topics), f"{scratch}/ckpt", season=2024)
 
     assert ("Engine",) in [(r.status_name,) for r in wh.read("status").collect()]
     race = {r.round: r for r in wh.read("race").collect()}
@@ -51,9 +51,9 @@ def test_split_batches_equal_one_batch(spark, scratch):
     one, two = Warehouse(spark, f"{scratch}/one"), Warehouse(spark, f"{scratch}/two")
     for wh in (one, two):
         load_csv(spark, f"{scratch}/csv", wh)
-    P.process_batch(one, msgs)
-    P.process_batch(two, msgs.where(F.col("topic").isin(dims)))
-    P.process_batch(two, msgs.where(~F.col("topic").isin(dims)))
+    P.process_batch(one, msgs, season=2024)
+    P.process_batch(two, msgs.where(F.col("topic").isin(dims)), season=2024)
+    P.process_batch(two, msgs.where(~F.col("topic").isin(dims)), season=2024)
     for table in ["status", "driver", "constructor", "race", "circuit", "laptimes", "pitstops", "formulaone",
                   "constandings", "driverstandings", "sprint", "freepractice"]:
         a = sorted(map(tuple, one.read(table).collect()), key=repr)

@@ -4,12 +4,13 @@ import json
 import os
 import re
 
+import pytest
 from pyspark.sql.types import StringType, StructField, StructType
 
 from pyspark.sql import functions as F
 
 from tarmac.sources import pages, sinks, tables, topics
-from tarmac.sources.csv import read_wide_csv, write_csv
+from tarmac.sources.csv import csv_rejects, read_wide_csv, with_arrival_number, write_csv
 from tarmac.streaming.ingest import Ledger, keep_first_into, once, run_available_now
 
 
@@ -62,7 +63,7 @@ def test_landed_pages_stop_at_first_empty_page(spark, scratch):
             json.dump({"MRData": {"total": "9", "Items": [{"n": n} for n in recs]}}, fh)
     df = pages.read_landed_pages(spark, root, "MRData STRUCT<total: STRING, Items: ARRAY<STRUCT<n: BIGINT>>>, "
                                               "round INT, offset INT")
-    kept = pages.drop_after_empty_page(df, "MRData.Items", ["offset"], group=["round"])
+    kept = pages.until_empty(df, F.size(pages.records_at("MRData.Items")) > 0, ["offset"], group=["round"])
     flat = pages.flatten(kept, "MRData.Items", keep=["round"])
     assert sorted((r.round, r.rec.n) for r in flat.collect()) == [(1, 1), (1, 2), (1, 3)]
 
@@ -124,5 +125,105 @@ def test_partitioned_table_overwrites_only_touched_partitions(spark, scratch):
                                                                       (4, 3, "d")]
     touched = t.read_touched(spark.createDataFrame([(3,)], "part int"))
     assert [r.k for r in touched.collect()] == [4]
-    plan = touched._jdf.queryExecution().executedPlan().toString()
-    assert re.search(r"PartitionFilters: \[[^\]]*part#\d+ (= 3|IN \(3\))", plan)   # static pruning
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    try:
+        again = t.read_touched(spark.createDataFrame([(3,)], "part int"))
+        again.collect()
+        plan = again._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert re.search(r"PartitionFilters: \[[^\]]*part#\d+ >= 3", plan)              # static pruning by range
+
+
+def test_empty_partitioned_table_has_a_schema(spark, scratch):
+    t = tables.PartitionedTable(spark, f"{scratch}/p", ["part"])
+    t.create(spark.createDataFrame([], "part int, k long"))
+    fresh = tables.PartitionedTable(spark, f"{scratch}/p", ["part"])
+    assert fresh.read().columns == ["k", "part"] and fresh.read().count() == 0
+    fresh.append(spark.createDataFrame([(1, 2)], "part int, k long"))
+    assert fresh.read().collect()[0].k == 2
+
+
+def test_a_failing_read_never_replaces_a_table(spark, scratch):
+    """Only a missing path means "no table"; any other error is raised and the rows stay."""
+    rows = spark.range(30).selectExpr("id AS k", "id % 3 AS part")
+    for t in (tables.VersionedTable(spark, f"{scratch}/v"), tables.PartitionedTable(spark, f"{scratch}/p", ["part"])):
+        t.create(rows)
+        broken = type(t)(spark, t.root, ["part"]) if hasattr(t, "by") else type(t)(spark, t.root)
+
+        class Failing:
+            """Stands in for a session whose reads fail."""
+            def __getattr__(self, name):
+                raise OSError("storage is away")
+
+        broken.spark = Failing()
+        with pytest.raises(OSError):
+            broken.append(spark.range(1).selectExpr("id AS k", "id AS part"))
+        assert t.read().count() == 30
+    ledger = Ledger(spark, f"{scratch}/l")
+    ledger.record(0, "s")
+    ledger.spark, ledger._known = Failing(), set()
+    with pytest.raises(OSError):
+        ledger.applied(0, "s")
+
+
+def test_vacuum_keeps_the_latest_versions(spark, scratch):
+    t = tables.VersionedTable(spark, f"{scratch}/v")
+    for i in range(4):
+        t.replace(spark.range(i + 1))
+    assert t.vacuum(keep=2) == [1, 2]
+    assert tables.VersionedTable(spark, f"{scratch}/v").read().count() == 4
+
+
+def test_csv_follows_the_header(spark, scratch):
+    os.makedirs(f"{scratch}/c")
+    with open(f"{scratch}/c/a.csv", "w") as fh:
+        fh.write('extra,b,a\nx,B1,A1\ny,"say ""hi"", ok\nnext line",A2\nz,B3,A3,too many\n')
+    schema = StructType([StructField("a", StringType()), StructField("absent", StringType()), StructField("b", StringType())])
+    got = read_wide_csv(spark, f"{scratch}/c", schema, arrival_col=None)
+    assert got.columns == ["a", "b"]
+    assert sorted(map(tuple, got.collect())) == [("A1", "B1"), ("A2", 'say "hi", ok\nnext line')]
+    assert [r.record.strip() for r in csv_rejects(spark, f"{scratch}/c").collect()] == ["z,B3,A3,too many"]
+
+
+def test_arrival_numbers_follow_files_and_rows(spark, scratch):
+    schema = StructType([StructField("a", StringType())])
+    rows = spark.range(1000).selectExpr("cast(id AS string) AS a", "id").repartitionByRange(5, "id").sortWithinPartitions("id")
+    write_csv(rows.select("a"), f"{scratch}/c")
+    got = with_arrival_number(read_wide_csv(spark, f"{scratch}/c", schema)).orderBy("_arrival").collect()
+    assert [int(r.a) for r in got] == list(range(1000)) and isinstance(got[0]._arrival, int)
+
+
+def test_a_second_stream_into_the_same_tables_is_not_skipped(spark, scratch):
+    seen = []
+    ledger = Ledger(spark, f"{scratch}/wh")
+    for name in ("one", "two"):
+        spark.createDataFrame([(name,)], "v string").write.parquet(f"{scratch}/{name}")
+        ckpt = f"{scratch}/ckpt-{name}"
+        fn = once(ledger, lambda b, i: seen.extend(r.v for r in b.collect()), "s", checkpoint=ckpt)
+        run_available_now(spark.readStream.schema("v string").parquet(f"{scratch}/{name}"), fn, ckpt)
+    assert seen == ["one", "two"]
+
+
+def test_publishes_continue_offsets_in_production_order(spark, scratch):
+    for a, b in ((0, 50), (50, 80)):
+        m = spark.range(a, b).selectExpr("cast(id % 7 AS string) AS key", "cast(id AS string) AS value", "'t' AS topic",
+                                         "struct(id AS s0) AS seq")
+        topics.publish(m, f"{scratch}/t")
+    got = topics.read_messages(spark, f"{scratch}/t").orderBy("partition", "offset").collect()
+    at = [(r.partition, r.offset) for r in got]
+    assert len(set(at)) == 80
+    for p in {x for x, _ in at}:
+        assert [o for q, o in at if q == p] == list(range(sum(q == p for q, _ in at)))
+        assert [int(r.value) for r in got if r.partition == p] == sorted(int(r.value) for r in got if r.partition == p)
+
+
+def test_a_malformed_page_stops_nothing(spark, scratch):
+    for off, text in ((0, '{"Items": [1]}'), (30, '{"Items": ['), (60, '{"Items": [2]}'), (90, '{"Items": []}'), (120, '{"Items": [3]}')):
+        os.makedirs(f"{scratch}/p/offset={off}")
+        with open(f"{scratch}/p/offset={off}/page.json", "w") as fh:
+            fh.write(text)
+    df = pages.read_landed_pages(spark, f"{scratch}/p", "Items ARRAY<BIGINT>, offset INT")
+    kept = pages.until_empty(df, F.size(pages.records_at("Items")) > 0, ["offset"])
+    assert sorted(r.rec for r in pages.flatten(kept, "Items").collect()) == [1, 2]
+    assert [r.offset for r in pages.corrupt_pages(df).collect()] == [30]

@@ -10,6 +10,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from tarmac.plans import ORACLE, QUERIES
 from conftest import SF_SMALL
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
@@ -40,15 +41,15 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    missing = set(E.queries()) - set(E.oracle_sql())
+    missing = set(QUERIES) - set(ORACLE)
     assert not missing, missing
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
-    df = E.queries()[name](spark, SF_SMALL)
+    df = QUERIES[name](spark, SF_SMALL)
     got = _rows(df.columns, [tuple(r) for r in df.collect()])
-    cur = duck.execute(E.oracle_sql()[name])
+    cur = duck.execute(ORACLE[name])
     want = _rows([c[0] for c in cur.description], cur.fetchall())
     assert sorted(df.columns) == sorted(c[0] for c in cur.description)
     assert len(got) == len(want)
@@ -61,6 +62,6 @@ def test_entry_smoke(spark):
 
 
 def test_season_filter_pushed_to_scan(spark):
-    plan = E.queries()["season_filter"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES["season_filter"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(o_orderdate), GreaterThanOrEqual(o_orderdate" in plan
     assert os.path.exists(SF_SMALL)

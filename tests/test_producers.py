@@ -60,11 +60,31 @@ def test_producers(spark, scratch):
     assert [r.key for r in res.collect()] == ["max_1"]                                       # Q20
     v = res.select(F.from_json("value", S.RESULT_VALUE).alias("v")).first().v
     assert v.FastestLap.rank == "1" and v.milliseconds == "5400000" and v.season == "2024"
-    assert sorted(r.key for r in PR.races(spark, root).collect()) == ["2023_5", "2024_2"]   # P6 + O1
+    assert sorted(r.key for r in PR.races(spark, root, history_until=2023).collect()) == ["2023_5", "2024_2"]   # P6 + O1
     cs = PR.standings(spark, root, "constandings").collect()
     assert [r.key for r in cs] == ["rb_2024_1"]
 
 
+def test_results_pages_end_within_a_round_and_at_the_total(spark, scratch):
+    """An empty end page of a round does not end the rounds; a total does end its pages."""
+    def res(d):
+        return [{"number": "1", "position": "1", "Driver": {"driverId": d}}]
+
+    def page(rnd, off, recs, total="1"):
+        doc = races(round=str(rnd), Results=recs)
+        land(scratch, "results", [("round", rnd), ("offset", off)], dict(doc, total=total))
+
+    page(1, 0, res("a"), "60")
+    page(1, 30, [], "60")                                # end page of round 1
+    page(2, 0, res("b"), "31")
+    page(2, 30, res("c"), "31")
+    page(2, 60, res("beyond"), "31")                     # at an offset past the total
+    page(3, 0, [])                                       # a round without data: no later rounds
+    page(4, 0, res("late"))
+    assert sorted(r.key for r in PR.results(spark, scratch).collect()) == ["a_1", "b_2", "c_2"]
+    assert PR.page_rejects(spark, scratch, "results", "round INT, offset INT").count() == 0
+
+
 def test_published_messages_reach_the_stream(spark, scratch):
     from tarmac.sources.topics import publish, read_messages
 

@@ -29,8 +29,8 @@ def loaded(spark, request):
     batch = {name: wh.read(name).collect() for name in ["race", "formulaone", "laptimes", "driver", "status"]}
     msgs = spark.createDataFrame([m + (None,) for m in FX.stream_messages()], TOPIC_SCHEMA)
     write_messages(msgs, f"{root}/topics")
-    P.ingest_topics(wh, read_message_stream(spark, f"{root}/topics"), f"{root}/ckpt")   # epoch 0
-    step = once(Ledger(spark, wh.root), lambda b, i: P.process_batch(wh, b), scope="topics")
+    P.ingest_topics(wh, read_message_stream(spark, f"{root}/topics"), f"{root}/ckpt", season=2024)   # epoch 0
+    step = once(Ledger(spark, wh.root), lambda b, i: P.process_batch(wh, b, season=2024), scope="topics")
     return wh, batch, msgs, step
 
 
@@ -57,7 +57,7 @@ def test_stream_dimensions(loaded):
     assert drv["norris"].driverId == 2 and drv["norris"].surname == "Unknown"
     assert drv["norris"].number_drivers is None                              # blank -> NULL (F12)
     circ = rows(wh.read("circuit"), "circuitId", "circuitRef", "lat")
-    assert circ[-1] == (1, "suzuka", -34.0)                                  # one id, truncated (Q9)
+    assert circ[-1] == (1, "suzuka", -34.84)                                 # one id (Q9: full precision)
     race = {r.round: r for r in wh.read("race").collect()}
     assert race[3].circuitId == race[4].circuitId == 1 and race[3].time_races == "05:00:00"
     fp = {r.race_id: r.fp2_time for r in wh.read("freepractice").collect()}
@@ -84,7 +84,8 @@ def test_stream_facts_updates_and_rejects(loaded):
     rej = rows(wh.read("rejects"), "topic", "reason")
     assert ("results_topic", "unknown driver") in rej and ("status_topic", "invalid status id") in rej
     m = {r.topic: (r.n_read, r.n_rejected) for r in wh.read("batch_metrics").where("batch_id = 0").collect()}
-    assert m["results_topic"] == (4, 1) and m["status_topic"] == (3, 1) and m["driver_topic"] == (2, 0)
+    # two known results, one unknown driver; one bad and one known status; one known driver
+    assert m["results_topic"] == (4, 3) and m["status_topic"] == (3, 2) and m["driver_topic"] == (2, 1)
 
 
 def test_replay_is_a_no_op(loaded):
@@ -117,3 +118,46 @@ def test_rejects_are_offered_again(loaded, spark):
     rej = rows(wh.read("rejects"), "topic", "reason")
     assert ("results_topic", "unknown driver") not in rej
     assert ("status_topic", "invalid status id") in rej  # not retryable: kept
+
+
+def test_replay_after_crashes_equals_one_run(spark, scratch):
+    """The batch stops after a table write, again and again at later tables, and is replayed to its end:
+    the tables are those of an undisturbed run."""
+    write_csv(spark.createDataFrame(FX.csv_rows(), CSV_TEXT_SCHEMA).coalesce(1), f"{scratch}/csv")
+    msgs = spark.createDataFrame([m + (None,) for m in FX.stream_messages()], TOPIC_SCHEMA)
+    whole, broken = Warehouse(spark, f"{scratch}/whole"), Warehouse(spark, f"{scratch}/broken")
+    for wh in (whole, broken):
+        load_csv(spark, f"{scratch}/csv", wh)
+    P.process_batch(whole, msgs, season=2024)
+
+    append = broken.append
+    for stop in ("circuit", "qualifying", "laptimes", "formulaone", "standing_ids", "driverstandings"):
+        def crashing(name, df, stop=stop):
+            append(name, df)
+            if name == stop:
+                raise InterruptedError(name)
+
+        broken.append = crashing
+        with pytest.raises(InterruptedError):
+            P.process_batch(broken, msgs, season=2024)
+    broken.append = append
+    P.process_batch(broken, msgs, season=2024)
+    for table in set(whole.tables) - {"rejects", "batch_metrics"}:
+        a = sorted(map(tuple, whole.read(table).collect()), key=repr)
+        b = sorted(map(tuple, broken.read(table).collect()), key=repr)
+        assert a == b, table
+
+
+def test_other_seasons_and_bad_values_are_final(loaded, spark):
+    wh, _, _, _ = loaded
+    n = 2000
+    bad = [FX.msg("laptimes_topic", "a", {"season": "2019", "round": 1, "lap": 1, "driverId": "max"}, 9, n),
+           FX.msg("laptimes_topic", "b", {"round": 1, "lap": "x", "driverId": "max"}, 9, n + 1),
+           FX.msg("laptimes_topic", "c", {"round": 1, "lap": 9, "driverId": "nobody"}, 9, n + 2),
+           FX.msg("unheard_topic", "d", {}, 9, n + 3)]
+    df = spark.createDataFrame([m + (None,) for m in bad], TOPIC_SCHEMA)
+    for _ in range(3):
+        P.process_batch(wh, df.limit(0) if _ else df, season=2024, max_attempts=2)
+    got = {r.key: (r.reason, r.attempts) for r in wh.read("rejects").where("partition = 9").collect()}
+    assert got["a"] == ("other season", 1) and got["b"] == ("invalid lap", 1)
+    assert got["c"] == ("gave up: unknown driver", 2) and "d" not in got
