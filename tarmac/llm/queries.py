@@ -61,7 +61,7 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    return word_bpe.digest(word_bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN), ranks)
+    return word_bpe.digest(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
 @query

@@ -28,7 +28,7 @@ import base64
 import hashlib
 import math
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import pairwise
 
 import numpy as np
@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import partitions, text_of
-from .pieces import cut
+from .pieces import cut, head
 
 _KIND = "<u4"
 
@@ -64,8 +64,8 @@ def block_words(texts: list[str], buckets: int) -> dict[int, list[bytes]]:
     """The distinct words of a block by bucket, sorted; a word that is not a text's first starts with its space."""
     heads, rest = set(), set()
     for t in texts:
-        head, more = cut(t)
-        heads.add(head)
+        start, more = cut(t)
+        heads.add(start)
         rest.update(more)
     words = {h.encode() for h in heads if h} | {b" " + w.encode() for w in rest}
     out: dict[int, list[bytes]] = {}
@@ -124,14 +124,19 @@ def _assemble(rows: pa.Table, replies: pa.Table, buckets: int) -> pa.Table:
     docs = _docs(rows)
     texts = docs.column("text").to_pylist()
     lists = block_words(texts, buckets)
-    known: dict[bytes, bytes] = {}
+    first = {head(t) for t in texts}
+    heads: dict[str, bytes] = {"": b""}
+    rest: dict[str, bytes] = {}
     for bucket, n, blob in zip(replies.column("bucket"), replies.column("n"), replies.column("ids"), strict=True):
-        known.update(zip(lists[bucket.as_py()], _unpack(blob.as_py(), n.as_py()), strict=True))
-    rest = {w[1:].decode(): i for w, i in known.items() if w[:1] == b" "}
+        for w, ids in zip(lists.pop(bucket.as_py()), _unpack(blob.as_py(), n.as_py()), strict=True):
+            if w[:1] == b" ":
+                rest[w[1:].decode()] = ids
+            if (whole := w.decode()) in first:  # a text may begin with a space: a head can look like a later word
+                heads[whole] = ids
     ids, sizes = [], []
     for t in texts:
-        head, more = cut(t)
-        raw = (known[head.encode()] if head else b"") + b"".join(map(rest.__getitem__, more))
+        start, more = cut(t)
+        raw = heads[start] + b"".join(map(rest.__getitem__, more))
         ids.append(raw)
         sizes.append(len(raw) // 4)
     values = np.frombuffer(b"".join(ids), _KIND).astype(np.int32)
@@ -139,8 +144,12 @@ def _assemble(rows: pa.Table, replies: pa.Table, buckets: int) -> pa.Table:
     return pa.table({"doc_id": docs.column("doc_id"), "ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))})
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str, docs_per_block: int = 1500) -> DataFrame:
-    """(doc_id, ids array<int>) of every row of ``docs``."""
+def encode(docs: DataFrame, ranks_path: str, pattern: str, docs_per_block: int = 3000,
+           then: Callable[[pa.Table], pa.Table] | None = None, schema: str = "doc_id long, ids array<int>") -> DataFrame:
+    """(doc_id, ids array<int>) of every row of ``docs``.
+
+    ``then`` maps a block's rows to others, of ``schema``, in the task that made them.
+    """
     blocks = max(1, math.ceil(docs.count() / docs_per_block))
     buckets = partitions(docs.sparkSession)
     rows = docs.select(docs["doc_id"].cast("bigint"), text_of(docs).alias("text"))
@@ -150,8 +159,9 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, docs_per_block: int =
         lambda t: _words(t, buckets), "bucket int, block long, n long, words binary")
     replies = words.groupBy("bucket").applyInArrow(
         lambda t: _encode_bucket(t, ranks_path, pattern), "block long, bucket int, n long, ids binary")
+    then = then or (lambda t: t)
     return packed.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(
-        lambda d, r: _assemble(d, r, buckets), "doc_id long, ids array<int>")
+        lambda d, r: then(_assemble(d, r, buckets)), schema)
 
 
 class TokenBytes:
@@ -172,8 +182,7 @@ class TokenBytes:
         return self.bytes[at].tobytes()
 
 
-def _ids(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-    column = batch.column(1)
+def _ids(column: pa.ListArray) -> Iterator[np.ndarray]:
     at, values = column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)
     for a, b in pairwise(at.tolist()):
         yield values[a:b]
@@ -182,7 +191,7 @@ def _ids(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
 def _decode(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     table = TokenBytes(path)
     for b in batches:
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array([table.decode(i) for i in _ids(b)], pa.binary())],
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array([table.decode(i) for i in _ids(b.column(1))], pa.binary())],
                                          ["doc_id", "decoded"])
 
 
@@ -191,18 +200,18 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(lambda it: _decode(it, ranks_path), "doc_id long, decoded binary")
 
 
-def _digest(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+def _digest(rows: pa.Table, path: str) -> pa.Table:
     table = TokenBytes(path)
     decimal = [str(i) for i in range(len(table.length))]
     sha = lambda b: hashlib.sha256(b).hexdigest()
-    for b in batches:
-        out = [(len(i), sha(",".join(map(decimal.__getitem__, i.tolist())).encode()), sha(table.decode(i))) for i in _ids(b)]
-        n, ids, text = zip(*out, strict=True) if out else ((), (), ())
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()),
-                                          pa.array(text, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+    out = [(len(i), sha(",".join(map(decimal.__getitem__, i.tolist())).encode()), sha(table.decode(i)))
+           for i in _ids(rows.column("ids").combine_chunks())]
+    n, ids, text = zip(*out, strict=True) if out else ((), (), ())
+    return pa.table({"doc_id": rows.column("doc_id"), "n_tokens": pa.array(n, pa.int64()),
+                     "ids_sha256": pa.array(ids, pa.string()), "decoded_sha256": pa.array(text, pa.string())})
 
 
-def digest(encoded: DataFrame, ranks_path: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 and, from the ids decoded again, decoded_sha256."""
-    return encoded.select("doc_id", "ids").mapInArrow(
-        lambda it: _digest(it, ranks_path), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+def digest(docs: DataFrame, ranks_path: str, pattern: str, docs_per_block: int = 3000) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256 and, from the ids decoded again, decoded_sha256 of every row of ``docs``."""
+    return encode(docs, ranks_path, pattern, docs_per_block, lambda t: _digest(t, ranks_path),
+                  "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

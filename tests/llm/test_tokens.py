@@ -80,8 +80,8 @@ def test_word_bpe_is_the_library(request, ranked, name):
     for r in docs.select("doc_id", "text").collect():
         ids = ranked(r.text or "")
         want.append((r.doc_id, len(ids), sha(",".join(map(str, ids)).encode()), sha((r.text or "").encode())))
-    encoded = word_bpe.encode(docs, RANKS, public_tokenizers.PATTERN, docs_per_block=16)
-    assert sorted(map(tuple, word_bpe.digest(encoded, RANKS).collect()), key=str) == sorted(want, key=str)
+    got = word_bpe.digest(docs, RANKS, public_tokenizers.PATTERN, docs_per_block=16).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
 
 
 def test_decode_gives_the_text(odd):
@@ -93,4 +93,4 @@ def test_decode_gives_the_text(odd):
 def test_empty_tables(spark, none):
     base = uri(spark)
     assert token_files.read_digest(token_files.write_files(none, base, JSON, 50_257), base).count() == 0
-    assert word_bpe.digest(word_bpe.encode(none, RANKS, public_tokenizers.PATTERN), RANKS).count() == 0
+    assert word_bpe.digest(none, RANKS, public_tokenizers.PATTERN).count() == 0
