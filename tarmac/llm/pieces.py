@@ -21,10 +21,14 @@ def cut(text: str) -> tuple[str, list[str]]:
     return parts[0], parts[1:]
 
 
+def head(text: str) -> str:
+    return _CUT.split(text, maxsplit=1)[0]
+
+
 class PieceCache:
     """Ids (as bytes) of pieces; forgets everything when it holds ``limit`` pieces, so memory is bounded."""
 
-    def __init__(self, encode: Callable[[Iterable[str]], list[bytes]], limit: int = 1_000_000) -> None:
+    def __init__(self, encode: Callable[[Iterable[str]], list[bytes]], limit: int = 400_000) -> None:
         self.encode, self.limit = encode, limit
         self.known: dict[str, bytes] = {}
 
