@@ -69,8 +69,10 @@ def block_words(texts: list[str], buckets: int) -> dict[int, list[bytes]]:
         rest.update(more)
     words = {h.encode() for h in heads if h} | {b" " + w.encode() for w in rest}
     out: dict[int, list[bytes]] = {}
-    for w in sorted(words):
+    for w in words:
         out.setdefault(zlib.crc32(w) % buckets, []).append(w)
+    for listed in out.values():
+        listed.sort()
     return out
 
 
