@@ -41,8 +41,8 @@ def test_top1_has_partial_group_limit_before_shuffle(plans):
     assert "WindowGroupLimit" in p and "Partial" in p
 
 
-def test_loads_and_take_while_aggregate_by_hash(plans):
-    for name in ("load_dimension", "load_child_fact", "load_fact", "take_while_group"):
+def test_loads_aggregate_by_hash(plans):
+    for name in ("load_dimension", "load_child_fact", "load_fact"):
         assert "SortAggregate" not in "\n".join(plans[name]), name
 
 
