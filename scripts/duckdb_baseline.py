@@ -24,14 +24,14 @@ def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     runs = int(sys.argv[2]) if len(sys.argv) > 2 else 3
     threads = int(sys.argv[3]) if len(sys.argv) > 3 else 8
-    import __spark_entry__ as E
+    from tarmac.plans import ORACLE
 
     con = duckdb.connect()
     con.execute(f"SET threads TO {threads}")
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
     times = {}
-    for name, sql in E.oracle_sql().items():
+    for name, sql in ORACLE.items():
         samples = []
         for _ in range(runs):
             t0 = time.perf_counter()
