@@ -1,7 +1,8 @@
 """Toxicity by weak supervision: mined voters, a generative label model, a linear classifier.
 
 1. Voters.  From a bounded sample of labelled rows (``per_class`` of each
-   class, by hash of the id, near copies among the toxic ones counted once) the words and word
+   class, by hash of the id; of toxic texts that share 0.8 of their 3-word
+   shingles the smallest id alone counts) the words and word
    stems that toxic documents have and clean ones lack are mined: whole words
    are the lexicon, stems the patterns.  A voter votes toxic where it occurs
    and abstains elsewhere; one more voter votes clean where none occurs.
@@ -37,7 +38,7 @@ from .common import text_of
 
 _WORD = re.compile(r"[^\W\d_]+")
 STEMS = (4, 5, 6)
-SKETCH = 4
+SHARED = (4, 5)  # the Jaccard similarity of shingles from which two texts are copies
 
 
 def held_out(doc_id: Column, folds: int, fold: int) -> Column:
@@ -70,16 +71,42 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int,
     return rows.join(F.broadcast(chosen), F.col("doc_id") == F.col("id")).select("doc_id", "label", "text")
 
 
-def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, label, sketch): minima of hashed 3-word shingles, equal in part for near copies."""
+def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, th, shingles): the distinct hashed 3-word shingles in order, as bytes; fewer words make one."""
     for b in batches:
         out = []
         for t in b.column(2).to_pylist():
             w = t.split()
-            h = np.array([zlib.crc32(" ".join(w[i:i + 3]).encode()) for i in range(max(1, len(w) - 2))], np.uint64)
-            out.append([int(((h * np.uint64(2 * s + 0x9E3779B1)) & np.uint64(0xFFFFFFFF)).min()) for s in range(SKETCH)])
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1).cast(pa.int64()), pa.array(out, pa.list_(pa.int64()))],
-                                         ["doc_id", "label", "sketch"])
+            h = [zlib.crc32(" ".join(w[i:i + 3]).encode("utf-8", "surrogatepass")) for i in range(max(1, len(w) - 2))]
+            out.append(np.unique(np.array(h, np.uint32)).tobytes())
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.binary())], ["doc_id", "th", "shingles"])
+
+
+class Copies:
+    """Whether a set of shingles shares ``SHARED`` (a ratio) of the union with a set kept before; all others are kept.
+
+    Two sets that share so much meet in their smallest n - ceil(ratio * n) + 1 hashes, so no pair is missed.
+    """
+
+    def __init__(self) -> None:
+        self.kept: list[np.ndarray] = []
+        self.at: dict[int, list[int]] = {}
+
+    def __call__(self, shingles: np.ndarray) -> bool:
+        up, down = SHARED
+        n = len(shingles)
+        first = shingles[:n + (-up * n // down) + 1].tolist()
+        for i in sorted({i for x in first for i in self.at.get(x, ())}):
+            other = self.kept[i]
+            if down * min(n, len(other)) < up * max(n, len(other)):
+                continue
+            both = len(np.intersect1d(shingles, other, assume_unique=True))
+            if down * both >= up * (n + len(other) - both):
+                return True
+        for x in first:
+            self.at.setdefault(x, []).append(len(self.kept))
+        self.kept.append(shingles)
+        return False
 
 
 def _pattern_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -92,17 +119,15 @@ def _pattern_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def mine(sample: DataFrame, voters: int, support: int, precision: float) -> list[str]:
     """Patterns that mark toxic documents, at most ``voters``, most frequent first."""
-    seen: set[tuple[int, int]] = set()
-    copies = []
-    for r in sample.where("label = 1").mapInArrow(_sketch, "doc_id long, label long, sketch array<long>").orderBy("doc_id").collect():  # the sample's bound
-        keys = set(enumerate(r["sketch"]))
-        if keys & seen:
-            copies.append((r["doc_id"],))
-        seen |= keys
-    once = sample
+    toxic = sample.where("label = 1").dropDuplicates(["doc_id", "text"]).withColumn("th", F.xxhash64("text"))
+    rows = toxic.select("doc_id", "th", "text").mapInArrow(_shingles, "doc_id long, th long, shingles binary").orderBy("doc_id", "th")
+    is_copy = Copies()
+    copies = [(r["doc_id"], r["th"]) for r in rows.toLocalIterator()  # the sample's bound
+              if is_copy(np.frombuffer(r["shingles"], np.uint32))]
     if copies:
-        gone = sample.sparkSession.createDataFrame(copies, "gone long").distinct()
-        once = sample.join(F.broadcast(gone), F.col("doc_id") == F.col("gone"), "left_anti")
+        gone = sample.sparkSession.createDataFrame(copies, "gone_id long, gone_th long")
+        toxic = toxic.join(F.broadcast(gone), (F.col("doc_id") == F.col("gone_id")) & (F.col("th") == F.col("gone_th")), "left_anti")
+    once = toxic.select(*sample.columns).unionByName(sample.where("label <> 1"))
     counts = once.mapInArrow(_pattern_rows, "pattern string, label long").groupBy("pattern").agg(
         F.sum("label").alias("toxic"), F.count(F.lit(1)).alias("n"))
     good = counts.where((F.col("toxic") >= support) & (F.col("toxic") >= precision * F.col("n")))

@@ -135,6 +135,36 @@ def test_toxicity_odd_rows(odd, none, labels):
     assert toxicity.score(none, model).count() == 0
 
 
+def test_only_copies_leave_the_mining(spark):
+    rng = np.random.default_rng(11)
+    passage = [f"common{i}" for i in range(60)]
+    own = ["only" + chr(97 + i // 26) + chr(97 + i % 26) for i in range(120)]
+    rows = [(i, 1, " ".join([f"w{rng.integers(10**6)}" for _ in range(140)] + passage + [own[i]])) for i in range(120)]
+    rows += [(1_000 + i, 1, t + " tail") for i, _, t in rows[:5]]  # near copies of kept rows
+    rows += [rows[7], rows[7], (7, 1, "another text with a repeated id onlyother")]
+    rows += [(5_000, 0, "clean words")]
+    sample = spark.createDataFrame(rows, "doc_id long, label int, text string")
+    found = toxicity.mine(sample.repartition(5), voters=10**6, support=1, precision=0.98)
+    assert set(own) <= set(found)
+    assert {"tail", "onlyother", "clean"} & set(found) == {"onlyother"}
+
+
+def test_copies_are_brute_force():
+    rng = np.random.default_rng(5)
+    sets = []
+    for _ in range(60):
+        base = np.unique(rng.integers(0, 1 << 32, rng.integers(1, 80), dtype=np.uint32))
+        sets += [base, *(np.unique(np.r_[base[rng.random(len(base)) < keep], rng.integers(0, 1 << 32, 1, dtype=np.uint32)])
+                         for keep in (0.95, 0.9, 0.85, 0.8))]
+    is_copy, kept = toxicity.Copies(), []
+    for s in sets:
+        want = any(5 * len(np.intersect1d(s, k)) >= 4 * len(np.union1d(s, k)) for k in kept)
+        assert is_copy(s) == want
+        if not want:
+            kept.append(s)
+    assert 60 < len(kept) < len(sets)
+
+
 def test_label_model_trusts_agreement():
     rng = np.random.default_rng(0)
     truth = rng.random(4_000) < 0.2
