@@ -16,8 +16,9 @@ arithmetic is on integers (in doubles where every product sum stays below
 Defined cases: a null vector, or one with a null, NaN or infinite component,
 takes no part, neither do rows without a vec_id; a shorter vector counts as
 padded with zeros; every row but those with the query's own vec_id is a
-candidate, so repeated ids are ranked as often as they occur; a query with
-fewer than k candidates gets all of them; an empty table gives no rows.
+candidate, so repeated ids are ranked as often as they occur; query rows that
+repeat an id are searched one by one, and the k best of all their scores count;
+a query with fewer than k candidates gets all of them; an empty table gives no rows.
 Components beyond 2**26 in size are outside the 64-bit range and raise.
 """
 
@@ -81,28 +82,29 @@ def _matrices(q: dict, c: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return qi, ci, a @ b.T
 
 
-def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(row, query rows, query ids, candidate ids, scores, candidates); a query row is its block and its place there."""
     for batch in batches:
         for row in batch.to_pylist():
             qi, ci, s = _matrices(row, row)
-            yield row, qi, ci, s, ci[None, :] != qi[:, None]
+            yield row, (row["qb"] << 32) + np.arange(len(qi), dtype=np.int64), qi, ci, s, ci[None, :] != qi[:, None]
 
 
 def _ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(qb, query, n, lo, hi): candidates of a query in the cell, and the range of their scores."""
-    for row, qi, _, s, ok in _cells(batches):
+    """(qb, query row, n, lo, hi): candidates of a query in the cell, and the range of their scores."""
+    for row, qr, _, _, s, ok in _cells(batches):
         n = ok.sum(axis=1)
         lo = np.where(ok, s, np.iinfo(np.int64).max).min(axis=1, initial=np.iinfo(np.int64).max)
         hi = np.where(ok, s, np.iinfo(np.int64).min).max(axis=1, initial=np.iinfo(np.int64).min)
         some = n > 0
-        yield pa.RecordBatch.from_pydict({"qb": np.full(some.sum(), row["qb"], np.int32), "query_id": qi[some],
+        yield pa.RecordBatch.from_pydict({"qb": np.full(some.sum(), row["qb"], np.int32), "query_row": qr[some],
                                           "n": n[some], "lo": lo[some], "hi": hi[some]})
 
 
-def _bounds(row: dict, qi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _bounds(row: dict, qr: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """This round's (lo, hi) of each query of the cell; an empty range for queries that are settled."""
     known = {q: (lo, hi) for q, lo, hi in zip(row["t_query"], row["t_lo"], row["t_hi"], strict=True)}
-    pairs = [known.get(int(q), (0, -1)) for q in qi]
+    pairs = [known.get(int(q), (0, -1)) for q in qr]
     return np.array([p[0] for p in pairs], np.int64), np.array([p[1] for p in pairs], np.int64)
 
 
@@ -111,22 +113,22 @@ def bin_width(lo, hi):
 
 
 def _histograms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(query, bin, n): bins count from the best score down."""
-    for row, qi, _, s, ok in _cells(batches):
-        lo, hi = _bounds(row, qi)
+    """(query row, bin, n): bins count from the best score down."""
+    for row, qr, _, _, s, ok in _cells(batches):
+        lo, hi = _bounds(row, qr)
         width = np.maximum(bin_width(lo, hi), 1)
         inside = ok & (s >= lo[:, None]) & (s <= hi[:, None])
         of, at = np.nonzero(inside)
         bins = (hi[of] - s[of, at]) // width[of]
-        n = np.bincount(of * BINS + bins, minlength=len(qi) * BINS)
+        n = np.bincount(of * BINS + bins, minlength=len(qr) * BINS)
         some = np.flatnonzero(n)
-        yield pa.RecordBatch.from_pydict({"query_id": qi[some // BINS], "bin": (some % BINS).astype(np.int32), "n": n[some]})
+        yield pa.RecordBatch.from_pydict({"query_row": qr[some // BINS], "bin": (some % BINS).astype(np.int32), "n": n[some]})
 
 
 def _select(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     """(query, vec, score): above the k-th value all, equal to it the k smallest ids of the cell."""
-    for row, qi, ci, s, ok in _cells(batches):
-        kth, _ = _bounds(row, qi)
+    for row, qr, qi, ci, s, ok in _cells(batches):
+        kth, _ = _bounds(row, qr)
         order = np.argsort(ci, kind="stable")
         ci, s, ok = ci[order], s[:, order], ok[:, order]
         tied = ok & (s == kth[:, None])
@@ -139,7 +141,7 @@ def search(queries: DataFrame, candidates: DataFrame, k: int = 10, query_block:
            block: int = 4096) -> DataFrame:
     """The ``k`` best of ``candidates`` for each of ``queries`` (both vec_id, v): query_id, rank, vec_id, score.
 
-    ``queries`` has distinct vec_ids; ties go to the smaller vec_id.
+    Query rows that repeat a vec_id share its ``k`` ranks; ties go to the smaller vec_id.
     """
     q = packed(queries, "qb", query_block).select("qb", F.col("ids").alias("q_ids"), F.col("m").alias("q_m"))
     c = packed(candidates, "cb", block).select("cb", F.col("ids").alias("c_ids"), F.col("m").alias("c_m"))
@@ -152,29 +154,29 @@ def search(queries: DataFrame, candidates: DataFrame, k: int = 10, query_block:
     q_cells = q.withColumn("cb", F.explode(F.sequence(F.lit(0), c.agg(F.max("cb")).scalar())))
     cells = q_cells.join(c.hint("shuffle_hash"), "cb").repartition(F.col("qb"), F.col("cb"))
 
-    found = cells.mapInArrow(_ranges, "qb int, query_id long, n long, lo long, hi long")
+    found = cells.mapInArrow(_ranges, "qb int, query_row long, n long, lo long, hi long")
     # below: scores of the candidates that are surely among the best; a range of one value is settled.
-    state = found.groupBy("qb", "query_id").agg(F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-    state = state.select("qb", "query_id", F.least(F.col("n"), F.lit(k).cast("bigint")).alias("want"), "lo", "hi").checkpoint()
+    state = found.groupBy("qb", "query_row").agg(F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    state = state.select("qb", "query_row", F.least(F.col("n"), F.lit(k).cast("bigint")).alias("want"), "lo", "hi").checkpoint()
     open_ = F.col("lo") < F.col("hi")
 
     def with_bounds(rows: DataFrame) -> DataFrame:
         """Cells with their block's (query, lo, hi); at most ``query_block`` or so in a block."""
-        packed_state = rows.groupBy("qb").agg(F.collect_list("query_id").alias("t_query"),
+        packed_state = rows.groupBy("qb").agg(F.collect_list("query_row").alias("t_query"),
                                               F.collect_list("lo").alias("t_lo"), F.collect_list("hi").alias("t_hi"))
         return cells.join(packed_state, "qb")
 
     while state.where(open_).limit(1).count():
-        counts = with_bounds(state.where(open_)).mapInArrow(_histograms, "query_id long, bin int, n long") \
-            .groupBy("query_id", "bin").agg(F.sum("n").alias("n"))
-        upto = Window.partitionBy("q").orderBy("bin")  # at most BINS rows a query
-        ranked = counts.withColumnRenamed("query_id", "q").withColumn("upto", F.sum("n").over(upto))
-        hit = state.join(ranked, (F.col("query_id") == F.col("q")) & (F.col("upto") >= F.col("want"))
+        counts = with_bounds(state.where(open_)).mapInArrow(_histograms, "query_row long, bin int, n long") \
+            .groupBy("query_row", "bin").agg(F.sum("n").alias("n"))
+        upto = Window.partitionBy("qr").orderBy("bin")  # at most BINS rows a query
+        ranked = counts.withColumnRenamed("query_row", "qr").withColumn("upto", F.sum("n").over(upto))
+        hit = state.join(ranked, (F.col("query_row") == F.col("qr")) & (F.col("upto") >= F.col("want"))
                          & (F.col("upto") - F.col("n") < F.col("want")), "left")
         width = _width(F.col("lo"), F.col("hi"))
         high = F.col("hi") - F.col("bin") * width
         state = hit.select(
-            "qb", "query_id",
+            "qb", "query_row",
             F.when(F.col("bin").isNull(), F.col("want")).otherwise(F.col("want") - (F.col("upto") - F.col("n"))).alias("want"),
             F.when(F.col("bin").isNull(), F.col("lo")).otherwise(F.greatest(F.col("lo"), high - width + 1)).alias("lo"),
             F.when(F.col("bin").isNull(), F.col("hi")).otherwise(high).alias("hi")).checkpoint()

@@ -206,3 +206,18 @@ def test_search_odd_rows(spark):
     m = 1024 * 1024
     assert got == {0: [(1, 3 * m), (2, 3 * m), (3, 3 * m), (3, 3 * m)], 100: [(7, 3 * m // 2), (1, -m // 2), (2, -m // 2), (3, -m // 2)]}
     assert topk.search(v.where("vec_id < 0"), v).count() == 0
+
+
+def test_repeated_query_ids_are_the_sql(spark, tmp_path):
+    import duckdb
+
+    rng = np.random.default_rng(2)
+    rows = [(i, rng.normal(size=4).astype(float).tolist(), 0, 0, "") for i in [*range(300), 100, 100, 200, 150]]
+    rows.append(rows[200])  # a whole query row twice
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int, qb int, ids string") \
+        .select("vec_id", "embedding").repartition(3).write.parquet(f"{tmp_path}/embeddings.parquet")
+    c = duckdb.connect()
+    c.execute(f"CREATE VIEW embeddings AS FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    want = c.sql(ORACLE["op3_exact_topk"]).project("query_id, rank, vec_id, score").fetchall()
+    got = QUERIES["op3_exact_topk"](spark, str(tmp_path)).select("query_id", "rank", "vec_id", "score").collect()
+    assert sorted(map(tuple, got)) == sorted(want) and len(want) == 30
