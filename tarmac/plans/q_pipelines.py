@@ -134,29 +134,57 @@ WHERE user_id % 7 <> 0 OR rn <= {PAGE}
 """
 
 
+FOLDERS = 36  # users whose pages land as one file each
+
+
 @query("landed_pages", _PAGES_SQL)
 def landed_pages(spark, d):
-    """S5 + S6 + W4 + L2: events land as one JSON page per file and folder, are read back with their path
-    numbers, cut at the first empty page or at the total, and flattened.  Every seventh user's second page
-    is empty; one page of another folder is malformed and stops nothing."""
+    """S5 + S6 + W4 + L2: events land as JSON pages, are read back, cut at the first empty page or at the
+    total, and flattened.  Pages of ``FOLDERS`` users land as one file per page and folder and come back with
+    their path numbers; a file per page of every user would be too many, so the others land as lines that
+    name user and offset.  Every seventh user's second page is empty; every fifth user states its total and
+    has a page too many after it; one page of another folder is malformed in either form and stops nothing."""
     root = work_path(spark, "landed_pages")
-    ev = tbl(spark, d, "events").select("event_id", "user_id", "ts")
+    land_pages(spark, tbl(spark, d, "events").select("event_id", "user_id", "ts"), root)
+    read = read_pages(spark, root)
+    kept = pages.until_empty(read, F.size(pages.records_at("MRData.Items")) > 0, ["offset"], group=["folder"],
+                             total=F.col("MRData.total").try_cast("bigint"))
+    return pages.flatten(kept, "MRData.Items", keep=["offset"]).select("rec.event_id", "rec.user_id", "offset")
+
+
+def land_pages(spark, ev, root):
+    item = "array<struct<event_id: bigint, user_id: bigint>>"
     paged = pages.build_pages(ev, ["ts", "event_id"], PAGE, group=["user_id"], records="Records")
     recs = F.when((F.col("user_id") % 7 == 0) & (F.col("offset") == PAGE), F.array()).otherwise(
         F.transform("Records", lambda r: F.struct(r["event_id"].alias("event_id"), r["user_id"].alias("user_id"))))
-    doc = paged.select("user_id", "offset", F.to_json(F.struct(F.struct(recs.alias("Items")).alias("MRData"))).alias("value"))
+    totals = ev.where(F.col("user_id") % 5 == 0).groupBy(F.col("user_id").alias("of_user")).agg(F.count(F.lit(1)).alias("total"))
+    served = paged.join(totals, F.col("user_id") == F.col("of_user"), "left").select(
+        "user_id", "offset", "total", recs.cast(item).alias("Items"))
+    after = (F.ceil(F.col("total") / PAGE) * PAGE).cast("bigint")
+    extra = F.array(F.struct(F.lit(-1).alias("event_id"), F.col("of_user").alias("user_id"))).cast(item)
+    served = served.unionByName(totals.select(F.col("of_user").alias("user_id"), after.alias("offset"), "total", extra.alias("Items")))
+    envelope = F.struct(F.col("total").cast("string").alias("total"), "Items")
+    doc = served.select("user_id", "offset", F.to_json(F.struct(envelope.alias("MRData"))).alias("value"))
+    bad = spark.createDataFrame([(-1, 0, "{\"MRData\": {\"Items\"")], "user_id long, offset long, value string")
+    own_file = F.coalesce(F.col("user_id").between(0, FOLDERS - 1), F.lit(False))
+    doc.where(own_file).unionByName(bad).withColumnRenamed("user_id", "folder") \
+       .write.partitionBy("folder", "offset").text(f"{root}/pages")
     # One document a line: a landed file may hold many pages of its folder.
-    doc.unionByName(spark.createDataFrame([(-1, 0, "{\"MRData\": {\"Items\"")], "user_id long, offset long, value string")) \
+    doc.where(~own_file).unionByName(bad) \
        .withColumn("shard", F.pmod(F.hash("user_id"), F.lit(8))).repartition("shard") \
-       .select(F.to_json(F.struct("user_id", "offset", "value")).alias("value")).write.text(f"{root}/pages")
-    landed = spark.read.schema("user_id BIGINT, offset BIGINT, value STRING").json(f"{root}/pages")
-    item = "STRUCT<event_id: BIGINT, user_id: BIGINT>"
-    parsed = F.from_json("value", f"MRData STRUCT<total: STRING, Items: ARRAY<{item}>>, {pages.CORRUPT} STRING",
-                         {"columnNameOfCorruptRecord": pages.CORRUPT})
-    read = landed.select("user_id", "offset", parsed.alias("p")).select(
-        F.col("user_id").alias("folder"), "offset", "p.MRData", F.col(f"p.{pages.CORRUPT}").alias(pages.CORRUPT))
-    kept = pages.until_empty(read, F.size(pages.records_at("MRData.Items")) > 0, ["offset"], group=["folder"])
-    return pages.flatten(kept, "MRData.Items", keep=["offset"]).select("rec.event_id", "rec.user_id", "offset")
+       .select(F.to_json(F.struct("user_id", "offset", "value")).alias("value")).write.text(f"{root}/lines")
+
+
+def read_pages(spark, root):
+    """MRData, folder, offset, _corrupt of every page, from page files and from lines."""
+    page = "MRData STRUCT<total: STRING, Items: ARRAY<STRUCT<event_id: BIGINT, user_id: BIGINT>>>"
+    columns = ["MRData", "folder", "offset", pages.CORRUPT]
+    files = pages.read_landed_pages(spark, f"{root}/pages", f"{page}, folder BIGINT, offset BIGINT")
+    landed = spark.read.schema("user_id BIGINT, offset BIGINT, value STRING").json(f"{root}/lines")
+    parsed = F.from_json("value", f"{page}, {pages.CORRUPT} STRING", {"columnNameOfCorruptRecord": pages.CORRUPT})
+    lines = landed.select(F.col("user_id").alias("folder"), "offset", parsed.alias("p")).select(
+        "p.MRData", "folder", "offset", F.col(f"p.{pages.CORRUPT}").alias(pages.CORRUPT))
+    return files.select(*columns).unionByName(lines.select(*columns))
 
 
 # ------------------------------------------------------------------------ topics

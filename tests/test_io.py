@@ -68,6 +68,30 @@ def test_landed_pages_stop_at_first_empty_page(spark, scratch):
     assert sorted((r.round, r.rec.n) for r in flat.collect()) == [(1, 1), (1, 2), (1, 3)]
 
 
+def test_landed_pages_query_reads_page_files_and_stops_at_the_total(spark, tmp_path):
+    from tarmac.plans import q_pipelines as q
+
+    ev = spark.range(400).selectExpr("id AS event_id", "CASE WHEN id < 95 THEN 5 WHEN id < 155 THEN 10 WHEN id < 230 THEN 7 "
+                                     "WHEN id < 330 THEN 1005 ELSE 1007 END AS user_id",
+                                     "timestamp_ntz'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, 0, id) AS ts")
+    root = f"{tmp_path}/landed"
+    q.land_pages(spark, ev, root)
+    assert sorted(os.listdir(f"{root}/pages/folder=5")) == [f"offset={o}" for o in (0, 120, 30, 60, 90)]
+    assert sum(f.endswith(".txt") for f in os.listdir(f"{root}/pages/folder=10/offset=60")) == 1
+    read = q.read_pages(spark, root)
+    assert [r.folder for r in pages.corrupt_pages(read).select("folder", "MRData", "_corrupt").collect()] == [-1, -1]
+    past = read.where("offset >= CAST(MRData.total AS BIGINT)").select("folder", "offset", "MRData.Items.event_id").collect()
+    assert sorted(map(tuple, past)) == [(5, 120, [-1]), (10, 60, [-1]), (1005, 120, [-1])]
+    ev.write.parquet(f"{tmp_path}/d/events.parquet")
+    got = sorted((r.event_id, r.user_id, r.offset) for r in q.landed_pages(spark, f"{tmp_path}/d").collect())
+    want, at = [], {}
+    for r in ev.orderBy("event_id").collect():
+        n = at[r.user_id] = at.get(r.user_id, -1) + 1
+        if r.user_id % 7 or n < 30:
+            want.append((r.event_id, r.user_id, n // 30 * 30))
+    assert got == want
+
+
 def test_fan_out_by_column(spark, scratch):
     df = spark.createDataFrame([("a", 1), ("b", 2), ("a", 3)], "target string, v long")
     sinks.fan_out_by(df, "target", f"{scratch}/fan")
