@@ -1,13 +1,16 @@
 """Exact repeated byte strings by prefix doubling, spread over Spark's tasks.
 
 :mod:`passages` deals the suffixes that can still repeat by the hash of a
-gram of theirs, and Spark sorts them within a task.  Each task then ranks its
-suffixes by their first 8 bytes and doubles: the rank of 2 h bytes is the
-rank of the pair (rank at p, rank at p + h).  A suffix whose rank is unique
-leaves; the last pair, of two overlapping ranks, reaches the threshold
-length exactly.  Suffixes of equal final rank share their first ``length``
-bytes, compared in full and not by hash; all but those of the smallest
-document repeat.
+gram of theirs.  Two cases are decided without ranks: whole copies of a
+smaller document's text, by a join on its md5, and contexts that equal one of
+a smaller document, by comparing their bytes (:func:`match_contexts`).  The
+other contexts of an anchor are ranked in their task, by ``np.unique`` and not
+by a sort of Spark's: first by 8 bytes, then doubling, where the rank of 2 h
+bytes is the rank of the pair (rank at p, rank at p + h).  A suffix whose rank
+is unique leaves; the last pair, of two overlapping ranks, reaches the
+threshold length exactly.  Suffixes of equal final rank share their first
+``length`` bytes, compared in full and not by hash; all but those of the
+smallest document repeat.
 
 Doubling over every byte of the corpus in the cluster would sort records of
 several times the input in each round.  Dealing by anchors first keeps the
