@@ -1,12 +1,21 @@
 """The pipeline's stages on odd rows, and the entry's guard."""
 
+import hashlib
 import os
+import re
 import shutil
 import subprocess
 import sys
+from collections import Counter
 
 import corpus_pipeline
+import public_tokenizers
+import pytest
+import tiktoken
+from tarmac.llm import toxicity, word_bpe
+from tarmac.llm.common import NO_ID
 from tarmac.session import work_path
+from test_dedup import brute, fingerprint, linked, split
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -31,6 +40,82 @@ def test_stages(spark, odd):
     assert out[names[-1]].count() == out["mix_sources"].count()
 
 
+def plain_toxicity(rows, model):
+    scores = toxicity.score_texts([r.text for r in rows], model, toxicity.Voters(model.patterns))
+    return [r for r, x in zip(rows, scores, strict=True) if x < 0.7]
+
+
+def plain_near_dedup(rows, found):
+    """The rows that name their component; of rows that repeat an id the one that was ``found``."""
+    root, least = linked([fingerprint(r.text) for r in rows]), {}
+    for r, k in zip(rows, root, strict=True):
+        least[k] = min(least.get(k, NO_ID), NO_ID if r.doc_id is None else r.doc_id)
+    same = {}
+    for r, k in zip(rows, root, strict=True):
+        if r.doc_id is not None and any(q.doc_id == r.doc_id and least[j] == r.doc_id for q, j in zip(rows, root, strict=True)):
+            same.setdefault(r.doc_id, []).append(r)
+    taken = {r.doc_id: r for r in found}
+    return [r for r in rows if r.doc_id is None] + [taken[i] if taken.get(i) in rs else rs[0] for i, rs in same.items()]
+
+
+def plain_cut(rows):
+    rows, out = sorted(rows, key=lambda r: NO_ID if r.doc_id is None else r.doc_id), []
+    for r, (_, words, gone) in zip(rows, brute(rows, split, 50), strict=True):
+        kept = b" ".join(w for w, g in zip(words, gone, strict=True) if not g).decode()
+        if not gone.any():
+            out.append(r)
+        elif kept:
+            new = r.asDict() | {"text": kept, "n_chars": len(kept)}
+            out.append(tuple(new[c] for c in r.__fields__))
+    return out
+
+
+def plain_mix(rows):
+    size = Counter()
+    for r in rows:
+        size[r.source] += len(re.findall(r"[^\x20\x09-\x0D]+", r.text or ""))
+    names = sorted(size, key=lambda x: (x is None, x or ""))
+    weight = {n: (3, 1, 2)[i % 3] for i, n in enumerate(names)}
+    stopped, level = set(), 0.0
+    while len(stopped) < len(names):
+        level = (1.5 * size.total() - sum(2 * size[n] for n in stopped)) / sum(weight[n] for n in names if n not in stopped)
+        full = {n for n in names if weight[n] * level >= 2 * size[n]}
+        if full <= stopped:
+            break
+        stopped |= full
+    out = []
+    for r in rows:
+        n = r.source
+        rate = min(2 * size[n], weight[n] * level) / size[n] if size[n] else 0.0
+        draw = int(hashlib.sha256(f"mix:{'' if r.doc_id is None else r.doc_id}".encode()).hexdigest()[:12], 16) / 2 ** 48
+        out += [r] * (int(rate) + (draw < rate - int(rate)))
+    return out
+
+
+def plain_bpe(rows):
+    ranks = word_bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    encode = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    return [(r.doc_id, tuple(encode(r.text or ""))) for r in rows]
+
+
+@pytest.mark.parametrize("name", ["odd", "documents"])
+def test_all_rows_are_brute_force(request, spark, name):
+    """Each stage in plain Python, from the rows that the stage before was found to give."""
+    sf = "/root/testdata/sf0.001"
+    docs = request.getfixturevalue(name)
+    out = {n: d.collect() for n, d in run(spark, docs, sf).items()}
+    rows = docs.collect()
+    same = lambda stage, want: Counter(map(tuple, out[stage])) == Counter(map(tuple, want))
+    assert same("toxicity", plain_toxicity(rows, toxicity.train(docs, spark.read.parquet(f"{sf}/labels.parquet"))))
+    assert same("simhash_near_dedup", plain_near_dedup(out["toxicity"], out["simhash_near_dedup"]))
+    assert same("substring_dedup", plain_cut(out["simhash_near_dedup"]))
+    assert same("mix_sources", plain_mix(out["substring_dedup"]))
+    want = Counter(plain_bpe(out["mix_sources"]))
+    assert Counter((r.doc_id, tuple(r.ids)) for r in out["word_bpe"]) == want
+    if name == "documents":
+        assert Counter((r.doc_id, tuple(r.ids)) for r in corpus_pipeline.run(spark, sf).collect()) == want
+
+
 def test_empty(spark, none):
     assert all(d.count() == 0 for d in run(spark, none, "/root/testdata/sf0.001").values())
 
