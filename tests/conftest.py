@@ -6,9 +6,6 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path[:0] = [ROOT, os.path.join(ROOT, "scripts")]
 
-SF_SMALL = "/root/testdata/sf0.001"
-
-
 @pytest.fixture(scope="session")
 def spark():
     from plan_log import log_conf

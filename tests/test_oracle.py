@@ -11,7 +11,7 @@ import pytest
 
 import __spark_entry__ as E
 from tarmac.plans import ORACLE, QUERIES
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 

@@ -5,7 +5,7 @@ import re
 
 import pytest
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from plan_log import PlanLog
 from tarmac.plans import QUERIES
 
