@@ -6,9 +6,12 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import work_path
 from . import (
+    fim,
+    hard_negatives,
     language,
     mixing,
     quality,
@@ -93,3 +96,22 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return language.identify(docs, language.train(docs))
+
+
+@query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(rows["vec_id"] % 7 == 0, (rows["label"] + 1) % 10).otherwise(rows["label"])
+    rows = rows.select("vec_id", label.alias("label"), "embedding")
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0, scale=256.0)
+
+
+ORACLE["op11_hard_negatives"] = hard_negatives.SQL
+
+
+@query
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digest(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op13_fill_in_middle"] = fim.SQL
