@@ -13,6 +13,7 @@ from . import (
     fim,
     hard_negatives,
     language,
+    minhash,
     mixing,
     quality,
     simhash,
@@ -109,6 +110,14 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE["op11_hard_negatives"] = hard_negatives.SQL
 
 
+@query
+def op12_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, percent=80)
+
+
+ORACLE["op12_minhash_near_dedup"] = minhash.SQL
+
+
 @query
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim.digest(table(spark, sf_dir, "documents"))
