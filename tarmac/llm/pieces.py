@@ -13,11 +13,13 @@ import re
 from collections.abc import Callable, Iterable
 
 _CUT = re.compile(r" (?=\S)")
+#: A space that starts no piece; without any, every space does.
+_LOOSE = re.compile(r" (?!\S)")
 
 
 def cut(text: str) -> tuple[str, list[str]]:
     """(head, rest): the text is head + " " + rest[0] + " " + rest[1] ..."""
-    parts = _CUT.split(text)
+    parts = _CUT.split(text) if _LOOSE.search(text) else text.split(" ")
     return parts[0], parts[1:]
 
 
@@ -28,17 +30,21 @@ def head(text: str) -> str:
 class PieceCache:
     """Ids (as bytes) of pieces; forgets everything when it holds ``limit`` pieces, so memory is bounded."""
 
-    def __init__(self, encode: Callable[[Iterable[str]], list[bytes]], limit: int = 400_000) -> None:
-        self.encode, self.limit = encode, limit
+    def __init__(self, encode: Callable[[Iterable[str]], list[bytes]], whole: Iterable[str] = (), limit: int = 400_000) -> None:
+        self.encode, self.whole, self.limit = encode, tuple(whole), limit
         self.known: dict[str, bytes] = {}
 
     def ids(self, text: str) -> bytes:
+        """Ids of a text; one that holds a string of ``whole`` is not cut."""
+        if any(x in text for x in self.whole):
+            return self.encode([text], uncut=True)[0]
         head, rest = cut(text)
         if len(self.known) > self.limit:
             self.known = {}
-        known = self.known
-        new = [p for p in set(rest) if p not in known]
-        if new:
+        coded = list(map(self.known.get, rest))
+        if None in coded:
+            new = list({p for p, ids in zip(rest, coded, strict=True) if ids is None})
             self.known.update(zip(new, self.encode([" " + p for p in new]), strict=True))
+            coded = map(self.known.__getitem__, rest)
         first = self.encode([head])[0] if head else b""
-        return first + b"".join(map(self.known.__getitem__, rest))
+        return first + b"".join(coded)

@@ -18,8 +18,9 @@ any URI that pyarrow can open and all executors share.
 
 Defined cases: a null text is the empty text; a document always has the end
 id, so its length is 1 at least; rows that repeat a doc_id are numbered 0, 1,
-... in the order of their texts and each has its own key; a null doc_id comes
-last.  An empty table gives no shards and no rows.
+... within a shard, in the order of their texts' hashes, and each has its own
+key there; a null doc_id comes last; the string of a special token in a text
+is that token.  An empty table gives no shards and no rows.
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ from __future__ import annotations
 import json
 import math
 import os
+import re
+import unicodedata
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator
@@ -44,6 +47,8 @@ from .pieces import PieceCache
 _U = np.uint64
 GAMMA = 2.0
 MAX_LEVELS = 40
+#: A shard's number is its task's, shifted by this, plus its place in the task.
+PART_BITS = 20
 
 
 def _mix(x: np.ndarray, seed: int) -> np.ndarray:
@@ -149,68 +154,99 @@ class Shard:
         return self.read(offset[0], count[0]) if count[0] >= 0 else None
 
 
-def library_encoder(path: str, width: int):
-    """Ids of pieces, as bytes, by the tokenizers library; new pieces of a text go through it in one call."""
+def _latin(first: str) -> str:
+    """The characters up to U+024F of a Unicode category, for a character class (letters and digits have kept theirs)."""
+    return "".join(re.escape(chr(c)) for c in range(0x250) if unicodedata.category(chr(c))[0] == first)
+
+
+_SPACE = "\\t-\\r \x85\xa0"
+_L, _N = _latin("L"), _latin("N")
+#: The vocabulary's own split pattern, for texts of these characters.
+PRE_TOKEN = re.compile(f"'(?:s|t|re|ve|m|ll|d)| ?[{_L}]+| ?[{_N}]+| ?[^{_SPACE}{_L}{_N}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
+#: Characters above this have the library itself look for the places to split.
+LAST = "\u024f"
+
+
+def library_encoder(path: str, width: int, specials_as_text: bool = False, limit: int = 400_000):
+    """(encode, special): ids of pieces, as bytes, by the tokenizers library, and the strings of special tokens.
+
+    A piece of Latin characters is split into pre-tokens, and each distinct one goes through the library
+    once as long as it is among the latest ``limit``; other pieces go through it whole.  A special token's
+    string in a text is that token, the library's default, or ordinary text with ``specials_as_text``.
+    """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True  # their strings in a text are ordinary text
+    t.encode_special_tokens = specials_as_text
+    special = [] if specials_as_text else [a.content for a in t.get_added_tokens_decoder().values()]
     kind = f"<u{width}"
-    one = lambda s: np.array(t.encode_batch_fast([s], add_special_tokens=False)[0].ids, kind)
-    line_end = one("\n")
-
-    def encode(pieces: list[str]) -> list[bytes]:
-        # A line end between visible characters, or before a space and one, is a pre-token of its own.
-        # So pieces without other white space go through in one call, a line each.
-        plain = [p for p in pieces if p[:1] == " " and p.split() == p[1:].split("\n")]
-        if len(plain) < 2 or len(line_end) != 1:
-            return [one(p).tobytes() for p in pieces]
-        ids = one("\n".join(plain))
-        after = np.cumsum([p.count("\n") + 1 for p in plain])[:-1] - 1  # the line end that follows each piece
-        raw, ends = ids.tobytes(), (np.flatnonzero(ids == line_end[0])[after] * width).tolist()
-        cuts = zip([0, *[e + width for e in ends]], [*ends, len(raw)], strict=True)
-        known = dict(zip(plain, [raw[a:b] for a, b in cuts], strict=True))
-        if len(known) == len(pieces):
-            return list(known.values())
-        return [known[p] if p in known else one(p).tobytes() for p in pieces]
-
-    return encode
+    known: dict[str, bytes] = {}
+
+    def library(texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, kind).tobytes() for e in t.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def encode(pieces: list[str], uncut: bool = False) -> list[bytes]:
+        if uncut:
+            return library(pieces)
+        split = [PRE_TOKEN.findall(p) if p and max(p) <= LAST else [p] for p in pieces]
+        if len(known) > limit:
+            known.clear()
+        new = list({x for parts in split for x in parts if x not in known})
+        known.update(zip(new, library(new), strict=True))
+        return [b"".join([known[x] for x in parts]) for parts in split]
+
+    return encode, special
 
 
 _caches: dict[tuple[str, int], PieceCache] = {}
 
 
-def _write(batches: Iterator[pa.RecordBatch], base: str, path: str, width: int, end_id: int) -> Iterator[pa.RecordBatch]:
-    """One shard per task: rows (key, text) in order."""
+def _write(batches: Iterator[pa.RecordBatch], base: str, path: str, width: int, end_id: int, max_bytes: int) -> Iterator[pa.RecordBatch]:
+    """Shards of one task: rows (key, text) in order; a shard is written when its ids reach ``max_bytes``."""
     if (path, width) not in _caches:
-        _caches[path, width] = PieceCache(library_encoder(path, width))
+        _caches[path, width] = PieceCache(*library_encoder(path, width))
     cache, end = _caches[path, width], int(end_id).to_bytes(width, "little")
-    ids, payload = [], []
+    ids, payload, size, done = [], [], 0, 0
+
+    def flush() -> pa.RecordBatch:
+        own = np.array(ids, np.int64)
+        first = np.r_[True, own[1:] != own[:-1]]
+        nth = np.arange(len(own)) - np.maximum.accumulate(np.where(first, np.arange(len(own)), 0))
+        shard = (TaskContext.get().partitionId() << PART_BITS) + done
+        write_shard(base, shard, own, nth, payload, width)
+        return pa.RecordBatch.from_pydict({"shard": [shard], "n_docs": [len(own)], "n_ids": [size // width]})
+
     for b in batches:
-        ids.append(b.column(0).to_numpy(zero_copy_only=False))
-        payload += [cache.ids(t.as_py()) + end for t in b.column(1)]
-    if not payload:
-        return
-    ids = np.concatenate(ids).astype(np.int64)
-    first = np.r_[True, ids[1:] != ids[:-1]]
-    nth = np.arange(len(ids)) - np.maximum.accumulate(np.where(first, np.arange(len(ids)), 0))
-    shard = TaskContext.get().partitionId()
-    write_shard(base, shard, ids, nth, payload, width)
-    yield pa.RecordBatch.from_pydict({"shard": [shard], "n_docs": [len(ids)], "n_ids": [sum(map(len, payload)) // width]})
+        for key, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+            coded = cache.ids(text.as_py()) + end
+            ids.append(key)
+            payload.append(coded)
+            size += len(coded)
+            if size >= max_bytes:
+                yield flush()
+                ids, payload, size, done = [], [], 0, done + 1
+    if payload:
+        yield flush()
 
 
 def write_files(docs: DataFrame, base: str, tokenizer: str, vocab: int, end_id: int = 0,
-                docs_per_shard: int = 4096) -> DataFrame:
-    """Encode ``docs`` into shards under ``base``; the manifest (shard, n_docs, n_ids, first), also kept there."""
+                docs_per_shard: int = 4096, shard_bytes: int = 1 << 25) -> DataFrame:
+    """Encode ``docs`` into shards under ``base``; the manifest (shard, n_docs, n_ids, first), also kept there.
+
+    A shard holds about ``docs_per_shard`` documents, and no further one once its ids reach ``shard_bytes``.
+    Rows are dealt by id and text, so rows without an id, or with one id, spread over shards too.
+    """
     spark = docs.sparkSession
     width = 2 if vocab <= 1 << 16 else 4
     store, root = fs.FileSystem.from_uri(base)
     store.create_dir(root)
     shards = max(1, math.ceil(docs.count() / docs_per_shard))
-    rows = docs.select(F.coalesce(docs["doc_id"].cast("bigint"), F.lit(NO_ID)).alias("key"), text_of(docs).alias("text"))
-    dealt = rows.repartitionByRange(shards, "key").sortWithinPartitions("key", "text")
-    dealt.mapInArrow(lambda it: _write(it, base, tokenizer, width, end_id), "shard long, n_docs long, n_ids long") \
+    text = text_of(docs)
+    rows = docs.select(F.coalesce(docs["doc_id"].cast("bigint"), F.lit(NO_ID)).alias("key"), text.alias("text"),
+                       F.xxhash64(text).alias("th"))
+    dealt = rows.repartitionByRange(shards, "key", "th").sortWithinPartitions("key", "th", "text").select("key", "text")
+    dealt.mapInArrow(lambda it: _write(it, base, tokenizer, width, end_id, shard_bytes), "shard long, n_docs long, n_ids long") \
          .write.mode("overwrite").parquet(f"{base}/manifest")
     shards_seen = spark.read.parquet(f"{base}/manifest")
     # One row per shard, not per document: a single window over it is small.
@@ -230,6 +266,8 @@ def _read(batches: Iterator[pa.RecordBatch], base: str) -> Iterator[pa.RecordBat
 
 
 def read_digest(manifest: DataFrame, base: str) -> DataFrame:
-    """Every document looked up in its shard by key: doc_id, start, n_tokens, ids_crc32."""
-    shards = manifest.select("shard", F.col("first").cast("bigint")).repartition("shard")
-    return shards.mapInArrow(lambda it: _read(it, base), "doc_id long, start long, n_tokens long, ids_crc32 long")
+    """Every document looked up in its shard by key: doc_id, start, n_tokens, ids_crc32; a task per shard."""
+    shards = manifest.select("shard", F.col("first").cast("bigint"))
+    # The number is given, so adaptive execution does not merge the few bytes of the manifest into one task.
+    dealt = shards.repartitionByRange(max(1, manifest.count()), "shard")
+    return dealt.mapInArrow(lambda it: _read(it, base), "doc_id long, start long, n_tokens long, ids_crc32 long")

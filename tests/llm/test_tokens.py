@@ -8,6 +8,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tarmac.llm import token_files, word_bpe
@@ -21,7 +22,6 @@ RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 @pytest.fixture(scope="module")
 def library():
     t = Tokenizer.from_file(JSON)
-    t.encode_special_tokens = True
     return lambda x: t.encode(x, add_special_tokens=False).ids
 
 
@@ -33,7 +33,7 @@ def ranked():
 
 def test_pieces_are_independent(library, ranked):
     rng = random.Random(2)
-    cache = PieceCache(token_files.library_encoder(JSON, 2), limit=500)
+    cache = PieceCache(*token_files.library_encoder(JSON, 2, limit=300), limit=500)
     parts = [" ", "  ", "\n", "\t", "a", "é", "don't", "'s", "1", "<", "日", " ", "\x1c", " ", ".", "word"]
     for _ in range(3_000):
         x = "".join(rng.choice(parts) for _ in range(rng.randint(0, 14)))
@@ -48,7 +48,8 @@ def uri(spark):
 def test_files_round_trip(spark, odd, library):
     base = uri(spark)
     got = token_files.read_digest(token_files.write_files(odd, base, JSON, 50_257, docs_per_shard=5), base).collect()
-    rows = sorted(odd.select("doc_id", "text").collect(), key=lambda r: (r.doc_id is None, r.doc_id or 0, r.text or ""))
+    hashed = odd.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"))
+    rows = sorted(hashed.collect(), key=lambda r: (r.doc_id is None, r.doc_id or 0, r.th))
     want, at = [], 0
     for r in rows:
         ids = np.array([*library(r.text or ""), 0], "<u4")
@@ -57,6 +58,24 @@ def test_files_round_trip(spark, odd, library):
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
 
 
+def test_shards_are_bounded_and_read_by_many_tasks(spark, library):
+    """Rows without an id spread over shards, a shard ends at its bytes, and each shard is read by a task of its own."""
+    rows = [(None, f"text {i} " * 20) for i in range(400)] + [(5, f"other {i}") for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    base = uri(spark)
+    manifest = token_files.write_files(docs, base, JSON, 50_257, docs_per_shard=50)
+    seen = manifest.collect()
+    assert len(seen) >= 8 and max(r.n_docs for r in seen) <= 150
+    got = token_files.read_digest(manifest, base)
+    assert got.rdd.getNumPartitions() == len(seen)
+    assert got.count() == 500 and got.agg(F.sum("n_tokens")).head()[0] == sum(len(library(t)) + 1 for _, t in rows)
+    base = uri(spark)
+    small = token_files.write_files(docs, base, JSON, 50_257, shard_bytes=1000)
+    assert small.count() > 20
+    starts = sorted((r.start, r.n_tokens) for r in token_files.read_digest(small, base).collect())
+    assert all(a + n == b for (a, n), (b, _) in zip(starts, starts[1:]))
+
+
 def test_keyed_access(spark, odd, library):
     base = uri(spark)
     token_files.write_files(odd, base, JSON, 50_257, docs_per_shard=10**6)
