@@ -21,5 +21,10 @@ def text_of(df: DataFrame, col: str = "text") -> Column:
     return F.coalesce(df[col].cast("string"), F.lit(""))
 
 
+def column(df: DataFrame, name: str) -> Column:
+    """A column by its whole name, whatever characters that holds."""
+    return df["`" + name.replace("`", "``") + "`"]
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

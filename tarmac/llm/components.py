@@ -1,9 +1,10 @@
 """Connected components of a link table by alternating large-star and small-star rounds.
 
 Every round is two aggregations and joins on the link table, which never
-holds more rows than links; a node with very many links is split by the
-skew-join handling because its minimum is aggregated before the join.  Each
-round is checkpointed under ``spark.checkpoint.dir``, so a lost executor
+holds more rows than links.  The minimum next to each node is aggregated and
+checkpointed before it is joined: the join's small side then has a size of its
+own, and skew-join handling can split the links of a node that has very many.
+Each round is checkpointed under ``spark.checkpoint.dir``, so a lost executor
 costs one round.
 """
 
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 def _lowest(pairs: DataFrame) -> DataFrame:
     """Of (u, v) rows, every row with the smallest node next to or at u."""
     low = pairs.groupBy("u").agg(F.min("v").alias("low")).select(
-        F.col("u").alias("lu"), F.least("u", "low").alias("low"))
+        F.col("u").alias("lu"), F.least("u", "low").alias("low")).checkpoint()
     return pairs.join(low, pairs["u"] == low["lu"]).select("u", "v", "low")
 
 

@@ -8,7 +8,8 @@ then code order).  The families are a parameter; a language in none is a
 family of its own.
 
 Training uses at most ``per_language`` labelled documents of each language,
-chosen by hash of the id, and never those of the held-out fold.  Every whole
+chosen by hash of the id, and never those of the held-out fold; rows that are
+equal in id, language and text count once.  Every whole
 text is scored in one pass without a shuffle.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0;
@@ -18,7 +19,6 @@ it is predicted throughout; repeated rows and null ids are like all others.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import combinations
@@ -33,8 +33,9 @@ from .toxicity import held_out
 UNKNOWN = "und"
 BITS = 12
 MAX_GRAM = 4
-_LETTER = re.compile(r"[^\W\d_]")
 _BLOCK = 1 << 20
+#: Tasks that first choose the sample of one language.
+SALTS = 64
 
 #: ISO 639-1 codes of closely related languages.
 FAMILIES = {
@@ -46,6 +47,11 @@ FAMILIES = {
 }
 
 
+def has_letter(text: str) -> bool:
+    """Whether a character of Unicode category L occurs, as ``\\p{L}`` says in training."""
+    return any(map(str.isalpha, text))
+
+
 def features(text: str) -> np.ndarray:
     """Square roots of hashed n-gram counts, scaled to length 1."""
     data = np.frombuffer(text.lower().encode("utf-8", "surrogatepass"), np.uint8)
@@ -131,7 +137,7 @@ def _sure(margin: float) -> float:
 
 
 def predict(model: Model, text: str | None) -> tuple[str, float]:
-    if not text or not model.families or not _LETTER.search(text):
+    if not text or not model.families or not has_letter(text):
         return UNKNOWN, 0.0
     x = np.r_[features(text), np.float32(1)]
     best, score = 0, 1.0
@@ -158,15 +164,25 @@ def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                                          ["id", "lang", "x"])
 
 
+def _first_rows(rows: DataFrame, group: list[str], order: list, n: int) -> DataFrame:
+    nth = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
+    return rows.withColumn("nth", nth).where(F.col("nth") <= n)
+
+
 def train(docs: DataFrame, per_language: int = 500, families: dict[str, tuple[str, ...]] | None = None) -> Model:
     """Learn from ``docs`` (doc_id, text, lang); at most ``per_language`` feature rows per language reach the driver."""
     rows = docs.select(docs["doc_id"].cast("bigint").alias("id"), docs["lang"].cast("string").alias("lang"),
                        docs["text"].cast("string").alias("text"))
     rows = rows.where("id IS NOT NULL AND lang IS NOT NULL").where(~held_out(F.col("id"), 4, 2)).where(F.col("text").rlike(r"\p{L}"))
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    ids = rows.select("id", "lang").withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= per_language)
-    chosen = ids.select(F.col("id").alias("chosen_id"), F.col("lang").alias("chosen_lang"))
-    picked = rows.join(F.broadcast(chosen), (F.col("id") == F.col("chosen_id")) & (F.col("lang") == F.col("chosen_lang")))
+    rows = rows.withColumn("th", F.xxhash64("text"))
+    # A language is dealt over SALTS tasks first, so its one task of the second choice reads SALTS * per_language
+    # rows at most; rows that repeat an id are in one of them.
+    order = [F.xxhash64("id"), F.col("id"), F.col("th")]
+    some = rows.select("id", "lang", "th", F.pmod(F.hash("id"), F.lit(SALTS)).alias("salt"))
+    some = _first_rows(some, ["lang", "salt"], order, per_language).select("id", "lang", "th").distinct()
+    chosen = _first_rows(some, ["lang"], order, per_language).select(*[F.col(c).alias(f"chosen_{c}") for c in ("id", "lang", "th")])
+    is_it = [F.col(c) == F.col(f"chosen_{c}") for c in ("id", "lang", "th")]
+    picked = rows.join(F.broadcast(chosen), is_it).dropDuplicates(["id", "lang", "th"])  # a row per chosen one
     out = picked.select("id", "lang", "text").mapInArrow(_feature_rows, "id long, lang string, x binary").collect()
     out.sort(key=lambda r: (r["lang"], r["id"], bytes(r["x"])))
     if not out:

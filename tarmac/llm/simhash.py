@@ -18,9 +18,11 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
+from .common import NO_ID, column, text_of
 from .components import components
 from .gray_index import links
 
@@ -49,24 +51,30 @@ def fingerprint(text: str, shingle: int = 3) -> int:
 
 def _fingerprints(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        codes = np.fromiter((fingerprint(t.as_py() or "", shingle) for t in batch.column(1)),
+        codes = np.fromiter((fingerprint(t.as_py() or "", shingle) for t in batch.column(2)),
                             np.uint64, batch.num_rows)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(codes.view(np.int64))], ["doc_id", "code"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(codes.view(np.int64))],
+                                         ["doc_id", "th", "code"])
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """(doc_id, code): the fingerprint of every row, as a signed long."""
-    rows = docs.select(docs["doc_id"].cast("bigint"), docs["text"].cast("string"))
-    return rows.mapInArrow(lambda it: _fingerprints(it, shingle), "doc_id long, code long")
+    """(doc_id, th, code): the id, the hash of the text and the fingerprint (a signed long) of every row."""
+    rows = docs.select(docs["doc_id"].cast("bigint"), F.xxhash64(text_of(docs)).alias("th"), docs["text"].cast("string"))
+    return rows.mapInArrow(lambda it: _fingerprints(it, shingle), "doc_id long, th long, code long")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
-    """One row per row of ``docs``: doc_id, fingerprint (hex), component_id."""
-    prints = fingerprints(docs, shingle).checkpoint()
+def _grouped(prints: DataFrame, max_bits: int) -> DataFrame:
+    """(code, root, first_id): the distinct fingerprints, each with its component's smallest one."""
     codes = prints.groupBy("code").agg(F.min("doc_id").alias("first_id")).checkpoint()
     roots = components(links(codes.select("code"), max_bits))
-    placed = codes.join(roots, codes["code"] == roots["node"], "left").select(
+    return codes.join(roots, codes["code"] == roots["node"], "left").select(
         "code", "first_id", F.coalesce("root", "code").alias("root"))
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
+    """One row per row of ``docs``: doc_id, fingerprint (hex), component_id."""
+    prints = fingerprints(docs, shingle).checkpoint()
+    placed = _grouped(prints, max_bits)
     lowest = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = placed.join(lowest, "root").select(F.col("code").alias("of_code"), "component_id")
     return prints.join(named, prints["code"] == named["of_code"], "left").select(
@@ -74,12 +82,19 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> Dat
 
 
 def keep_representatives(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
-    """The rows of ``docs`` that name their component: one document of each group.
+    """One row of ``docs`` for each component: that of the smallest doc_id, null last.
 
-    Rows that repeat the kept doc_id are reduced to one; rows without a doc_id stay.
+    Of rows that share that id the one whose text has the smallest hash stays, and of rows equal in
+    both the one whose columns have the smallest hash, so the choice does not depend on the order of tasks.
     """
-    found = near_duplicates(docs.select("doc_id", "text"), shingle, max_bits)
-    kept = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("kept_id")).distinct()
-    with_id = docs.where(docs["doc_id"].isNotNull())
-    out = with_id.join(kept, with_id["doc_id"] == kept["kept_id"], "left_semi").dropDuplicates(["doc_id"])
-    return out.unionByName(docs.where(docs["doc_id"].isNull()))
+    prints = fingerprints(docs, shingle).select(
+        F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "th", "code").checkpoint()
+    placed = _grouped(prints, max_bits).select(F.col("code").alias("of_code"), "root")
+    first = prints.join(placed, F.col("code") == F.col("of_code")).groupBy("root").agg(
+        F.min(F.struct("doc_id", "th")).alias("row")).select(F.col("row.doc_id").alias("row_id"), F.col("row.th").alias("row_th"))
+    same = ((F.coalesce(docs["doc_id"].cast("bigint"), F.lit(NO_ID)) == first["row_id"])
+            & (F.xxhash64(text_of(docs)) == first["row_th"]))
+    rows = docs.join(first, same)
+    whole = F.xxhash64(*[column(docs, f.name) for f in docs.schema.fields if not isinstance(f.dataType, MapType)])
+    nth = F.row_number().over(Window.partitionBy(first["row_id"], first["row_th"]).orderBy(whole))
+    return rows.select(*[column(docs, c) for c in docs.columns], nth.alias("nth of its kind")).where(F.col("`nth of its kind`") == 1).drop("nth of its kind")

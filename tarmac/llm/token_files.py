@@ -186,14 +186,30 @@ def library_encoder(path: str, width: int, specials_as_text: bool = False, limit
     def library(texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, kind).tobytes() for e in t.encode_batch_fast(texts, add_special_tokens=False)]
 
+    end = library(["\n"])[0]
+
+    def by_line(words: list[str]) -> dict[str, bytes]:
+        """Ids of pre-tokens.  A line end between two that are not space is a pre-token of its own, so those go
+        through the library in one call, a line each, and no id of theirs is that of the line end."""
+        lines = [w for w in words if not w.isspace()] if len(end) == width else []
+        rest = [w for w in words if w.isspace()] if lines else words
+        out = dict(zip(rest, library(rest), strict=True)) if rest else {}
+        if lines:
+            ids = np.frombuffer(library(["\n".join(lines)])[0], kind)
+            at = (np.flatnonzero(ids == np.frombuffer(end, kind)[0]) * width).tolist()
+            raw = ids.tobytes()
+            out |= zip(lines, [raw[a:b] for a, b in zip([0, *[x + width for x in at]], [*at, len(raw)], strict=True)], strict=True)
+        return out
+
     def encode(pieces: list[str], uncut: bool = False) -> list[bytes]:
         if uncut:
             return library(pieces)
-        split = [PRE_TOKEN.findall(p) if p and max(p) <= LAST else [p] for p in pieces]
         if len(known) > limit:
             known.clear()
-        new = list({x for parts in split for x in parts if x not in known})
-        known.update(zip(new, library(new), strict=True))
+        split = [PRE_TOKEN.findall(p) if p and max(p) <= LAST else [p] for p in pieces]
+        for p in [parts[0] for parts in split if parts and parts[0] not in known and max(parts[0]) > LAST]:
+            known[p] = library([p])[0]
+        known.update(by_line(list({x for parts in split for x in parts if x not in known})))
         return [b"".join([known[x] for x in parts]) for parts in split]
 
     return encode, special

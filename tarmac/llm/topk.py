@@ -1,194 +1,171 @@
 """Exact top-k search by distributed histogram selection.
 
-Vectors are packed into blocks; a block of queries meets every block of
-candidates exactly once, on an explicit cell key, and scores it as one matrix
-product.  No score row leaves a task.  What leaves it is, per query and
-round, a histogram of ``BINS`` bins over the query's current score range.
-Spark adds the histograms up; the bin that holds the k-th best score becomes
-the next range, until the range is one integer wide: the k-th value itself.
-A last pass emits the scores above it, and of those equal to it each block's
-k smallest vec_ids, and a window per query orders them.
-
-Ranges start from the true minimum and maximum of each query's scores.  All
-arithmetic is on integers (in doubles where every product sum stays below
-2**53, else in 64-bit integers).
+Candidates are scored where they are read.  Of the queries, a wave of bounded
+bytes at a time is sent to all tasks; a task scores its candidates as matrix
+products, and no score row leaves it.  What leaves it is, per query and round,
+a histogram of ``BINS`` bins over the query's current score range.  Spark adds
+the histograms up; the bin that holds the k-th best score becomes the next
+range, until the range is one integer wide: the k-th value itself.  A last pass
+emits the scores above it, and of those equal to it each task's k smallest
+vec_ids, and a window per query orders them.
+
+Ranges start from the true minimum and maximum of each query's scores.  The
+state of a wave's queries (three numbers each) and their histograms are bounded
+by the wave; no candidate is shuffled.  Scores are exact integers.
 
 Defined cases: a null vector, or one with a null, NaN or infinite component,
 takes no part, neither do rows without a vec_id; a shorter vector counts as
 padded with zeros; every row but those with the query's own vec_id is a
 candidate, so repeated ids are ranked as often as they occur; query rows that
 repeat an id are searched one by one, and the k best of all their scores count;
-a query with fewer than k candidates gets all of them; an empty table gives no rows.
-Components beyond 2**26 in size are outside the 64-bit range and raise.
+a query with fewer than k candidates gets all of them; an empty table gives no
+rows; a score beyond 64 bits is held at the largest 64-bit value.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BINS = 64
-_LIMIT = 1 << 26
-
-
-def _pack(rows: pa.Table, key: str) -> pa.Table:
-    """One row per block: its ids and its matrix, as bytes."""
-    lists = rows.column("v").combine_chunks()
-    n = len(lists)
-    width = np.diff(lists.offsets.to_numpy())
-    dim = int(width.max()) if n else 0
-    m = np.zeros((n, dim), np.int64)
-    values = np.asarray(lists.flatten())
-    if len(values) and np.abs(values).max() > _LIMIT:
-        raise ValueError("a vector component is too large for exact 64-bit scores")
-    m[np.repeat(np.arange(n), width), np.arange(len(values)) - np.repeat(np.cumsum(width) - width, width)] = values
-    ids = rows.column("vec_id").to_numpy().astype(np.int64)
-    return pa.table({key: rows.column(key)[:1], "dim": pa.array([dim], pa.int32()),
-                     "ids": pa.array([ids.tobytes()], pa.binary()), "m": pa.array([m.tobytes()], pa.binary())})
+from .vectors import LARGEST, Rows, matrix, scores
 
-
-def packed(vectors: DataFrame, key: str, block: int) -> DataFrame:
-    """(key, dim, ids, m): ``vectors`` (vec_id, v) in blocks of about ``block`` rows by hash of row."""
-    blocks = max(1, math.ceil(vectors.count() / block))
-    dealt = vectors.withColumn(key, F.pmod(F.xxhash64("vec_id", "v"), F.lit(blocks)).cast("int"))
-    return dealt.groupBy(key).applyInArrow(lambda t: _pack(t, key), f"{key} int, dim int, ids binary, m binary")
+BINS = 64
+#: Bytes of query components that are sent to the tasks at once.
+WAVE_BYTES = 1 << 22
+#: Scores that a task holds at once.
+_CELLS = 1 << 20
+_LONG = (np.iinfo(np.int64).min, np.iinfo(np.int64).max)
 
 
 def quantized(embeddings: DataFrame, scale: int = 1024) -> DataFrame:
-    """(vec_id, v): floor(scale * x) of every component of the vectors that take part."""
+    """(vec_id, v): floor(scale * x) of every component of the vectors that take part, as whole doubles."""
     rows = embeddings.select(embeddings["vec_id"].cast("bigint").alias("vec_id"),
                              embeddings["embedding"].cast("array<double>").alias("x"))
     finite = F.forall("x", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(math.inf)))
     rows = rows.where(F.col("vec_id").isNotNull() & F.col("x").isNotNull() & finite)
-    return rows.select("vec_id", F.transform("x", lambda c: F.floor(c * F.lit(float(scale))).cast("bigint")).alias("v"))
+
+    def whole(c):
+        y = F.greatest(F.least(c * F.lit(float(scale)), F.lit(LARGEST)), F.lit(-LARGEST))
+        return F.when(F.abs(y) < 2.0 ** 53, F.floor(y).cast("double")).otherwise(y)  # a double that large is whole
+    return rows.select("vec_id", F.transform("x", whole).alias("v"))
 
 
-def _matrices(q: dict, c: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query ids, candidate ids, scores)."""
-    qi, ci = np.frombuffer(q["q_ids"], np.int64), np.frombuffer(c["c_ids"], np.int64)
-    a = np.frombuffer(q["q_m"], np.int64).reshape(len(qi), -1)
-    b = np.frombuffer(c["c_m"], np.int64).reshape(len(ci), -1)
-    dim = min(a.shape[1], b.shape[1])
-    a, b = a[:, :dim], b[:, :dim]
-    if dim == 0:
-        return qi, ci, np.zeros((len(qi), len(ci)), np.int64)
-    if float(np.abs(a).max()) * float(np.abs(b).max()) * dim < 2 ** 53:
-        return qi, ci, (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
-    return qi, ci, a @ b.T
+def _rows(batch: pa.RecordBatch | pa.Table) -> Rows:
+    ids = np.asarray(batch.column(0)).astype(np.int64)
+    return Rows(ids, ids, matrix(batch.column(1)), np.arange(len(ids), dtype=np.int64))
 
 
-def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(row, query rows, query ids, candidate ids, scores, candidates); a query row is its block and its place there."""
+def _cells(batches: Iterator[pa.RecordBatch], q: Rows) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(candidate ids, scores of all queries, whether the candidate is another row)."""
     for batch in batches:
-        for row in batch.to_pylist():
-            qi, ci, s = _matrices(row, row)
-            yield row, (row["qb"] << 32) + np.arange(len(qi), dtype=np.int64), qi, ci, s, ci[None, :] != qi[:, None]
-
-
-def _ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(qb, query row, n, lo, hi): candidates of a query in the cell, and the range of their scores."""
-    for row, qr, _, _, s, ok in _cells(batches):
-        n = ok.sum(axis=1)
-        lo = np.where(ok, s, np.iinfo(np.int64).max).min(axis=1, initial=np.iinfo(np.int64).max)
-        hi = np.where(ok, s, np.iinfo(np.int64).min).max(axis=1, initial=np.iinfo(np.int64).min)
-        some = n > 0
-        yield pa.RecordBatch.from_pydict({"qb": np.full(some.sum(), row["qb"], np.int32), "query_row": qr[some],
-                                          "n": n[some], "lo": lo[some], "hi": hi[some]})
-
-
-def _bounds(row: dict, qr: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """This round's (lo, hi) of each query of the cell; an empty range for queries that are settled."""
-    known = {q: (lo, hi) for q, lo, hi in zip(row["t_query"], row["t_lo"], row["t_hi"], strict=True)}
-    pairs = [known.get(int(q), (0, -1)) for q in qr]
-    return np.array([p[0] for p in pairs], np.int64), np.array([p[1] for p in pairs], np.int64)
-
-
-def bin_width(lo, hi):
-    return -(-(hi - lo + 1) // BINS)
-
-
-def _histograms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(query row, bin, n): bins count from the best score down."""
-    for row, qr, _, _, s, ok in _cells(batches):
-        lo, hi = _bounds(row, qr)
-        width = np.maximum(bin_width(lo, hi), 1)
-        inside = ok & (s >= lo[:, None]) & (s <= hi[:, None])
-        of, at = np.nonzero(inside)
-        bins = (hi[of] - s[of, at]) // width[of]
-        n = np.bincount(of * BINS + bins, minlength=len(qr) * BINS)
-        some = np.flatnonzero(n)
-        yield pa.RecordBatch.from_pydict({"query_row": qr[some // BINS], "bin": (some % BINS).astype(np.int32), "n": n[some]})
-
-
-def _select(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
-    """(query, vec, score): above the k-th value all, equal to it the k smallest ids of the cell."""
-    for row, qr, qi, ci, s, ok in _cells(batches):
-        kth, _ = _bounds(row, qr)
-        order = np.argsort(ci, kind="stable")
-        ci, s, ok = ci[order], s[:, order], ok[:, order]
-        tied = ok & (s == kth[:, None])
-        keep = (ok & (s > kth[:, None])) | (tied & (np.cumsum(tied, axis=1) <= k))
-        of, at = np.nonzero(keep)
-        yield pa.RecordBatch.from_pydict({"query_id": qi[of], "vec_id": ci[at], "score": s[of, at]})
-
-
-def search(queries: DataFrame, candidates: DataFrame, k: int = 10, query_block: int = 256,
-           block: int = 4096) -> DataFrame:
+        for part in _rows(batch).parts(max(1, _CELLS // max(len(q.ids), 1))):
+            yield part.ids, scores(q.m, part.m), part.ids[None, :] != q.ids[:, None]
+
+
+def _ranges(batches: Iterator[pa.RecordBatch], q: Rows) -> Iterator[pa.RecordBatch]:
+    """(query, n, lo, hi): candidates of a query in the task, and the range of their scores."""
+    n, lo, hi = (np.full(len(q.ids), x, np.int64) for x in (0, _LONG[1], _LONG[0]))
+    for _, s, ok in _cells(batches, q):
+        n += ok.sum(axis=1)
+        lo = np.minimum(lo, np.where(ok, s, _LONG[1]).min(axis=1, initial=_LONG[1]))
+        hi = np.maximum(hi, np.where(ok, s, _LONG[0]).max(axis=1, initial=_LONG[0]))
+    some = n > 0
+    yield pa.RecordBatch.from_pydict({"query": q.numbers[some], "n": n[some], "lo": lo[some], "hi": hi[some]})
+
+
+def bin_width(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """Width of a bin, for ranges of up to all 64 bits."""
+    span = hi.view(np.uint64) - lo.view(np.uint64)  # hi - lo, which may exceed a signed long
+    return span // np.uint64(BINS) + np.uint64(1)
+
+
+def _histograms(batches: Iterator[pa.RecordBatch], q: Rows, lo: np.ndarray, hi: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """(query, bin, n): bins count from the best score down; queries whose range is one value have none."""
+    width, count = bin_width(lo, hi), np.zeros(len(q.ids) * BINS, np.int64)
+    for _, s, ok in _cells(batches, q):
+        of, at = np.nonzero(ok & (s >= lo[:, None]) & (s <= hi[:, None]) & (lo < hi)[:, None])
+        bins = (hi[of].view(np.uint64) - s[of, at].view(np.uint64)) // width[of]
+        count += np.bincount(of * BINS + bins.astype(np.int64), minlength=len(count))
+    some = np.flatnonzero(count)
+    yield pa.RecordBatch.from_pydict({"query": q.numbers[some // BINS], "bin": (some % BINS).astype(np.int32), "n": count[some]})
+
+
+def _select(batches: Iterator[pa.RecordBatch], q: Rows, kth: np.ndarray, k: int) -> Iterator[pa.RecordBatch]:
+    """(query_id, vec_id, score): above the k-th value all, equal to it the k smallest ids of the task."""
+    tied = [np.zeros(0, np.int64), np.zeros(0, np.int64)]  # query, vec_id
+    for ids, s, ok in _cells(batches, q):
+        of, at = np.nonzero(ok & (s > kth[:, None]))
+        yield pa.RecordBatch.from_pydict({"query_id": q.ids[of], "vec_id": ids[at], "score": s[of, at]})
+        of, at = np.nonzero(ok & (s == kth[:, None]))
+        tied = [np.r_[tied[0], of], np.r_[tied[1], ids[at]]]
+        order = np.lexsort(tied[::-1])
+        query = tied[0][order]
+        start = np.flatnonzero(np.r_[True, query[1:] != query[:-1]]) if len(query) else query
+        kept = order[np.arange(len(query)) - np.repeat(start, np.diff(np.r_[start, len(query)])) < k]
+        tied = [tied[0][kept], tied[1][kept]]
+    yield pa.RecordBatch.from_pydict({"query_id": q.ids[tied[0]], "vec_id": tied[1], "score": kth[tied[0]]})
+
+
+def _kth(run: Callable, q: Rows, k: int) -> np.ndarray:
+    """The k-th best score of each query (the least one, if it has fewer): ``run(task function, schema)`` is a
+    frame of what the tasks found.  What is fetched is bounded by the wave: three numbers a query, or its bins."""
+    found = run(lambda it: _ranges(it, q), "query long, n long, lo long, hi long").groupBy("query").agg(
+        F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi")).toArrow().to_pydict()
+    want, lo, hi = (np.zeros(len(q.ids), np.int64) for _ in range(3))
+    at = np.array(found["query"], np.int64)
+    want[at], lo[at], hi[at] = np.minimum(np.array(found["n"], np.int64), k), found["lo"], found["hi"]
+    while (lo < hi).any():
+        bound = (lo, hi)
+        counts = run(lambda it: _histograms(it, q, *bound), "query long, bin int, n long").groupBy("query", "bin").agg(
+            F.sum("n").alias("n")).toArrow().to_pydict()
+        table = np.zeros((len(q.ids), BINS), np.int64)
+        table[np.array(counts["query"], np.int64), np.array(counts["bin"], np.int64)] = counts["n"]
+        upto = np.cumsum(table, axis=1)
+        row = np.flatnonzero(lo < hi)
+        hit = (upto[row] >= want[row, None]).argmax(axis=1)
+        want[row] -= upto[row, hit] - table[row, hit]
+        width = bin_width(lo, hi)[row]
+        top = (hi[row].view(np.uint64) - hit.astype(np.uint64) * width).view(np.int64)
+        room = top.view(np.uint64) - lo[row].view(np.uint64)
+        low = (top.view(np.uint64) - np.minimum(width - np.uint64(1), room)).view(np.int64)
+        lo, hi = lo.copy(), hi.copy()
+        lo[row], hi[row] = low, top
+    return lo
+
+
+def search(queries: DataFrame, candidates: DataFrame, k: int = 10, wave_bytes: int = WAVE_BYTES) -> DataFrame:
     """The ``k`` best of ``candidates`` for each of ``queries`` (both vec_id, v): query_id, rank, vec_id, score.
 
     Query rows that repeat a vec_id share its ``k`` ranks; ties go to the smaller vec_id.
     """
-    q = packed(queries, "qb", query_block).select("qb", F.col("ids").alias("q_ids"), F.col("m").alias("q_m"))
-    c = packed(candidates, "cb", block).select("cb", F.col("ids").alias("c_ids"), F.col("m").alias("c_m"))
-    q, c = q.checkpoint(), c.checkpoint()
-    n_q, n_c = q.count(), c.count()
-    if not n_q or not n_c:
-        return queries.select(F.col("vec_id").alias("query_id"), F.lit(0).alias("rank"), "vec_id",
-                              F.lit(0).cast("bigint").alias("score")).limit(0)
-    # Every query block meets every candidate block once, dealt by the pair.
-    q_cells = q.withColumn("cb", F.explode(F.sequence(F.lit(0), c.agg(F.max("cb")).scalar())))
-    cells = q_cells.join(c.hint("shuffle_hash"), "cb").repartition(F.col("qb"), F.col("cb"))
-
-    found = cells.mapInArrow(_ranges, "qb int, query_row long, n long, lo long, hi long")
-    # below: scores of the candidates that are surely among the best; a range of one value is settled.
-    state = found.groupBy("qb", "query_row").agg(F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-    state = state.select("qb", "query_row", F.least(F.col("n"), F.lit(k).cast("bigint")).alias("want"), "lo", "hi").checkpoint()
-    open_ = F.col("lo") < F.col("hi")
-
-    def with_bounds(rows: DataFrame) -> DataFrame:
-        """Cells with their block's (query, lo, hi); at most ``query_block`` or so in a block."""
-        packed_state = rows.groupBy("qb").agg(F.collect_list("query_row").alias("t_query"),
-                                              F.collect_list("lo").alias("t_lo"), F.collect_list("hi").alias("t_hi"))
-        return cells.join(packed_state, "qb")
-
-    while state.where(open_).limit(1).count():
-        counts = with_bounds(state.where(open_)).mapInArrow(_histograms, "query_row long, bin int, n long") \
-            .groupBy("query_row", "bin").agg(F.sum("n").alias("n"))
-        upto = Window.partitionBy("qr").orderBy("bin")  # at most BINS rows a query
-        ranked = counts.withColumnRenamed("query_row", "qr").withColumn("upto", F.sum("n").over(upto))
-        hit = state.join(ranked, (F.col("query_row") == F.col("qr")) & (F.col("upto") >= F.col("want"))
-                         & (F.col("upto") - F.col("n") < F.col("want")), "left")
-        width = _width(F.col("lo"), F.col("hi"))
-        high = F.col("hi") - F.col("bin") * width
-        state = hit.select(
-            "qb", "query_row",
-            F.when(F.col("bin").isNull(), F.col("want")).otherwise(F.col("want") - (F.col("upto") - F.col("n"))).alias("want"),
-            F.when(F.col("bin").isNull(), F.col("lo")).otherwise(F.greatest(F.col("lo"), high - width + 1)).alias("lo"),
-            F.when(F.col("bin").isNull(), F.col("hi")).otherwise(high).alias("hi")).checkpoint()
-
-    chosen = with_bounds(state).mapInArrow(lambda it: _select(it, k), "query_id long, vec_id long, score long")
+    spark = queries.sparkSession
+    size = queries.agg(F.count(F.lit(1)), F.max(F.size("v"))).head()
+    waves = max(1, -(-size[0] * 8 * max(size[1] or 1, 1) // wave_bytes))
+    # Equal query rows are dealt apart, so a wave is of about wave_bytes whatever repeats.
+    asked = queries.select("vec_id", "v", F.pmod(F.xxhash64("vec_id", "v", F.monotonically_increasing_id()), F.lit(waves))
+                           .alias("wave")).checkpoint()
+    chosen = None
+    for w in range(waves):
+        sent = spark.sparkContext.broadcast(_rows(asked.where(F.col("wave") == w).select("vec_id", "v").toArrow()))
+
+        def run(task: Callable, schema: str) -> DataFrame:
+            return candidates.select("vec_id", "v").mapInArrow(task, schema)
+
+        found = _wave(run, sent, k)
+        chosen = found if chosen is None else chosen.unionByName(found)
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return (chosen.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
 
 
-def _width(lo: Column, hi: Column) -> Column:
-    return F.ceil((hi - lo + 1) / F.lit(BINS)).cast("bigint")
+def _wave(run: Callable, sent, k: int) -> DataFrame:
+    kth = _kth(run, sent.value, k)
+    return run(lambda it: _select(it, sent.value, kth, k), "query_id long, vec_id long, score long")
 
 
 SQL = """

@@ -33,8 +33,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import text_of
+from .common import column, text_of
 
 _WORD = re.compile(r"[^\W\d_]+")
 STEMS = (4, 5, 6)
@@ -60,7 +61,7 @@ def patterns_of(text: str) -> set[str]:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, fold: int, per_class: int) -> DataFrame:
-    """(doc_id, label, text): at most ``per_class`` labelled ids of each class outside the fold, by hash."""
+    """(doc_id, label, text): at most ``per_class`` labelled rows of each class outside the fold, by hash of the id."""
     marks = (labels.select(labels["doc_id"].cast("bigint").alias("id"), labels[label].alias("label"))
              .where("id IS NOT NULL AND label IS NOT NULL").where(~held_out(F.col("id"), folds, fold))
              .groupBy("id").agg(F.max("label").alias("label")))
@@ -68,7 +69,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int,
     chosen = of_class(F.col("label") == 1).unionByName(of_class(F.col("label") != 1)).select("id", "label")
     rows = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), text_of(docs).alias("text"))
     # At most per_class ids of each class are broadcast.
-    return rows.join(F.broadcast(chosen), F.col("doc_id") == F.col("id")).select("doc_id", "label", "text")
+    found = rows.join(F.broadcast(chosen), F.col("doc_id") == F.col("id")).select("doc_id", "label", "text").checkpoint()
+    # An id may stand for any number of rows, so the rows are bounded too.
+    first = lambda own: found.where(own).orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(per_class)
+    return first(F.col("label") == 1).unionByName(first(F.col("label") != 1))
 
 
 def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -260,7 +264,7 @@ def keep_clean(docs: DataFrame, labels: DataFrame, cut: float = 0.7) -> DataFram
     """The rows of ``docs`` that the classifier doesn't reject, same columns."""
     model = train(docs, labels)
     columns = docs.columns
-    rows = docs.select(F.struct(*[docs[c] for c in columns]).alias("row"), text_of(docs).alias("text"))
-    kind = rows.schema["row"].dataType.simpleString()
-    out = rows.mapInArrow(lambda it: _score(it, model), f"row {kind}, score double")
-    return out.where(F.col("score") < cut).select(*[F.col("row")[c].alias(c) for c in columns])
+    rows = docs.select(F.struct(*[column(docs, c) for c in columns]).alias("row"), text_of(docs).alias("text"))
+    schema = T.StructType([T.StructField("row", rows.schema["row"].dataType), T.StructField("score", T.DoubleType())])
+    out = rows.mapInArrow(lambda it: _score(it, model), schema).where(F.col("score") < cut)
+    return out.select(*[F.col("row").getField(c).alias(c) for c in columns])

@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: A finite double that scaling cannot exceed.
+LARGEST = 1.7e308
 _LONG = (np.iinfo(np.int64).min, np.iinfo(np.int64).max)
 
 
@@ -36,12 +38,10 @@ def finite_rows(rows: DataFrame) -> DataFrame:
     return out.where(F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.col("x").isNotNull() & finite)
 
 
-def floors(batch: pa.RecordBatch | pa.Table, scale: float) -> Rows:
-    """The rows of a batch (vec_id, label, x), shorter vectors padded with zeros."""
-    lists = batch.column(2)
-    lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
+def matrix(lists: pa.Array | pa.ChunkedArray, scale: float = 1.0) -> np.ndarray:
+    """floor(scale * x) of lists of numbers, one line each, shorter ones padded with zeros."""
     if isinstance(lists, pa.ChunkedArray):
-        lists = pa.concat_arrays(lists.chunks)
+        lists = lists.combine_chunks()
     n = len(lists)
     width = np.diff(lists.offsets.to_numpy())
     m = np.zeros((n, int(width.max()) if n else 0))
@@ -49,9 +49,13 @@ def floors(batch: pa.RecordBatch | pa.Table, scale: float) -> Rows:
     values = lists.flatten().to_numpy(zero_copy_only=False)
     with np.errstate(over="ignore"):
         m[np.repeat(np.arange(n), width), np.arange(len(values)) - np.repeat(first, width)] = np.floor(values * scale)
-    np.clip(m, -1.7e308, 1.7e308, out=m)
+    return np.clip(m, -LARGEST, LARGEST, out=m)
+
+
+def floors(batch: pa.RecordBatch | pa.Table, scale: float) -> Rows:
+    """The rows of a batch (vec_id, label, x)."""
     column = lambda i: np.asarray(batch.column(i)).astype(np.int64)
-    return Rows(column(0), column(1), m, np.arange(n, dtype=np.int64))
+    return Rows(column(0), column(1), matrix(batch.column(2), scale), np.arange(batch.num_rows, dtype=np.int64))
 
 
 def scores(a: np.ndarray, b: np.ndarray) -> np.ndarray:

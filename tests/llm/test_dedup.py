@@ -4,6 +4,7 @@ import hashlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 import xxhash
 
 from tarmac.llm import gray_index, simhash, suffix_array, suffix_automaton, winnow
@@ -52,11 +53,15 @@ def test_simhash_is_brute_force(request, name):
     assert sorted(map(tuple, simhash.near_duplicates(docs).collect()), key=str) == want
 
 
-def test_representatives_keep_rows_without_id_and_all_columns(odd):
-    kept = simhash.keep_representatives(odd)
-    assert kept.columns == odd.columns
-    ids = [r.doc_id for r in kept.collect()]
-    assert ids.count(None) == 2 and ids.count(7) == 1 and 8 not in ids and 11 not in ids and ids.count(10) == 1
+def test_one_row_of_each_component_stays(odd):
+    kept = simhash.keep_representatives(odd.withColumn("extra col", F.lit(1)).withColumn("a.b", F.lit(2)))
+    assert kept.columns == [*odd.columns, "extra col", "a.b"]
+    rows = kept.collect()
+    ids = [r.doc_id for r in rows]
+    # those without an id are copies of rows that have one; the two texts of id 10 are not alike
+    assert ids.count(None) == 0 and ids.count(7) == 1 and 8 not in ids and 11 not in ids
+    assert [r.text for r in rows if r.doc_id == 10].count("another text with a repeated id") == 1
+    assert len(rows) == len(set(linked([fingerprint(r.text) for r in odd.select("doc_id", "text").collect()])))
 
 
 def test_index_finds_all_links_in_tight_groups():

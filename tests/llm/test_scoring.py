@@ -57,6 +57,14 @@ def test_mix_is_repeatable_and_near_its_target(spark, odd):
     mixed = mixing.mix(odd)
     assert mixed.columns == odd.columns
     copies = Counter(r.doc_id for r in mixed.collect())
+    # rows that share an id, or have none, are drawn one by one
+    nameless = spark.createDataFrame([(None, f"text {i}", "a") for i in range(2_000)] + [(7, "same text", "a")] * 2_000
+                                     + [(i, "one two", "b") for i in range(4_000)], "doc_id long, text string, source string")
+    taken = mixing.taken_words(nameless).collect()
+    for own in (lambda r: r.doc_id is None, lambda r: r.doc_id == 7 and r.target == taken[0].target):
+        got = [r for r in taken if own(r)]
+        share = got[0].target / got[0].source_size
+        assert sum(r.taken for r in got) == pytest.approx(share * sum(r.size for r in got), rel=0.06)
     counted = mixing.mix_counts(odd).groupBy("doc_id").sum("copies").collect()
     assert copies == Counter({r[0]: r[1] for r in counted if r[1]})
 
@@ -130,7 +138,8 @@ def test_toxicity_odd_rows(odd, none, labels):
     model = toxicity.train(odd, labels, support=1)
     rows = toxicity.score(odd, model).collect()
     assert len(rows) == odd.count() and all(0 <= r.score <= 1 for r in rows)
-    assert toxicity.keep_clean(odd, labels).columns == odd.columns
+    named = odd.withColumn("extra col", odd["lang"]).withColumn("a.b", odd["lang"])
+    assert toxicity.keep_clean(named, labels).columns == named.columns
     assert toxicity.keep_clean(odd, labels.limit(0)).count() == odd.count()
     assert toxicity.score(none, model).count() == 0
 
@@ -186,6 +195,27 @@ def test_language_odd_rows(odd, none):
     assert all(r.lang_pred == "und" and r.score == 0 for r in rows if r.doc_id in (4, 5, 6))
     assert language.identify(none, language.train(none)).count() == 0
     assert {r.lang_pred for r in language.identify(odd, language.train(none)).collect()} == {"und"}
+    signs = odd.sparkSession.createDataFrame([(i, x) for i, x in enumerate(("²", "½ 12", "①②", "Ⅷ", "a", "ª"))], "doc_id long, text string")
+    assert [r.lang_pred == "und" for r in language.identify(signs, model).orderBy("doc_id").collect()] == [True] * 4 + [False] * 2
+
+
+def test_samples_are_bounded_by_rows(spark):
+    """An id that stands for many rows takes no more of a sample than its bound."""
+    own = next(i for i in range(8) if zlib.crc32(str(i).encode()) % 4 != 2 and zlib.crc32(str(i).encode()) % 3 != 1)
+    rows = [(own, f"word{i} and more", "en", 1) for i in range(300)] + [(own, "the same text", "en", 1)] * 300 \
+        + [(i, f"palabra{i} nueva", "es", 0) for i in range(8, 400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, toxic int").repartition(8)
+    size = []
+    fit = language.fit
+    try:
+        language.fit = lambda x, langs, families: size.append(Counter(langs)) or fit(x, langs, families)
+        language.train(docs, per_language=50)
+    finally:
+        language.fit = fit
+    assert size[0]["en"] == 50 and size[0]["es"] == 50
+    labels = docs.select("doc_id", "toxic").distinct()
+    sample = toxicity.labelled_sample(docs, labels, "toxic", 3, 1, 40).groupBy("label").count().collect()
+    assert all(r["count"] <= 40 for r in sample) and len(sample) == 2
 
 
 def vectors(spark, rows):
@@ -199,13 +229,30 @@ def test_search_odd_rows(spark):
             (400, [inf, 1.0], 1, 1, ""), (500, [None, 1.0], 1, 1, ""), (None, [1.0, 1.0], 1, 1, ""), (7, [3.0], 1, 1, "")]
     rows += [(i, [1.0, 1.0], 1, 1, "") for i in range(1, 6)] + [(3, [1.0, 1.0], 1, 1, "")]
     v = topk.quantized(vectors(spark, rows))
-    found = topk.search(v.where("vec_id % 100 = 0"), v, k=4, query_block=1, block=3)
+    found = topk.search(v.where("vec_id % 100 = 0"), v, k=4, wave_bytes=16)
     got = {}
     for r in found.orderBy("query_id", "rank").collect():
         got.setdefault(r.query_id, []).append((r.vec_id, r.score))
     m = 1024 * 1024
     assert got == {0: [(1, 3 * m), (2, 3 * m), (3, 3 * m), (3, 3 * m)], 100: [(7, 3 * m // 2), (1, -m // 2), (2, -m // 2), (3, -m // 2)]}
     assert topk.search(v.where("vec_id < 0"), v).count() == 0
+    assert topk.search(v, v.where("vec_id < 0")).count() == 0
+
+
+def test_search_large_components(spark):
+    """Components of 65,536 and more take part; scores are exact integers, and held at 64 bits."""
+    rows = [(i, [70000.0 + i, -(2.0 ** 18) * i, 3.0], 1, 1, "") for i in range(0, 300, 4)]
+    v = topk.quantized(vectors(spark, rows))
+    whole = {r.vec_id: [int(x) for x in r.v] for r in v.collect()}
+    found = topk.search(v.where("vec_id % 100 = 0"), v, k=5).collect()
+    for q in (0, 100, 200):
+        best = sorted((-sum(a * b for a, b in zip(whole[q], w)), i) for i, w in whole.items() if i != q)[:5]
+        assert sorted((-r.score, r.vec_id) for r in found if r.query_id == q) == best
+    v = topk.quantized(spark.createDataFrame([(0, [1e300]), (1, [1e300]), (2, [-1e300]), (3, [0.0]), (4, [1e306])],
+                                             "vec_id long, embedding array<double>"))
+    top = 2 ** 63 - 1
+    assert [(r.vec_id, r.score) for r in topk.search(v.where("vec_id = 0"), v, k=4).orderBy("rank").collect()] \
+        == [(1, top), (4, top), (3, 0), (2, -top - 1)]
 
 
 def test_repeated_query_ids_are_the_sql(spark, tmp_path):
