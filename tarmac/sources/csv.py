@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -15,28 +17,91 @@ CORRUPT = "_corrupt"
 ROW_BITS = 33
 
 
-def scan_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def scan_csv(spark: SparkSession, path: str) -> DataFrame:
     """Every column of a headered CSV as text, named by the header, plus ``_corrupt``.
 
     RFC 4180 quoting: a quote in a quoted field is doubled, and fields may hold
-    line ends.  ``multi_line=False`` gives up line ends in fields and lets large
-    files be split.  A file whose header differs from the first one's raises,
+    line ends; each file is read by one task (:func:`scan_split_csv` by many).  A file whose header differs from the first one's raises,
     rather than being read by position.  A missing path raises.
     """
     r = (spark.read.option("header", True).option("quote", '"').option("escape", '"')
-              .option("multiLine", multi_line).option("mode", "PERMISSIVE"))
+              .option("multiLine", True).option("mode", "PERMISSIVE"))
     found = r.csv(path).schema
     schema = StructType([StructField(f.name, StringType()) for f in found.fields] + [StructField(CORRUPT, StringType())])
     return r.schema(schema).option("columnNameOfCorruptRecord", CORRUPT).option("enforceSchema", False).csv(path)
 
 
+def _split_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, start, row, value, odd, before): the physical lines, read by a task per split.
+
+    ``odd`` says whether a line holds an odd number of quotes (a doubled quote counts two), ``before``
+    how many such lines its split has before it."""
+    raw = spark.read.option("lineSep", "\n").text(path)
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << ROW_BITS) - 1))
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    lines = raw.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+                       row.alias("row"), "value", (quotes % 2).cast("bigint").alias("odd"))
+    earlier = Window.partitionBy("file", "start").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
+    return lines.withColumn("before", F.coalesce(F.sum("odd").over(earlier), F.lit(0).cast("bigint")))
+
+
+def records(spark: SparkSession, path: str) -> DataFrame:
+    """(file, start, row, record): the records of CSV files, each at the place of its first line.
+
+    A line end inside a quoted field does not end a record.  Whether a line starts inside a field is
+    the parity of all quotes before it in its file: a prefix sum over the lines of a split, on top of
+    a prefix sum over the splits of a file (one row each).  Lines that are a record of their own go
+    no further; only records of several lines are put together, wherever their lines were read.
+    """
+    lines = _split_lines(spark, path)
+    starts_if = lambda state: F.max(F.when((F.col("before") + state) % 2 == 0, F.col("row")))
+    splits = lines.groupBy("file", "start").agg((F.sum("odd") % 2).alias("parity"), starts_if(0).alias("last_even"),
+                                                starts_if(1).alias("last_odd"))
+    earlier = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    state = F.coalesce(F.sum("parity").over(earlier), F.lit(0)) % 2
+    splits = splits.withColumn("state", state)
+    last = F.when(F.col("state") == 0, F.col("last_even")).otherwise(F.col("last_odd"))
+    splits = splits.withColumn("last", F.when(last.isNotNull(), F.struct(F.col("start").alias("start"), last.alias("row"))))
+    splits = splits.select(F.col("file").alias("_file"), F.col("start").alias("_start"), "state",
+                           F.last("last", ignorenulls=True).over(earlier).alias("open"))
+    lines = lines.join(splits, (F.col("file") == F.col("_file")) & (F.col("start") == F.col("_start")))
+    lines = lines.withColumn("starts", (F.col("before") + F.col("state")) % 2 == 0)
+    so_far = Window.partitionBy("file", "start").orderBy("row")
+    own = F.last(F.when(F.col("starts"), F.struct("start", "row")), ignorenulls=True).over(so_far)
+    lines = lines.withColumn("of", F.coalesce(own, F.col("open")))
+    alone = F.col("starts") & (F.col("odd") == 0)
+    several = lines.where(~alone).groupBy("file", "of").agg(
+        F.sort_array(F.collect_list(F.struct("start", "row", "value"))).alias("parts"))
+    several = several.select("file", "of.start", "of.row", F.array_join(F.transform("parts", lambda x: x["value"]), "\n").alias("record"))
+    whole = lines.where(alone).select("file", "start", "row", F.col("value").alias("record")).unionByName(several)
+    return whole.withColumn("record", F.regexp_replace("record", "\r$", ""))
+
+
+def scan_split_csv(spark: SparkSession, path: str) -> DataFrame:
+    """:func:`scan_csv` for large files: many tasks read a file, whatever its fields hold; in addition the
+    columns ``_file``, ``_start`` and ``_row``, the place of the record."""
+    options = {"quote": '"', "escape": '"', "multiLine": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    names = scan_csv(spark, path).columns[:-1]
+    ddl = ", ".join("`" + n.replace("`", "``") + "` STRING" for n in [*names, CORRUPT])
+    rows = records(spark, path).where(F.col("record") != "").select("*", F.from_csv("record", ddl, options).alias("_r"))
+    first = (F.col("start") == 0) & (F.col("row") == F.col("_first"))
+    heads = rows.where("start = 0").groupBy("file").agg(F.min("row").alias("_first")).withColumnRenamed("file", "_of")
+    rows = rows.join(heads, (F.col("file") == F.col("_of")) & (F.col("start") == 0), "left")
+    same = [F.col("_r").getField(n) == F.lit(n) for n in names]
+    as_told = F.coalesce(reduce(lambda a, b: a & b, same) & F.col("_r").getField(CORRUPT).isNull(), F.lit(False))
+    checked = F.when(~F.coalesce(first, F.lit(False)), True).when(as_told, False).otherwise(
+        F.raise_error(F.concat(F.lit("the header differs in "), F.col("file"))).cast("boolean"))
+    return rows.where(checked).select(*[F.col("_r").getField(n).alias(n) for n in [*names, CORRUPT]],
+                                      F.col("file").alias("_file"), F.col("start").alias("_start"), F.col("row").alias("_row"))
+
+
 def _any_value(df: DataFrame) -> Column:
     """Always true; Spark refuses to read the corrupt column alone, so the first one is looked at too."""
     return F.coalesce(F.col(df.columns[0]), F.lit("")) >= ""
 
 
 def read_wide_csv(spark: SparkSession, path: str, schema: StructType,
-                  arrival_col: str | None = "_arrival", multi_line: bool = True) -> DataFrame:
+                  arrival_col: str | None = "_arrival", split: bool = True) -> DataFrame:
     """The columns of ``schema`` that the file has, by name (P2), typed as declared.
 
     Text columns are read as text and the pandas default NA tokens become NULL
@@ -44,9 +109,15 @@ def read_wide_csv(spark: SparkSession, path: str, schema: StructType,
     does).  Rows that do not fit the header are left to :func:`csv_rejects`.
     ``arrival_col`` carries file order for keep-first dedup (quirk Q18) as the
     struct (file, split start, row); :func:`with_arrival_number` turns it into
-    one BIGINT.
+    one BIGINT.  ``split=False`` reads each file in one task, by the multi-line reader.
     """
-    df = scan_csv(spark, path, multi_line)
+    if split:
+        df = scan_split_csv(spark, path)
+        place = [F.col("_file"), F.col("_start"), F.col("_row")]
+    else:
+        df = scan_csv(spark, path)
+        row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << ROW_BITS) - 1))
+        place = [F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), row]
     cols = []
     for f in schema.fields:
         if f.name not in df.columns:
@@ -56,16 +127,14 @@ def read_wide_csv(spark: SparkSession, path: str, schema: StructType,
             c = c.try_cast(f.dataType)
         cols.append(c.alias(f.name))
     if arrival_col:
-        row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << ROW_BITS) - 1))
-        cols.append(F.struct(F.col("_metadata.file_path").alias("file"),
-                             F.col("_metadata.file_block_start").alias("start"), row.alias("row")).alias(arrival_col))
+        cols.append(F.struct(*[c.alias(n) for c, n in zip(place, ("file", "start", "row"), strict=True)]).alias(arrival_col))
     return df.where(F.col(CORRUPT).isNull() & _any_value(df)).select(*cols)
 
 
-def csv_rejects(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def csv_rejects(spark: SparkSession, path: str, split: bool = True) -> DataFrame:
     """(file, record): the rows that do not fit the header."""
-    df = scan_csv(spark, path, multi_line)
-    return df.select("*", F.col("_metadata.file_path").alias("_file")).where(F.col(CORRUPT).isNotNull() & _any_value(df)) \
+    df = scan_split_csv(spark, path) if split else scan_csv(spark, path).select("*", F.col("_metadata.file_path").alias("_file"))
+    return df.where(F.col(CORRUPT).isNotNull() & _any_value(df)) \
              .select(F.col("_file").alias("file"), F.col(CORRUPT).alias("record"))
 
 
