@@ -6,8 +6,14 @@ lookups with rejects (J1-J3), keep-first in arrival order (W1; arrival is
 ``(partition, offset)``), anti joins against the target (J5), ids from
 ``max + position`` (W2) and join-based updates (U1-U3).  ``process_batch``
 runs them in a fixed order - dimensions, then facts, then standings, then
-the fastest-lap update (Q14, T7, T8) - and writes every reject with a reason
-to the ``rejects`` table (T9).
+the fastest-lap update (Q14, T7, T8).
+
+Every reject has a reason (T9).  Most are final and are appended to
+``rejects``, in a folder of their batch.  A message that misses a driver, a
+race or a constructor is stored in ``waiting`` under the key it misses, and
+offered again, in its arrival order, by the batch in which that key arrives.
+A key arrives once, so a waiting row needs no removal and no count of
+attempts: it is open as long as its dimension does not have the key.
 """
 
 from __future__ import annotations
@@ -20,27 +26,23 @@ from ..functions import clean as C
 from ..operators import keys, lookup, ranking, upsert
 from ..operators.dedup import keep_first
 from ..session import ensure_checkpoint_dir
-from .warehouse import Warehouse
+from .warehouse import MESSAGE, RACE_BEST, REFS, Warehouse, wait_bucket
 
-ORD = ["partition", "offset"]
-MAX_ATTEMPTS = 10
+# Arrival: the position of a message in its stream; streams of one warehouse are told apart.
+ORD = ["partition", "offset", "stream"]
 
 
 def _decode(msgs: DataFrame, ddl: str) -> DataFrame:
     return msgs.withColumn("v", F.from_json(F.col("value").cast("string"), ddl))
 
 
-# Reasons that may resolve later (the referenced row arrives in a later batch);
-# such rejects are offered again, ``max_attempts`` times at most, then given up.
-# All other reasons are final.
-RETRYABLE = ["unknown driver", "unknown race", "unknown constructor"]
-
-
-def _reject(df: DataFrame, reason: str, topic: str) -> DataFrame:
-    """A reject row keeps the message and its arrival position."""
+def _reject(df: DataFrame, reason: str, topic: str, kind: str | None = None, ref: Column | None = None) -> DataFrame:
+    """A reject row keeps the message and its arrival position, and the key it misses, if it may still arrive."""
     return df.select(F.lit(topic).alias("topic"), F.col("key").cast("string").alias("key"),
                      F.col("value").cast("string").alias("value"), F.lit(reason).alias("reason"),
-                     F.col("partition").cast("int").alias("partition"), F.col("offset").cast("bigint").alias("offset"))
+                     F.col("partition").cast("int").alias("partition"), F.col("offset").cast("bigint").alias("offset"),
+                     "stream", (F.lit(None) if ref is None else ref).cast("string").alias("ref"),
+                     F.lit(kind).cast("string").alias("kind"))
 
 
 def _rejects(*parts: DataFrame) -> DataFrame:
@@ -62,17 +64,18 @@ def _duplicates(d: DataFrame, new: DataFrame, topic: str) -> DataFrame:
     return _reject(d.join(kept, ORD, "left_anti"), "duplicate key", topic)
 
 
-def _resolved(df: DataFrame, dim: DataFrame, on: list[str], take: list[str], reason: str, topic: str):
-    """J1 / J2 in one join: the resolved rows, and the rejects of the others."""
+def _resolved(df: DataFrame, dim: DataFrame, on: list[str], take: list[str], kind: str, topic: str):
+    """J1 / J2 in one join: the resolved rows, and the rejects of the others, which wait for the key."""
     tagged = lookup.resolve_tagged(df, dim, on, take)
+    ref = F.when(C.all_present(*on), F.concat_ws("_", *[F.col(c) for c in on]))
     return (tagged.where(F.col(lookup.HIT)).drop(lookup.HIT),
-            _reject(tagged.where(~F.col(lookup.HIT)), reason, topic))
+            _reject(tagged.where(~F.col(lookup.HIT)), f"unknown {kind}", topic, kind, ref))
 
 
 def _resolve_driver(df: DataFrame, wh: Warehouse, ref: Column, topic: str):
     # Full-row dedup keeps variants of one driver (Q16): look up distinct (ref, id).
     dim = wh.read("driver").select(F.col("driverRef").alias("_dref"), "driverId").distinct()
-    ok, rej = _resolved(df.withColumn("_dref", ref), dim, ["_dref"], ["driverId"], "unknown driver", topic)
+    ok, rej = _resolved(df.withColumn("_dref", ref), dim, ["_dref"], ["driverId"], "driver", topic)
     return ok.drop("_dref"), rej
 
 
@@ -83,7 +86,7 @@ def _resolve_race(df: DataFrame, wh: Warehouse, season: Column, rnd: Column, top
     df, other = _split(df, F.col("season_n") != only, "other season", topic)
     races = wh.read("race").where(F.col("year") == only).select(
         F.col("year").cast("bigint").alias("season_n"), F.col("round").cast("bigint").alias("round_n"), "race_id")
-    ok, rej = _resolved(df, races, ["season_n", "round_n"], ["race_id"], "unknown race", topic)
+    ok, rej = _resolved(df, races, ["season_n", "round_n"], ["race_id"], "race", topic)
     return ok, _rejects(bad, other, rej)
 
 
@@ -202,12 +205,15 @@ def process_laptimes(wh: Warehouse, msgs: DataFrame, season: int,
     d, rej1 = _resolve_driver(d, wh, F.col("v.driverId"), t)
     d, rej2 = _resolve_race(d, wh, F.coalesce(F.col("v.season"), F.lit(str(season))), F.col("v.round"), t, season)
     d, rej3 = _split(d.withColumn("lap", F.col("v.lap").try_cast("bigint")), F.col("lap").isNull(), "invalid lap", t)
-    new = upsert.insert_new(wh.read("laptimes"), d, ["driverId", "race_id", "lap"], ORD, small_batch=True)   # W1 + J5 (Q5)
-    dup = _duplicates(d, new, t)
-    wh.append("laptimes", new.select(
-        "race_id", "driverId", "lap", F.col("v.position").try_cast("bigint").alias("position_laptimes"),
+    d = d.checkpoint()
+    new = upsert.insert_new(wh.touched("laptimes", d), d, ["driverId", "race_id", "lap"], ORD, small_batch=True)   # W1 + J5 (Q5)
+    new = new.select(
+        *ORD, "race_id", "driverId", "lap", F.col("v.position").try_cast("bigint").alias("position_laptimes"),
         F.col("v.time").alias("time_laptimes"),
-        C.duration_ms(F.col("v.time"), legacy_float=legacy_float).alias("milliseconds_laptimes")))  # F7
+        C.duration_ms(F.col("v.time"), legacy_float=legacy_float).alias("milliseconds_laptimes")).checkpoint()  # F7
+    dup = _duplicates(d, new, t)
+    _note_best(wh, new)     # before the laps: a batch that stops in between finds its laps missing and notes them again
+    wh.append("laptimes", new)
     return _rejects(rej1, rej2, rej3, dup)
 
 
@@ -217,7 +223,8 @@ def process_pitstops(wh: Warehouse, msgs: DataFrame, season: int) -> DataFrame:
     d, rej1 = _resolve_driver(d, wh, F.col("v.driverId"), t)
     d, rej2 = _resolve_race(d, wh, F.col("v.season"), F.col("v.round"), t, season)
     d, rej3 = _split(d.withColumn("stop", F.col("v.stop").try_cast("bigint")), F.col("stop").isNull(), "invalid stop", t)
-    new = upsert.insert_new(wh.read("pitstops"), d, ["stop", "race_id", "driverId"], ORD, small_batch=True)  # Q5: batch and table
+    d = d.checkpoint()
+    new = upsert.insert_new(wh.touched("pitstops", d), d, ["stop", "race_id", "driverId"], ORD, small_batch=True)  # Q5: batch and table
     ms = C.duration_ms(F.col("v.duration"))                                                # F8
     dup = _duplicates(d, new, t)
     wh.append("pitstops", new.select(
@@ -241,16 +248,17 @@ def process_results(wh: Warehouse, msgs: DataFrame, season: int,
               .groupBy("_sname").agg(F.min("statusId").alias("statusId")))
     d, _ = lookup.resolve(d.withColumn("_sname", F.col("v.status")), sts, "_sname", ["statusId"], how="left")  # J3
     # Only the batch's keys are looked up: the large tables are filtered before they are grouped.
+    d = d.checkpoint()
     batch_keys = d.select("driverId", "raceId").distinct()
-    pit = wh.read("pitstops").withColumnRenamed("race_id", "raceId").join(batch_keys, ["driverId", "raceId"], "left_semi")
+    races = batch_keys.select(F.col("raceId").alias("race_id"))
+    pit = wh.touched("pitstops", races).withColumnRenamed("race_id", "raceId").join(batch_keys, ["driverId", "raceId"], "left_semi")
     d = lookup.first_of_many(d, pit, ["driverId", "raceId"], "stop", "stop")               # J6, Q7
     d = d.withColumn("laps_n", F.col("v.laps").try_cast("bigint"))
-    laps = wh.read("laptimes").select("driverId", F.col("race_id").alias("raceId"), F.col("lap").alias("laps_n"))
+    laps = wh.touched("laptimes", races).select("driverId", F.col("race_id").alias("raceId"), F.col("lap").alias("laps_n"))
     laps = laps.join(batch_keys, ["driverId", "raceId"], "left_semi")
-    d = lookup.exists_flag(d, laps, ["driverId", "raceId", "laps_n"], "laps_n", "lap")    # J4
-    d = d.persist()
+    d = lookup.exists_flag(d, laps, ["driverId", "raceId", "laps_n"], "laps_n", "lap").checkpoint()    # J4
     fact = wh.read("formulaone")
-    new = upsert.insert_new(fact, d, list(dedup_on), ORD, small_batch=True) if dedup_on else d    # Q2
+    new = upsert.insert_new(wh.touched("formulaone", d), d, list(dedup_on), ORD, small_batch=True) if dedup_on else d    # Q2
     dup = _duplicates(d, new, t)
     pos = F.col("v.position")
     rows = new.select(
@@ -315,7 +323,7 @@ def _process_standings(wh: Warehouse, msgs: DataFrame, season: int, kind: str,
     if con:
         dim = wh.read("constructor").select(F.col("constructorRef").alias("_ref"), "constructorId").distinct()
         ok, rej1 = _resolved(rows.withColumn("_ref", F.col("s.Constructor.constructorId")), dim, ["_ref"],
-                             ["constructorId"], "unknown constructor", t)
+                             ["constructorId"], "constructor", t)
         ent = "constructorId"
     else:
         ok, rej1 = _resolve_driver(rows, wh, F.col("s.Driver.driverId"), t)
@@ -370,89 +378,144 @@ def process_driverstandings(wh: Warehouse, msgs: DataFrame, season: int,
     return _process_standings(wh, msgs, season, "driver", list(dedup_keys))
 
 
+BEST_ORDER = ["milliseconds_laptimes", "lap", "driverId"]
+
+
+def _note_best(wh: Warehouse, laps: DataFrame) -> None:
+    """U3 / W3, kept up: one row per race, its fastest lap (NULL times last, ties to the lower lap), merged
+    with the batch's own.  Only the first batch after a load reads all laps."""
+    columns = [f.split()[0] for f in RACE_BEST.split(", ")]
+    known = wh.read("race_best").select(*columns)
+    if not wh["race_best"].exists() or known.isEmpty():
+        known = ranking.top1(wh.read("laptimes"), ["race_id"], BEST_ORDER).select(*columns)
+        wh.overwrite("race_best", known)
+        known = wh.read("race_best").select(*columns)
+    batch = ranking.top1(laps, ["race_id"], BEST_ORDER).select(*columns)
+    best = ranking.top1(known.unionByName(batch), ["race_id"], BEST_ORDER).checkpoint()
+    if not best.exceptAll(known).isEmpty():
+        wh.overwrite("race_best", best)
+
+
 def update_fastest_laps(wh: Warehouse, season: int) -> None:
-    """Each race of the season gets its fastest lap (NULL times last,
-    ties to the lower lap); the speed is cleared (Q23)."""
+    """Races of the season whose columns are not those of their fastest lap get them; the speed is
+    cleared (Q23).  Reads one row per race, no laps; ``race`` is rewritten only if one of them differs."""
     races = wh.read("race")
-    season_races = races.where(F.col("year") == season).select("race_id")
-    laps = wh.read("laptimes").join(season_races, "race_id", "left_semi")
-    top = ranking.top1(laps, ["race_id"], ["milliseconds_laptimes", "lap", "driverId"])
-    if top.isEmpty():
+    best = wh.read("race_best").select("race_id", F.col("lap").cast("double").alias("b_lap"), F.col("time_laptimes").alias("b_time"))
+    same = (F.col("fastestLap").eqNullSafe(F.col("b_lap")) & F.col("fastestLapTime").eqNullSafe(F.col("b_time"))
+            & F.col("fastestLapSpeed").isNull())
+    stale = races.where(F.col("year") == season).join(best, "race_id").where(~same).select("race_id", "b_lap", "b_time").checkpoint()
+    if stale.isEmpty():
         return
     wh.overwrite("race", upsert.update_from_top1(
-        races, top, "race_id", {"fastestLap": "lap", "fastestLapTime": "time_laptimes",
-                                "fastestLapSpeed": F.lit(None)}))
+        races, stale, "race_id", {"fastestLap": "b_lap", "fastestLapTime": "b_time", "fastestLapSpeed": F.lit(None)}))
 
 
-PROCESSORS = [
-    ("status_topic", process_status), ("driver_topic", process_driver),
-    ("constructor_topic", process_constructor), ("race_topic", process_race),
-    ("laptimes_topic", process_laptimes), ("pitstops_topic", process_pitstops),
-    ("results_topic", process_results), ("constandings_topic", process_constandings),
-    ("driverstandings_topic", process_driverstandings),
-]
-SEASONAL = (process_laptimes, process_pitstops, process_results, process_constandings, process_driverstandings)
+DIMENSIONS = [("status_topic", process_status), ("driver_topic", process_driver),
+              ("constructor_topic", process_constructor), ("race_topic", process_race)]
+FACTS = [("laptimes_topic", process_laptimes), ("pitstops_topic", process_pitstops),
+         ("results_topic", process_results), ("constandings_topic", process_constandings),
+         ("driverstandings_topic", process_driverstandings)]
+PROCESSORS = DIMENSIONS + FACTS
+FIELDS = ["key", "value", "topic", "partition", "offset", "stream"]
 
 
-def process_batch(wh: Warehouse, batch: DataFrame, season: int, retry_rejects: bool = True,
-                  batch_id: int | None = None, stream: str = "", max_attempts: int = MAX_ATTEMPTS) -> None:
+def process_batch(wh: Warehouse, batch: DataFrame, season: int, batch_id: int | None = None, stream: str = "") -> None:
     """One micro-batch of all topics (T7), in dependency order.
 
     Every step adds only what its table does not have, so the batch can be
-    applied again after a crash at any point.  With ``retry_rejects``, rejects
-    that may resolve later (``RETRYABLE``) are offered again in their original
-    arrival order; after ``max_attempts`` offers a reject is final (``gave
-    up``).  Messages of another season are final rejects at once."""
-    old = wh.read("rejects") if wh["rejects"].exists() else None
-    fields = ["key", "value", "topic", "partition", "offset"]
-    batch = batch.select(*fields)
-    if old is not None and retry_rejects:
-        batch = batch.unionByName(old.where(F.col("reason").isin(RETRYABLE)).select(*fields)).distinct()
+    applied again after a crash at any point.  Messages that waited for a key
+    of this batch are offered again with its own, in their arrival order.
+    Messages of another season are final rejects at once."""
     ensure_checkpoint_dir(wh.spark)
-    cached = batch.where(F.col("topic").isin([t for t, _ in PROCESSORS])).persist()
+    known = F.col("topic").isin([t for t, _ in PROCESSORS])
+    cached = batch.where(known).select(*FIELDS[:-1], F.lit(stream).alias("stream")).persist()
     try:
         # One job finds the topics present (of the nine known ones).
         present = {r[0] for r in cached.select("topic").distinct().collect()}
         rejects = []
-        for topic, fn in PROCESSORS:
-            if topic not in present:
-                continue
-            kw = {"season": season} if fn in SEASONAL else {}
+
+        def run(fn, msgs: DataFrame, **kw) -> None:
             # Kept at once: a later step may replace files that a lazy reject would still read.
-            rejects.append(fn(wh, cached.where(F.col("topic") == topic), **kw).checkpoint())
+            rejects.append(fn(wh, msgs, **kw).checkpoint())
+
+        for topic, fn in DIMENSIONS:
+            if topic in present:
+                run(fn, cached.where(F.col("topic") == topic))
+        released, seen = _released(wh)
+        if released is not None:
+            present |= {r[0] for r in released.select("topic").distinct().collect()}
+        for topic, fn in FACTS:
+            if topic in present:
+                msgs = cached.where(F.col("topic") == topic)
+                if released is not None:
+                    msgs = msgs.unionByName(released.where(F.col("topic") == topic)).distinct()
+                run(fn, msgs, season=season)
         if "laptimes_topic" in present:
             update_fastest_laps(wh, season)
-        if not rejects:
-            return
-        now = _rejects(*rejects)
-        if batch_id is not None:
-            _record_metrics(wh, cached, now, batch_id, stream)
-        _record_rejects(wh, old, now, retry_rejects, max_attempts)
+        if rejects:
+            now = _rejects(*rejects)
+            if batch_id is not None:
+                _record_metrics(wh, cached, now, batch_id, stream)
+            _record_rejects(wh, now, batch_id, stream)
+        if seen is not None:
+            wh.overwrite("seen", seen)      # last: a batch that is applied again offers the same messages again
     finally:
         cached.unpersist()
 
 
-def _record_rejects(wh: Warehouse, old: DataFrame | None, now: DataFrame, retried: bool, max_attempts: int) -> None:
-    """The rejects table after a batch: final ones stay, re-offered ones count up or leave."""
-    same = ["topic", "partition", "offset", "key", "value"]
-    now = now.dropDuplicates([*same, "reason"])
-    if old is None:
-        wh.append("rejects", now.withColumn("attempts", F.lit(1)))
-        return
-    before = old.groupBy(*same).agg(F.max("attempts").alias("_before"))
-    match = [now[c].eqNullSafe(before[c]) for c in same]
-    now = now.join(before, match, "left").select(
-        *[now[c] for c in now.columns], (F.coalesce("_before", F.lit(0)) + 1).alias("attempts"))
-    spent = F.col("reason").isin(RETRYABLE) & (F.col("attempts") >= max_attempts)
-    now = now.withColumn("reason", F.when(spent, F.concat(F.lit("gave up: "), "reason")).otherwise(F.col("reason")))
-    kept = old.where(~F.col("reason").isin(RETRYABLE)) if retried else old
-    out = kept.unionByName(now).dropDuplicates([*same, "reason"])
-    wh.overwrite("rejects", out)          # reads the previous version, writes the next
+def _released(wh: Warehouse) -> tuple[DataFrame | None, DataFrame | None]:
+    """The messages that waited for keys that their dimension has gained, and the ids seen now (None: as before).
+
+    Keys gained are the rows above the largest id that an earlier batch saw.  Only their folders of
+    ``waiting`` are read (at most ``WAIT_BUCKETS`` of a kind are named)."""
+    before = {r["kind"]: r["id"] for r in wh.read("seen").collect()}            # one row a kind
+    ends = None
+    for kind, (table, id_col, _) in REFS.items():
+        end = wh.read(table).agg(F.max(id_col).cast("bigint").alias("id")).select(F.lit(kind).alias("kind"), "id")
+        ends = end if ends is None else ends.unionByName(end)
+    now = {r["kind"]: r["id"] for r in ends.collect()}
+    if now == before:
+        return None, None
+    seen = wh.spark.createDataFrame([(k, v) for k, v in now.items()], "kind STRING, id BIGINT")
+    if not wh["waiting"].exists():
+        return None, seen
+    gained = None
+    for kind, (table, id_col, ref) in REFS.items():
+        if now[kind] is not None and now[kind] != before.get(kind):
+            rows = wh.read(table)
+            rows = rows.where(F.col(id_col) > before[kind]) if before.get(kind) is not None else rows
+            rows = rows.select(F.lit(kind).alias("kind"), wait_bucket(F.expr(ref)).alias("bucket"), F.expr(ref).alias("ref")).distinct()
+            gained = rows if gained is None else gained.unionByName(rows)
+    if gained is None:
+        return None, seen
+    gained = gained.checkpoint()
+    folders = F.lit(False)
+    for kind in REFS:
+        buckets = [r[0] for r in gained.where(F.col("kind") == kind).select("bucket").distinct().collect()]
+        folders = folders | ((F.col("kind") == kind) & F.col("bucket").isin(buckets)) if buckets else folders
+    waiting = wh.read("waiting").where(folders).join(gained, ["kind", "bucket", "ref"], "left_semi")
+    return waiting.select(*FIELDS).distinct().checkpoint(), seen
+
+
+def _record_rejects(wh: Warehouse, now: DataFrame, batch_id: int | None, stream: str) -> None:
+    """Final rejects go to the folder of their batch (an applied-again batch replaces its own), the others to
+    the folder of the key they wait for.  Nothing stored before is read or rewritten."""
+    waits = F.col("ref").isNotNull()
+    finals = now.where(~waits).select(*[c.split()[0] for c in MESSAGE.split(", ")]).withColumn(
+        "batch", F.lit(-1 if batch_id is None else batch_id).cast("bigint"))
+    finals = finals.withColumn("stream", F.lit(stream or "-"))
+    if batch_id is None:
+        wh.append("rejects", finals)
+    else:
+        wh["rejects"].put(finals)
+    waiting = now.where(waits).withColumn("bucket", wait_bucket(F.col("ref")))
+    if not waiting.isEmpty():
+        wh.append("waiting", waiting)
 
 
 def _record_metrics(wh: Warehouse, batch: DataFrame, rejects: DataFrame, batch_id: int, stream: str) -> None:
     """A5 for the stream: messages read and rejected per topic in this batch
-    (re-offered rejects count again), one row per (stream, batch, topic)."""
+    (messages offered again count again), one row per (stream, batch, topic)."""
     read = batch.groupBy("topic").agg(F.count(F.lit(1)).alias("n_read"))
     read = read.join(rejects.groupBy("topic").agg(F.count(F.lit(1)).alias("n_rejected")), "topic", "left")
     rows = read.select(F.lit(batch_id).cast("bigint").alias("batch_id"), "topic", "n_read",

@@ -134,19 +134,17 @@ WHERE user_id % 7 <> 0 OR rn <= {PAGE}
 """
 
 
-FOLDERS = 36  # users whose pages land as one file each
-
-
 @query("landed_pages", _PAGES_SQL)
 def landed_pages(spark, d):
-    """S5 + S6 + W4 + L2: events land as JSON pages, are read back, cut at the first empty page or at the
-    total, and flattened.  Pages of ``FOLDERS`` users land as one file per page and folder and come back with
-    their path numbers; a file per page of every user would be too many, so the others land as lines that
-    name user and offset.  Every seventh user's second page is empty; every fifth user states its total and
-    has a page too many after it; one page of another folder is malformed in either form and stops nothing."""
+    """S5 + S6 + W4 + L2: events land as JSON pages, a file per page in the folder of its user, are read back
+    with their path numbers, cut at the first empty page or at the total, and flattened.  Every seventh user's
+    second page is empty; every fifth user states its total and has a page too many after it; one page of
+    another folder is malformed and stops nothing."""
     root = work_path(spark, "landed_pages")
     land_pages(spark, tbl(spark, d, "events").select("event_id", "user_id", "ts"), root)
-    read = read_pages(spark, root)
+    read = pages.read_landed_pages(
+        spark, f"{root}/pages", "MRData STRUCT<total: STRING, Items: ARRAY<STRUCT<event_id: BIGINT, user_id: BIGINT>>>, "
+                                "folder BIGINT, offset BIGINT")
     kept = pages.until_empty(read, F.size(pages.records_at("MRData.Items")) > 0, ["offset"], group=["folder"],
                              total=F.col("MRData.total").try_cast("bigint"))
     return pages.flatten(kept, "MRData.Items", keep=["offset"]).select("rec.event_id", "rec.user_id", "offset")
@@ -164,27 +162,9 @@ def land_pages(spark, ev, root):
     extra = F.array(F.struct(F.lit(-1).alias("event_id"), F.col("of_user").alias("user_id"))).cast(item)
     served = served.unionByName(totals.select(F.col("of_user").alias("user_id"), after.alias("offset"), "total", extra.alias("Items")))
     envelope = F.struct(F.col("total").cast("string").alias("total"), "Items")
-    doc = served.select("user_id", "offset", F.to_json(F.struct(envelope.alias("MRData"))).alias("value"))
-    bad = spark.createDataFrame([(-1, 0, "{\"MRData\": {\"Items\"")], "user_id long, offset long, value string")
-    own_file = F.coalesce(F.col("user_id").between(0, FOLDERS - 1), F.lit(False))
-    doc.where(own_file).unionByName(bad).withColumnRenamed("user_id", "folder") \
-       .write.partitionBy("folder", "offset").text(f"{root}/pages")
-    # One document a line: a landed file may hold many pages of its folder.
-    doc.where(~own_file).unionByName(bad) \
-       .withColumn("shard", F.pmod(F.hash("user_id"), F.lit(8))).repartition("shard") \
-       .select(F.to_json(F.struct("user_id", "offset", "value")).alias("value")).write.text(f"{root}/lines")
-
-
-def read_pages(spark, root):
-    """MRData, folder, offset, _corrupt of every page, from page files and from lines."""
-    page = "MRData STRUCT<total: STRING, Items: ARRAY<STRUCT<event_id: BIGINT, user_id: BIGINT>>>"
-    columns = ["MRData", "folder", "offset", pages.CORRUPT]
-    files = pages.read_landed_pages(spark, f"{root}/pages", f"{page}, folder BIGINT, offset BIGINT")
-    landed = spark.read.schema("user_id BIGINT, offset BIGINT, value STRING").json(f"{root}/lines")
-    parsed = F.from_json("value", f"{page}, {pages.CORRUPT} STRING", {"columnNameOfCorruptRecord": pages.CORRUPT})
-    lines = landed.select(F.col("user_id").alias("folder"), "offset", parsed.alias("p")).select(
-        "p.MRData", "folder", "offset", F.col(f"p.{pages.CORRUPT}").alias(pages.CORRUPT))
-    return files.select(*columns).unionByName(lines.select(*columns))
+    doc = served.select(F.col("user_id").alias("folder"), "offset", F.to_json(F.struct(envelope.alias("MRData"))).alias("value"))
+    bad = spark.createDataFrame([(-1, 0, "{\"MRData\": {\"Items\"")], "folder long, offset long, value string")
+    doc.unionByName(bad).repartition("folder").write.partitionBy("folder", "offset").text(f"{root}/pages")
 
 
 # ------------------------------------------------------------------------ topics
@@ -267,13 +247,14 @@ def _lap_messages(o: DataFrame) -> DataFrame:
     return _order_messages(o, "laptimes_topic", value, compose_key(driver, k % 30 + 1, k % 50 + 1))
 
 
-def _run_laps(spark: SparkSession, d: str, name: str) -> warehouse.Warehouse:
-    """Three scheduled runs of one stream: the dimensions, then the lap messages in two publishes."""
+def _run_laps(spark: SparkSession, d: str, name: str, dimensions_first: bool = True) -> warehouse.Warehouse:
+    """Three scheduled runs of one stream: the dimensions and the lap messages in two publishes."""
     root = work_path(spark, name)
     wh = _warehouse(spark, f"{root}/wh")
     o = tbl(spark, d, "orders")
     late = F.col("o_orderdate") >= F.lit("1995-01-01").cast("timestamp_ntz")
-    for part in (_dimension_messages(spark, d), _lap_messages(o.where(~late)), _lap_messages(o.where(late))):
+    parts = [_dimension_messages(spark, d), _lap_messages(o.where(~late)), _lap_messages(o.where(late))]
+    for part in parts if dimensions_first else [parts[1], parts[0], parts[2]]:
         topics.publish(part, f"{root}/topics")
         processors.ingest_topics(wh, topics.read_message_stream(spark, f"{root}/topics"), f"{root}/checkpoint", season=SEASON)
     return wh
@@ -284,8 +265,9 @@ SELECT 'laptimes_topic' AS topic, coalesce(bad, 'duplicate key') AS reason, coun
 FROM r WHERE bad IS NOT NULL OR rn > 1 GROUP BY ALL
 """)
 def stream_rejects(spark, d):
-    """Every message that does not get in is counted under one reason, over three micro-batches."""
-    return (_run_laps(spark, d, "stream_rejects").read("rejects").groupBy("topic", "reason")
+    """Every message that does not get in is counted under one reason, over three micro-batches; the laps of
+    the first wait for the drivers and races of the second."""
+    return (_run_laps(spark, d, "stream_rejects", dimensions_first=False).read("rejects").groupBy("topic", "reason")
             .agg(F.count(F.lit(1)).alias("n")))
 
 
@@ -303,6 +285,106 @@ def stream_warehouse(spark, d):
             .select("driverRef", "round", "lap", F.col("time_laptimes").alias("time")))
 
 
+@query("stream_fastest_laps", _LAPS_SQL + """
+SELECT round::BIGINT AS round, lap::DOUBLE AS "fastestLap", time AS "fastestLapTime", NULL::DOUBLE AS "fastestLapSpeed" FROM (
+  SELECT round, lap, round(o_totalprice * 100)::BIGINT::VARCHAR AS time,
+         row_number() OVER (PARTITION BY round ORDER BY round(o_totalprice * 100), lap) AS nth
+  FROM r WHERE bad IS NULL AND rn = 1)
+WHERE nth = 1
+""")
+def stream_fastest_laps(spark, d):
+    """U3 + W3 + T8: each race's fastest lap after three micro-batches, kept as one row per race that each
+    batch merges with its own best."""
+    race = _run_laps(spark, d, "stream_fastest_laps").read("race")
+    return race.where(F.col("fastestLap").isNotNull()).select(
+        F.col("round").cast("bigint").alias("round"), "fastestLap", "fastestLapTime", "fastestLapSpeed")
+
+
+@query("stream_lists", """
+SELECT 'status' AS tbl, n_name AS ref, NULL AS name, 1::BIGINT AS n FROM nation WHERE n_nationkey % 4 <> 3
+UNION ALL SELECT 'constructor', 's' || s_suppkey, 'name ' || (s_suppkey % 7), 1 FROM supplier
+UNION ALL SELECT 'constructor ids', NULL, NULL, count(*) FROM supplier
+UNION ALL SELECT 'pitstops', 's' || (s_suppkey % 50), (s_suppkey // 50 % 8)::VARCHAR, max(s_suppkey)
+          FROM supplier GROUP BY ALL
+""")
+def stream_lists(spark, d):
+    """Processors of status, constructor and pit stops: ids that are no numbers are rejects, repeated keys get in
+    once, new ids are dense, and of pit stops that share a key the first message counts."""
+    root = work_path(spark, "stream_lists")
+    wh = _warehouse(spark, f"{root}/wh")
+    sup, nat = tbl(spark, d, "supplier"), tbl(spark, d, "nation")
+    k = F.col("s_suppkey")
+
+    def messages(rows, topic, key, value, seq):
+        return rows.select(key.alias("key"), F.to_json(value).alias("value"), F.lit(topic).alias("topic"),
+                           F.struct(seq.cast("bigint").alias("n")).alias("seq"))
+
+    sid = F.when(F.col("n_nationkey") % 4 == 3, F.lit("x")).otherwise(_text("n_nationkey"))
+    ref = F.concat(F.lit("s"), _text(k))
+    lists = messages(nat, "status_topic", F.lit("status"), F.struct(sid.alias("statusId"), F.col("n_name").alias("status")), F.col("n_nationkey"))
+    lists = lists.unionByName(messages(sup, "constructor_topic", ref, F.struct(
+        ref.alias("constructorId"), F.concat(F.lit("name "), _text(k % 7)).alias("name")), k))
+    drivers = sup.select((k % 50).alias("s_suppkey")).distinct()
+    lists = lists.unionByName(messages(drivers, "driver_topic", ref, F.struct(ref.alias("driverId")), k))
+    race = F.struct(F.lit(str(SEASON)).alias("season"), F.lit("1").alias("round"), F.struct(F.lit("c").alias("circuitId")).alias("Circuit"))
+    lists = lists.unionByName(messages(nat.where("n_nationkey = 0"), "race_topic", F.lit("r"), race, F.col("n_nationkey")))
+    pit = F.struct(F.lit(str(SEASON)).alias("season"), F.lit("1").alias("round"), _text(F.floor(k / 50) % 8).alias("stop"),
+                   F.concat(F.lit("s"), _text(k % 50)).alias("driverId"), _text(k).alias("lap"), F.lit("1:02.500").alias("duration"))
+    # One key a driver: its messages are in one partition, the largest number first.
+    pits = messages(sup, "pitstops_topic", F.concat(F.lit("s"), _text(k % 50)), pit, -k)
+    for part in (lists, lists, pits):
+        topics.publish(part, f"{root}/topics")
+        processors.ingest_topics(wh, topics.read_message_stream(spark, f"{root}/topics"), f"{root}/checkpoint", season=SEASON)
+    one, none = F.lit(1).cast("bigint"), F.lit(None).cast("string")
+    cons = wh.read("constructor")
+    stops = wh.read("pitstops").where("milliseconds_pitstops = 62500").join(wh.read("driver"), "driverId")
+    return (wh.read("status").select(F.lit("status").alias("tbl"), F.col("status_name").alias("ref"), none.alias("name"), one.alias("n"))
+            .unionByName(cons.select(F.lit("constructor").alias("tbl"), F.col("constructorRef").alias("ref"), "name", one.alias("n")))
+            .unionByName(cons.agg((F.max("constructorId") - F.min("constructorId") + 1).alias("n"))
+                         .select(F.lit("constructor ids").alias("tbl"), none.alias("ref"), none.alias("name"), "n"))
+            .unionByName(stops.select(F.lit("pitstops").alias("tbl"), F.col("driverRef").alias("ref"), _text("stop").alias("name"),
+                                      F.col("lap_pitstops").alias("n"))))
+
+
+@query("two_streams", """
+WITH o AS (SELECT o_custkey % 200 AS k, o_orderkey % 25 + 1 AS round, round(o_totalprice * 100)::DOUBLE AS points, o_orderkey FROM orders),
+d AS (SELECT k, round, points FROM o QUALIFY row_number() OVER (PARTITION BY k, round ORDER BY o_orderkey) = 1)
+SELECT 'c' || k AS "driverRef", round::BIGINT AS round, points + 1 AS driver_points, points + 2 AS con_points FROM d WHERE k < 190
+""")
+def two_streams(spark, d):
+    """Processors of both standings, two streams into one warehouse whose messages share their positions: each
+    stream's standings are kept, and the later stream's are attached to the results (U2, Q3)."""
+    root = work_path(spark, "two_streams")
+    wh = _warehouse(spark, f"{root}/wh")
+    o = tbl(spark, d, "orders")
+    k, rnd = F.col("o_custkey") % 200, _text(F.col("o_orderkey") % 25 + 1)
+    ref, season, cents = F.concat(F.lit("c"), _text(k)), F.lit(str(SEASON)), _cents("o_totalprice")
+    key = compose_key(ref, rnd)
+    refs = tbl(spark, d, "customer").select((F.col("c_custkey") % 200).alias("n")).where("n < 190").distinct()
+    cons = F.concat(F.lit("c"), _text("n"))
+    cons = refs.select(cons.alias("key"), F.to_json(F.struct(cons.alias("constructorId"))).alias("value"),
+                       F.lit("constructor_topic").alias("topic"), F.struct(F.col("n").alias("n")).alias("seq"))
+    result = F.struct(season.alias("season"), rnd.alias("round"), ref.alias("driverId"), ref.alias("constructorId"), _text(cents).alias("points"))
+
+    def standing(topic, extra, more):
+        value = F.struct(season.alias("season"), rnd.alias("round"), _text(k + 1).alias("position"), _text(cents + more).alias("points"), extra)
+        return _order_messages(o, topic, value, key)
+
+    def standings(plus):
+        return (standing("driverstandings_topic", F.struct(ref.alias("driverId")).alias("Driver"), plus)
+                .unionByName(standing("constandings_topic", F.struct(ref.alias("constructorId")).alias("Constructor"), plus * 2)))
+
+    first = _order_messages(o, "results_topic", result, key).unionByName(standings(0))
+    for name, part in (("a", _dimension_messages(spark, d).unionByName(cons)), ("a", first), ("b", standings(1))):
+        topics.publish(part, f"{root}/topics-{name}")
+        processors.ingest_topics(wh, topics.read_message_stream(spark, f"{root}/topics-{name}"), f"{root}/checkpoint-{name}", season=SEASON)
+    fact = wh.read("formulaone").join(wh.read("driver").select("driverId", "driverRef"), "driverId")
+    fact = fact.join(wh.read("race").select(F.col("race_id").alias("raceId"), F.col("round").cast("bigint").alias("round")), "raceId")
+    drv = wh.read("driverstandings").select("driverStandingsId", F.col("points_driverstandings").alias("driver_points"))
+    con = wh.read("constandings").select(F.col("constandingsId").alias("conStandingsId"), F.col("points_constructorstandings").alias("con_points"))
+    return fact.join(drv, "driverStandingsId").join(con, "conStandingsId").select("driverRef", "round", "driver_points", "con_points")
+
+
 @query("stream_standings", """
 SELECT 'c' || k AS "driverRef", round::BIGINT AS round, points, points AS standing_points FROM (
   SELECT o_custkey % 200 AS k, o_orderkey % 25 + 1 AS round, round(o_totalprice * 100)::DOUBLE AS points,

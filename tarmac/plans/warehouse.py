@@ -17,7 +17,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import clean as C
@@ -29,30 +29,54 @@ from ..sources.tables import PartitionedTable, VersionedTable, write_stage
 
 ARR = "_arrival"
 
-# Table names (lower case; the source system's names fold to these).
+# Table names (lower case; the source system's names fold to these).
 TABLES = ["formulaone", "race", "circuit", "driver", "constructor", "status", "driverstandings",
-          "constandings", "laptimes", "pitstops", "qualifying", "sprint", "freepractice", "rejects",
-          "batch_metrics", "standing_ids"]
-
+          "constandings", "laptimes", "pitstops", "qualifying", "sprint", "freepractice"]
+#: Tables of the engine itself: final rejects, rejects that wait for a key, the largest ids whose keys
+#: were offered to them, each race's fastest lap, ids of standings, counts per batch.
+OWN_TABLES = ["rejects", "waiting", "seen", "race_best", "standing_ids", "batch_metrics"]
 
 # Which standing got which id, by the position of its message and its place in it.
-STANDING_IDS = "kind STRING, partition INT, offset BIGINT, _i INT, id BIGINT"
+STANDING_IDS = "kind STRING, partition INT, offset BIGINT, stream STRING, _i INT, id BIGINT"
+MESSAGE = "topic STRING, key STRING, value STRING, reason STRING, partition INT, offset BIGINT, stream STRING"
+RACE_BEST = "race_id BIGINT, lap BIGINT, driverId BIGINT, time_laptimes STRING, milliseconds_laptimes BIGINT"
+SEEN = "kind STRING, id BIGINT"
+SCHEMAS = {"standing_ids": STANDING_IDS, "rejects": f"{MESSAGE}, batch BIGINT",
+           "waiting": f"{MESSAGE}, ref STRING, kind STRING, bucket INT", "race_best": RACE_BEST, "seen": SEEN}
+#: Folders per kind that waiting messages are dealt to by the key they miss.
+WAIT_BUCKETS = 16
+
+# Keys that a message may wait for: table, id and the key as text (SQL), by kind.
+REFS = {"driver": ("driver", "driverId", "driverRef"), "constructor": ("constructor", "constructorId", "constructorRef"),
+        "race": ("race", "race_id", "concat_ws('_', cast(year AS BIGINT), cast(round AS BIGINT))")}
+
+
+def wait_bucket(ref: Column) -> Column:
+    return F.pmod(F.hash(ref), F.lit(WAIT_BUCKETS)).cast("int")
 
 
 class Warehouse:
-    """The 13 tables (plus rejects) under ``root``.
+    """The 13 tables (and the engine's own) under ``root``.
 
     Every table is a ``VersionedTable`` (updates write a new version), except
-    the fact: ``formulaone`` is a ``PartitionedTable`` by ``fact_partition`` and
-    updates rewrite only the partitions they touch.  ``fact_partition=None``
-    keeps it versioned too, for facts small enough to rewrite per batch."""
+    the facts: ``formulaone``, ``laptimes`` and ``pitstops`` are
+    ``PartitionedTable``s by race; a batch reads and rewrites only the races
+    it touches.  ``fact_partition=None`` keeps them versioned too, for facts
+    small enough to read and rewrite per batch."""
 
     def __init__(self, spark: SparkSession, root: str, fact_partition: str | None = "raceId"):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.tables = {t: VersionedTable(spark, f"{self.root}/{t}") for t in TABLES}
+        self.tables = {t: VersionedTable(spark, f"{self.root}/{t}") for t in TABLES + OWN_TABLES}
         if fact_partition:
-            self.tables["formulaone"] = PartitionedTable(spark, f"{self.root}/formulaone", [fact_partition])
+            self._partition("formulaone", [fact_partition])
+            for name in ("laptimes", "pitstops"):
+                self._partition(name, ["race_id"])
+        self._partition("rejects", ["stream", "batch"])
+        self._partition("waiting", ["kind", "bucket"])
+
+    def _partition(self, name: str, by: list[str]) -> None:
+        self.tables[name] = PartitionedTable(self.spark, f"{self.root}/{name}", by)
 
     def partitioned(self, name: str) -> bool:
         return self.partitioned_table(self.tables[name])
@@ -65,10 +89,28 @@ class Warehouse:
         return self.tables[name]
 
     def read(self, name: str) -> DataFrame:
-        if name == "standing_ids" and not self.tables[name].exists():
-            return self.spark.createDataFrame([], STANDING_IDS)
+        """A table's rows; ``rejects`` are the final ones and those that still wait."""
+        if name == "rejects":
+            return self.stored("rejects").select(*_names(MESSAGE)).unionByName(self.open_rejects())
+        return self.stored(name)
+
+    def stored(self, name: str) -> DataFrame:
+        if name in SCHEMAS and not self.tables[name].exists():
+            return self.spark.createDataFrame([], SCHEMAS[name])
         return self.tables[name].read()
 
+    def open_rejects(self) -> DataFrame:
+        """Messages whose missing key is in its dimension by now are offered again and gone from here."""
+        rows = self.stored("waiting").distinct()
+        for kind, (table, _, ref) in REFS.items():
+            have = self.stored(table).select(F.lit(kind).alias("kind"), F.expr(ref).alias("ref")).distinct()
+            rows = rows.join(have, ["kind", "ref"], "left_anti")
+        return rows.select(*_names(MESSAGE)).distinct()
+
+    def touched(self, name: str, keys: DataFrame) -> DataFrame:
+        """The rows of the partitions that ``keys`` name; the whole table if it is not partitioned."""
+        return self.tables[name].read_touched(keys) if self.partitioned(name) else self.read(name)
+
     def overwrite(self, name: str, df: DataFrame) -> None:
         self.tables[name].replace(df)
 
@@ -76,6 +118,10 @@ class Warehouse:
         self.tables[name].append(df)
 
 
+def _names(ddl: str) -> list[str]:
+    return [c.split()[0] for c in ddl.split(", ")]
+
+
 # --------------------------------------------------------------------- extract
 def stage_csv(spark: SparkSession, csv_path: str, stage_path: str) -> DataFrame:
     """S1 + K1: parse the CSV once into a Parquet stage with file order kept."""
@@ -205,6 +251,7 @@ def race(stage: DataFrame) -> DataFrame:
     return C.fill_zero(d, ["year", "round", "laps", "fastestLapSpeed"])
 
 
+# Columns of the fact in the extract.
 FACT_COLUMNS = ["resultId", "raceId", "driverId", "constructorId", "statusId", "driverStandingsId",
                 "constructorStandingsId", "grid", "stop", "position", "rank", "time", "milliseconds", "points",
                 "number", "lap", "positionOrder", "positionText", "wins"]
@@ -247,4 +294,8 @@ def load_csv(spark: SparkSession, csv_path: str, wh: Warehouse, parallel: int =
     plans = transform_all(stage)
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
         futures = {name: pool.submit(wh[name].replace, df) for name, df in plans.items()}
-        return {name: f.result() for name, f in futures.items()}
+        out = {name: f.result() for name, f in futures.items()}
+    for state in ("seen", "race_best"):  # derived from the tables just replaced: made anew by the next batch
+        if wh[state].exists():
+            wh.overwrite(state, spark.createDataFrame([], SCHEMAS[state]))
+    return out

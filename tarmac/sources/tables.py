@@ -227,6 +227,16 @@ class PartitionedTable:
             df = df.select(*[F.col(f.name).cast(f.dataType) for f in current.schema.fields])
         df.repartition(*self.by).write.mode("append").partitionBy(*self.by).parquet(self.root)
 
+    def put(self, df: DataFrame) -> None:
+        """Replace the partitions that ``df`` has rows for; ``df`` must not read the table."""
+        current = if_present(self.read)
+        if current is None:
+            self._note_schema(df)
+        else:
+            df = df.select(*[F.col(f.name).cast(f.dataType) for f in current.schema.fields])
+        (df.repartition(*self.by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy(*self.by).parquet(self.root))
+
     def read_touched(self, keys: DataFrame) -> DataFrame:
         """The rows of the partitions named by ``keys`` (a frame with the partition column).
 

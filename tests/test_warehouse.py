@@ -11,7 +11,7 @@ from tarmac.plans.warehouse import Warehouse, load_csv
 from tarmac.schemas import CSV_TEXT_SCHEMA
 from tarmac.sources.csv import write_csv
 from tarmac.sources.topics import TOPIC_SCHEMA, read_message_stream, write_messages
-from tarmac.streaming.ingest import Ledger, once
+from tarmac.streaming.ingest import Ledger, once, stream_id
 
 
 def rows(df, *cols):
@@ -30,7 +30,8 @@ def loaded(spark, request):
     msgs = spark.createDataFrame([m + (None,) for m in FX.stream_messages()], TOPIC_SCHEMA)
     write_messages(msgs, f"{root}/topics")
     P.ingest_topics(wh, read_message_stream(spark, f"{root}/topics"), f"{root}/ckpt", season=2024)   # epoch 0
-    step = once(Ledger(spark, wh.root), lambda b, i: P.process_batch(wh, b, season=2024), scope="topics")
+    own = stream_id(spark, f"{root}/ckpt")
+    step = once(Ledger(spark, wh.root), lambda b, i: P.process_batch(wh, b, season=2024, stream=own), scope="topics")
     return wh, batch, msgs, step
 
 
@@ -156,8 +157,57 @@ def test_other_seasons_and_bad_values_are_final(loaded, spark):
            FX.msg("laptimes_topic", "c", {"round": 1, "lap": 9, "driverId": "nobody"}, 9, n + 2),
            FX.msg("unheard_topic", "d", {}, 9, n + 3)]
     df = spark.createDataFrame([m + (None,) for m in bad], TOPIC_SCHEMA)
-    for _ in range(3):
-        P.process_batch(wh, df.limit(0) if _ else df, season=2024, max_attempts=2)
-    got = {r.key: (r.reason, r.attempts) for r in wh.read("rejects").where("partition = 9").collect()}
-    assert got["a"] == ("other season", 1) and got["b"] == ("invalid lap", 1)
-    assert got["c"] == ("gave up: unknown driver", 2) and "d" not in got
+    for i in range(15):                              # however often other batches come, it waits
+        P.process_batch(wh, df if i == 0 else df.limit(0), season=2024)
+    got = {r.key: r.reason for r in wh.read("rejects").where("partition = 9").collect()}
+    assert got == {"a": "other season", "b": "invalid lap", "c": "unknown driver"}
+    late = [FX.msg("driver_topic", "nobody", {"driverId": "nobody"}, 9, n + 4)]
+    P.process_batch(wh, spark.createDataFrame([m + (None,) for m in late], TOPIC_SCHEMA), season=2024)
+    got = {r.key: r.reason for r in wh.read("rejects").where("partition = 9").collect()}
+    assert got == {"a": "other season", "b": "invalid lap"}
+    nobody = wh.read("driver").where("driverRef = 'nobody'").first().driverId
+    assert wh.read("laptimes").where(F.col("driverId") == nobody).count() == 1
+
+
+def test_a_message_may_wait_for_one_key_after_another(spark, scratch):
+    """A lap misses its driver, then its race; the fastest lap follows when both have come, and a batch without
+    new keys reads no waiting message."""
+    write_csv(spark.createDataFrame(FX.csv_rows(), CSV_TEXT_SCHEMA).coalesce(1), f"{scratch}/csv")
+    wh = Warehouse(spark, f"{scratch}/wh")
+    load_csv(spark, f"{scratch}/csv", wh)
+
+    def step(i, *msgs):
+        rows = [m + (None,) for m in msgs]
+        P.process_batch(wh, spark.createDataFrame(rows, TOPIC_SCHEMA), season=2024, batch_id=i, stream="s")
+
+    lap = FX.msg("laptimes_topic", "l", {"season": "2024", "round": 9, "lap": 2, "driverId": "new", "time": "1:00.000"}, 0, 1)
+    step(0, lap)
+    reasons = lambda: [r.reason for r in wh.read("rejects").collect()]
+    assert reasons() == ["unknown driver"]
+    step(1, FX.msg("driver_topic", "new", {"driverId": "new"}, 0, 2))
+    assert reasons() == ["unknown race"]
+    step(2, FX.msg("status_topic", "7", {"statusId": "7", "status": "Other"}, 0, 3))
+    assert P._released(wh) == (None, None) and reasons() == ["unknown race"]
+    step(3, FX.msg("race_topic", "r", {"season": "2024", "round": "9", "raceName": "Nine"}, 0, 4))
+    assert reasons() == []
+    race = wh.read("race").where("round = 9").first()
+    assert (race.fastestLap, race.fastestLapTime) == (2.0, "1:00.000")
+    step(3, FX.msg("race_topic", "r", {"season": "2024", "round": "9", "raceName": "Nine"}, 0, 4))   # applied again
+    assert reasons() == [] and wh.read("laptimes").where(F.col("race_id") == race.race_id).count() == 1
+
+
+def test_two_streams_keep_their_standings(spark, scratch):
+    """Messages of two streams that share a position are two standings, in both standings tables."""
+    write_csv(spark.createDataFrame(FX.csv_rows(), CSV_TEXT_SCHEMA).coalesce(1), f"{scratch}/csv")
+    wh = Warehouse(spark, f"{scratch}/wh")
+    load_csv(spark, f"{scratch}/csv", wh)
+    before = {t: wh.read(t).count() for t in ("driverstandings", "constandings")}
+    for stream, (drv, con) in {"a": ("max", "rb"), "b": ("lewis", "merc")}.items():
+        one = {"season": "2024", "round": "1", "position": "1", "positionText": "1", "points": "5"}
+        rows = [FX.msg("driverstandings_topic", "k", one | {"Driver": {"driverId": drv}}, 0, 0) + (None,),
+                FX.msg("constandings_topic", "k", one | {"Constructor": {"constructorId": con}}, 0, 0) + (None,)]
+        for _ in range(2):                                                   # each batch is applied twice
+            P.process_batch(wh, spark.createDataFrame(rows, TOPIC_SCHEMA), season=2024, batch_id=0, stream=stream)
+    assert {t: wh.read(t).count() - n for t, n in before.items()} == {"driverstandings": 2, "constandings": 2}
+    fact = {r.driverId: (r.driverStandingsId, r.conStandingsId) for r in wh.read("formulaone").where("raceId = 0").collect()}
+    assert fact[0] != fact[1] and None not in (*fact[0], *fact[1])
