@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import NO_ID, text_of
-from .pieces import PieceCache
+from .pieces import PieceCache, Recent
 
 _U = np.uint64
 GAMMA = 2.0
@@ -167,11 +167,11 @@ PRE_TOKEN = re.compile(f"'(?:s|t|re|ve|m|ll|d)| ?[{_L}]+| ?[{_N}]+| ?[^{_SPACE}{
 LAST = "\u024f"
 
 
-def library_encoder(path: str, width: int, specials_as_text: bool = False, limit: int = 400_000):
+def library_encoder(path: str, width: int, specials_as_text: bool = False, limit: int = 250_000):
     """(encode, special): ids of pieces, as bytes, by the tokenizers library, and the strings of special tokens.
 
     A piece of Latin characters is split into pre-tokens, and each distinct one goes through the library
-    once as long as it is among the latest ``limit``; other pieces go through it whole.  A special token's
+    once as long as it is used now and then; other pieces go through it whole.  A special token's
     string in a text is that token, the library's default, or ordinary text with ``specials_as_text``.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -181,7 +181,7 @@ def library_encoder(path: str, width: int, specials_as_text: bool = False, limit
     t.encode_special_tokens = specials_as_text
     special = [] if specials_as_text else [a.content for a in t.get_added_tokens_decoder().values()]
     kind = f"<u{width}"
-    known: dict[str, bytes] = {}
+    known = Recent(limit)
 
     def library(texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, kind).tobytes() for e in t.encode_batch_fast(texts, add_special_tokens=False)]
@@ -204,13 +204,15 @@ def library_encoder(path: str, width: int, specials_as_text: bool = False, limit
     def encode(pieces: list[str], uncut: bool = False) -> list[bytes]:
         if uncut:
             return library(pieces)
-        if len(known) > limit:
-            known.clear()
         split = [PRE_TOKEN.findall(p) if p and max(p) <= LAST else [p] for p in pieces]
-        for p in [parts[0] for parts in split if parts and parts[0] not in known and max(parts[0]) > LAST]:
-            known[p] = library([p])[0]
-        known.update(by_line(list({x for parts in split for x in parts if x not in known})))
-        return [b"".join([known[x] for x in parts]) for parts in split]
+        new = known.missing(x for parts in split for x in parts)
+        if new:
+            known.young.update(by_line([x for x in new if x and max(x) <= LAST]))
+            for x in new:
+                if x not in known.young:
+                    known.young[x] = library([x])[0]
+        young = known.young
+        return [b"".join([young[x] for x in parts]) for parts in split]
 
     return encode, special
 
