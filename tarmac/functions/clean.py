@@ -205,3 +205,17 @@ def any_missing(*cols) -> Column:
     for c in cols:
         cond = cond | _c(c).isNull()
     return cond
+
+
+# ------------------------------------------------------- payloads of unknown shape
+def payload_records(payload: Column, path: str) -> Column:
+    """P14 / F22 on a VARIANT: the records at ``path`` if the payload is a whole document, else the payload
+    itself as the only one.  A payload that is no JSON (a SQL NULL) has none."""
+    listed = F.try_variant_get(payload, path, "array<variant>")
+    return F.coalesce(listed, F.when(payload.isNotNull(), F.array(payload)), F.array().cast("array<variant>"))
+
+
+def field_state(record: Column, path: str) -> Column:
+    """F16 / F17 / Q19 on a VARIANT: ``missing``, ``null`` (a JSON null) or ``value``."""
+    got = F.try_variant_get(record, path, "variant")
+    return F.when(got.isNull(), "missing").when(F.is_variant_null(got), "null").otherwise("value")

@@ -70,6 +70,37 @@ def resolve(df: DataFrame, dim: DataFrame, on: str | Sequence[str], take: Sequen
     return resolved, rejects
 
 
+def heavy_keys(df: DataFrame, on: Sequence[str], share: float, most: int = 64) -> list[int]:
+    """Hashes of the keys that hold at least ``share`` of the rows, by a sketch of fixed size (one pass; what
+    reaches the driver is at most ``most`` numbers).  The sketch may name a key that holds a little less."""
+    found = df.select(F.xxhash64(*on).alias("_h")).agg(
+        F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(_h, {int(most)}, {int(most) * 64})").alias("top")).first()
+    return [t["item"] for t in found["top"] if t["count"] >= share * found["n"] and t["count"] > 1]
+
+
+def resolve_spread(df: DataFrame, dim: DataFrame, on: str | Sequence[str], take: Sequence[str], how: str = "inner",
+                   share: float = 0.01, parts: int = 32) -> DataFrame:
+    """J1 / J2 / J3 where a few keys may hold much of ``df``: one shuffled join, heavy keys spread.
+
+    Rows of a heavy key (:func:`heavy_keys`) are dealt over ``parts`` salts, and the one dimension row of
+    such a key is replicated to each; all other rows have salt 0 and join as ever.  The salt is made of the
+    row and its partition, so a task that runs again deals its rows the same way.  ``dim`` must be unique
+    on ``on``.
+    """
+    keys, salt = _keys(on), "_salt"
+    heavy = heavy_keys(df, keys, share)
+    # Keys are hashed on both sides, so they must be of one type there.
+    side = dim.select(*[F.col(k).cast(df.schema[k].dataType).alias(k) for k in keys], *take)
+    if not heavy:
+        return df.join(_maybe_broadcast(side, False), keys, how)
+    is_heavy = F.xxhash64(*keys).isin(heavy)
+    dealt = F.pmod(F.xxhash64(*df.columns) + F.spark_partition_id(), F.lit(parts)).cast("int")
+    spread = df.withColumn(salt, F.when(is_heavy, dealt).otherwise(F.lit(0)))
+    copies = F.when(is_heavy, F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0)))
+    side = side.withColumn(salt, F.explode(copies))
+    return spread.join(_maybe_broadcast(side, False), [*keys, salt], how).drop(salt)
+
+
 def exists_flag(df: DataFrame, keys_df: DataFrame, on: Sequence[str], value_col: str,
                 out_col: str | None = None) -> DataFrame:
     """Keep ``value_col`` only where ``on`` exists in ``keys_df`` (else NULL)."""

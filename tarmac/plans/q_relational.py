@@ -131,6 +131,23 @@ def lookup_composite(spark, d):
     return ok
 
 
+@query("lookup_hot_key", f"""
+WITH f AS (SELECT *, CASE WHEN l_partkey % 3 = 0 THEN 0 ELSE l_orderkey END AS k1,
+                  CASE WHEN l_partkey % 3 = 0 THEN 1 ELSE l_linenumber END AS k2 FROM lineitem),
+dim AS (SELECT k1, k2, l_partkey AS first_partkey FROM f
+        QUALIFY row_number() OVER (PARTITION BY k1, k2 ORDER BY {SQL_LINE_REST}) = 1)
+SELECT f.l_orderkey, f.l_linenumber, f.l_partkey, f.k1, dim.first_partkey FROM f JOIN dim USING (k1, k2)
+""")
+def lookup_hot_key(spark, d):
+    """J2 where one key holds a third of the rows: heavy keys are found by a sketch and spread over salts."""
+    odd = F.col("l_partkey") % 3 == 0
+    li = (tbl(spark, d, "lineitem").withColumn("k1", F.when(odd, F.lit(0)).otherwise(F.col("l_orderkey")))
+          .withColumn("k2", F.when(odd, F.lit(1)).otherwise(F.col("l_linenumber"))))
+    dim = dedup.keep_first(li, ["k1", "k2"], LINE_REST).select("k1", "k2", F.col("l_partkey").alias("first_partkey"))
+    return lookup.resolve_spread(li.select("l_orderkey", "l_linenumber", "l_partkey", "k1", "k2"), dim, ["k1", "k2"],
+                                 ["first_partkey"]).drop("k2")
+
+
 @query("lookup_left", """
 SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, p.p_name
 FROM lineitem l LEFT JOIN (SELECT p_partkey, p_name FROM part WHERE p_size < 25) p ON l.l_partkey = p.p_partkey

@@ -9,8 +9,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from ..functions import clean as C
 from ..session import work_path
 from ..sources import pages, sinks
+from ..sources.bucketed import BucketedTable
 from ..sources.tables import VersionedTable
 from ..streaming.ingest import Ledger, ids_into, keep_first_into, once, run_available_now
 from .registry import SQL_TS_FMT, query, tbl, ts_lit, ts_text
@@ -68,6 +70,49 @@ def stream_ids(spark, d):
     return dim.read()
 
 
+@query("variant_payload", """
+WITH e AS (SELECT event_id, event_id % 5 AS kind, event_type FROM events)
+SELECT event_id AS id, 'document' AS shape, 'value' AS state, event_type AS name FROM e WHERE kind = 0
+UNION ALL SELECT -event_id - 1, 'document', 'missing', NULL FROM e WHERE kind = 0
+UNION ALL SELECT event_id, 'record', 'value', event_type FROM e WHERE kind = 1
+UNION ALL SELECT event_id, 'record', 'missing', NULL FROM e WHERE kind = 2
+UNION ALL SELECT event_id, 'record', 'null', NULL FROM e WHERE kind = 3
+""")
+def variant_payload(spark, d):
+    """Payloads of unknown shape parsed once, as VARIANT.  A whole document (with two records),
+    a single record, a missing field and a JSON null are told apart; every fifth payload is no JSON and has no record."""
+    ev, kind = tbl(spark, d, "events"), F.col("event_id") % 5
+    eid, name = F.col("event_id").cast("string"), F.col("event_type")
+    record = F.concat(F.lit('{"id": '), eid, F.lit(', "name": "'), name, F.lit('"}'))
+    other = F.concat(F.lit('{"id": '), (-F.col("event_id") - 1).cast("string"), F.lit("}"))
+    text = (F.when(kind == 0, F.concat(F.lit('{"Table": {"Lists": [{"Items": ['), record, F.lit(", "), other, F.lit("]}]}}")))
+            .when(kind == 1, record).when(kind == 2, F.concat(F.lit('{"id": '), eid, F.lit("}")))
+            .when(kind == 3, F.concat(F.lit('{"id": '), eid, F.lit(', "name": null}'))).otherwise(F.lit('{"id": ')))
+    parsed = ev.select(F.try_parse_json(text).alias("v"))
+    path = "$.Table.Lists[0].Items"
+    shape = F.when(F.try_variant_get("v", path, "array<variant>").isNotNull(), "document").otherwise("record")
+    recs = parsed.select(shape.alias("shape"), F.explode(C.payload_records(F.col("v"), path)).alias("r"))
+    return recs.select(F.try_variant_get("r", "$.id", "bigint").alias("id"), "shape", C.field_state(F.col("r"), "$.name").alias("state"),
+                       F.try_variant_get("r", "$.name", "string").alias("name"))
+
+
+@query("bucketed_insert", """
+SELECT o_orderkey, o_custkey, round(o_totalprice * 100)::BIGINT AS cents FROM orders
+""")
+def bucketed_insert(spark, d):
+    """T5 J5 U4 on a bucketed target: four batches of a key range each, each with rows of the range before it at
+    another price; what the target has by key is not inserted again, and no batch shuffles the target."""
+    o = tbl(spark, d, "orders").select("o_orderkey", "o_custkey", F.round(F.col("o_totalprice") * 100).cast("bigint").alias("cents"))
+    table = BucketedTable(spark, f"{work_path(spark, 'bucketed_insert')}/orders", ["o_orderkey"])
+    lo, hi = o.agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
+    part = F.floor((F.col("o_orderkey") - lo) * 4 / (hi - lo + 1))
+    table.create(o.where(part == 0))
+    for i in (1, 2, 3):
+        again = o.where((part == i - 1) & (F.col("o_orderkey") % 3 == 0)).withColumn("cents", F.lit(-1).cast("bigint"))
+        table.insert(o.where(part == i).unionByName(again), ["cents"])
+    return table.read()
+
+
 @query("page_flatten", """
 SELECT event_id, user_id,
        CAST((row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1) // 30 AS BIGINT) AS page
