@@ -41,6 +41,18 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+def ship_package(spark: SparkSession) -> str:
+    """Send this package to all executors, as ``--py-files`` does; for sessions whose executors do not have it
+    on their path.  Spark's own file distribution carries the archive; its name is returned."""
+    import shutil
+
+    folder = os.path.dirname(os.path.abspath(__file__))
+    archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="tarmac-ship-"), "tarmac"), "zip",
+                                  os.path.dirname(folder), os.path.basename(folder))
+    spark.sparkContext.addPyFile(archive)
+    return archive
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder, creating a local one only if unset."""
     base = spark.conf.get("spark.checkpoint.dir", None)

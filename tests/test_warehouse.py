@@ -211,3 +211,30 @@ def test_two_streams_keep_their_standings(spark, scratch):
     assert {t: wh.read(t).count() - n for t, n in before.items()} == {"driverstandings": 2, "constandings": 2}
     fact = {r.driverId: (r.driverStandingsId, r.conStandingsId) for r in wh.read("formulaone").where("raceId = 0").collect()}
     assert fact[0] != fact[1] and None not in (*fact[0], *fact[1])
+
+
+def test_rejects_do_not_depend_on_the_split(spark, scratch):
+    """The same messages in one batch, or one by one, leave the same tables and the same rejects."""
+    write_csv(spark.createDataFrame(FX.csv_rows(), CSV_TEXT_SCHEMA).coalesce(1), f"{scratch}/csv")
+    lap = lambda n, drv, rnd: FX.msg("laptimes_topic", f"l{n}", {"season": "2024", "round": rnd, "lap": n, "driverId": drv,
+                                                                 "time": f"1:0{n}.000"}, 0, n)
+    race = FX.msg("race_topic", "r", {"season": "2024", "round": "9", "raceName": "Nine"}, 0, 8)
+    rows = [lap(1, "new", 9), lap(2, "max", 9), lap(3, "nobody", 1), FX.msg("driver_topic", "new", {"driverId": "new"}, 0, 5),
+            lap(4, "new", 1), lap(4, "new", 1), race, lap(5, "new", 77)]
+    seen = []
+    for name, size in (("whole", len(rows)), ("single", 1)):
+        wh = Warehouse(spark, f"{scratch}/{name}")
+        load_csv(spark, f"{scratch}/csv", wh)
+        for i in range(0, len(rows), size):
+            part = [m + (None,) for m in rows[i:i + size]]
+            P.process_batch(wh, spark.createDataFrame(part, TOPIC_SCHEMA), season=2024, batch_id=i, stream="s")
+        names = wh.read("driver").select("driverId", "driverRef")
+        laps = wh.read("laptimes").join(names, "driverId").select("driverRef", "race_id", "lap", "time_laptimes").distinct()
+        seen.append((sorted(map(tuple, laps.collect())), rows_of(wh.read("rejects").select("key", "reason")),
+                     rows_of(wh.read("race").select("round", "fastestLap", "fastestLapTime"))))
+    assert seen[0] == seen[1]
+    assert [r for r in seen[0][1] if r[1] != "duplicate key"] == [("l3", "unknown driver"), ("l5", "unknown race")]
+
+
+def rows_of(df):
+    return sorted(map(tuple, df.collect()), key=str)
