@@ -32,13 +32,32 @@ def order_key(order: Sequence[str]) -> Column:
     return F.col(order[0]) if len(order) == 1 else F.struct(*[F.col(c) for c in order])
 
 
+def least_of_group(df: DataFrame, group: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The smallest ``order`` per group, as columns ``_least_0``, ``_least_1`` ... beside the group's.
+
+    One minimum after the other, each among the rows that tie on those before: plain minima stay in hash
+    aggregation (that of a struct needs a sort), and after the first shuffle all steps share its
+    partitioning.  A NULL group is a group; ``order`` must hold no NULLs."""
+    rows = df.select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)], *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)])
+    keys = [f"_g{i}" for i in range(len(group))]
+    out = None
+    for i in range(len(order)):
+        least = rows.groupBy(*keys, *[f"_least_{j}" for j in range(i)]).agg(F.min(f"_o{i}").alias(f"_least_{i}"))
+        out = least
+        if i < len(order) - 1:
+            same = least.select(*[F.col(k).alias(f"{k}_of") for k in keys], f"_least_{i}")
+            on = [F.col(k).eqNullSafe(F.col(f"{k}_of")) for k in keys] + [F.col(f"_o{i}") == F.col(f"_least_{i}")]
+            rows = rows.join(same, on).drop(*[f"{k}_of" for k in keys])
+    return out.select(*[F.col(f"_g{i}").alias(g) for i, g in enumerate(group)], *[f"_least_{i}" for i in range(len(order))])
+
+
 def _first_stop(df: DataFrame, group: Sequence[str], order: Sequence[str],
                 stop: Column) -> DataFrame:
-    """Smallest order key of a stop row per group, as a struct (aggregate with a
-    map-side partial, so a hot group is pre-reduced before the shuffle)."""
-    key = order_key(order)
-    return (df.where(stop).groupBy(*group)
-              .agg(F.min(key).alias("_stop_at")))
+    """Smallest order key of a stop row per group (aggregates with a map-side
+    partial, so a hot group is pre-reduced before the shuffle)."""
+    found = least_of_group(df.where(stop), group, order)
+    at = [F.col(f"_least_{i}").alias(c) for i, c in enumerate(order)]
+    return found.select(*group, (at[0] if len(order) == 1 else F.struct(*at)).alias("_stop_at"))
 
 
 def take_while(df: DataFrame, order: Sequence[str], stop: Column,

@@ -488,11 +488,12 @@ def _released(wh: Warehouse) -> tuple[DataFrame | None, DataFrame | None]:
             gained = rows if gained is None else gained.unionByName(rows)
     if gained is None:
         return None, seen
-    gained = gained.checkpoint()
+    buckets: dict[str, list[int]] = {}
+    for r in gained.select("kind", "bucket").distinct().collect():
+        buckets.setdefault(r["kind"], []).append(r["bucket"])
     folders = F.lit(False)
-    for kind in REFS:
-        buckets = [r[0] for r in gained.where(F.col("kind") == kind).select("bucket").distinct().collect()]
-        folders = folders | ((F.col("kind") == kind) & F.col("bucket").isin(buckets)) if buckets else folders
+    for kind, some in buckets.items():
+        folders = folders | ((F.col("kind") == kind) & F.col("bucket").isin(some))
     waiting = wh.read("waiting").where(folders).join(gained, ["kind", "bucket", "ref"], "left_semi")
     return waiting.select(*FIELDS).distinct().checkpoint(), seen
 

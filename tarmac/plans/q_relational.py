@@ -249,11 +249,10 @@ FROM lineitem GROUP BY l_orderkey
 def conditional_agg(spark, d):
     """A4: per group, values of one rank-1 row (cheapest line, ties broken) next to counts."""
     li = tbl(spark, d, "lineitem")
-    order = F.struct("l_extendedprice", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
-    top = ranking.pick_by(F.struct("l_quantity", "l_shipdate"), order).alias("top")      # both values of one row
-    return (li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines"), top)
-              .select("l_orderkey", "n_lines", F.col("top.l_quantity").alias("top_quantity"),
-                      ts_text("top.l_shipdate").alias("top_shipdate")))
+    top = ranking.top1(li, ["l_orderkey"], ["l_extendedprice", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"])
+    n = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines"))         # both sides are dealt by the order
+    return n.join(top, "l_orderkey").select("l_orderkey", "n_lines", F.col("l_quantity").alias("top_quantity"),
+                                            ts_text("l_shipdate").alias("top_shipdate"))
 
 
 @query("rank_filter_agg", f"""
