@@ -15,7 +15,7 @@ from ..functions.clean import compose_key
 from ..operators import ranking
 from ..session import work_path
 from ..sources import pages, topics
-from ..sources.csv import csv_rejects, read_wide_csv, with_arrival_number, write_csv
+from ..sources.csv import csv_rejects, read_wide_csv, split_table, with_arrival_number, write_csv
 from ..sources.tables import write_stage
 from . import processors, warehouse
 from .registry import SQL_TS_FMT, query, tbl, ts_text
@@ -57,11 +57,11 @@ def _staged(spark: SparkSession, d: str, name: str, columns: dict[str, Column])
     Columns that are not given are absent from the file."""
     root = work_path(spark, name)
     li = tbl(spark, d, "lineitem")
-    rows = li.select(*ORDER, *[_text(c).alias(n) for n, c in columns.items()])
-    ordered = rows.repartitionByRange("l_orderkey").sortWithinPartitions(*ORDER)
-    write_csv(ordered.drop(*ORDER), f"{root}/extract")
-    write_stage(read_wide_csv(spark, f"{root}/extract", S.CSV_TEXT_SCHEMA, arrival_col=ARR), f"{root}/stage")
-    write_stage(csv_rejects(spark, f"{root}/extract"), f"{root}/rejects")
+    ordered = li.repartitionByRange("l_orderkey").sortWithinPartitions(*ORDER)
+    write_csv(ordered.select(*[_text(c).alias(n) for n, c in columns.items()]), f"{root}/extract")
+    splits = split_table(spark, f"{root}/extract")
+    write_stage(read_wide_csv(spark, f"{root}/extract", S.CSV_TEXT_SCHEMA, arrival_col=ARR, splits=splits), f"{root}/stage")
+    write_stage(csv_rejects(spark, f"{root}/extract", splits=splits), f"{root}/rejects")
     return with_arrival_number(spark.read.parquet(f"{root}/stage"), ARR)
 
 

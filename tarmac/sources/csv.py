@@ -10,6 +10,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.clean import csv_nulls
 from ..operators.keys import positions
+from ..session import ensure_checkpoint_dir
 
 
 CORRUPT = "_corrupt"
@@ -32,64 +33,84 @@ def scan_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _split_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, start, row, value, odd, before): the physical lines, read by a task per split.
-
-    ``odd`` says whether a line holds an odd number of quotes (a doubled quote counts two), ``before``
-    how many such lines its split has before it."""
+    """(file, start, row, value, odd): the physical lines, read by a task per split; ``odd`` is 1 if a line
+    holds an odd number of quotes (a doubled quote counts two)."""
     raw = spark.read.option("lineSep", "\n").text(path)
     row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << ROW_BITS) - 1))
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    lines = raw.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
-                       row.alias("row"), "value", (quotes % 2).cast("bigint").alias("odd"))
-    earlier = Window.partitionBy("file", "start").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
-    return lines.withColumn("before", F.coalesce(F.sum("odd").over(earlier), F.lit(0).cast("bigint")))
+    return raw.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+                      row.alias("row"), "value", (quotes % 2).cast("bigint").alias("odd"))
+
+
+def split_table(spark: SparkSession, path: str) -> DataFrame:
+    """(_file, _start, state, quoted, open, first): one row per split of the files at ``path``, checkpointed.
+
+    ``state`` is 1 if the split starts inside a quoted field: the parity of all quotes before it in its file.
+    ``open`` is the line that opened that field, which is the last odd one before the split.  A split is
+    ``quoted`` if it starts inside a field or holds an odd line; in all others every line is a record.
+    ``first`` is the first line of a file's first split that is not blank, its header."""
+    ensure_checkpoint_dir(spark)
+    blank = F.rtrim(F.col("value"), F.lit("\r")) == ""
+    splits = _split_lines(spark, path).groupBy("file", "start").agg(
+        F.sum("odd").alias("n_odd"), F.max(F.when(F.col("odd") == 1, F.col("row"))).alias("last_odd"),
+        F.min(F.when((F.col("start") == 0) & ~blank, F.col("row"))).alias("first"))
+    earlier = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    state = F.coalesce(F.sum("n_odd").over(earlier), F.lit(0)) % 2
+    opener = F.when(F.col("last_odd").isNotNull(), F.struct(F.col("start").alias("start"), F.col("last_odd").alias("row")))
+    splits = splits.withColumn("state", state).withColumn("open", F.last(opener, ignorenulls=True).over(earlier))
+    return splits.select(F.col("file").alias("_file"), F.col("start").alias("_start"), "state",
+                         ((F.col("n_odd") > 0) | (F.col("state") == 1)).alias("quoted"), "open", "first").checkpoint()
 
 
-def records(spark: SparkSession, path: str) -> DataFrame:
+def records(spark: SparkSession, path: str, splits: DataFrame | None = None) -> DataFrame:
     """(file, start, row, record): the records of CSV files, each at the place of its first line.
 
     A line end inside a quoted field does not end a record.  Whether a line starts inside a field is
-    the parity of all quotes before it in its file: a prefix sum over the lines of a split, on top of
-    a prefix sum over the splits of a file (one row each).  Lines that are a record of their own go
-    no further; only records of several lines are put together, wherever their lines were read.
+    the parity of all quotes before it in its file: that of its split (:func:`split_table`, one row per
+    split, broadcast), and in a quoted split a prefix sum over its lines.  Lines of other splits are records
+    as they are read and move nowhere; only records of several lines are put together, wherever their
+    lines were read.
     """
-    lines = _split_lines(spark, path)
-    starts_if = lambda state: F.max(F.when((F.col("before") + state) % 2 == 0, F.col("row")))
-    splits = lines.groupBy("file", "start").agg((F.sum("odd") % 2).alias("parity"), starts_if(0).alias("last_even"),
-                                                starts_if(1).alias("last_odd"))
-    earlier = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
-    state = F.coalesce(F.sum("parity").over(earlier), F.lit(0)) % 2
-    splits = splits.withColumn("state", state)
-    last = F.when(F.col("state") == 0, F.col("last_even")).otherwise(F.col("last_odd"))
-    splits = splits.withColumn("last", F.when(last.isNotNull(), F.struct(F.col("start").alias("start"), last.alias("row"))))
-    splits = splits.select(F.col("file").alias("_file"), F.col("start").alias("_start"), "state",
-                           F.last("last", ignorenulls=True).over(earlier).alias("open"))
-    lines = lines.join(splits, (F.col("file") == F.col("_file")) & (F.col("start") == F.col("_start")))
-    lines = lines.withColumn("starts", (F.col("before") + F.col("state")) % 2 == 0)
-    so_far = Window.partitionBy("file", "start").orderBy("row")
-    own = F.last(F.when(F.col("starts"), F.struct("start", "row")), ignorenulls=True).over(so_far)
-    lines = lines.withColumn("of", F.coalesce(own, F.col("open")))
-    alone = F.col("starts") & (F.col("odd") == 0)
-    several = lines.where(~alone).groupBy("file", "of").agg(
-        F.sort_array(F.collect_list(F.struct("start", "row", "value"))).alias("parts"))
-    several = several.select("file", "of.start", "of.row", F.array_join(F.transform("parts", lambda x: x["value"]), "\n").alias("record"))
-    whole = lines.where(alone).select("file", "start", "row", F.col("value").alias("record")).unionByName(several)
-    return whole.withColumn("record", F.regexp_replace("record", "\r$", ""))
-
-
-def scan_split_csv(spark: SparkSession, path: str) -> DataFrame:
+    splits = split_table(spark, path) if splits is None else splits
+    lines = _split_lines(spark, path).join(F.broadcast(splits.drop("first")),
+                                           (F.col("file") == F.col("_file")) & (F.col("start") == F.col("_start")), "left")
+    # A split that the table does not name would be lost without a word.
+    quoted = F.coalesce(F.col("quoted"), F.raise_error(F.concat(F.lit("read with other splits: "), F.col("file"))).cast("boolean"))
+    kinds = {r[0] for r in splits.select("quoted").distinct().collect()}                # at most two flags
+    parts = []
+    if kinds != {True}:
+        parts.append(lines.where(~quoted).select("file", "start", "row", F.col("value").alias("record")))
+    if True in kinds:
+        inside = Window.partitionBy("file", "start").orderBy("row")
+        before = F.coalesce(F.sum("odd").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        some = lines.where(quoted).withColumn("starts", (before + F.col("state")) % 2 == 0)
+        own = F.last(F.when(F.col("starts"), F.struct("start", "row")), ignorenulls=True).over(inside)
+        some = some.withColumn("of", F.coalesce(own, F.col("open")))
+        alone = F.col("starts") & (F.col("odd") == 0)
+        several = some.where(~alone).groupBy("file", "of").agg(
+            F.sort_array(F.collect_list(F.struct("start", "row", "value"))).alias("parts"))
+        text = F.array_join(F.transform("parts", lambda x: x["value"]), "\n")
+        parts += [some.where(alone).select("file", "start", "row", F.col("value").alias("record")),
+                  several.select("file", "of.start", "of.row", text.alias("record"))]
+    whole = reduce(DataFrame.unionByName, parts)
+    end = F.col("record").endswith("\r")
+    return whole.withColumn("record", F.when(end, F.regexp_replace("record", "\r$", "")).otherwise(F.col("record")))
+
+
+def scan_split_csv(spark: SparkSession, path: str, splits: DataFrame | None = None) -> DataFrame:
     """:func:`scan_csv` for large files: many tasks read a file, whatever its fields hold; in addition the
     columns ``_file``, ``_start`` and ``_row``, the place of the record."""
     options = {"quote": '"', "escape": '"', "multiLine": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     names = scan_csv(spark, path).columns[:-1]
     ddl = ", ".join("`" + n.replace("`", "``") + "` STRING" for n in [*names, CORRUPT])
-    rows = records(spark, path).where(F.col("record") != "").select("*", F.from_csv("record", ddl, options).alias("_r"))
-    first = (F.col("start") == 0) & (F.col("row") == F.col("_first"))
-    heads = rows.where("start = 0").groupBy("file").agg(F.min("row").alias("_first")).withColumnRenamed("file", "_of")
-    rows = rows.join(heads, (F.col("file") == F.col("_of")) & (F.col("start") == 0), "left")
+    splits = split_table(spark, path) if splits is None else splits
+    rows = records(spark, path, splits).where(F.col("record") != "").select("*", F.from_csv("record", ddl, options).alias("_r"))
+    heads = splits.where((F.col("_start") == 0) & F.col("first").isNotNull()).select(F.col("_file").alias("_of"), F.col("first").alias("_first"))
+    rows = rows.join(F.broadcast(heads), (F.col("file") == F.col("_of")) & (F.col("start") == 0), "left")
+    first = F.coalesce(F.col("row") == F.col("_first"), F.lit(False))
     same = [F.col("_r").getField(n) == F.lit(n) for n in names]
     as_told = F.coalesce(reduce(lambda a, b: a & b, same) & F.col("_r").getField(CORRUPT).isNull(), F.lit(False))
-    checked = F.when(~F.coalesce(first, F.lit(False)), True).when(as_told, False).otherwise(
+    checked = F.when(~first, True).when(as_told, False).otherwise(
         F.raise_error(F.concat(F.lit("the header differs in "), F.col("file"))).cast("boolean"))
     return rows.where(checked).select(*[F.col("_r").getField(n).alias(n) for n in [*names, CORRUPT]],
                                       F.col("file").alias("_file"), F.col("start").alias("_start"), F.col("row").alias("_row"))
@@ -101,7 +122,8 @@ def _any_value(df: DataFrame) -> Column:
 
 
 def read_wide_csv(spark: SparkSession, path: str, schema: StructType,
-                  arrival_col: str | None = "_arrival", split: bool = True) -> DataFrame:
+                  arrival_col: str | None = "_arrival", split: bool = True,
+                  splits: DataFrame | None = None) -> DataFrame:
     """The columns of ``schema`` that the file has, by name (P2), typed as declared.
 
     Text columns are read as text and the pandas default NA tokens become NULL
@@ -110,9 +132,10 @@ def read_wide_csv(spark: SparkSession, path: str, schema: StructType,
     ``arrival_col`` carries file order for keep-first dedup (quirk Q18) as the
     struct (file, split start, row); :func:`with_arrival_number` turns it into
     one BIGINT.  ``split=False`` reads each file in one task, by the multi-line reader.
+    ``splits`` is the path's :func:`split_table`, if it is at hand.
     """
     if split:
-        df = scan_split_csv(spark, path)
+        df = scan_split_csv(spark, path, splits)
         place = [F.col("_file"), F.col("_start"), F.col("_row")]
     else:
         df = scan_csv(spark, path)
@@ -131,9 +154,9 @@ def read_wide_csv(spark: SparkSession, path: str, schema: StructType,
     return df.where(F.col(CORRUPT).isNull() & _any_value(df)).select(*cols)
 
 
-def csv_rejects(spark: SparkSession, path: str, split: bool = True) -> DataFrame:
+def csv_rejects(spark: SparkSession, path: str, split: bool = True, splits: DataFrame | None = None) -> DataFrame:
     """(file, record): the rows that do not fit the header."""
-    df = scan_split_csv(spark, path) if split else scan_csv(spark, path).select("*", F.col("_metadata.file_path").alias("_file"))
+    df = scan_split_csv(spark, path, splits) if split else scan_csv(spark, path).select("*", F.col("_metadata.file_path").alias("_file"))
     return df.where(F.col(CORRUPT).isNotNull() & _any_value(df)) \
              .select(F.col("_file").alias("file"), F.col(CORRUPT).alias("record"))
 
@@ -149,7 +172,7 @@ def with_arrival_number(staged: DataFrame, arrival_col: str = "_arrival") -> Dat
     splits = staged.select(at["file"].alias("_file"), at["start"].alias("_start")).distinct()
     ranked = positions(splits, ["_file", "_start"], name="_split")
     number = F.shiftleft(F.col("_split"), ROW_BITS) + at["row"]
-    joined = staged.join(ranked, (at["file"] == F.col("_file")) & (at["start"] == F.col("_start")))
+    joined = staged.join(F.broadcast(ranked), (at["file"] == F.col("_file")) & (at["start"] == F.col("_start")))
     return joined.withColumn(arrival_col, number).drop("_file", "_start", "_split")
 
 

@@ -64,3 +64,22 @@ def test_header_of_another_file_and_empty_files(spark, tmp_path, small_splits):
     (tmp_path / "zz.csv").write_text("id,b,note\n1,2,3\n")
     with pytest.raises(SparkRuntimeException, match="header differs"):
         read_wide_csv(spark, str(tmp_path), SCHEMA).select(F.max("id")).collect()
+
+
+def test_lines_without_quotes_move_nowhere(spark, tmp_path, small_splits):
+    """A split without a quoted line end is read as it is: neither its lines nor its records are shuffled or sorted."""
+    write(tmp_path, "one.csv", [f"{i},a{i},b" for i in range(3_000)], "\n")
+    df = read_wide_csv(spark, str(tmp_path), SCHEMA)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "hashpartitioning" not in plan
+    assert sorted(r.id for r in df.collect()) == list(range(3_000))
+
+
+def test_quotes_in_some_splits_only(spark, tmp_path, small_splits):
+    """Plain splits before, between and after those of a quoted field, and a file without quotes beside it."""
+    long = quoted("x\n" * 6_000)
+    write(tmp_path, "one.csv", [*(f"{i},a,b" for i in range(2_000)), f"2000,{long},b", *(f"{i},a,b" for i in range(2_001, 4_000))], "\n")
+    write(tmp_path, "two.csv", [f"{i},c,d" for i in range(4_000, 6_000)], "\n")
+    rows = lambda df: [(r.id, r.note, r.b) for r in with_arrival_number(df).orderBy("_arrival").collect()]
+    got = rows(read_wide_csv(spark, str(tmp_path), SCHEMA))
+    assert [r[0] for r in got] == list(range(6_000)) and got[2_000][1] == "x\n" * 6_000
