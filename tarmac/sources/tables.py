@@ -17,6 +17,7 @@ leaves the previous version current.  Every folder lives under the shared
 from __future__ import annotations
 
 import json
+import math
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -164,6 +165,10 @@ class VersionedTable:
         write_parquet(aligned, self._vpath(v), mode="append")
 
 
+#: Rows that one task writes of a partitioned table, more or less.
+ROWS_A_TASK = 500_000
+
+
 class PartitionedTable:
     """A Parquet table partitioned by ``by``, for facts too large to rewrite.
 
@@ -201,6 +206,16 @@ class PartitionedTable:
                             else self.spark.read.parquet(self.root).schema)
         return self.spark.read.schema(self._schema).parquet(self.root)
 
+    def _dealt(self, df: DataFrame) -> DataFrame:
+        """``df`` dealt to its writers: a task per partition value while the rows are few (one file a partition and
+        write); beyond ``ROWS_A_TASK`` a range of values and row hashes per task, so that no value is one task's
+        whatever share of the rows it holds.  Adaptive plans, which would split such a task, are off in a stream.
+        ``df`` is counted first, so it should be cheap to read."""
+        n = df.count()
+        if n <= ROWS_A_TASK:
+            return df.repartition(*self.by)
+        return df.repartitionByRange(math.ceil(n / ROWS_A_TASK), *self.by, F.xxhash64(*df.columns))
+
     def _materialize(self, df: DataFrame) -> DataFrame:
         from ..session import ensure_checkpoint_dir
 
@@ -225,7 +240,7 @@ class PartitionedTable:
             self._note_schema(df)
         else:
             df = df.select(*[F.col(f.name).cast(f.dataType) for f in current.schema.fields])
-        df.repartition(*self.by).write.mode("append").partitionBy(*self.by).parquet(self.root)
+        self._dealt(df).write.mode("append").partitionBy(*self.by).parquet(self.root)
 
     def put(self, df: DataFrame) -> None:
         """Replace the partitions that ``df`` has rows for; ``df`` must not read the table."""
@@ -234,7 +249,7 @@ class PartitionedTable:
             self._note_schema(df)
         else:
             df = df.select(*[F.col(f.name).cast(f.dataType) for f in current.schema.fields])
-        (df.repartition(*self.by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        (self._dealt(df).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy(*self.by).parquet(self.root))
 
     def read_touched(self, keys: DataFrame) -> DataFrame:
@@ -253,7 +268,7 @@ class PartitionedTable:
         """Replace exactly the partitions that ``df`` has rows for."""
         current = self.read()
         aligned = df.select(*[F.col(f.name).cast(f.dataType) for f in current.schema.fields])
-        (self._materialize(aligned).repartition(*self.by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        (self._dealt(self._materialize(aligned)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy(*self.by).parquet(self.root))
 
     def compact(self) -> int:

@@ -4,6 +4,7 @@ import json
 import statistics
 
 from plan_log import PlanLog
+import pytest
 from pyspark.sql import functions as F
 
 from tarmac.operators import lookup
@@ -86,3 +87,22 @@ def test_a_batch_does_not_shuffle_or_read_the_whole_target(spark, scratch):
     assert table.read().count() == 400_500
     spark.sql(f"DROP TABLE {table.name}")                                  # another session finds the folder again
     assert BucketedTable(spark, f"{scratch}/t", ["k", "g"]).read().count() == 400_500
+
+
+@pytest.mark.parametrize("write", ["append", "put"])
+def test_one_partition_value_is_written_by_many_tasks(spark, scratch, monkeypatch, write):
+    """Beyond the rows of a task a partition is dealt over several, also where adaptive plans are off (streams)."""
+    import glob
+
+    from tarmac.sources import tables
+
+    monkeypatch.setattr(tables, "ROWS_A_TASK", 100)
+    rows = spark.range(1_000).selectExpr("id", "'x' AS part").unionByName(spark.range(5).selectExpr("id", "'y' AS part"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        table = tables.PartitionedTable(spark, f"{scratch}/t", ["part"])
+        getattr(table, write)(rows)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert sorted(map(tuple, table.read().select("id", "part").collect())) == sorted([(i, "x") for i in range(1_000)] + [(i, "y") for i in range(5)])
+    assert len(glob.glob(f"{scratch}/t/part=x/*.parquet")) >= 5 and len(glob.glob(f"{scratch}/t/part=y/*.parquet")) <= 2
