@@ -121,8 +121,8 @@ def load_races(spark, d):
 # ------------------------------------------------------------------------ producers
 def _land(paged: DataFrame, root: str, kind: str, by: list[str], envelope: Column) -> None:
     """One page per folder: {"MRData": envelope}."""
-    (paged.select(*by, F.to_json(F.struct(envelope.alias("MRData"))).alias("value")).repartition(*by)
-          .write.mode("append").partitionBy(*by).text(f"{root}/{kind}"))
+    docs = paged.select(*by, F.to_json(F.struct(envelope.alias("MRData"))).alias("value"))
+    pages.land(docs, f"{root}/{kind}", by, mode="append")
 
 
 def _listed(table: str, field: str, records: Column, total: Column | None = None) -> Column:

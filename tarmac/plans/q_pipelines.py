@@ -138,13 +138,11 @@ WHERE user_id % 7 <> 0 OR rn <= {PAGE}
 def landed_pages(spark, d):
     """S5 + S6 + W4 + L2: events land as JSON pages, a file per page in the folder of its user, are read back
     with their path numbers, cut at the first empty page or at the total, and flattened.  Every seventh user's
-    second page is empty; every fifth user states its total and has a page too many after it; one page of
-    another folder is malformed and stops nothing."""
+    second page is empty; every fifth user states its total and has a page too many after it; two pages of
+    another folder are malformed and stop nothing."""
     root = work_path(spark, "landed_pages")
     land_pages(spark, tbl(spark, d, "events").select("event_id", "user_id", "ts"), root)
-    read = pages.read_landed_pages(
-        spark, f"{root}/pages", "MRData STRUCT<total: STRING, Items: ARRAY<STRUCT<event_id: BIGINT, user_id: BIGINT>>>, "
-                                "folder BIGINT, offset BIGINT")
+    read = read_pages(spark, root)
     kept = pages.until_empty(read, F.size(pages.records_at("MRData.Items")) > 0, ["offset"], group=["folder"],
                              total=F.col("MRData.total").try_cast("bigint"))
     return pages.flatten(kept, "MRData.Items", keep=["offset"]).select("rec.event_id", "rec.user_id", "offset")
@@ -163,8 +161,16 @@ def land_pages(spark, ev, root):
     served = served.unionByName(totals.select(F.col("of_user").alias("user_id"), after.alias("offset"), "total", extra.alias("Items")))
     envelope = F.struct(F.col("total").cast("string").alias("total"), "Items")
     doc = served.select(F.col("user_id").alias("folder"), "offset", F.to_json(F.struct(envelope.alias("MRData"))).alias("value"))
-    bad = spark.createDataFrame([(-1, 0, "{\"MRData\": {\"Items\"")], "folder long, offset long, value string")
-    doc.unionByName(bad).repartition("folder").write.partitionBy("folder", "offset").text(f"{root}/pages")
+    bad = "{\"MRData\": {\"Items\""
+    bad = spark.createDataFrame([(-1, 0, bad), (-1, PAGE, bad)], "folder long, offset long, value string")
+    pages.land(doc.unionByName(bad), f"{root}/pages", ["folder", "offset"], deal=["folder"])
+
+
+def read_pages(spark, root):
+    """MRData, folder, offset, _corrupt of every page."""
+    return pages.read_landed_pages(
+        spark, f"{root}/pages", "MRData STRUCT<total: STRING, Items: ARRAY<STRUCT<event_id: BIGINT, user_id: BIGINT>>>, "
+                                "folder BIGINT, offset BIGINT")
 
 
 # ------------------------------------------------------------------------ topics

@@ -17,6 +17,7 @@ from pyspark.sql.types import StructType
 
 from ..operators.keys import positions
 from ..operators.ranking import take_while
+from ..session import ensure_checkpoint_dir
 
 CORRUPT = "_corrupt"
 
@@ -29,6 +30,17 @@ def read_landed_pages(spark: SparkSession, root: str, schema: StructType) -> Dat
                  .option("multiLine", True).json(root))
 
 
+def land(docs: DataFrame, path: str, by: Sequence[str], deal: Sequence[str] | None = None, mode: str = "errorifexists") -> None:
+    """One file per page, in the folder that the ``by`` columns name; ``value`` is its text.
+
+    A page costs a file, not bytes, so the number of tasks is set: by bytes an adaptive plan would let one task
+    write thousands of files.  Tasks move their own files to the folders (commit algorithm 2); with the default
+    the driver alone renames the folders after the last task."""
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (docs.repartition(tasks, *(deal or by)).write.mode(mode).partitionBy(*by)
+         .option("mapreduce.fileoutputcommitter.algorithm.version", "2").text(path))
+
+
 def corrupt_pages(pages: DataFrame) -> DataFrame:
     """T9 for pages: the malformed ones, with their path columns and text."""
     # Spark refuses to read the corrupt column alone, so the document is looked at too.
@@ -51,7 +63,10 @@ def until_empty(df: DataFrame, has_records: Column, order: Sequence[str], group:
                 total: Column | None = None) -> DataFrame:
     """W4 on pages: the pages before the first one without records, or from ``total`` on, per ``group``.
 
-    A malformed page stops nothing; it yields no records and is listed by :func:`corrupt_pages`."""
+    A malformed page stops nothing; it yields no records and is listed by :func:`corrupt_pages`.  The pages are
+    read once and checkpointed, as each is a file to open and both sides of the rule need them."""
+    ensure_checkpoint_dir(df.sparkSession)
+    df = df.checkpoint()
     stop = F.col(CORRUPT).isNull() & ~has_records
     if total is not None:
         stop = stop | F.coalesce(F.col(order[-1]) >= total, F.lit(False))

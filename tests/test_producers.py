@@ -96,3 +96,16 @@ def test_published_messages_reach_the_stream(spark, scratch):
     assert sorted(r.key for r in got) == ["1", "2"]
     offsets = sorted((r.partition, r.offset) for r in got)
     assert all(o >= 0 for _, o in offsets) and len(set(offsets)) == 2
+
+
+def test_pages_are_landed_by_many_tasks(spark, scratch):
+    """A page costs a file however small it is, so the bytes of the pages do not set the number of writing tasks."""
+    import glob
+    import os
+
+    from tarmac.sources import pages
+
+    docs = spark.range(60).selectExpr("id AS folder", "id % 2 * 30 AS offset", "'{}' AS value")
+    pages.land(docs, f"{scratch}/landed", ["folder", "offset"], deal=["folder"])
+    files = glob.glob(f"{scratch}/landed/folder=*/offset=*/part-*")
+    assert len(files) == 60 and len({os.path.basename(f).split("-")[1] for f in files}) > 4
