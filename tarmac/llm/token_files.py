@@ -165,9 +165,10 @@ _L, _N = _latin("L"), _latin("N")
 PRE_TOKEN = re.compile(f"'(?:s|t|re|ve|m|ll|d)| ?[{_L}]+| ?[{_N}]+| ?[^{_SPACE}{_L}{_N}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
 #: Characters above this have the library itself look for the places to split.
 LAST = "\u024f"
+_BEYOND = re.compile(f"[^\0-{LAST}]")
 
 
-def library_encoder(path: str, width: int, specials_as_text: bool = False, limit: int = 250_000):
+def library_encoder(path: str, width: int, specials_as_text: bool = False, limit: int = 500_000):
     """(encode, special): ids of pieces, as bytes, by the tokenizers library, and the strings of special tokens.
 
     A piece of Latin characters is split into pre-tokens, and each distinct one goes through the library
@@ -204,27 +205,46 @@ def library_encoder(path: str, width: int, specials_as_text: bool = False, limit
     def encode(pieces: list[str], uncut: bool = False) -> list[bytes]:
         if uncut:
             return library(pieces)
-        split = [PRE_TOKEN.findall(p) if p and max(p) <= LAST else [p] for p in pieces]
-        new = known.missing(x for parts in split for x in parts)
-        if new:
-            known.young.update(by_line([x for x in new if x and max(x) <= LAST]))
-            for x in new:
-                if x not in known.young:
-                    known.young[x] = library([x])[0]
-        young = known.young
-        return [b"".join([young[x] for x in parts]) for parts in split]
+        split = [[p] if not p or _BEYOND.search(p) else PRE_TOKEN.findall(p) for p in pieces]
+        coded = [list(map(known.young.get, parts)) for parts in split]
+        if any(None in ids for ids in coded):
+            new = known.missing(x for parts in split for x in parts)
+            if new:
+                whole = [x for x in new if not x or _BEYOND.search(x)]
+                if whole:
+                    known.young.update(zip(whole, library(whole), strict=True))
+                known.young.update(by_line([x for x in new if x not in known.young] if whole else new))
+            coded = [list(map(known.young.__getitem__, parts)) for parts in split]
+        return [b"".join(ids) for ids in coded]
 
     return encode, special
 
 
-_caches: dict[tuple[str, int], PieceCache] = {}
+class TextCoder:
+    """Ids (as bytes) of whole texts.
+
+    A text of Latin characters is split into pre-tokens at once: they repeat more often than the pieces between
+    spaces, which carry punctuation.  Others are cut into pieces first, so that few of them go through the library whole.
+    """
+
+    def __init__(self, path: str, width: int) -> None:
+        self.encode, self.special = library_encoder(path, width)
+        self.pieces = PieceCache(self.encode, self.special, limit=100_000)
+
+    def ids(self, text: str) -> bytes:
+        if _BEYOND.search(text) or any(x in text for x in self.special):
+            return self.pieces.ids(text)
+        return self.encode([text])[0] if text else b""
+
+
+_coders: dict[tuple[str, int], TextCoder] = {}
 
 
 def _write(batches: Iterator[pa.RecordBatch], base: str, path: str, width: int, end_id: int, max_bytes: int) -> Iterator[pa.RecordBatch]:
     """Shards of one task: rows (key, text) in order; a shard is written when its ids reach ``max_bytes``."""
-    if (path, width) not in _caches:
-        _caches[path, width] = PieceCache(*library_encoder(path, width))
-    cache, end = _caches[path, width], int(end_id).to_bytes(width, "little")
+    if (path, width) not in _coders:
+        _coders[path, width] = TextCoder(path, width)
+    coder, end = _coders[path, width], int(end_id).to_bytes(width, "little")
     ids, payload, size, done = [], [], 0, 0
 
     def flush() -> pa.RecordBatch:
@@ -237,7 +257,7 @@ def _write(batches: Iterator[pa.RecordBatch], base: str, path: str, width: int,
 
     for b in batches:
         for key, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-            coded = cache.ids(text.as_py()) + end
+            coded = coder.ids(text.as_py()) + end
             ids.append(key)
             payload.append(coded)
             size += len(coded)

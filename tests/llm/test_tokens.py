@@ -40,6 +40,22 @@ def test_pieces_are_independent(library, ranked):
         assert np.frombuffer(cache.ids(x), "<u2").tolist() == library(x)
 
 
+def test_whole_texts_are_the_library_and_share_words(library):
+    """Latin texts are split at once: a known word costs nothing new with other punctuation around it."""
+    rng = random.Random(4)
+    coder = token_files.TextCoder(JSON, 2)
+    parts = [" ", "  ", "\n", "\t", " \r\n", "a", "é", "don't", "'s", "'", "12", "<", "\xa0", "\x85", "\x1c", ".", "word", "\u0153", "ß!"]
+    for odd in ([], ["日", "<|endoftext|>", "\u2003"]):
+        for _ in range(2_000):
+            x = "".join(rng.choice(parts + odd) for _ in range(rng.randint(0, 20)))
+            assert np.frombuffer(coder.ids(x), "<u2").tolist() == library(x)
+    coder = token_files.TextCoder(JSON, 2)
+    marks = [a + b for a in ".,;!?" for b in ["", "\n", "\t"]]
+    for i in range(100):
+        coder.ids("".join(f" w{chr(97 + j % 26)}{rng.choice(marks)}{rng.choice(marks)}" for j in range(i % 40)))
+    assert not coder.pieces.known.young
+
+
 def uri(spark):
     base = work_path(spark, "token-files")
     return base if "://" in base else f"file://{base}"
