@@ -25,7 +25,7 @@ them, compressed, from one exchange.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 from itertools import pairwise
 
@@ -49,29 +49,41 @@ class Scheme:
     context: Callable[[bytes], Callable[[int, int], bytes]]  # text -> (from unit, to unit) -> bytes
 
 
-def _slices(texts: list[bytes], limit: int = 1 << 22) -> Iterator[tuple[int, list[bytes]]]:
-    """Texts a few MB at a time: (first row, texts)."""
-    at, n = 0, 0
-    for i, t in enumerate(texts):
+#: Documents whose anchors are sorted together: their numbers have 16 bits beside a hash's 48.
+ROWS = 1 << 16
+_DOC, _DOCS = np.uint64(16), np.uint64(ROWS - 1)
+
+
+def _slices(texts: Iterable[bytes], limit: int = 1 << 22) -> Iterator[tuple[int, list[bytes]]]:
+    """Texts a few MB at a time, taken only when their turn comes: (first row, texts)."""
+    first, held, n = 0, [], 0
+    for i, t in enumerate(texts, 1):
+        held.append(t)
         n += len(t)
         if n >= limit:
-            yield at, texts[at:i + 1]
-            at, n = i + 1, 0
-    if at < len(texts):
-        yield at, texts[at:]
+            yield first, held
+            first, held, n = i, [], 0
+    if held:
+        yield first, held
+
+
+def _texts(column: pa.Array) -> Iterator[bytes]:
+    for t in column.cast(pa.binary()):
+        yield t.as_py()
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(ord, th, text) -> (ord, th, z): the text compressed for the shuffle."""
     z = zstandard.ZstdCompressor(3)
     for b in batches:
-        out = [z.compress(t) for t in b.column(2).cast(pa.binary()).to_pylist()]
+        out = [z.compress(t) for t in _texts(b.column(2))]
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.binary())], ["ord", "th", "z"])
 
 
-def unpacked(column: pa.Array) -> list[bytes]:
+def unpacked(column: pa.Array) -> Iterator[bytes]:
     z = zstandard.ZstdDecompressor()
-    return [z.decompress(t.as_py()) for t in column]
+    for t in column:
+        yield z.decompress(t.as_py())
 
 
 def _blob(*arrays: np.ndarray) -> bytes:
@@ -101,33 +113,49 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch], scheme: Scheme, buckets: int
     Where the batch itself shows that a hash is shared, its pairs are settled, and one of them goes on
     with the open ones to the hash's bucket, for the documents of other batches.
     """
+    small = np.min_scalar_type(buckets)
     for batch in batches:
-        ids = batch.column(0).to_numpy(zero_copy_only=False)
-        docs, hashes = [], []
-        for first, texts in _slices(batch.column(1).cast(pa.binary()).to_pylist()):
-            units, offsets = scheme.units(texts)
-            d, h = doc_anchors(units, offsets, scheme.length, scheme.gram)
-            docs.append(ids[first + d])
-            hashes.append(h)
-        if not docs or not sum(map(len, docs)):
-            continue
-        o, h = np.concatenate(docs), np.concatenate(hashes)
-        order = np.lexsort((o, h))
-        o, h = o[order], h[order]
-        head = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
-        tail = np.r_[head[1:], len(h)]
-        known = np.repeat(o[head] != o[tail - 1], tail - head)
-        sent = ~known
-        sent[head] = True
-        out = [(False, b, o[sent][r], h[sent][r]) for b, r in _dealt(h[sent] % buckets)]
-        out += [(True, b, o[known][r], h[known][r]) for b, r in _dealt(mix(o[known].view(np.uint64)).astype(np.int64) % buckets)]
-        packs = []
-        for _, _, oo, hh in out:
-            by = np.argsort(oo, kind="stable")
-            six = hh[by].view(np.uint8).reshape(-1, 8)[:, :6]  # hashes have 48 bits
-            packs.append(_blob(np.diff(oo[by], prepend=0), np.ascontiguousarray(six)))
-        yield pa.RecordBatch.from_arrays([pa.array([x[1] for x in out], pa.int32()), pa.array([x[0] for x in out]),
-                                          pa.array(packs, pa.binary())], ["bucket", "settled", "pairs"])
+        for at in range(0, batch.num_rows, ROWS):
+            part = batch.slice(at, ROWS)
+            ids, number = np.unique(part.column(0).to_numpy(zero_copy_only=False), return_inverse=True)
+            key = _anchor_keys(part.column(1), number, scheme)
+            if not len(key):
+                continue
+            head = np.ones(len(key), bool)
+            np.not_equal(key[1:] >> _DOC, key[:-1] >> _DOC, out=head[1:])
+            known = ~(head & np.r_[head[1:], True])  # a document has a hash once: two pairs of it are of two documents
+            settled = key[known]
+            key = key[head]
+            out = [(False, *x) for x in _pair_packs(key, (key >> _DOC) % np.uint64(buckets), small, ids)]
+            spread = (mix(ids.view(np.uint64)) % np.uint64(buckets)).astype(small)
+            out += [(True, *x) for x in _pair_packs(settled, spread[(settled & _DOCS).astype(np.uint16)], small, ids)]
+            yield pa.RecordBatch.from_arrays([pa.array([x[1] for x in out], pa.int32()), pa.array([x[0] for x in out]),
+                                              pa.array([x[2] for x in out], pa.binary())], ["bucket", "settled", "pairs"])
+
+
+def _anchor_keys(texts: pa.Array, number: np.ndarray, scheme: Scheme) -> np.ndarray:
+    """Sorted keys (hash, document number) of the anchors, each once."""
+    found = [np.zeros(0, np.uint64)]
+    for first, some in _slices(_texts(texts)):
+        units, offsets = scheme.units(some)
+        d, h = doc_anchors(units, offsets, scheme.length, scheme.gram)
+        found.append(h.view(np.uint64) << _DOC | number[first + d].astype(np.uint64))
+    key = np.concatenate(found)
+    del found
+    key.sort()
+    if len(key):
+        key = key[np.r_[True, key[1:] != key[:-1]]]
+    return key
+
+
+def _pair_packs(key: np.ndarray, bucket: np.ndarray, small: np.dtype, ids: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    """(bucket, its pairs in order of ord)."""
+    for b, rows in _dealt(bucket.astype(small)):
+        k = key[rows]
+        number = (k & _DOCS).astype(np.uint16)
+        by = np.argsort(number, kind="stable")
+        six = (k[by] >> _DOC).view(np.uint8).reshape(-1, 8)[:, :6]  # hashes have 48 bits
+        yield b, _blob(np.diff(ids[number[by]], prepend=0), np.ascontiguousarray(six))
 
 
 def _shared_rows(t: pa.Table) -> pa.Table:
@@ -154,30 +182,40 @@ def _shared_rows(t: pa.Table) -> pa.Table:
 def _context_rows(batches: Iterator[pa.RecordBatch], scheme: Scheme, buckets: int) -> Iterator[pa.RecordBatch]:
     """Rows (ord, th, z, hs[]) -> (bucket, contexts): each context of a batch once, with its places."""
     for batch in batches:
-        ids, th = (batch.column(i).to_pylist() for i in range(2))
+        ids, th = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
         shared = batch.column(3)
-        found: dict[tuple[int, bytes], list[tuple[int, int, int]]] = {}
+        found: dict[bytes, int] = {}  # a context's anchor is its first window's: equal contexts have equal hashes
+        places = []
         for first, texts in _slices(unpacked(batch.column(2))):
             units, offsets = scheme.units(texts)
             mine = [shared[first + i].values.to_numpy(zero_copy_only=False) for i in range(len(texts))]
-            for runs_ in candidate_runs(units, offsets, scheme.length, scheme.gram, mine):
+            for d, a, b, h in candidate_runs(units, offsets, scheme.length, scheme.gram, mine):
+                of = np.empty(len(d), np.int32)
                 at, cut = -1, None
-                for d, a, b, h in zip(*(r.tolist() for r in runs_), strict=True):
-                    if d != at:
-                        at, cut = d, scheme.context(texts[d])
-                    found.setdefault((h, cut(a, b + scheme.length)), []).append((ids[first + d], th[first + d], a))
+                for i, (doc, x, y) in enumerate(zip(d.tolist(), a.tolist(), (b + scheme.length).tolist(), strict=True)):
+                    if doc != at:
+                        at, cut = doc, scheme.context(texts[doc])
+                    of[i] = found.setdefault(cut(x, y), len(found))
+                places.append((of, (first + d).astype(np.int32), a.astype(np.uint32), h))
         if not found:
             continue
-        h = np.fromiter((k[0] for k in found), np.int64, len(found))
-        contexts, members = [k[1] for k in found], list(found.values())
+        of, row, start, hash_ = (np.concatenate(x) for x in zip(*places, strict=True))
+        del places
+        contexts = list(found)
+        del found
+        h = np.empty(len(contexts), np.int64)
+        h[of] = hash_
+        by = np.argsort(of, kind="stable")  # places by context
+        count = np.bincount(of, minlength=len(contexts))
+        end = np.cumsum(count)
         out = []
-        for bucket, rows in _dealt(h % buckets):
+        for bucket, rows in _dealt((h % buckets).astype(np.min_scalar_type(buckets))):
             rows = rows[np.argsort(h[rows], kind="stable")]
-            place = np.array([x for r in rows.tolist() for x in members[r]], np.int64)
-            out.append((bucket, _blob(
-                h[rows], np.array([len(contexts[r]) for r in rows.tolist()], np.uint32),
-                np.array([len(members[r]) for r in rows.tolist()], np.uint32), place[:, 0], place[:, 1], place[:, 2].astype(np.uint32),
-                np.frombuffer(b"".join(contexts[r] for r in rows.tolist()), np.uint8))))
+            n = count[rows]
+            at = by[np.repeat(end[rows] - np.cumsum(n), n) + np.arange(n.sum())]
+            mine = [contexts[r] for r in rows.tolist()]
+            out.append((bucket, _blob(h[rows], np.fromiter(map(len, mine), np.uint32, len(mine)), n.astype(np.uint32), ids[row[at]],
+                                      th[row[at]], start[at], np.frombuffer(b"".join(mine), np.uint8))))
         yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.binary())],
                                          ["bucket", "contexts"])
 
@@ -211,7 +249,9 @@ def unpack_contexts(t: pa.Table) -> Contexts:
     for blob in t.column("contexts").to_pylist():
         h, sizes, counts, o, th, first, text = _unblob(blob, np.int64, np.uint32, np.uint32, np.int64, np.int64, np.uint32, np.uint8)
         raw, ends = text.tobytes(), np.cumsum(sizes, dtype=np.int64)
-        parts.append((h, [raw[a:b] for a, b in pairwise([0, *ends.tolist()])], counts, o, th, first))
+        # Copies, as views would keep the bytes of all blobs beside the contexts cut from them.
+        parts.append((h.copy(), [raw[a:b] for a, b in pairwise([0, *ends.tolist()])], *(x.copy() for x in (counts, o, th, first))))
+        del h, sizes, counts, o, th, first, text, raw
     h = np.concatenate([x[0] for x in parts])
     text = [c for x in parts for c in x[1]]
     of = np.repeat(np.arange(len(h)), np.concatenate([x[2] for x in parts]))

@@ -57,29 +57,37 @@ def ranks(data: np.ndarray, room: np.ndarray, length: int) -> np.ndarray:
     ``room``: bytes left at each position in its own string.
     """
     n = len(data)
-    out = np.full(n, -1, np.int64)
+    kind = np.int32 if n < 1 << 31 else np.int64
+    out = np.full(n, -1, kind)
     h = 1
     word = data.astype(np.uint64)
     while h < 8 and 2 * h <= length:  # up to 8 bytes a rank is the bytes themselves
-        more = np.zeros(n, np.uint64)
-        more[:-h] = word[h:]
-        word = (word << np.uint64(8 * h)) | more
+        more = word[h:].copy()
+        word <<= np.uint64(8 * h)
+        word[:len(more)] |= more
+        del more
         h *= 2
-    alive = np.flatnonzero(room >= h)
+    alive = np.flatnonzero(room >= h).astype(kind)
     value = word[alive]
+    del word
     while True:
-        _, rank, count = np.unique(value, return_inverse=True, return_counts=True)
+        order = np.argsort(value)
+        value = value[order]
+        new = np.r_[np.ones(min(1, len(value)), bool), value[1:] != value[:-1]]
+        del value
+        kept = ~(new & np.r_[new[1:], np.ones(min(1, len(new)), bool)])
+        alive = alive[order[kept]]
+        del order
         out[:] = -1
-        kept = count[rank] > 1
-        alive, rank = alive[kept], rank[kept]
-        out[alive] = rank
+        out[alive] = np.cumsum(new, dtype=kind)[kept]
+        alive.sort()
         if h == length or not len(alive):
             return out
         step = min(h, length - h)
         alive = alive[room[alive] >= h + step]
         second = out[alive + step]
         alive, second = alive[second >= 0], second[second >= 0]
-        value = out[alive] * (int(out.max()) + 1) + second
+        value = out[alive].astype(np.int64) * (int(out.max()) + 1) + second
         h += step
 
 
@@ -88,8 +96,9 @@ def _windows(contexts: list[bytes], owner: np.ndarray, length: int) -> Iterator[
     sizes = np.fromiter(map(len, contexts), np.int64, len(contexts))
     data = np.frombuffer(b"".join(contexts), np.uint8)
     ends = np.cumsum(sizes)
-    of = np.repeat(np.arange(len(contexts)), sizes)
-    rank = ranks(data, ends[of] - np.arange(len(data)), length)
+    kind = np.int32 if len(data) < 1 << 31 else np.int64
+    of = np.repeat(np.arange(len(contexts), dtype=kind), sizes)
+    rank = ranks(data, ends.astype(kind)[of] - np.arange(len(data), dtype=kind), length)
     hit = np.zeros(len(data), bool)
     at = np.flatnonzero(rank >= 0)
     least = np.full(int(rank.max(initial=-1)) + 1, np.iinfo(np.int64).max)

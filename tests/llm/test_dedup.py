@@ -1,13 +1,17 @@
 """SimHash, suffix-array and suffix-automaton operators against brute force."""
 
 import hashlib
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import pytest
 from pyspark.sql import functions as F
 import xxhash
+import zstandard
 
-from tarmac.llm import gray_index, simhash, suffix_array, suffix_automaton, winnow
+from tarmac.llm import gray_index, passages, simhash, suffix_array, suffix_automaton, winnow
 from tarmac.llm.common import NO_ID
 from tarmac.llm.components import components
 
@@ -202,3 +206,42 @@ def test_a_word_that_repeats_for_ever(spark):
     docs = spark.createDataFrame([(i, "ha " * (3_000 + i)) for i in range(4)], "doc_id long, text string")
     got = {r.doc_id: (r.n_words, r.n_removed) for r in suffix_automaton.digest(docs).collect()}
     assert got == {0: (3_000, 0), 1: (3_001, 3_001), 2: (3_002, 3_002), 3: (3_003, 3_003)}
+
+
+def peak_bytes(f):
+    tracemalloc.start()
+    try:
+        f()
+        return tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def repeated_texts():
+    """Texts whose lines are half their own and half other texts'."""
+    rng = np.random.default_rng(3)
+    lines = [rng.integers(97, 123, 80, dtype=np.uint8).tobytes() for _ in range(60_000)]
+    return [b"\n".join(lines[i] for i in (*range(25 * r, 25 * r + 25), *rng.integers(0, len(lines), 25).tolist())) for r in range(2400)]
+
+
+def test_bytes_take_few_times_their_batch():
+    """Peaks in bytes a byte of text (about 6.7, 25 and 94 with records of Python objects and 64-bit steps)."""
+    texts = repeated_texts()
+    size, scheme = sum(map(len, texts)), suffix_array.byte_scheme(50)
+    ids = pa.array(range(len(texts)), pa.int64())
+    rows = pa.record_batch([ids, pa.array(texts, pa.binary())], ["ord", "text"])
+    anchors = []
+    assert peak_bytes(lambda: anchors.extend(passages._anchor_rows(iter([rows]), scheme, 40))) < 5.5 * size
+    pairs = pa.Table.from_batches(anchors)
+    shared = [passages._shared_rows(pairs.filter(pa.compute.equal(pairs["bucket"], b))) for b in range(40)]
+    hs = pa.concat_tables(shared).group_by("ord").aggregate([("h", "list")]).sort_by("ord")
+    assert hs["ord"].to_pylist() == ids.to_pylist()
+    z = pa.array([zstandard.compress(t) for t in texts], pa.binary())
+    rows = pa.record_batch([ids, ids, z, hs["h_list"].combine_chunks()], ["ord", "th", "z", "hs"])
+    contexts = []
+    assert peak_bytes(lambda: contexts.extend(passages._context_rows(iter([rows]), scheme, 1))) < 21 * size
+    table = pa.Table.from_batches(contexts)
+    assert len(passages.unpack_contexts(table).text) > 50_000
+    data = np.frombuffer(b"".join(texts[::8]), np.uint8)
+    room = np.arange(len(data), 0, -1)
+    assert peak_bytes(lambda: suffix_array.ranks(data, room, 50)) < 50 * len(data)
