@@ -30,6 +30,8 @@ from .warehouse import MESSAGE, RACE_BEST, REFS, Warehouse, wait_bucket
 
 # Arrival: the position of a message in its stream; streams of one warehouse are told apart.
 ORD = ["partition", "offset", "stream"]
+#: Positions of inserted messages that are broadcast at most.
+FEW = 100_000
 
 
 def _decode(msgs: DataFrame, ddl: str) -> DataFrame:
@@ -60,9 +62,19 @@ def _split(df: DataFrame, bad: Column, reason: str, topic: str) -> tuple[DataFra
 
 def _duplicates(d: DataFrame, new: DataFrame, topic: str) -> DataFrame:
     """The messages of ``d`` that ``new`` (rows to insert) left out, and further copies of those it took:
-    a message that comes twice is a duplicate in one batch as it is over two."""
+    a message that comes twice is a duplicate in one batch as it is over two.
+
+    Only a message that was taken can have further copies, so where few were taken, they are broadcast and the
+    others, with their texts, are shuffled nowhere."""
     kept = new.select(*ORD, F.lit(True).alias("_kept"))
-    copies = d.withColumn("_copy", F.row_number().over(Window.partitionBy(*ORD).orderBy("key")))
+    few = kept.count() <= FEW
+    if few:
+        kept = F.broadcast(kept)
+    taken = d.join(F.broadcast(new.select(*ORD).distinct()), ORD, "left_semi") if few else d
+    copies = taken.withColumn("_copy", F.row_number().over(Window.partitionBy(*ORD).orderBy("key")))
+    if few:
+        return _reject(d.join(kept, ORD, "left_anti").unionByName(copies.join(kept, ORD).where(F.col("_copy") > 1).select(*d.columns)),
+                       "duplicate key", topic)
     return _reject(copies.join(kept, ORD, "left").where(F.col("_kept").isNull() | (F.col("_copy") > 1)), "duplicate key", topic)
 
 
@@ -92,6 +104,26 @@ def _resolve_race(df: DataFrame, wh: Warehouse, season: Column, rnd: Column, top
     return ok, _rejects(bad, other, rej)
 
 
+def _resolve_driver_race(df: DataFrame, wh: Warehouse, ref: Column, season: Column, rnd: Column, topic: str, only: int):
+    """:func:`_resolve_driver` and :func:`_resolve_race` in one pass: messages are decoded and joined once, kept with
+    the reason to reject them, if any, and then split."""
+    dim = wh.read("driver").select(F.col("driverRef").alias("_dref"), "driverId").distinct()
+    df = lookup.resolve_tagged(df.withColumn("_dref", ref), dim, ["_dref"], ["driverId"]).withColumnRenamed(lookup.HIT, "_known")
+    # Messages without a driver are rejected for that: they look up no race.
+    df = (df.withColumn("season_n", F.when(F.col("_known"), season.try_cast("bigint")))
+            .withColumn("round_n", F.when(F.col("_known"), rnd.try_cast("bigint"))))
+    races = wh.read("race").where(F.col("year") == only).select(
+        F.col("year").cast("bigint").alias("season_n"), F.col("round").cast("bigint").alias("round_n"), "race_id")
+    df = lookup.resolve_tagged(df, races, ["season_n", "round_n"], ["race_id"])
+    why = (F.when(~F.col("_known"), "unknown driver").when(F.col("season_n").isNull() | F.col("round_n").isNull(), "invalid season or round")
+            .when(F.col("season_n") != only, "other season").when(~F.col(lookup.HIT), "unknown race"))
+    df = df.withColumn("_why", why).drop("_known", lookup.HIT).checkpoint()
+    bad = lambda reason, *waits: _reject(df.where(F.col("_why") == reason), reason, topic, *waits)
+    return df.where(F.col("_why").isNull()).drop("_dref", "_why"), _rejects(
+        bad("unknown driver", "driver", F.col("_dref")), bad("invalid season or round"), bad("other season"),
+        bad("unknown race", "race", F.concat_ws("_", "season_n", "round_n")))
+
+
 # ----------------------------------------------------------------- dimensions
 def process_status(wh: Warehouse, msgs: DataFrame) -> DataFrame:
     t = "status_topic"
@@ -237,28 +269,27 @@ def process_results(wh: Warehouse, msgs: DataFrame, season: int,
                     dedup_on: list[str] | None = ("raceId", "driverId")) -> DataFrame:
     """Fact rows (FormulaOne) and the guarded race update from rank-1 rows."""
     t = "results_topic"
-    d = _decode(msgs, S.RESULT_VALUE)
-    d, rej1 = _resolve_driver(d, wh, F.col("v.driverId"), t)
-    d, rej2 = _resolve_race(d, wh, F.col("v.season"), F.col("v.round"), t, season)
+    d = _decode(msgs, S.RESULT_VALUE).withColumn("laps_n", F.col("v.laps").try_cast("bigint"))
+    d, rej = _resolve_driver_race(d, wh, F.col("v.driverId"), F.col("v.season"), F.col("v.round"), t, season)
     d = d.withColumnRenamed("race_id", "raceId")
+    fact = wh.read("formulaone")
+    new = upsert.insert_new(wh.touched("formulaone", d), d, list(dedup_on), ORD, small_batch=True) if dedup_on else d    # Q2
+    # Only the rows to insert are looked up further; each lookup finds one row at most, so it takes none away.
+    new = new.checkpoint()
+    dup = _duplicates(d, new, t)
     cons = wh.read("constructor").select(F.col("constructorRef").alias("_cref"), "constructorId").distinct()
-    d, _ = lookup.resolve(d.withColumn("_cref", F.col("v.constructorId")), cons, "_cref", ["constructorId"], how="left")
+    new, _ = lookup.resolve(new.withColumn("_cref", F.col("v.constructorId")), cons, "_cref", ["constructorId"], how="left")
     sts = (wh.read("status").select(F.col("status_name").alias("_sname"), F.col("statusid").alias("statusId"))
               .groupBy("_sname").agg(F.min("statusId").alias("statusId")))
-    d, _ = lookup.resolve(d.withColumn("_sname", F.col("v.status")), sts, "_sname", ["statusId"], how="left")  # J3
+    new, _ = lookup.resolve(new.withColumn("_sname", F.col("v.status")), sts, "_sname", ["statusId"], how="left")  # J3
     # Only the batch's keys are looked up: the large tables are filtered before they are grouped.
-    d = d.checkpoint()
-    batch_keys = d.select("driverId", "raceId").distinct()
+    batch_keys = new.select("driverId", "raceId").distinct()
     races = batch_keys.select(F.col("raceId").alias("race_id"))
     pit = wh.touched("pitstops", races).withColumnRenamed("race_id", "raceId").join(batch_keys, ["driverId", "raceId"], "left_semi")
-    d = lookup.first_of_many(d, pit, ["driverId", "raceId"], "stop", "stop")               # J6, Q7
-    d = d.withColumn("laps_n", F.col("v.laps").try_cast("bigint"))
+    new = lookup.first_of_many(new, pit, ["driverId", "raceId"], "stop", "stop")           # J6, Q7
     laps = wh.touched("laptimes", races).select("driverId", F.col("race_id").alias("raceId"), F.col("lap").alias("laps_n"))
     laps = laps.join(batch_keys, ["driverId", "raceId"], "left_semi")
-    d = lookup.exists_flag(d, laps, ["driverId", "raceId", "laps_n"], "laps_n", "lap").checkpoint()    # J4
-    fact = wh.read("formulaone")
-    new = upsert.insert_new(wh.touched("formulaone", d), d, list(dedup_on), ORD, small_batch=True) if dedup_on else d    # Q2
-    dup = _duplicates(d, new, t)
+    new = lookup.exists_flag(new, laps, ["driverId", "raceId", "laps_n"], "laps_n", "lap")    # J4
     pos = F.col("v.position")
     rows = new.select(
         *ORD, "raceId", "driverId", "constructorId", "statusId",
@@ -292,7 +323,7 @@ def process_results(wh: Warehouse, msgs: DataFrame, season: int,
     open_races = wh.read("race").where(C.any_missing(*sets)).join(full, "race_id", "left_semi")
     if not open_races.isEmpty():
         wh.overwrite("race", upsert.update_guarded(wh.read("race"), upd, "race_id", sets))
-    return _rejects(rej1, rej2, dup)
+    return _rejects(rej, dup)
 
 
 def _standings_rows(msgs: DataFrame, ddl: str, list_name: str) -> DataFrame:
@@ -315,10 +346,12 @@ def _process_standings(wh: Warehouse, msgs: DataFrame, season: int, kind: str,
     t = "constandings_topic" if con else "driverstandings_topic"
     rows = _standings_rows(msgs, S.CON_STANDINGS_VALUE if con else S.DRIVER_STANDINGS_VALUE,
                            "ConstructorStandings" if con else "DriverStandings")
-    rows, rej3 = _split(rows.withColumn("position_n", F.col("s.position").try_cast("bigint")),
-                        F.col("position_n").isNull(), "invalid position", t)
+    rows = rows.withColumn("position_n", F.col("s.position").try_cast("bigint")).withColumn("_bad", F.col("position_n").isNull())
     order = [*ORD, "_i"]
-    rows = keep_first(rows, ["position_n" if k == "position" else k for k in dedup_keys], order)   # Q4
+    # Kept before it is used again, so messages are decoded once; only if some first has no position, once more.
+    first = keep_first(rows, [*["position_n" if k == "position" else k for k in dedup_keys], "_bad"], order).checkpoint()   # Q4
+    rej3 = _reject((first if first.where("_bad").isEmpty() else rows).where("_bad"), "invalid position", t)
+    rows = first.where("NOT _bad").drop("_bad")
     if con:
         dim = wh.read("constructor").select(F.col("constructorRef").alias("_ref"), "constructorId").distinct()
         ok, rej1 = _resolved(rows.withColumn("_ref", F.col("s.Constructor.constructorId")), dim, ["_ref"],
